@@ -315,7 +315,7 @@ def _(spark, d):
 
 
 @registered("assign_event_time", """
-    SELECT event_id, epoch_ms(date_trunc('second', ts)) AS from_text, epoch_ms(ts) AS from_millis,
+    SELECT event_id, epoch_ms(date_trunc('second', ts)) AS from_text, epoch_us(ts) // 1000 AS from_millis,
            epoch_ms(date_trunc('second', ts)) AS from_json
     FROM events""")
 def _(spark, d):

@@ -14,11 +14,11 @@ from millrace.session import scratch_dir
 from millrace.sources.tables import stream_table
 from millrace.streaming import stateful
 from millrace.streaming.bounded import run_available, run_in_phases, run_to_end
-from millrace.streaming.eventtime import merge_partition_watermarks, watermark_bounded, watermark_monotonous
+from millrace.streaming.eventtime import merge_watermarked, watermark_bounded, watermark_monotonous
 
 # All input is one micro-batch, so every timer sees the whole sum.
 TIMERS = """
-    SELECT DISTINCT user_id, epoch_ms(ts) + 2000 AS timer_ms,
+    SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 2000 AS timer_ms,
            round(sum(value) OVER (PARTITION BY user_id), 2) AS "sum"
     FROM events"""
 
@@ -31,30 +31,30 @@ def _minute_counts(df):
 @registered("watermark_monotonous", DAY_COUNTS)
 def _(spark, d):
     return run_to_end(
-        stream_table(spark, d, "events"), "ts",
-        lambda e: tumbling_count(watermark_monotonous(e, "ts"), ["event_type"], "ts", "1 day"),
+        stream_table(spark, d, "events").select("event_type", "ts"), "ts", watermark_monotonous,
+        lambda e: tumbling_count(e, ["event_type"], "ts", "1 day"),
     )
 
 
 @registered("watermark_bounded", DAY_COUNTS)
 def _(spark, d):
     return run_to_end(
-        stream_table(spark, d, "events"), "ts",
-        lambda e: tumbling_count(watermark_bounded(e, "ts", "2 seconds"), ["event_type"], "ts", "1 day"),
+        stream_table(spark, d, "events").select("event_type", "ts"), "ts", watermark_bounded("2 seconds"),
+        lambda e: tumbling_count(e, ["event_type"], "ts", "1 day"),
     )
 
 
 @registered("watermark_5s", MINUTE_COUNTS)
 def _(spark, d):
     return run_to_end(
-        stream_table(spark, d, "events"), "ts", lambda e: _minute_counts(watermark_bounded(e, "ts", "5 seconds"))
+        stream_table(spark, d, "events").select("ts"), "ts", watermark_bounded("5 seconds"), _minute_counts
     )
 
 
 @registered("bounded_flush", MINUTE_COUNTS)
 def _(spark, d):
     return run_to_end(
-        stream_table(spark, d, "events"), "ts", lambda e: _minute_counts(watermark_monotonous(e, "ts"))
+        stream_table(spark, d, "events").select("ts"), "ts", watermark_monotonous, _minute_counts
     )
 
 
@@ -71,8 +71,8 @@ def _(spark, d):
     views = df.filter("event_type = 'view'")
     others = df.filter("event_type <> 'view'")
     return run_in_phases(
-        [views, others], "ts",
-        lambda e: tumbling_count(watermark_monotonous(e, "ts"), ["event_type"], "ts", "1 day"),
+        [views, others], "ts", watermark_monotonous,
+        lambda e: tumbling_count(e, ["event_type"], "ts", "1 day"),
         strict_late=True,
     )
 
@@ -86,8 +86,8 @@ def _(spark, d):
     df.withColumn("part", part).write.partitionBy("part").parquet(folder)
     parts = [spark.readStream.schema(df.schema).parquet(f"{folder}/part={i}") for i in (0, 1)]
     return run_to_end(
-        parts, "ts",
-        lambda *p: tumbling_count(merge_partition_watermarks(p, "ts"), ["event_type"], "ts", "1 day"),
+        parts, "ts", watermark_monotonous,
+        lambda *p: tumbling_count(merge_watermarked(p), ["event_type"], "ts", "1 day"),
     )
 
 
@@ -104,8 +104,8 @@ def _(spark, d):
 @registered("keyed_sum_timers_stream", TIMERS)
 def _(spark, d):
     sums = run_to_end(
-        stream_table(spark, d, "events").select("user_id", "ts", "value"), "ts",
-        lambda e: stateful.keyed_sum_at_timers(watermark_bounded(e, "ts", "2 seconds"), ["user_id"], "ts", "value"),
+        stream_table(spark, d, "events").select("user_id", "ts", "value"), "ts", watermark_bounded("2 seconds"),
+        lambda e: stateful.keyed_sum_at_timers(e, ["user_id"], "ts", "value"),
     )
     return sums.withColumn("sum", F.round("sum", 2))
 
@@ -113,10 +113,8 @@ def _(spark, d):
 @registered("state_ttl", TIMERS)
 def _(spark, d):
     sums = run_to_end(
-        stream_table(spark, d, "events").select("user_id", "ts", "value"), "ts",
-        lambda e: stateful.keyed_sum_at_timers(
-            watermark_bounded(e, "ts", "2 seconds"), ["user_id"], "ts", "value", ttl_seconds=86_400
-        ),
+        stream_table(spark, d, "events").select("user_id", "ts", "value"), "ts", watermark_bounded("2 seconds"),
+        lambda e: stateful.keyed_sum_at_timers(e, ["user_id"], "ts", "value", ttl_seconds=86_400),
     )
     return sums.withColumn("sum", F.round("sum", 2))
 
@@ -146,7 +144,6 @@ def _(spark, d):
 def _(spark, d):
     return run_to_end(
         stream_table(spark, d, "events").withColumn("k", k()).select("user_id", "ts", "k"), "ts",
-        lambda e: stateful.window_process(
-            watermark_monotonous(e, "ts"), ["user_id"], "ts", "1 day", CountSum("k"), ["k"]
-        ),
+        watermark_monotonous,
+        lambda e: stateful.window_process(e, ["user_id"], "ts", "1 day", CountSum("k"), ["k"]),
     )

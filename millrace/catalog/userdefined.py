@@ -66,7 +66,7 @@ def _(spark, d):
     )
 
 
-@registered("register_udf_sql", "SELECT event_id, epoch_ms(ts) - 5000 AS watermark_ms FROM events")
+@registered("register_udf_sql", "SELECT event_id, epoch_us(ts) // 1000 - 5000 AS watermark_ms FROM events")
 def _(spark, d):
     register_function(spark, "assign_watermark", lambda ms: ms - 5000, "BIGINT")
     return sql_query(

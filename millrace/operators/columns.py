@@ -50,4 +50,5 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     new = [n.lower() for n in names.values()]
     if len(set(new)) < len(new) or kept & set(new):
         raise ValueError(f"new names clash: {list(names.values())}")
-    return df.withColumnsRenamed(dict(names))
+    renamed = {old.lower(): new for old, new in names.items()}
+    return df.toDF(*[renamed.get(c.lower(), c) for c in df.columns])

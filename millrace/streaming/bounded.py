@@ -3,8 +3,8 @@
 Append output holds back windows and timers the watermark has not passed, and
 the end of a bounded input does not move the watermark. So once the input is
 used up, the query is resumed from its checkpoint with one more record, far
-later than any other. It closes everything before it; its own window and
-timers stay open, so it never shows in the output.
+later than any other. It moves the watermark and is then filtered out, before
+any operator of the query sees it.
 """
 
 from __future__ import annotations
@@ -50,6 +50,14 @@ def _last_record(like: DataFrame, time: str) -> DataFrame:
     )
 
 
+Watermark = Callable[[DataFrame, str], DataFrame]
+
+
+def _watermarked(df: DataFrame, time: str, watermark: Watermark) -> DataFrame:
+    # A filter on the event time stays above the watermark.
+    return watermark(df, time).filter(F.col(time) < F.lit(END_OF_TIME).cast("timestamp"))
+
+
 class _Run:
     """One query with its folder; every ``go`` resumes it and takes what is new."""
 
@@ -68,15 +76,17 @@ class _Run:
 def run_to_end(
     sources: DataFrame | Sequence[DataFrame],
     time: str,
+    watermark: Watermark,
     build: Callable[..., DataFrame],
     label: str = "bounded",
     strict_late: bool = False,
 ) -> DataFrame:
     """All rows ``build(*sources)`` appends, including those due at the end.
 
-    ``sources`` are streams over bounded input that have the ``time`` column;
-    ``build`` sets watermarks and returns the streaming result. Output goes to
-    files in the shared scratch folder, never through the driver.
+    ``sources`` are streams over bounded input that have the ``time`` column.
+    Each is given its watermark and handed to ``build``, which returns the
+    streaming result. Output goes to files in the shared scratch folder, never
+    through the driver.
     """
     sources = [sources] if isinstance(sources, DataFrame) else list(sources)
     spark = sources[0].sparkSession
@@ -84,7 +94,8 @@ def run_to_end(
     ended = []
     for i, source in enumerate(sources):
         spark.createDataFrame([], source.schema).write.parquet(f"{folder}/end-{i}")
-        ended.append(source.unionByName(spark.readStream.schema(source.schema).parquet(f"{folder}/end-{i}")))
+        end = spark.readStream.schema(source.schema).parquet(f"{folder}/end-{i}")
+        ended.append(_watermarked(source.unionByName(end), time, watermark))
     run = _Run(spark, folder, build(*ended), strict_late)
     run.go()
     for i, source in enumerate(sources):
@@ -96,6 +107,7 @@ def run_to_end(
 def run_in_phases(
     phases: Sequence[DataFrame],
     time: str,
+    watermark: Watermark,
     build: Callable[[DataFrame], DataFrame],
     label: str = "phases",
     strict_late: bool = False,
@@ -108,7 +120,7 @@ def run_in_phases(
     folder = scratch_dir(spark, label)
     phases[0].write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(phases[0].schema).parquet(f"{folder}/in")
-    run = _Run(spark, folder, build(stream), strict_late)
+    run = _Run(spark, folder, build(_watermarked(stream, time, watermark)), strict_late)
     run.go()
     for phase in [*phases[1:], _last_record(stream, time)]:
         phase.select(*stream.columns).write.mode("append").parquet(f"{folder}/in")
