@@ -126,8 +126,7 @@ def _(spark, d):
            event_type <> 'error' AS valid
     FROM events""")
 def _(spark, d):
-    good, bad = rows.split_by_validity(mixed_strings(spark, d))
-    return good.withColumn("valid", F.lit(True)).unionByName(bad.withColumn("valid", F.lit(False)))
+    return rows.with_validity(mixed_strings(spark, d))
 
 
 @registered("json_validity_texts", """
@@ -135,16 +134,15 @@ def _(spark, d):
     UNION ALL SELECT 'pages', json_valid(html), count(*) FROM pages GROUP BY ALL
     UNION ALL SELECT 'props', json_valid(props), count(*) FROM events GROUP BY ALL""")
 def _(spark, d):
-    from millrace.functions.jsons import is_json
+    def texts(table: str, column: str, origin: str):
+        return load_table(spark, d, table).select(F.lit(origin).alias("origin"), F.col(column).alias("value"))
 
-    sources = [("documents", "text"), ("pages", "html"), ("events", "props")]
-    names = {"events": "props"}
-    parts = [
-        load_table(spark, d, table).select(F.lit(names.get(table, table)).alias("origin"), F.col(c).alias("value"))
-        for table, c in sources
-    ]
-    everything = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return everything.groupBy("origin", is_json(F.col("value")).alias("valid")).agg(F.count("*").alias("cnt"))
+    everything = (
+        texts("documents", "text", "documents")
+        .unionByName(texts("pages", "html", "pages"))
+        .unionByName(texts("events", "props", "props"))
+    )
+    return rows.with_validity(everything).groupBy("origin", "valid").agg(F.count("*").alias("cnt"))
 
 
 @registered("limit", "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 3")

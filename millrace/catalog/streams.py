@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.batch import DAY_COUNTS, K, MINUTE_COUNTS
+from millrace.catalog.batch import DAY_COUNTS, K, MINUTE_COUNTS, TOP2
 from millrace.catalog.inputs import events, k
 from millrace.catalog.registry import registered
+from millrace.operators.joins import join_inner
 from millrace.operators.rows import distinct_rows
-from millrace.operators.userdefined import CountSum
+from millrace.operators.userdefined import CountSum, Largest
 from millrace.operators.windows import tumbling_count, window_bounds
 from millrace.session import scratch_dir
 from millrace.sources.tables import stream_table
@@ -136,6 +137,42 @@ def _(spark, d):
     )
 
 
+@registered("keyed_sum_timers_spread", TIMERS)
+def _(spark, d):
+    sums = run_to_end(
+        stream_table(spark, d, "events").select("user_id", "ts", "value"), "ts", watermark_bounded("2 seconds"),
+        lambda e: stateful.keyed_sum_at_timers(e, ["user_id"], "ts", "value", spread=4),
+    )
+    return sums.withColumn("sum", F.round("sum", 2))
+
+
+@registered("udaf_stream", f"""
+    SELECT user_id, count(*) AS cnt, CAST(sum({K}) AS BIGINT) AS "sum" FROM events GROUP BY user_id""")
+def _(spark, d):
+    log = run_available(
+        stateful.user_aggregate(stream_table(spark, d, "events").withColumn("k", k()), ["user_id"], CountSum("k"), ["k"])
+    )
+    sign = F.when(F.col("op").startswith("-"), -1).otherwise(1)
+    return log.groupBy("user_id").agg(F.sum(sign * F.col("cnt")).alias("cnt"), F.sum(sign * F.col("sum")).alias("sum"))
+
+
+@registered("udtaf_stream", TOP2)
+def _(spark, d):
+    log = run_available(
+        stateful.user_aggregate(stream_table(spark, d, "events").withColumn("k", k()), ["event_type"], Largest("k"), ["k"])
+    )
+    # All input is one micro-batch, so nothing is taken back.
+    return log.filter("op = '+I'").drop("op")
+
+
+@registered("join_streams", """
+    SELECT o_orderkey, o_custkey, c_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey""")
+def _(spark, d):
+    orders = stream_table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    customers = stream_table(spark, d, "customer").select("c_custkey", "c_name")
+    return run_available(join_inner(orders, customers, [("o_custkey", "c_custkey")]))
+
+
 @registered("keyed_process_fn", f"""
     SELECT user_id, epoch_ms(date_trunc('day', ts)) AS window_start,
            epoch_ms(date_trunc('day', ts) + INTERVAL 1 DAY) AS window_end,

@@ -36,6 +36,20 @@ def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
     return chosen.dropDuplicates()
 
 
+def distinct_within_watermark(df: DataFrame, *columns: str) -> DataFrame:
+    """First rows of combinations on a watermarked stream.
+
+    State of a combination is dropped once the watermark has passed it, so it
+    stays bounded; a repetition later than that counts as new.
+    """
+    return df.dropDuplicatesWithinWatermark(list(columns))
+
+
+def with_validity(df: DataFrame, column: str = "value", flag: str = "valid") -> DataFrame:
+    """Mark, in one pass, the rows whose text is JSON."""
+    return df.withColumn(flag, is_json(F.col(column)))
+
+
 def split_by_validity(df: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Rows whose text is JSON, and the rest for a dead-letter output."""
     valid = is_json(F.col(column))

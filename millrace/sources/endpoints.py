@@ -71,18 +71,27 @@ def text_files(path: str, max_files_per_trigger: int | None = None, extension: s
     return Endpoint("text", options, path)
 
 
-def _as_strings(df: DataFrame) -> DataFrame:
-    return df.select(F.col("value").cast("string").alias("value"))
+def kafka_partition_sources(servers: str, topic: str, partitions: int, **kwargs) -> list[Endpoint]:
+    """One endpoint per partition, to give each a watermark of its own."""
+    return [kafka_source(servers, topic, partitions=[p], **kwargs) for p in range(partitions)]
 
 
-def read_strings(spark: SparkSession, source: Endpoint) -> DataFrame:
-    """Batch read of the events as one ``value STRING`` column."""
-    return _as_strings(spark.read.format(source.format).options(**source.options).load(source.path))
+def _as_strings(df: DataFrame, also: Sequence[str]) -> DataFrame:
+    return df.select(F.col("value").cast("string").alias("value"), *also)
 
 
-def stream_strings(spark: SparkSession, source: Endpoint) -> DataFrame:
-    """Streaming read of the events as one ``value STRING`` column."""
-    return _as_strings(spark.readStream.format(source.format).options(**source.options).load(source.path))
+def read_strings(spark: SparkSession, source: Endpoint, also: Sequence[str] = ()) -> DataFrame:
+    """Batch read of the events as one ``value STRING`` column.
+
+    ``also`` names further columns of the source to keep, such as a broker
+    record's own ``timestamp``.
+    """
+    return _as_strings(spark.read.format(source.format).options(**source.options).load(source.path), also)
+
+
+def stream_strings(spark: SparkSession, source: Endpoint, also: Sequence[str] = ()) -> DataFrame:
+    """Streaming form of ``read_strings``."""
+    return _as_strings(spark.readStream.format(source.format).options(**source.options).load(source.path), also)
 
 
 def json_rows(strings: DataFrame, schema: T.StructType | str) -> DataFrame:

@@ -12,11 +12,11 @@ from millrace.operators.windows import tumbling_count
 from millrace.session import scratch_dir
 from millrace.sinks.writers import stream_row_files, stream_to, stream_to_console, write_row_files
 from millrace.sources.endpoints import (
-    kafka_sink, kafka_source, read_strings, register_stream_table, stream_json_rows, stream_strings, text_files,
+    kafka_partition_sources, kafka_sink, kafka_source, read_strings, register_stream_table, stream_json_rows, stream_strings, text_files,
 )
 from millrace.sources.memory import from_collection, replay
 from millrace.streaming.bounded import run_available
-from millrace.streaming.jobs import forward, forward_valid, produce_json_rows
+from millrace.streaming.jobs import forward, forward_valid, produce_json_rows, reserialise
 
 STRINGS = ['{"b": 1,  "a": "é"}', "{broken", "", "[1,2]", "not json", '{"x": NaN}', '{"k": 1}{"k": 2}']
 
@@ -109,6 +109,17 @@ def test_kafka_options():
     assert kafka_sink("h:9092", "t").options == {"kafka.bootstrap.servers": "h:9092", "topic": "t"}
 
 
+def test_one_source_per_partition():
+    sources = kafka_partition_sources("h:9092", "t", 3, group_id="g")
+    assert [json.loads(s.options["assign"]) for s in sources] == [{"t": [0]}, {"t": [1]}, {"t": [2]}]
+
+
+def test_pretty_printing(spark):
+    df = spark.createDataFrame([('{"a":{"b":1}}',), (None,)], "value STRING")
+    pretty = rows(df.select(reserialise(df["value"], indent=4)))
+    assert pretty == sorted([(json.dumps({"a": {"b": 1}}, indent=4),), (None,)], key=str)
+
+
 def test_scratch_is_shared(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")

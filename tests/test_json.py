@@ -106,6 +106,14 @@ def test_long_text_is_read_whole(spark):
     assert df.select(is_json(F.col("t")), F.length(json_value(F.col("t"), "$.a"))).first() == (True, 25_000_000)
 
 
+def test_long_text_with_odd_tokens(spark):
+    # Not JSON by the strict rules, so the strings are taken out by pattern.
+    df = spark.range(1).select(
+        F.concat(F.lit('{"a":NaN,"b":"'), F.repeat(F.lit('x\\\\\\"INF'), 200_000), F.lit('","c":-Infinity}')).alias("t")
+    )
+    assert df.select(is_json(F.col("t"))).first()[0] is parses(df.first().t) is True
+
+
 def test_authorization_event(spark):
     df = spark.createDataFrame([(AUTH_EVENT,)], "message STRING")
     e = json_parse(F.col("message"), AUTH_SCHEMA)

@@ -1,7 +1,5 @@
 """Streams on small fixtures with fixed micro-batches."""
 
-
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,9 +8,11 @@ from fixtures import (
     ACQUIRER_WINDOWS, ACQUIRERS, AUTHORIZATION_WINDOWS, AUTHORIZATIONS, LATE_WINDOW, PAYMENTS,
 )
 from millrace.functions.scalars import event_time_from_millis, parse_iso_seconds
-from millrace.operators.rows import distinct_rows
+from millrace.operators.aggregates import group_count_max
+from millrace.operators.joins import join_inner
+from millrace.operators.rows import distinct_rows, distinct_within_watermark, limit_rows
 from millrace.operators.timers import keyed_sum_at_timers as batch_sums
-from millrace.operators.userdefined import CountSum, WindowCount
+from millrace.operators.userdefined import CountSum, Largest, WindowCount
 from millrace.operators.userdefined import window_process as batch_window_process
 from millrace.operators.windows import tumbling_count
 from millrace.sources.memory import from_collection, replay
@@ -201,6 +201,49 @@ def test_changelog_with_nulls(spark, folder):
     assert rows(log) == expected([("a", "+I", 0, None), ("a", "-U", 0, None), ("a", "+U", 1, 5)])
 
 
+def test_user_aggregates_as_change_logs(spark, folder):
+    batches = [CALLS[:2], CALLS[2:], [("China", 5, 200)]]
+    stream = replay(spark, batches, COUNTRY, f"{folder}/sum")
+    log = run_available(stateful.user_aggregate(stream, ["country"], CountSum("tel"), ["tel"]))
+    assert rows(log) == expected([
+        ("Germany", "+I", 1, 123), ("USA", "+I", 1, 124), ("China", "+I", 1, 135), ("China", "-U", 1, 135),
+        ("China", "+U", 2, 167), ("China", "-U", 2, 167), ("China", "+U", 3, 367),
+    ])
+    stream = replay(spark, batches, COUNTRY, f"{folder}/top")
+    log = run_available(stateful.user_aggregate(stream, ["country"], Largest("tel"), ["tel"]))
+    assert rows(log) == expected([
+        ("Germany", "+I", 123), ("USA", "+I", 124), ("China", "+I", 135), ("China", "+I", 32), ("China", "-D", 32),
+        ("China", "+I", 200),
+    ])
+
+
+def test_limit_on_a_stream(spark, folder):
+    stream = replay(spark, [CALLS[:2], CALLS[2:]], COUNTRY, f"{folder}/in")
+    assert run_available(limit_rows(stream, 3)).count() == 3
+
+
+def test_upserts(spark, folder):
+    stream = replay(spark, [CALLS[:2], CALLS[2:]], COUNTRY, f"{folder}/in")
+    counted = group_count_max(stream, ["country"], "id", F.col("tel"), "n", "most")
+    query = counted.writeStream.format("memory").queryName("upserts").outputMode("update").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.table("upserts")) == expected([
+        ("Germany", 1, 123), ("China", 1, 135), ("USA", 1, 124), ("China", 2, 135)])
+
+
+def test_streams_join(spark, folder):
+    left = replay(spark, [CALLS[:2], CALLS[2:]], COUNTRY, f"{folder}/left")
+    right = replay(spark, [[(4, 10)], [(1, 18)]], "r_id BIGINT, age BIGINT", f"{folder}/right")
+    out = run_available(join_inner(left, right, [("id", "r_id")]))
+    assert rows(out.select("id", "r_id", "age")) == [(1, 1, 18), (4, 4, 10)]
+
+
+def test_distinct_with_bounded_state(spark):
+    phases = [timed(from_collection(spark, p, ORDERED)) for p in ([("a", 1), ("a", 2), ("b", 100)], [("a", 1000)])]
+    out = run_in_phases(phases, "ts", watermark_monotonous, lambda e: distinct_within_watermark(e, "name"))
+    assert sorted(r.name for r in out.collect()) == ["a", "a", "b"]
+
+
 def test_distinct_on_a_stream(spark, folder):
     stream = replay(spark, [[c] for c in CALLS], COUNTRY, f"{folder}/in")
     assert rows(run_available(distinct_rows(stream, "country"))) == [("China",), ("Germany",), ("USA",)]
