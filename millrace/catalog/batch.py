@@ -382,7 +382,7 @@ def _(spark, d):
 # --- change data, schema, plans -----------------------------------------------------------
 
 
-@registered("cdc_unpack", """
+CDC = """
     SELECT op, 'customers' AS table_name, '0001' AS commit_lsn, c_custkey * 1000 AS ts_ms, c_custkey AS id,
            CASE WHEN op <> 'c' THEN c_acctbal END AS before_balance,
            CASE WHEN op <> 'd' THEN -c_acctbal END AS after_balance,
@@ -390,26 +390,44 @@ def _(spark, d):
            CASE WHEN op = 'u' THEN CASE WHEN c_acctbal = 0 THEN '' ELSE 'balance' END
                 ELSE 'id,name,segment,balance' END AS changed
     FROM (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 'c' WHEN 'MACHINERY' THEN 'd' ELSE 'u' END AS op
-          FROM customer)""")
-def _(spark, d):
-    return cdc_unpack(change_events(spark, d), row_schema=ROW).select(
+          FROM customer)"""
+
+
+def unpacked_changes(strings):
+    return cdc_unpack(strings, row_schema=ROW).select(
         "op", "table_name", "commit_lsn", "ts_ms", "id", "before_balance", "after_balance", "after_name",
         F.array_join("changed", ",").alias("changed"),
     )
 
 
-@registered("print_schema")
+@registered("cdc_unpack", CDC)
 def _(spark, d):
-    lines = schema_lines(events(spark, d))
-    return spark.createDataFrame([(line,) for line in lines], "line STRING")
+    return unpacked_changes(change_events(spark, d))
 
 
-@registered("explain")
+@registered("print_schema", """
+    SELECT '`event_id` BIGINT' AS line, count(event_id) AS filled FROM events
+    UNION ALL SELECT '`ts` TIMESTAMP', count(ts) FROM events
+    UNION ALL SELECT '`user_id` BIGINT', count(user_id) FROM events
+    UNION ALL SELECT '`event_type` STRING', count(event_type) FROM events
+    UNION ALL SELECT '`value` DOUBLE', count(value) FROM events
+    UNION ALL SELECT '`props` STRING', count(props) FROM events""")
 def _(spark, d):
-    plan = explain_sql(
-        spark, "SELECT event_type, count(*) AS cnt FROM {e} GROUP BY event_type", e=events(spark, d)
-    )
-    return spark.createDataFrame([(line,) for line in plan.splitlines()], "line STRING")
+    # The schema lines, each with the number of rows that fill the column.
+    df = events(spark, d)
+    filled = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    lines = [F.struct(F.lit(line).alias("line"), F.col(c).alias("filled")) for c, line in zip(df.columns, schema_lines(df))]
+    return filled.select(F.inline(F.array(*lines)))
+
+
+@registered("explain", """
+    SELECT event_type, count(*) AS cnt, true AS aggregates_twice FROM events GROUP BY event_type""")
+def _(spark, d):
+    # The query itself, with what its plan says: combined before the shuffle and after.
+    statement = "SELECT event_type, count(*) AS cnt FROM {e} GROUP BY event_type"
+    plan = explain_sql(spark, statement, e=events(spark, d))
+    twice = plan[plan.index("Physical Plan"):].count("HashAggregate") == 2
+    return sql_query(spark, statement, e=events(spark, d)).withColumn("aggregates_twice", F.lit(twice))
 
 
 @registered("sql_query", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.batch import K
+from millrace.catalog.batch import CDC, K, unpacked_changes
 from millrace.catalog.inputs import as_topic, change_events, empty_topic, events, mixed_strings
 from millrace.catalog.registry import registered
 from millrace.session import scratch_dir
@@ -98,9 +98,9 @@ def _(spark, d):
     return events(spark, d).groupBy("event_type").agg(F.count("*").alias("cnt"))
 
 
-@registered("cdc_forward")
+@registered("cdc_forward", CDC)
 def _(spark, d):
     sent = empty_topic(spark, "sent")
     source = as_topic(change_events(spark, d), "topic")
     forward(spark, source, sent, scratch_dir(spark, "checkpoint"), available_now=True).awaitTermination()
-    return read_strings(spark, sent)
+    return unpacked_changes(read_strings(spark, sent))

@@ -50,6 +50,23 @@ def _last_record(like: DataFrame, time: str) -> DataFrame:
     )
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """On one machine, no more state stores than twice its cores.
+
+    A query keeps the number of state partitions it starts with. On a cluster
+    the session's setting stands.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(name, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 Watermark = Callable[[DataFrame, str], DataFrame]
 
 
@@ -65,7 +82,7 @@ class _Run:
         self.spark, self.folder, self.result, self.strict_late = spark, folder, result, strict_late
 
     def go(self) -> None:
-        with late_rows(self.spark, self.strict_late):
+        with late_rows(self.spark, self.strict_late), state_partitions(self.spark):
             query = stream_to_parquet(self.result, f"{self.folder}/out", f"{self.folder}/checkpoint")
         query.awaitTermination()
 
@@ -132,5 +149,7 @@ def run_available(df: DataFrame, label: str = "available", mode: str = "append")
     """Run a stream without event-time state over what is there now."""
     spark = df.sparkSession
     folder = scratch_dir(spark, label)
-    stream_to_parquet(df, f"{folder}/out", f"{folder}/checkpoint", mode=mode).awaitTermination()
+    with state_partitions(spark):
+        query = stream_to_parquet(df, f"{folder}/out", f"{folder}/checkpoint", mode=mode)
+    query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/out")

@@ -9,7 +9,6 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
-NO_SQL = {"print_schema", "explain", "cdc_forward"}
 
 
 @pytest.fixture(scope="module")
@@ -24,9 +23,6 @@ def duck():
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
     got = [tuple(r[c] for c in sorted(df.columns)) for r in df.collect()]
-    if name in NO_SQL:
-        assert name not in SQL and got
-        return
     result = duck.execute(SQL[name])
     names = [c[0] for c in result.description]
     assert sorted(names) == sorted(df.columns)
@@ -35,6 +31,10 @@ def test_query(spark, duck, name):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["event_type", "cnt", "max_k"] and df.count() == 5
