@@ -19,22 +19,25 @@ from millrace.operators.userfunctions import map_rows, register_function
 from millrace.plans.inspect import sql_query
 
 
+def address(data: str) -> dict:
+    return json.loads(data)["addr"]
+
+
 def country_of(row: dict) -> tuple:
-    return row["id"], json.loads(row["data"])["addr"]["country"]
+    return row["id"], address(row["data"])["country"]
 
 
-def city_of(id: int, data: str):
-    yield id, json.loads(data)["addr"]["city"]
+def city_of(key: int, data: str):
+    return [(key, address(data)["city"])]
 
 
-def parse_data(data: str):
-    event = json.loads(data)
-    yield event["name"], event["tel"], event["addr"]["country"]
+def profile_of(data: str):
+    profile = json.loads(data)
+    return [(profile["name"], profile["tel"], profile["addr"]["country"])]
 
 
 def pieces(text: str):
-    for piece in text.split("i"):
-        yield (piece,)
+    return [(piece,) for piece in text.split("i")]
 
 
 @registered("udf_row_map", "SELECT event_id AS id, event_type AS country FROM events")
@@ -58,20 +61,20 @@ def _(spark, d):
 @registered("register_udtf_sql", f"""
     SELECT event_id AS id, event_type AS name, CAST({K} AS INTEGER) AS tel, event_type AS country FROM events""")
 def _(spark, d):
-    joins.register_table_function(spark, "parse_data", parse_data, "name STRING, tel INT, country STRING")
+    joins.register_table_function(spark, "profile_of", profile_of, "name STRING, tel INT, country STRING")
     return sql_query(
         spark,
-        "SELECT e.id, t.name, t.tel, t.country FROM {events} AS e, LATERAL parse_data(e.data) AS t(name, tel, country)",
+        "SELECT e.id, t.name, t.tel, t.country FROM {events} AS e, LATERAL profile_of(e.data) AS t(name, tel, country)",
         events=profiles(spark, d),
     )
 
 
 @registered("register_udf_sql", "SELECT event_id, epoch_us(ts) // 1000 - 5000 AS watermark_ms FROM events")
 def _(spark, d):
-    register_function(spark, "assign_watermark", lambda ms: ms - 5000, "BIGINT")
+    register_function(spark, "five_seconds_before", lambda ms: ms - 5000, "BIGINT")
     return sql_query(
         spark,
-        "SELECT event_id, assign_watermark(unix_millis(ts)) AS watermark_ms FROM {events}",
+        "SELECT event_id, five_seconds_before(unix_millis(ts)) AS watermark_ms FROM {events}",
         events=events(spark, d),
     )
 

@@ -1,15 +1,17 @@
 """User-defined aggregates and table aggregates written in Python.
 
-Both run in two phases. Each task folds its own rows into accumulators, one
-per key; only accumulators are shuffled, and they are merged one after another
-from sorted input. A key with a third of all rows therefore costs the second
-phase one small accumulator per task, and memory holds one key at a time.
+Both run in two phases. Each task folds its own rows into states, one per key;
+only states are shuffled, and they are merged one after another from sorted
+input. A key with a third of all rows therefore costs the second phase one
+small state per task, and memory holds one key at a time.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections import namedtuple
 from collections.abc import Iterable, Iterator, Sequence
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,36 +21,36 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.operators.windows import window_bounds
 
-# Accumulators a task holds before it passes them on as they are.
+# States a task holds before it passes them on as they are.
 KEYS_IN_MEMORY = 100_000
 ROWS_PER_BATCH = 10_000
 
 
 class Aggregate:
-    """Subclass this. Accumulators are lists, changed in place."""
+    """Subclass this. States are lists, changed in place.
 
-    accumulator_type: str  # DDL of a STRUCT or ARRAY
-    result_type: str  # DDL of the result fields, such as "cnt BIGINT, sum BIGINT"
+    ``state_type`` is the DDL of a STRUCT or ARRAY that holds a state,
+    ``result_type`` that of the result fields, such as ``cnt BIGINT``.
+    """
 
-    def create(self) -> list:
-        raise NotImplementedError
+    state_type: str
+    result_type: str
 
-    def accumulate(self, accumulator: list, row) -> None:
+    def zero(self) -> list:
+        """The state of no rows."""
         raise NotImplementedError
 
-    def retract(self, accumulator: list, row) -> None:
-        raise NotImplementedError("this aggregate takes no change log")
-
-    def merge(self, accumulator: list, other: list) -> None:
+    def step(self, state: list, row, sign: int) -> None:
+        """Count a row in (``sign`` 1) or, on a change log, out again (-1)."""
         raise NotImplementedError
 
-    def result(self, accumulator: list) -> tuple:
-        """One row of result fields."""
+    def merge(self, state: list, other: list) -> None:
+        """Take in what another task has gathered for the same key."""
         raise NotImplementedError
 
-    def results(self, key: tuple, accumulator: list) -> Iterable[tuple]:
-        """Any number of rows; override this for a table aggregate."""
-        yield tuple(self.result(accumulator))
+    def rows(self, key: tuple, state: list) -> Iterable[tuple]:
+        """Result rows: one for an aggregate, any number for a table aggregate."""
+        yield tuple(state)
 
 
 def _batches(rows: Iterable[list], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -67,25 +69,25 @@ def _batches(rows: Iterable[list], schema: pa.Schema) -> Iterator[pa.RecordBatch
         yield build()
 
 
-def accumulator_codec(accumulator_type: T.DataType):
-    """Accumulator lists to and from their column form."""
-    if isinstance(accumulator_type, T.StructType):
-        names = accumulator_type.names
-        return (lambda acc: dict(zip(names, acc))), (lambda stored: [stored[n] for n in names])
+def state_codec(state_type: T.DataType):
+    """State lists to and from their column form."""
+    if isinstance(state_type, T.StructType):
+        names = state_type.names
+        return (lambda state: dict(zip(names, state))), (lambda stored: [stored[n] for n in names])
     return list, list
 
 
 def partial_aggregate(
     df: DataFrame, keys: Sequence[str], fn: Aggregate, inputs: Sequence[str], op: str | None = None
 ) -> DataFrame:
-    """First phase: keys and an ``acc`` column, a key at most once per flush of a task."""
+    """First phase: keys and a ``state`` column, a key at most once per flush of a task."""
     if not keys:
         raise ValueError("name at least one key column")
     wanted = df.select(*keys, *inputs, *([op] if op else []))
-    acc_type = T.DataType.fromDDL(fn.accumulator_type)
-    schema = T.StructType([*[wanted.schema[k] for k in keys], T.StructField("acc", acc_type)])
+    state_type = T.DataType.fromDDL(fn.state_type)
+    schema = T.StructType([*[wanted.schema[k] for k in keys], T.StructField("state", state_type)])
     arrow = to_arrow_schema(schema)
-    pack, _ = accumulator_codec(acc_type)
+    pack, _ = state_codec(state_type)
     n, m = len(keys), len(inputs)
     Input = namedtuple("Input", inputs)
 
@@ -98,15 +100,14 @@ def partial_aggregate(
                 key_rows = list(zip(*columns[:n]))
                 rows = zip(*columns[n:n + m]) if m else [()] * len(key_rows)
                 for i, (key, row) in enumerate(zip(key_rows, rows)):
-                    acc = held.get(key)
-                    if acc is None:
-                        acc = held[key] = fn.create()
-                    step = fn.retract if ops and ops[i].startswith("-") else fn.accumulate
-                    step(acc, Input._make(row))
+                    state = held.get(key)
+                    if state is None:
+                        state = held[key] = fn.zero()
+                    fn.step(state, Input._make(row), -1 if ops and ops[i].startswith("-") else 1)
                 if len(held) > KEYS_IN_MEMORY:
-                    yield from ([*k, pack(a)] for k, a in held.items())
+                    yield from ([*k, pack(s)] for k, s in held.items())
                     held = {}
-            yield from ([*k, pack(a)] for k, a in held.items())
+            yield from ([*k, pack(s)] for k, s in held.items())
 
         yield from _batches(partials(), arrow)
 
@@ -122,22 +123,22 @@ def aggregate(
     are retracted.
     """
     partial = partial_aggregate(df, keys, fn, inputs, op)
-    _, unpack = accumulator_codec(partial.schema["acc"].dataType)
+    _, unpack = state_codec(partial.schema["state"].dataType)
     schema = T.StructType([*partial.schema.fields[:-1], *T.DataType.fromDDL(fn.result_type).fields])
     arrow = to_arrow_schema(schema)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def merged():
-            current, acc = None, None
+            current, state = None, None
             for batch in batches:
                 for *key, stored in zip(*[c.to_pylist() for c in batch.columns]):
                     if key != current:
                         if current is not None:
-                            yield from ([*current, *r] for r in fn.results(tuple(current), acc))
-                        current, acc = key, fn.create()
-                    fn.merge(acc, unpack(stored))
+                            yield from ([*current, *r] for r in fn.rows(tuple(current), state))
+                        current, state = key, fn.zero()
+                    fn.merge(state, unpack(stored))
             if current is not None:
-                yield from ([*current, *r] for r in fn.results(tuple(current), acc))
+                yield from ([*current, *r] for r in fn.rows(tuple(current), state))
 
         yield from _batches(merged(), arrow)
 
@@ -155,9 +156,9 @@ def with_window_bounds(
 def window_process(
     df: DataFrame, keys: Sequence[str], time: str, size: str, fn: Aggregate, inputs: Sequence[str]
 ) -> DataFrame:
-    """``fn`` per key and tumbling window; ``results`` gets the bounds in its key.
+    """``fn`` per key and tumbling window; ``rows`` gets the bounds in its key.
 
-    The key passed to ``results`` is (keys..., start ms, end ms).
+    The key passed to ``rows`` is (keys..., start ms, end ms).
     """
     bounded = with_window_bounds(df, keys, time, size, inputs)
     return aggregate(bounded, [*keys, "window_start", "window_end"], fn, inputs)
@@ -166,67 +167,60 @@ def window_process(
 class CountSum(Aggregate):
     """Rows and the sum of an integer field, given as text or number."""
 
-    accumulator_type = "STRUCT<cnt: BIGINT, sum: BIGINT>"
+    state_type = "STRUCT<cnt: BIGINT, sum: BIGINT>"
     result_type = "cnt BIGINT, sum BIGINT"
 
     def __init__(self, field: str):
         self.field = field
 
-    def create(self):
+    def zero(self):
         return [0, 0]
 
-    def accumulate(self, accumulator, row):
-        accumulator[0] += 1
-        accumulator[1] += int(getattr(row, self.field))
-
-    def retract(self, accumulator, row):
-        accumulator[0] -= 1
-        accumulator[1] -= int(getattr(row, self.field))
+    def step(self, state, row, sign):
+        self.merge(state, [sign, sign * int(getattr(row, self.field))])
 
-    def merge(self, accumulator, other):
-        accumulator[0] += other[0]
-        accumulator[1] += other[1]
-
-    def result(self, accumulator):
-        return tuple(accumulator)
+    def merge(self, state, other):
+        state[:] = map(add, state, other)
 
 
 class Largest(Aggregate):
-    """The ``n`` largest values of an integer field; zeros take a place unseen."""
+    """The ``n`` largest values of an integer field; zeros take a place unseen.
+
+    What fell out of the list is not known, so it takes no change log.
+    """
 
-    accumulator_type = "ARRAY<BIGINT>"
+    state_type = "ARRAY<BIGINT>"
 
     def __init__(self, field: str, n: int = 2):
         self.field, self.n = field, n
         self.result_type = f"{field} BIGINT"
 
-    def create(self):
+    def zero(self):
         return []
 
-    def accumulate(self, accumulator, row):
-        self.merge(accumulator, [int(getattr(row, self.field))])
+    def step(self, state, row, sign):
+        if sign < 0:
+            raise ValueError("rows cannot be taken back from the largest values")
+        self.merge(state, [int(getattr(row, self.field))])
 
-    def merge(self, accumulator, other):
-        accumulator[:] = sorted([*accumulator, *other], reverse=True)[:self.n]
+    def merge(self, state, other):
+        state[:] = heapq.nlargest(self.n, [*state, *other])
 
-    def results(self, key, accumulator):
-        return [(v,) for v in accumulator if v]
+    def rows(self, key, state):
+        return [(v,) for v in state if v]
 
 
 class WindowCount(Aggregate):
     """Elements of a window."""
 
-    accumulator_type = "ARRAY<BIGINT>"
+    state_type = "ARRAY<BIGINT>"
     result_type = "cnt BIGINT"
 
-    def create(self):
+    def zero(self):
         return [0]
 
-    def accumulate(self, accumulator, row):
-        accumulator[0] += 1
-
-    def merge(self, accumulator, other):
-        accumulator[0] += other[0]
+    def step(self, state, row, sign):
+        state[0] += sign
 
-    def result(self, accumulator):
-        return (accumulator[0],)
+    def merge(self, state, other):
+        state[0] += other[0]

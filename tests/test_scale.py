@@ -113,6 +113,7 @@ def final_plan(df):
 def test_join_splits_a_hot_key(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fixtures import AGES, PATHS, PEOPLE, PEOPLE_ROWS
 from conftest import rows
-from millrace.catalog.userdefined import city_of, country_of, parse_data, pieces
+from millrace.catalog.userdefined import city_of, country_of, pieces, profile_of
 from millrace.functions.jsons import json_values
 from millrace.functions.scalars import concat, to_bigint, to_text
 from millrace.operators import columns, joins
@@ -125,8 +125,8 @@ def test_split_is_literal(spark, separator):
 
 
 def test_sql_lateral(spark, raw):
-    joins.register_table_function(spark, "parse_data", parse_data, "name STRING, tel INT, country STRING")
-    out = sql_query(spark, "SELECT * FROM {t} AS p, LATERAL parse_data(p.data) AS x(name, tel, country)", t=raw)
+    joins.register_table_function(spark, "profile_of", profile_of, "name STRING, tel INT, country STRING")
+    out = sql_query(spark, "SELECT * FROM {t} AS p, LATERAL profile_of(p.data) AS x(name, tel, country)", t=raw)
     assert rows(out.drop("data")) == [(i, n, int(t), c) for i, n, t, c in ALL]
     assert dict(out.dtypes)["tel"] == "int"
 
@@ -189,6 +189,12 @@ def test_top2(people_rows):
     assert rows(aggregate(people_rows, ["country"], Largest("tel"), ["tel"])) == want
 
 
+def test_largest_takes_no_change_log(spark):
+    df = spark.createDataFrame([("a", "-U", 1)], "k STRING, op STRING, v BIGINT")
+    with pytest.raises(Exception, match="taken back"):
+        aggregate(df, ["k"], Largest("v"), ["v"], op="op").collect()
+
+
 @pytest.mark.parametrize("values,want", [
     ([5, 0, -1], [5]), ([7, 7, 7], [7, 7]), ([-3, -1, -2], [-2, -1]), ([0], []), ([4], [4]), ([0, 0, 3], [3]),
 ])
