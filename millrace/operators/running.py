@@ -1,9 +1,10 @@
 """Running aggregates per key that do not need a key to fit in one task.
 
 A plain window over ``PARTITION BY key`` sorts all rows of a key in one task.
-Here rows are range-partitioned by key and order, so a large key is cut into
-many chunks of even size. Every chunk is scanned on its own, and what the
-earlier chunks of the same key add up to is carried in.
+That is the cheapest way as long as the largest key is small, which is counted
+first. Otherwise rows are range-partitioned by key and order, so a large key
+is cut into many chunks of even size. Every chunk is scanned on its own, and
+what the earlier chunks of the same key add up to is carried in.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from millrace.session import cut_lineage
 
+# Rows of one key that a single task may sort.
+ROWS_PER_TASK = 2_000_000
+
 _CHUNK = "__chunk"
 
 _FOLD = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
@@ -29,6 +33,15 @@ def _combine(kind: str, earlier: Column, later: Column) -> Column:
     return F.when(earlier.isNull(), later).when(later.isNull(), earlier).otherwise(earlier + later)
 
 
+def fits_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether every key has few enough rows for a plain window.
+
+    Reads the key columns alone and sends one count per key and task.
+    """
+    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return (largest or 0) <= ROWS_PER_TASK
+
+
 def running_aggregates(
     df: DataFrame,
     keys: Sequence[str],
@@ -36,6 +49,7 @@ def running_aggregates(
     aggregates: Mapping[str, tuple[str, str]],
     previous: Mapping[str, str] | None = None,
     chunks: int | None = None,
+    small_keys: bool | None = None,
 ) -> DataFrame:
     """Add, to every row, aggregates over the rows of its key up to it.
 
@@ -43,10 +57,41 @@ def running_aggregates(
     ``min``, column). ``previous`` maps a new column to one of those names and
     gives its value before the row. ``order_by`` must be unique within a key.
 
-    The chunks are written out once with a reliable checkpoint: the row and
-    the carry side below then see the same cut even if executors are lost.
+    ``small_keys`` tells whether all keys fit one task, which is otherwise
+    counted. ``chunks`` asks for a cut into about so many.
     """
     previous = dict(previous or {})
+    if chunks is None and (fits_one_task(df, keys) if small_keys is None else small_keys):
+        return df.select("*", *_scan(keys, order_by, aggregates, previous))
+    return _in_chunks(df, keys, order_by, aggregates, previous, chunks)
+
+
+def _scan(
+    partition: Sequence[str],
+    order_by: Sequence[str],
+    aggregates: Mapping[str, tuple[str, str]],
+    previous: Mapping[str, str],
+    prefix: str = "",
+) -> list[Column]:
+    ordered = Window.partitionBy(*partition).orderBy(*order_by)
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    return [
+        *[_FOLD[kind](c).over(upto).alias(f"{prefix}{n}") for n, (kind, c) in aggregates.items()],
+        *[_FOLD[aggregates[n][0]](aggregates[n][1]).over(before).alias(f"{prefix}{p}") for p, n in previous.items()],
+    ]
+
+
+def _in_chunks(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    aggregates: Mapping[str, tuple[str, str]],
+    previous: Mapping[str, str],
+    chunks: int | None,
+) -> DataFrame:
+    # Written out once with a reliable checkpoint: the row and the carry side
+    # then see the same cut even if executors are lost.
     spread = [*keys, *order_by]
     cut = df.repartitionByRange(chunks, *spread) if chunks else df.repartitionByRange(*spread)
     cut = cut_lineage(df.sparkSession, cut.withColumn(_CHUNK, F.spark_partition_id()))
@@ -55,30 +100,24 @@ def running_aggregates(
     # crosses one key at most, so there are less than twice as many such rows
     # as chunks, which bounds both the windows and the broadcast.
     per_chunk = cut.groupBy(*keys, _CHUNK).agg(*[_FOLD[kind](c).alias(n) for n, (kind, c) in aggregates.items()])
-    earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = {"count": "sum"}
+    by_chunk = Window.partitionBy(*keys).orderBy(_CHUNK)
+    earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    carried = {n: "sum" if kind == "count" else kind for n, (kind, _) in aggregates.items()}
     carry = per_chunk.select(
         *[F.col(k).alias(f"__key_{k}") for k in keys],
         F.col(_CHUNK).alias("__key_chunk"),
-        F.row_number().over(Window.partitionBy(*keys).orderBy(_CHUNK)).alias("__nth"),
-        *[_FOLD[carried.get(kind, kind)](n).over(earlier).alias(f"__carry_{n}") for n, (kind, _) in aggregates.items()],
+        F.row_number().over(by_chunk).alias("__nth"),
+        *[_FOLD[kind](n).over(earlier).alias(f"__carry_{n}") for n, kind in carried.items()],
     ).filter("__nth > 1").drop("__nth")
 
-    within = Window.partitionBy(_CHUNK, *keys).orderBy(*order_by)
-    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = within.rowsBetween(Window.unboundedPreceding, -1)
-    local = cut.select(
-        "*",
-        *[_FOLD[kind](c).over(upto).alias(f"__local_{n}") for n, (kind, c) in aggregates.items()],
-        *[_FOLD[aggregates[n][0]](aggregates[n][1]).over(before).alias(f"__before_{p}") for p, n in previous.items()],
-    )
+    local = cut.select("*", *_scan([_CHUNK, *keys], order_by, aggregates, previous, prefix="__local_"))
     same = [local[_CHUNK] == carry["__key_chunk"], *[local[k].eqNullSafe(carry[f"__key_{k}"]) for k in keys]]
     joined = local.join(F.broadcast(carry), reduce(Column.__and__, same), "left")
+    source = {**{n: n for n in aggregates}, **previous}
     return joined.select(
         *df.columns,
-        *[_combine(kind, F.col(f"__carry_{n}"), F.col(f"__local_{n}")).alias(n) for n, (kind, _) in aggregates.items()],
         *[
-            _combine(aggregates[n][0], F.col(f"__carry_{n}"), F.col(f"__before_{p}")).alias(p)
-            for p, n in previous.items()
+            _combine(aggregates[n][0], F.col(f"__carry_{n}"), F.col(f"__local_{name}")).alias(name)
+            for name, n in source.items()
         ],
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 import heapq
 from collections import namedtuple
 from collections.abc import Iterable, Iterator, Sequence
-from operator import add
+from operator import add, attrgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -171,13 +171,14 @@ class CountSum(Aggregate):
     result_type = "cnt BIGINT, sum BIGINT"
 
     def __init__(self, field: str):
-        self.field = field
+        self.value = attrgetter(field)
 
     def zero(self):
         return [0, 0]
 
     def step(self, state, row, sign):
-        self.merge(state, [sign, sign * int(getattr(row, self.field))])
+        state[0] += sign
+        state[1] += sign * int(self.value(row))
 
     def merge(self, state, other):
         state[:] = map(add, state, other)
