@@ -11,6 +11,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Zone-less parquet timestamps are instants here; watermarks need that.
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

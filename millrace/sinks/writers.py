@@ -43,21 +43,26 @@ def stream_to_console(df: DataFrame, checkpoint: str, available_now: bool = Fals
     return writer.format("console").option("numRows", rows).option("truncate", "false").start()
 
 
+def _row_file_options(suffix: str | None, max_records_per_file: int | None) -> dict[str, str]:
+    options = {"extension": suffix, "maxRecordsPerFile": max_records_per_file}
+    return {name: str(value) for name, value in options.items() if value}
+
+
 def write_row_files(
     df: DataFrame, path: str, suffix: str | None = None, max_records_per_file: int | None = None
 ) -> None:
     """Row-format text files with a chosen suffix, rolled by record count."""
-    writer = df.write
-    if suffix:
-        writer = writer.option("extension", suffix)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.csv(path)
+    df.write.options(**_row_file_options(suffix, max_records_per_file)).csv(path)
 
 
 def stream_row_files(
-    df: DataFrame, path: str, checkpoint: str, suffix: str | None = None, available_now: bool = False
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    suffix: str | None = None,
+    max_records_per_file: int | None = None,
+    available_now: bool = False,
 ) -> StreamingQuery:
-    """Streaming form; every task of a trigger rolls a new part file."""
-    options = {"extension": suffix} if suffix else {}
-    return stream_to(df, Endpoint("csv", options, path), checkpoint, available_now)
+    """Streaming form; every task of a trigger also rolls a new part file."""
+    sink = Endpoint("csv", _row_file_options(suffix, max_records_per_file), path)
+    return stream_to(df, sink, checkpoint, available_now)

@@ -23,10 +23,6 @@ class Endpoint:
     options: Mapping[str, str] = field(default_factory=dict)
     path: str | None = None
 
-    @property
-    def is_kafka(self) -> bool:
-        return self.format == "kafka"
-
 
 def kafka_source(
     servers: str,

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 def event_time_schema(schema: T.StructType) -> T.StructType:
     """The same schema with zone-less timestamps read as instants.
 
-    Watermarks are only defined on TIMESTAMP. Doing this in the read schema,
-    not with a cast, keeps filters on these columns pushable to the scan.
+    Watermarks are only defined on TIMESTAMP. A read schema, unlike a cast,
+    keeps filters on these columns pushable to the scan.
     """
     return T.StructType([
         T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
@@ -24,8 +24,10 @@ def table_path(folder: str, name: str) -> str:
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     path = table_path(folder, name)
-    schema = spark.read.parquet(path).schema
-    return spark.read.schema(event_time_schema(schema)).parquet(path)
+    df = spark.read.parquet(path)
+    schema = event_time_schema(df.schema)
+    # Sessions set up by this package infer instants, so files are listed once.
+    return df if schema == df.schema else spark.read.schema(schema).parquet(path)
 
 
 def stream_table(

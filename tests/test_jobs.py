@@ -83,11 +83,11 @@ def test_row_files_have_the_suffix(spark, folder):
     parts = [f for f in os.listdir(f"{folder}/batch") if f.startswith("part")]
     assert len(parts) == 2 and all(p.endswith(".ext") for p in parts)
     assert rows(spark.read.schema(df.schema).csv(f"{folder}/batch")) == rows(df)
-    stream = replay(spark, [[("a", 1)], [("b", 2)]], "k STRING, n INT", f"{folder}/in")
-    stream_row_files(stream, f"{folder}/stream", f"{folder}/cp", "ext", available_now=True).awaitTermination()
+    stream = replay(spark, [[("a", 1), ("c", 3)], [("b", 2)]], "k STRING, n INT", f"{folder}/in")
+    stream_row_files(stream, f"{folder}/stream", f"{folder}/cp", "ext", 1, available_now=True).awaitTermination()
     parts = [f for f in os.listdir(f"{folder}/stream") if f.startswith("part")]
-    assert parts and all(p.endswith(".ext") for p in parts)
-    assert rows(spark.read.schema("k STRING, n INT").csv(f"{folder}/stream")) == [("a", 1), ("b", 2)]
+    assert len(parts) == 3 and all(p.endswith(".ext") for p in parts)
+    assert rows(spark.read.schema("k STRING, n INT").csv(f"{folder}/stream")) == [("a", 1), ("b", 2), ("c", 3)]
 
 
 def test_console(spark, folder):
@@ -100,7 +100,7 @@ def test_console(spark, folder):
 
 def test_kafka_options():
     source = kafka_source("h1:9092,h2:9092", "t", "g", max_offsets_per_trigger=1000)
-    assert source.is_kafka and source.options == {
+    assert source.format == "kafka" and source.options == {
         "kafka.bootstrap.servers": "h1:9092,h2:9092", "startingOffsets": "earliest", "failOnDataLoss": "true",
         "subscribe": "t", "kafka.group.id": "g", "maxOffsetsPerTrigger": "1000",
     }
