@@ -416,8 +416,9 @@ def _(spark, d):
     # The schema lines, each with the number of rows that fill the column.
     df = events(spark, d)
     filled = df.agg(*[F.count(c).alias(c) for c in df.columns])
-    lines = [F.struct(F.lit(line).alias("line"), F.col(c).alias("filled")) for c, line in zip(df.columns, schema_lines(df))]
-    return filled.select(F.inline(F.array(*lines)))
+    lines = zip(df.columns, schema_lines(df))
+    pairs = [F.struct(F.lit(line).alias("line"), F.col(c).alias("filled")) for c, line in lines]
+    return filled.select(F.inline(F.array(*pairs)))
 
 
 @registered("explain", """

@@ -85,7 +85,8 @@ def _(spark, d):
     pairs = stream_table(spark, d, "events").select("event_id", "event_type")
     stream_row_files(pairs, path, scratch_dir(spark, "checkpoint"), "ext", available_now=True).awaitTermination()
     written = spark.read.schema("event_id BIGINT, event_type STRING").csv(path)
-    return written.select("event_id", "event_type", F.regexp_extract("_metadata.file_name", r"\.[a-z]+$", 0).alias("suffix"))
+    suffix = F.regexp_extract("_metadata.file_name", r"\.[a-z]+$", 0)
+    return written.select("event_id", "event_type", suffix.alias("suffix"))
 
 
 @registered("console_sink", "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type")

@@ -149,18 +149,16 @@ def _(spark, d):
 @registered("udaf_stream", f"""
     SELECT user_id, count(*) AS cnt, CAST(sum({K}) AS BIGINT) AS "sum" FROM events GROUP BY user_id""")
 def _(spark, d):
-    log = run_available(
-        stateful.user_aggregate(stream_table(spark, d, "events").withColumn("k", k()), ["user_id"], CountSum("k"), ["k"])
-    )
+    df = stream_table(spark, d, "events").withColumn("k", k())
+    log = run_available(stateful.user_aggregate(df, ["user_id"], CountSum("k"), ["k"]))
     sign = F.when(F.col("op").startswith("-"), -1).otherwise(1)
     return log.groupBy("user_id").agg(F.sum(sign * F.col("cnt")).alias("cnt"), F.sum(sign * F.col("sum")).alias("sum"))
 
 
 @registered("udtaf_stream", TOP2)
 def _(spark, d):
-    log = run_available(
-        stateful.user_aggregate(stream_table(spark, d, "events").withColumn("k", k()), ["event_type"], Largest("k"), ["k"])
-    )
+    df = stream_table(spark, d, "events").withColumn("k", k())
+    log = run_available(stateful.user_aggregate(df, ["event_type"], Largest("k"), ["k"]))
     # All input is one micro-batch, so nothing is taken back.
     return log.filter("op = '+I'").drop("op")
 

@@ -39,7 +39,9 @@ def keyed_sum_at_timers(
         ),
     )
     line = at.select(*keys, F.inline(steps))
-    summed = running_aggregates(line, keys, ["at", "is_timer"], {"__sum": ("sum", "v")}, chunks=chunks, small_keys=small_keys)
+    summed = running_aggregates(
+        line, keys, ["at", "is_timer"], {"__sum": ("sum", "v")}, chunks=chunks, small_keys=small_keys
+    )
     return summed.filter("is_timer = 1").select(
         *keys, F.col("at").alias(timer_as), F.col("__sum").alias(sum_as)
     )

@@ -8,11 +8,11 @@ import pytest
 from conftest import rows
 from fixtures import NEW, OLD, PAIRS, change
 from millrace.operators.cdc import cdc_unpack
-from millrace.operators.windows import tumbling_count
 from millrace.session import scratch_dir
-from millrace.sinks.writers import stream_row_files, stream_to, stream_to_console, write_row_files
+from millrace.sinks.writers import stream_row_files, stream_to_console, write_row_files
 from millrace.sources.endpoints import (
-    kafka_partition_sources, kafka_sink, kafka_source, read_strings, register_stream_table, stream_json_rows, stream_strings, text_files,
+    kafka_partition_sources, kafka_sink, kafka_source, read_strings, register_stream_table, stream_json_rows,
+    stream_strings, text_files,
 )
 from millrace.sources.memory import from_collection, replay
 from millrace.streaming.bounded import run_available

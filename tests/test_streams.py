@@ -54,7 +54,9 @@ def test_user_windows_on_a_stream(spark, folder):
     stream = timed(replay(spark, batches, ORDERED, f"{folder}/in"))
     out = run_to_end(
         stream, "ts", watermark_monotonous,
-        lambda e: stateful.window_process(e, ["name"], "ts", "5 milliseconds", CountSum("event_order"), ["event_order"]),
+        lambda e: stateful.window_process(
+            e, ["name"], "ts", "5 milliseconds", CountSum("event_order"), ["event_order"]
+        ),
     )
     sums = {("PayPal", 0): 4, ("MasterCard", 0): 6, ("PayPal", 5): 5, ("MasterCard", 5): 17, ("PayPal", 15): 15}
     assert rows(out) == expected([(*w, sums[w[0], w[1]]) for w in ACQUIRER_WINDOWS])
@@ -133,7 +135,7 @@ def test_timers_on_a_stream(spark, folder, spread):
         stream, "ts", watermark_bounded("1 hour"),
         lambda e: stateful.keyed_sum_at_timers(e, ["name"], "ts", "value", spread=spread),
     )
-    got = sorted((r.name, second(r.timer_ms), round(r["sum"], 1)) for r in out.select(F.col("name"), "timer_ms", "sum").collect())
+    got = sorted((r.name, second(r.timer_ms), round(r["sum"], 1)) for r in out.collect())
     assert got == sorted(
         [("PayPal", s, 163.3) for s in (2, 5, 6, 7)] + [("MasterCard", s, 102.5) for s in (3, 4, 5, 9)])
 
@@ -225,8 +227,8 @@ def test_limit_on_a_stream(spark, folder):
 def test_upserts(spark, folder):
     stream = replay(spark, [CALLS[:2], CALLS[2:]], COUNTRY, f"{folder}/in")
     counted = group_count_max(stream, ["country"], "id", F.col("tel"), "n", "most")
-    query = counted.writeStream.format("memory").queryName("upserts").outputMode("update").trigger(availableNow=True).start()
-    query.awaitTermination()
+    writer = counted.writeStream.format("memory").queryName("upserts").outputMode("update")
+    writer.trigger(availableNow=True).start().awaitTermination()
     assert rows(spark.table("upserts")) == expected([
         ("Germany", 1, 123), ("China", 1, 135), ("USA", 1, 124), ("China", 2, 135)])
 
