@@ -43,22 +43,24 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
     return tune(builder.getOrCreate())
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+def own_scratch(spark: SparkSession) -> SparkSession:
+    """Name a new temporary folder as scratch where the session names none.
 
-    A folder of this process's own is used only where the setting is absent
-    and the master is local; on a cluster a machine-local folder would not be
-    visible to the other executors, so a missing setting is an error there.
+    For entry points, tests and benchmarks on one machine. Operators never call
+    it: on a cluster the folder must be one that all executors can reach.
     """
-    context = spark.sparkContext
+    if not spark.conf.get(CHECKPOINT_CONF, None):
+        spark.conf.set(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="millrace-"))
+    return spark
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; an error if there is none."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
