@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import pii, quality, secrets
+from millrace.llm import minhash, pii, quality, secrets, sharding
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,15 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_size(table(spark, sf_dir, "documents"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op7_pii)
+    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op7_pii, op9_sharding, op10_minhash)
 }
 ORACLES: dict[str, str] = {}
