@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import minhash, pii, quality, secrets, sharding
+from millrace.llm import minhash, pii, quality, secrets, sharding, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_size(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,6 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op7_pii, op9_sharding, op10_minhash)
+    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op7_pii, op8_toxicity, op9_sharding, op10_minhash)
 }
 ORACLES: dict[str, str] = {}
