@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, minhash, pii, quality, secrets, sharding, toxicity
+from millrace.llm import decontaminate, minhash, pii, quality, secrets, sharding, suffixes, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,6 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op4_decontamination, op7_pii, op8_toxicity, op9_sharding, op10_minhash)
+    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op4_decontamination, op6_suffix_dedup, op7_pii, op8_toxicity, op9_sharding, op10_minhash)
 }
 ORACLES: dict[str, str] = {}
