@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     # Keep splitting skewed join keys even when a later operator could have
     # reused the join's partitioning: one more shuffle beats one huge task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Long texts travel to Python in batches of a few MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # State lives on local disk with snapshots in the checkpoint, so its size
     # is not bounded by executor heap.
     "spark.sql.streaming.stateStore.providerClass":
