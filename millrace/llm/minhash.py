@@ -7,10 +7,14 @@ minimum, packed in longs, and a candidate lives on if the similarity estimated
 from equal lanes, corrected for chance agreement, is not far below the
 threshold. What lives on is decided on the full sets.
 
-Within a band bucket every class is first compared with the smallest one: that
-links a large group of copies with one pair per member. Pairs of classes that
-are in one bucket but, after that, not in one component are all compared in a
-second round; pairs inside a component cannot change the result.
+A bucket of m classes is not compared pair by pair. Each class x is compared with
+the bucket's smallest, its pivot p, in full, which links a large group of
+copies with one pair per member. What else can be linked to an x that p is not
+linked to? With t = s (|x| + |y|) / (1 + s) the common elements a link at similarity s needs, a
+partner y of x either shares elements outside p with it, at least t - |x & p|, or is so
+small that t <= |x & p|. So partners are sought by the elements outside p, rarest
+first and no more of them than the count leaves open, and among the small; the
+estimate and the full sets decide. No link among the candidates is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stash
@@ -163,40 +167,80 @@ def near_duplicates(documents: DataFrame, percent: int = LINK_PERCENT) -> DataFr
         signed, "doc_id long, n_shingles long, set_hash binary, sig array<long>, bands array<long>"), "signatures")
     known = signs.filter("set_hash IS NOT NULL AND doc_id IS NOT NULL")
     classes = stash(known.groupBy("set_hash").agg(F.min("doc_id").alias("cid")), "classes")
-    reps = stash(known.join(classes, "set_hash").filter("doc_id = cid").select("cid", "sig", "bands"), "reps")
-    banded = reps.select("cid", "sig", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").count().filter("count > 1").select("band")
-    heads = stash(banded.join(shared, "band", "left_semi"), "bands")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) that the full sets link."""
-        pairs = stash(pairs.select("a", "b").distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        sets = stash(texts.join(wanted, "doc_id", "left_semi").mapInPandas(gathered, "cid long, items array<long>"),
-                     "sets")
-        left = sets.select(F.col("cid").alias("a"), F.col("items").alias("x"))
-        right = sets.select(F.col("cid").alias("b"), F.col("items").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        return stash(pairs.join(left, "a").join(right, "b").withColumn("both", both).filter(
-            100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b"), "links")
-
-    least = heads.groupBy("band").agg(F.min_by("sig", "cid").alias("sig_a"), F.min("cid").alias("a"))
-    first = confirmed(heads.join(least, "band").filter("a <> cid").filter(
-        estimate(F.col("sig_a"), F.col("sig")) >= LEAST_ESTIMATE).select("a", F.col("cid").alias("b")))
+    reps = stash(known.join(classes, "set_hash").filter("doc_id = cid").select(
+        "cid", "n_shingles", "sig", "bands").dropDuplicates(["cid", "n_shingles"]), "reps")
+    banded = reps.select("cid", F.explode("bands").alias("band"))
+    pivots = banded.groupBy("band").agg(F.min("cid").alias("p"), F.count("*").alias("n")).filter("n > 1")
+    stars = stash(banded.join(pivots, "band").filter("p <> cid").select("p", F.col("cid").alias("x")).distinct(), "stars")
+
+    def full_sets(ids: DataFrame) -> DataFrame:
+        return stash(texts.join(ids.distinct(), "doc_id", "left_semi").mapInPandas(
+            gathered, "cid long, items array<long>"), "sets")
+
+    def needed(size: Column) -> Column:
+        """Common elements that a link needs, of two sets with ``size`` elements together."""
+        return F.ceil(size * percent / (100 + percent))
+
+    sets = full_sets(stars.select(F.col("p").alias("doc_id")).union(stars.select("x")))
+    of_p = sets.select(F.col("cid").alias("p"), F.col("items").alias("items_p"))
+    of_x = sets.select(F.col("cid").alias("x"), F.col("items").alias("items_x"))
+    compared = stash(stars.join(of_p, "p").join(of_x, "x").select(
+        "p", "x", F.size("items_x").alias("nx"), F.size("items_p").alias("np"),
+        F.array_except("items_x", "items_p").alias("outside")).withColumn(
+        "both", F.col("nx") - F.size("outside")).withColumn(
+        "linked", F.col("both") >= needed(F.col("nx") + F.col("np"))), "compared")
+    first = compared.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
     roots = components(first)
 
-    marked = heads.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "root", F.coalesce("root", "cid"))
-    open_bands = marked.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    apart = stash(marked.join(open_bands.select("band"), "band", "left_semi"), "apart")
-    one, two = apart.alias("one"), apart.alias("two")
-    rest = one.join(two, (F.col("one.band") == F.col("two.band")) & (F.col("one.root") < F.col("two.root"))
-                    & (estimate(F.col("one.sig"), F.col("two.sig")) >= LEAST_ESTIMATE))
-    second = confirmed(rest.select(F.col("one.cid").alias("a"), F.col("two.cid").alias("b")))
-    roots = components(first.union(second))
+    links = first.union(_links_beside_pivots(compared, reps, roots, sets, percent, needed))
+    roots = components(links)
 
     out = (signs.join(classes, "set_hash", "left")
            .join(roots.withColumnRenamed("node", "cid"), "cid", "left"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "cid", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def _links_beside_pivots(compared: DataFrame, reps: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
+                         needed) -> DataFrame:
+    """Links (a, b) between classes of one bucket that no pivot has brought together."""
+    root = roots.withColumnRenamed("node", "x")
+    open_groups = compared.filter("NOT linked").select("p").distinct()
+    sizes = compared.groupBy("p").agg(F.min("nx").alias("least"))
+    rows = stash(compared.join(open_groups, "p", "left_semi").join(sizes, "p").join(root, "x", "left").withColumn(
+        "root", F.coalesce("root", "x")), "open")
+    # A partner has at least the share ``percent`` of x's elements, and no fewer than the group's smallest.
+    fewest = F.greatest(F.ceil(F.col("nx") * percent / 100), F.col("least"))
+    rows = rows.withColumn("wanted", F.greatest(needed(F.col("nx") + fewest) - F.col("both"), F.lit(1)))
+
+    each = rows.select("p", "x", "linked", "root", "wanted", F.explode("outside").alias("item"))
+    shared = each.groupBy("p", "item").agg(F.count("*").alias("often")).filter("often > 1")
+    each = stash(each.join(shared, ["p", "item"]), "outside")
+    counts = each.groupBy("p", "x").agg(F.count("*").alias("held"))
+    # Elements nobody else has come first in the order and cannot meet; of the others this many are enough.
+    rarest = Window.partitionBy("p", "x").orderBy("often", "item")
+    prefix = stash(each.join(counts, ["p", "x"]).filter("held >= wanted").withColumn("at", F.row_number().over(rarest))
+                   .filter("at <= held - wanted + 1").select("p", "item", "x", "linked", "root"), "prefix")
+    x = prefix.filter("NOT linked").drop("linked")
+    y = prefix.select("p", "item", F.col("x").alias("y"), F.col("root").alias("root_y"))
+    met = x.join(y, ["p", "item"]).filter("root <> root_y").select("x", "y").distinct()
+
+    most = F.floor(F.col("both") * (100 + percent) / percent - F.col("nx"))
+    low = rows.filter("NOT linked").withColumn("most", most).filter(F.col("most") >= fewest).select(
+        "p", "x", "most", "root")
+    bound = low.groupBy("p").agg(F.max("most").alias("bound"))
+    small = rows.join(bound, "p").filter("nx <= bound").select(
+        "p", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("root").alias("root_y"))
+    contained = low.join(small, "p").filter("ny <= most AND root <> root_y").select("x", "y")
+
+    sig_x = reps.select(F.col("cid").alias("x"), F.col("sig").alias("sig_x"))
+    sig_y = reps.select(F.col("cid").alias("y"), F.col("sig").alias("sig_y"))
+    pairs = met.union(contained).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    likely = stash(pairs.join(sig_x, "x").join(sig_y, "y").filter(
+        estimate(F.col("sig_x"), F.col("sig_y")) >= LEAST_ESTIMATE).select("x", "y"), "pairs")
+    of_x = sets.select(F.col("cid").alias("x"), F.col("items").alias("items_x"))
+    of_y = sets.select(F.col("cid").alias("y"), F.col("items").alias("items_y"))
+    return stash(likely.join(of_x, "x").join(of_y, "y").filter(
+        F.size(F.array_intersect("items_x", "items_y")) >= needed(F.size("items_x") + F.size("items_y"))).select(
+        F.col("x").alias("a"), F.col("y").alias("b")), "links")
