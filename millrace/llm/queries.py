@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, minhash, pii, quality, secrets, sharding, suffixes, toxicity
+from millrace.llm import bpe, decontaminate, minhash, pii, quality, secrets, sharding, suffixes, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def token_ranks() -> dict[bytes, int]:
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), token_ranks())
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(table(spark, sf_dir, "documents"))
 
@@ -45,6 +54,6 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op4_decontamination, op6_suffix_dedup, op7_pii, op8_toxicity, op9_sharding, op10_minhash)
+    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op4_decontamination, op5_byte_bpe, op6_suffix_dedup, op7_pii, op8_toxicity, op9_sharding, op10_minhash)
 }
 ORACLES: dict[str, str] = {}
