@@ -12,12 +12,11 @@ Decoding looks tokens up in a literal array and joins their bytes.
 from __future__ import annotations
 
 import base64
-import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import let, text_of
+from millrace.llm.common import let, literal, text_of
 
 #: Fixed by the tokenizer: the pattern that cuts text into pieces. White space is Unicode's.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+"
@@ -33,11 +32,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def literal(value: object, kind: str) -> Column:
-    """A constant too large to be built element by element; folded to a literal when the query is planned."""
-    return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), kind)
-
-
 def pieces_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 

@@ -21,12 +21,14 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, let, small_or_not, stash, text_of
+from millrace.llm.common import WORD, let, literal, small_or_not, stash, text_of
 
 WORDS = 5
 PERCENT = 80
 BITS, BLOCKS, RADIUS = 64, 8, 23
 WIDTH = BITS // BLOCKS
+#: Marks of a benchmark that may go into the plan as a literal, and slots of its hash table.
+IN_PLAN, SLOTS = 100_000, 1 << 16
 
 
 def words_of(text: Column) -> Column:
@@ -87,14 +89,44 @@ def starts(found: Column, size: Column, percent: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size(found) - k), around)))
 
 
-def windows_worth_a_look(texts: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """(text_key, size, start, w) with the marks and the fingerprint of each window that can be similar enough.
+def table_of(grams: DataFrame) -> Column:
+    """Literal hash table from a mark to the sizes of the items that have it."""
+    slots: list[list[dict]] = [[] for _ in range(SLOTS)]
+    for row in grams.groupBy("mark").agg(F.collect_set("size").alias("sizes")).collect():
+        slots[row["mark"] % SLOTS].append({"m": row["mark"], "s": row["sizes"]})
+    return literal(slots, "array<array<struct<m:bigint,s:array<int>>>>")
 
-    ``texts`` has doc_id, text_key, text; equal texts are looked at once.
-    """
-    grams = items.select("size", F.explode("marks").alias("mark")).distinct()
+
+def wanted_starts(marks: Column, table: Column, percent: int) -> Column:
+    """By item size the starts of the windows that can be similar enough: structs of size and at."""
+    def sizes_at(i: Column) -> Column:
+        return F.flatten(F.transform(F.filter(
+            F.get(table, F.pmod(F.get(marks, i), F.lit(SLOTS)).cast("int")), lambda e: e["m"] == F.get(marks, i)),
+            lambda e: e["s"]))
+
+    def by_size(hits: Column) -> Column:
+        sizes = F.array_distinct(F.flatten(F.transform(hits, lambda h: h["sizes"])))
+
+        def one(size: Column) -> Column:
+            found = F.transform(F.filter(hits, lambda h: F.array_contains(h["sizes"], size)), lambda h: h["pos"])
+            return let(found, lambda f: F.struct(size.alias("size"), F.when(
+                F.size(f) >= needed(size - (WORDS - 1), percent), starts(f, size, percent)).otherwise(
+                F.array().cast("array<int>")).alias("at")))
+
+        return F.transform(sizes, one)
+
+    # Most marks fall in empty slots; only the others are looked up.
+    places = F.filter(F.sequence(F.lit(0), F.size(marks) - 1), lambda i: F.size(
+        F.get(table, F.pmod(F.get(marks, i), F.lit(SLOTS)).cast("int"))) > 0)
+    hits = F.filter(F.transform(places, lambda i: F.struct(i.alias("pos"), sizes_at(i).alias("sizes"))),
+                    lambda h: F.size(h["sizes"]) > 0)
+    return F.when(F.size(marks) > 0, let(hits, by_size)).otherwise(F.array().cast("array<struct<size:int,at:array<int>>>"))
+
+
+def marked_by_join(texts: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """(text_key, marks, by) as from the literal table, by joins that shuffle marks and texts instead."""
     rows = texts.select("doc_id", "text_key", F.posexplode(let(words_of(text_of()), marks_of)).alias("pos", "mark"))
-    hits = rows.join(small_or_not(grams), "mark").groupBy("text_key", "size", "pos").agg(F.min("doc_id").alias("doc_id"))
+    hits = rows.join(grams, "mark").groupBy("text_key", "size", "pos").agg(F.min("doc_id").alias("doc_id"))
     dense = hits.groupBy("text_key", "size").agg(
         F.sort_array(F.collect_list("pos")).alias("found"), F.min("doc_id").alias("doc_id")).filter(
         F.size("found") >= needed(F.col("size") - (WORDS - 1), percent))
@@ -103,7 +135,24 @@ def windows_worth_a_look(texts: DataFrame, items: DataFrame, percent: int) -> Da
         F.min("doc_id").alias("of")), "wanted")
     bodies = texts.join(wanted.withColumnRenamed("text_key", "key"), (F.col("text_key") == F.col("key"))
                         & F.col("doc_id").eqNullSafe(F.col("of")))
-    marked = bodies.select("text_key", let(words_of(text_of()), marks_of).alias("marks"), F.explode("wanted").alias("by"))
+    return bodies.select("text_key", let(words_of(text_of()), marks_of).alias("marks"), F.explode("wanted").alias("by"))
+
+
+def windows_worth_a_look(texts: DataFrame, items: DataFrame, percent: int, in_plan: int = IN_PLAN) -> DataFrame:
+    """(text_key, size, start, w) with the marks and the fingerprint of each window that can be similar enough.
+
+    ``texts`` has text_key and text. Up to ``in_plan`` marks of the benchmark
+    go into the plan, and texts are searched where they are read; a larger
+    benchmark is joined.
+    """
+    grams = items.select("size", F.explode("marks").alias("mark")).distinct()
+    if grams.limit(in_plan + 1).count() <= in_plan:
+        table = table_of(grams)
+        found = texts.select("text_key", let(let(words_of(text_of()), marks_of), lambda m: F.struct(
+            m.alias("marks"), wanted_starts(m, table, percent).alias("wanted"))).alias("f"))
+        marked = found.select("text_key", "f.marks", F.explode("f.wanted").alias("by"))
+    else:
+        marked = marked_by_join(texts, grams, percent)
     placed = marked.select("text_key", "marks", F.col("by.size").alias("size"), F.explode("by.at").alias("start"))
     inside = placed.filter(F.col("start") + F.col("size") - (WORDS - 1) <= F.size("marks"))
     part = F.slice("marks", F.col("start") + 1, F.col("size") - (WORDS - 1))
@@ -152,7 +201,8 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, percent: int = PE
     """
     texts = keyed(documents.select("doc_id", "text"))
     n = F.col("n_words") - (WORDS - 1)
-    return texts.select("doc_id", "text_key").join(matches(texts, benchmark, percent), "text_key").select(
+    found = small_or_not(matches(texts, benchmark, percent))
+    return texts.select("doc_id", "text_key").join(found, "text_key").select(
         "doc_id", "item_id", F.col("start").cast("long").alias("start"), F.col("n_words").cast("long").alias("n_words"),
         F.col("shared").cast("long").alias("shared"), (F.col("shared") / (2 * n - F.col("shared"))).alias("similarity")
     ).distinct()
@@ -161,6 +211,7 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, percent: int = PE
 def without_benchmark(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of documents in which no item is found, all columns as they are."""
     found = matches(keyed(documents.select("doc_id", "text")), benchmark, percent).select("text_key").distinct()
+    found = small_or_not(found)
     key = "__text_key"
     kept = documents.withColumn(key, F.md5("text")).join(found.withColumnRenamed("text_key", key), key, "left_anti")
     return kept.select(*documents.columns)
