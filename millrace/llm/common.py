@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows a table may have for it to be broadcast by hand: a few MB of keys and numbers.
 BROADCAST_ROWS = 200_000
 
+MOST_BUCKETS = 50_000
+
 SPANS = "array<struct<start:int,end:int,hit:string>>"
 
 
@@ -31,6 +34,21 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stash_by(df: DataFrame, key: str, least: int, label: str) -> DataFrame:
+    """Like ``stash``, in buckets by ``key``, so that later joins and groupings by it need not shuffle these rows.
+
+    At least ``least`` buckets, and no fewer than there are shuffle partitions,
+    below which Spark would rather shuffle again.
+    """
+    spark = df.sparkSession
+    buckets = min(MOST_BUCKETS, max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", scratch_dir(spark, label)).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay; only the name goes
+    return out
+
+
 def literal(value: object, kind: str) -> Column:
     """A constant too large to be built element by element; folded to a literal when the query is planned."""
     return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), kind)

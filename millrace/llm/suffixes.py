@@ -35,9 +35,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stash
+from millrace.llm.common import stash, stash_by
 
-LENGTH, GRAM = 50, 24
+LENGTH, GRAM = 50, 16
 IN_WINDOW = LENGTH - GRAM + 1
 SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 20
 #: Text for which one more part is made.
@@ -55,7 +55,7 @@ M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays in one compressed piece of bytes."""
     raw = [a.tobytes() for a in arrays]
-    return zstandard.compress(struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw), 1)
+    return zstandard.compress(struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw), 3)
 
 
 def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
@@ -90,7 +90,7 @@ def stretches(body: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
         piece = body[a: a + CHUNK_BYTES + LENGTH - 1]
         grams = len(piece) - GRAM + 1
         w = words_at(piece)
-        gram = mixed(mixed(w[:grams] * M2) + mixed(w[8: 8 + grams] * M3) + mixed(w[16: 16 + grams] * M1))
+        gram = mixed(mixed(w[:grams] * M2) + mixed(w[8: 8 + grams] * M3))
         at = np.arange(grams, dtype="uint64")
         mask = np.uint64((1 << 22) - 1)
         least = (gram & ~mask) | (mask - at)  # of equal grams the last one
@@ -224,7 +224,7 @@ def pack(parts: int) -> object:
         ends = np.cumsum([len(t) for t in texts])
         body = np.frombuffer(b"".join(texts), "uint8")
         shard = uuid.uuid4().int >> 65
-        out = [(shard, None, packed(body, ids, ends))]
+        out = [(shard, None, packed(body, ids, ends), None)]
         low, _, gram = stretches(body, ends)
         owner = np.searchsorted(ends, low, side="right")
         code = codes(gram, parts)
@@ -238,9 +238,9 @@ def pack(parts: int) -> object:
         for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if a < b:
                 key = code[a:b] & KEY
-                out.append((shard, part, packed(key.astype("uint32"), (key >> 32).astype("uint8"),
-                                                count[a:b].astype("uint16"), many[a:b])))
-        return pd.DataFrame(out, columns=["shard", "part", "blob"]).astype({"part": "Int64"})
+                out.append((shard, part, None, packed(key.astype("uint32"), (key >> 32).astype("uint8"),
+                                                      count[a:b].astype("uint16"), many[a:b])))
+        return pd.DataFrame(out, columns=["shard", "part", "body", "blob"]).astype({"part": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, size = [], 0
@@ -293,7 +293,7 @@ def cut_out(parts: int) -> object:
         if not len(wanted) or not len(bodies):
             return pd.DataFrame({"shard": [], "part": [], "blob": []}).astype({"shard": "int64", "part": "int64"})
         shard = int(bodies["shard"].iloc[0])
-        body, ids, ends = unpacked(bodies["blob"].iloc[0], "uint8", "int64", "int64")
+        body, ids, ends = unpacked(bodies["body"].iloc[0], "uint8", "int64", "int64")
         lists = [unpacked(b, "int64", "bool") for b in wanted["blob"]]
         codes_in, hot_in = (np.concatenate(x) for x in zip(*lists))
         by = np.argsort(codes_in)
@@ -374,12 +374,12 @@ def answered(pdf: pd.DataFrame) -> pd.DataFrame:
 def finished(bodies: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
     """Every document of a shard without what smaller ids have."""
     out = []
-    for blob in bodies["blob"]:
-        body, ids, ends = unpacked(blob, "uint8", "int64", "int64")
+    for whole in bodies["body"]:
+        body, ids, ends = unpacked(whole, "uint8", "int64", "int64")
         gone = np.zeros(len(body) + 1, "int64")
         replies = {p: b for p, b in zip(told["part"], told["blob"]) if p >= 0}
-        for blob_ in told["blob"][told["part"] < 0]:
-            part, piece, low, size = (x.astype("int64") for x in unpacked(blob_, "uint32", "uint32", "uint32", "uint16"))
+        for blob in told["blob"][told["part"] < 0]:
+            part, piece, low, size = (x.astype("int64") for x in unpacked(blob, "uint32", "uint32", "uint32", "uint16"))
             by = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[by], np.arange(part.max() + 2)) if len(part) else [0]
             for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
@@ -418,9 +418,10 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // PART_BYTES))
     form = "shard long, part long, blob binary"
-    shards = stash(texts.mapInPandas(pack(parts), form), "shards")
-    bodies = shards.filter("part IS NULL").select("shard", "blob").groupBy("shard")
-    wanted = shards.filter("part IS NOT NULL").groupBy("part").applyInPandas(in_common, "shard long, blob binary")
+    shards = stash_by(texts.mapInPandas(pack(parts), "shard long, part long, body binary, blob binary"), "shard",
+                      -(-total // SHARD_BYTES), "shards")
+    bodies = shards.filter("body IS NOT NULL").select("shard", "body").groupBy("shard")
+    wanted = shards.filter("part IS NOT NULL").select("shard", "part", "blob").groupBy("part").applyInPandas(in_common, "shard long, blob binary")
     pieces = stash(bodies.cogroup(wanted.groupBy("shard")).applyInPandas(cut_out(parts), form), "pieces")
     replies = pieces.filter("part >= 0").groupBy("part").applyInPandas(answered, form)
     told = replies.union(pieces.filter("part < 0")).groupBy("shard")
