@@ -166,3 +166,13 @@ def digest(documents: DataFrame, ranks: dict[bytes, int], size: int = DICTIONARY
         F.sha2(F.array_join(x.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(decoded(x, vocabulary), 256).alias("decoded_sha256")))
     return documents.select("doc_id", out.alias("d")).select("doc_id", "d.*")
+
+
+def round_trip(documents: DataFrame, ranks: dict[bytes, int], text: str = "text", size: int = DICTIONARY) -> DataFrame:
+    """All columns plus ``n_tokens``, ``ids`` and ``same``: whether the ids decode to the text's bytes (null as empty)."""
+    ids, vocabulary = encoder(documents, ranks, text, size)
+    out = let(ids, lambda x: F.struct(
+        F.size(x).cast("long").alias("n_tokens"), x.alias("ids"),
+        (decoded(x, vocabulary) == text_of(text).cast("binary")).alias("same")))
+    kept = [c for c in documents.columns if c not in ("n_tokens", "ids", "same")]
+    return documents.select(*kept, out.alias("__out")).select(*kept, "__out.*")

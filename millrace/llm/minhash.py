@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stash
+from millrace.llm.common import small_or_not, stash
 
 WORDS = 5
 LINK_PERCENT = 85
@@ -202,6 +202,12 @@ def near_duplicates(documents: DataFrame, percent: int = LINK_PERCENT) -> DataFr
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def one_of_each(documents: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
+    """The rows of documents that ``near_duplicates`` keeps, all columns as they are."""
+    gone = near_duplicates(documents, percent).filter(~F.col("kept")).select("doc_id").distinct()
+    return documents.join(small_or_not(stash(gone, "gone")), "doc_id", "left_anti").select(*documents.columns)
+
+
 def _links_beside_pivots(compared: DataFrame, reps: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
                          needed) -> DataFrame:
     """Links (a, b) between classes of one bucket that no pivot has brought together."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontaminate, minhash, pii, quality, secrets, sharding, suffixes, toxicity
+from millrace.llm import bpe, decontaminate, minhash, pii, quality, secret_scan, sharding, suffixes, toxicity, urls
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +17,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secrets_digest(table(spark, sf_dir, "documents"))
+    return secret_scan.secrets_digest(table(spark, sf_dir, "documents"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +58,6 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op4_decontamination, op5_byte_bpe, op6_suffix_dedup, op7_pii, op8_toxicity, op9_sharding, op10_minhash)
+    f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_secret_scans, op4_decontamination, op5_byte_bpe, op6_suffix_dedup, op7_pii, op8_toxicity, op9_sharding, op10_minhash)
 }
 ORACLES: dict[str, str] = {}

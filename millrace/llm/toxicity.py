@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import small_or_not, stash
@@ -193,25 +193,23 @@ class Scorer:
     models: list[Model]
     weights: np.ndarray
 
-    def score(self, documents: DataFrame) -> DataFrame:
-        """All rows as doc_id, held_out, score, predicted; null and empty texts get the score of no words."""
-        context = documents.sparkSession.sparkContext
-        vocabulary, models = context.broadcast(self.vocabulary), context.broadcast(self.models[-1:])
+    def column(self, spark: SparkSession, text: str = "text") -> Column:
+        """The score of a text column; null and empty texts get the score of no words."""
+        vocabulary = spark.sparkContext.broadcast(self.vocabulary)
+        models = spark.sparkContext.broadcast(self.models[-1:])
         weights = self.weights
-        id_type = documents.schema["doc_id"].dataType.simpleString()
         run = measured(models, vocabulary, lambda pdf: np.zeros(len(pdf), int))
 
-        def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in run(batches):
+        @F.pandas_udf("double")
+        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for pdf in run(pd.DataFrame({"text": texts}) for texts in batches):
                 z = features(pdf["measure"].to_numpy(), pdf["n_words"].to_numpy()) @ weights
-                yield pdf[["doc_id"]].assign(score=1 / (1 + np.exp(-np.clip(z, -30, 30))))
+                yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-        out = documents.select("doc_id", "text").mapInPandas(scored, f"doc_id {id_type}, score double")
-        return out.select("doc_id", held_out("doc_id").alias("held_out"), "score",
-                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+        return score(text)
 
 
-def held_out(column: str):
+def held_out(column: str) -> Column:
     remainder = F.crc32(F.col(column).cast("string").cast("binary")) % FOLDS == HELD_OUT
     return F.coalesce(remainder, F.lit(False))
 
@@ -279,4 +277,13 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts are scored as texts without words; a null id is never
     held out. Repeated rows are scored alike. Other columns are ignored.
     """
-    return train(documents.sparkSession, documents, labels).score(documents)
+    scorer = train(documents.sparkSession, documents, labels)
+    scored = documents.select("doc_id", scorer.column(documents.sparkSession).alias("score"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of documents scored below the threshold, all columns as they are."""
+    scorer = train(documents.sparkSession, documents, labels)
+    return documents.filter(scorer.column(documents.sparkSession) < THRESHOLD)
