@@ -1,0 +1,86 @@
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    """Base measures by direct definition."""
+    words = WORD.findall(text or "")
+    windows = {}
+    for i in range(len(words) - 7):
+        windows.setdefault(tuple(words[i:i + 8]), []).append(i)
+    covered = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(8)}
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered), failed)
+
+
+COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def random_text(rng):
+    words = [rng.choice(["ab", "c#", "d|e", "ÄÖ", "\U0001F600x", "f"]) for _ in range(rng.randint(0, 60))]
+    return "".join(w + rng.choice([" ", "  ", "\n", "\t", "\n\n", "\x0b"]) for w in words)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_measures(spark, documents, seed):
+    rng = random.Random(seed)
+    texts = [random_text(rng) for _ in range(60)] + ["a b c d e f g h " * 3, None, "", "\n\n"]
+    docs = documents(enumerate(texts))
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in quality.judge_quality(docs, labels).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+
+
+def test_odd_rows(spark, odd):
+    labels = spark.createDataFrame([(3, 1), (3, 0), (None, 1), (4, None)], "doc_id long, quality int")
+    rows = quality.judge_quality(odd, labels).collect()
+    assert len(rows) == odd.count()
+    assert all(r["base_failed"] and not r["kept"] for r in rows if r["n_words"] < 20)
+    assert quality.judge_quality(odd.limit(0), labels).collect() == []
+
+
+@pytest.mark.parametrize(("k", "n", "p"), [(0, 10, 0.1), (3, 50, 0.1), (20, 1000, 0.03), (0, 5, 0.5)])
+def test_tail_is_exact(k, n, p):
+    assert quality.tail(k, n, p) == pytest.approx(sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))
+
+
+def test_large_counts():
+    n, k = 20_000, 150
+    exact = sum(math.comb(n, i) * 99 ** (n - i) for i in range(k + 1)) * 10**30 // 100**n / 10**30
+    assert quality.tail(k, n, 0.01) == pytest.approx(exact)
+    assert 1e-21 < quality.tail(4_980_000, 10**9, 0.005) < 1e-17  # nine deviations below the mean
+
+
+def test_cut_offs_stop_at_the_first_failure():
+    n = 20_000
+    counts = {("en", "symbols_per_word", c): (0 if c > 3 else 5_000 if c == 3 else 0, n) for c in quality.GRID["symbols_per_word"]}
+    cuts = quality.chosen(counts, 0.02, 0.05)
+    assert cuts == {("en", "symbols_per_word"): 4}
+    few = {k: (0, 30) for k in counts}
+    assert quality.chosen(few, 0.02, 0.05) == {}
+
+
+def test_rejects_junk_and_keeps_good(spark, documents):
+    rng = random.Random(1)
+
+    def text(junk):
+        return " ".join("w%d" % rng.randint(0, 10**6) + ("###" if junk else "") for _ in range(40))
+
+    pairs = [(i, text(i % 5 == 0)) for i in range(2500)]
+    docs = documents(pairs)
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i, _ in pairs], "doc_id long, quality int")
+    got = quality.judge_quality(docs, labels).groupBy((F.col("doc_id") % 5 == 0).alias("junk"), "kept").count()
+    assert {(r["junk"], r["kept"]): r["count"] for r in got.collect()} == {(True, False): 500, (False, True): 2000}
