@@ -1,7 +1,8 @@
 """Repeated passages across documents, by suffix arrays over shards of text.
 
 Which bytes of a document lie in a string of LENGTH bytes that also starts in a
-document with a smaller id? Four steps, each over whole shards of text:
+document with a smaller id? All of them, in an exact copy; copies are told by a
+hash first. For the others four steps, each over whole shards of text:
 
 1. Documents are packed into shards. Each string of LENGTH bytes has one anchor, the
    GRAM-byte piece inside it with the smallest hash; strings that follow each
@@ -35,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stash, stash_by
+from millrace.llm.common import small_or_not, stash, stash_by
 
 LENGTH, GRAM = 50, 16
 IN_WINDOW = LENGTH - GRAM + 1
@@ -45,7 +46,7 @@ PART_BYTES = 4 << 20
 #: Occurrences, added up over shards, from which an anchor is hot.
 HOT = 4096
 #: Stretches of so many bytes together get one suffix array.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Stands for a null id: larger than any, so that it never counts as smaller.
 NO_ID = np.iinfo("int64").max
 KEY = (1 << 40) - 1
@@ -335,10 +336,13 @@ def cut_out(parts: int) -> object:
 
 
 def answered(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For each shard's stretches in a part: the smallest id with each string, start by start."""
+    """For each shard's stretches in a part: how far below the shard's own smallest id the smallest of all is.
+
+    One number for a stretch whose strings have the same, else one for each string.
+    """
     known: dict[bytes, int] = {}
     least: list[int] = []
-    asked = []
+    asked, held = [], []
     for blob in pdf["blob"]:
         sizes, ids, text = unpacked(blob, "uint8", "int64", "uint8")
         text, end = text.tobytes(), np.cumsum(sizes, dtype="int64")
@@ -350,6 +354,7 @@ def answered(pdf: pd.DataFrame) -> pd.DataFrame:
             elif i < least[q]:
                 least[q] = i
         asked.append(mine)
+        held.append(ids)
     pieces = list(known)
     sizes = np.array([len(p) for p in pieces])
     cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES)) + 1
@@ -360,17 +365,31 @@ def answered(pdf: pd.DataFrame) -> pd.DataFrame:
     by_start = np.concatenate([best[np.searchsorted(strings, s)][number] for s, _, number in blocks])
     count = sizes - LENGTH + 1
     first = np.cumsum(count) - count
+    low, high = np.minimum.reduceat(by_start, first), np.maximum.reduceat(by_start, first)
     out = []
-    for shard, part, mine in zip(pdf["shard"], pdf["part"], asked):
-        n = count[mine]
-        at = np.repeat(first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        values = by_start[at]
-        fresh = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-        out.append((shard, part, packed(n.astype("uint16"), np.diff(np.append(fresh, len(values))).astype("uint32"),
-                                        values[fresh])))
+    for shard, part, mine, own in zip(pdf["shard"], pdf["part"], asked, held):
+        even = low[mine] == high[mine]
+        odd = mine[~even]
+        n = count[odd]
+        at = np.repeat(first[odd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out.append((shard, part, packed(even, (own - low[mine])[even], np.repeat(own[~even], n) - by_start[at])))
     return pd.DataFrame(out, columns=["shard", "part", "blob"])
 
 
+def smallest(reply: bytes, piece: np.ndarray, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From a reply and the occurrences it is for: the smallest id by string, and each stretch's first string."""
+    even, below, each = unpacked(reply, "bool", "int64", "int64")
+    count = np.zeros(len(even), "int64")
+    count[piece] = size
+    own = np.full(len(even), NO_ID)
+    np.minimum.at(own, piece, ids)
+    least = np.repeat(own, count)
+    whole = np.repeat(even, count)
+    least[whole] -= np.repeat(below, count[even])
+    least[~whole] -= each
+    return least, np.cumsum(count) - count
+
+
 def finished(bodies: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
     """Every document of a shard without what smaller ids have."""
     out = []
@@ -385,11 +404,9 @@ def finished(bodies: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
             for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if a == b:
                     continue
-                count, runs, values = unpacked(replies[p], "uint16", "uint32", "int64")
-                least = np.repeat(values, runs)
-                first = np.cumsum(count, dtype="int64") - count
                 mine = by[a:b]
                 n = size[mine]
+                least, first = smallest(replies[p], piece[mine], n, ids[np.searchsorted(ends, low[mine], side="right")])
                 step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 start = np.repeat(low[mine], n) + step
                 smaller = least[np.repeat(first[piece[mine]], n) + step] < ids[np.searchsorted(ends, start, side="right")]
@@ -414,19 +431,32 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     Texts shorter than LENGTH stay whole. An empty table gives no rows. Other
     columns are ignored. Ids must be below the largest long.
     """
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.substring(
+        F.sha2(F.col("text").cast("binary"), 256), 1, 32).alias("same"))
+    keys = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select("doc_id", "same")
+    firsts = keys.groupBy("same").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    copies = stash(keys.join(firsts, "same").filter("doc_id > first").select("doc_id", "same").distinct(), "copies")
+    copies = small_or_not(copies)
+
+    rest = texts.join(copies, ["doc_id", "same"], "left_anti").select("doc_id", "text")
+    n = F.octet_length("text").cast("long")
+    whole = texts.join(copies, ["doc_id", "same"], "left_semi").select(
+        "doc_id", n.alias("n_bytes"), n.alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+        F.lit("").cast("binary").alias("kept"))
+
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // PART_BYTES))
     form = "shard long, part long, blob binary"
-    shards = stash_by(texts.mapInPandas(pack(parts), "shard long, part long, body binary, blob binary"), "shard",
+    shards = stash_by(rest.mapInPandas(pack(parts), "shard long, part long, body binary, blob binary"), "shard",
                       -(-total // SHARD_BYTES), "shards")
     bodies = shards.filter("body IS NOT NULL").select("shard", "body").groupBy("shard")
-    wanted = shards.filter("part IS NOT NULL").select("shard", "part", "blob").groupBy("part").applyInPandas(in_common, "shard long, blob binary")
+    wanted = shards.filter("part IS NOT NULL").select("shard", "part", "blob").groupBy("part").applyInPandas(
+        in_common, "shard long, blob binary")
     pieces = stash(bodies.cogroup(wanted.groupBy("shard")).applyInPandas(cut_out(parts), form), "pieces")
     replies = pieces.filter("part >= 0").groupBy("part").applyInPandas(answered, form)
     told = replies.union(pieces.filter("part < 0")).groupBy("shard")
     return bodies.cogroup(told).applyInPandas(
-        finished, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+        finished, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").union(whole)
 
 
 def digest(documents: DataFrame) -> DataFrame:
