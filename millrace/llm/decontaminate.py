@@ -123,8 +123,8 @@ def wanted_starts(marks: Column, table: Column, percent: int) -> Column:
     return F.when(F.size(marks) > 0, let(hits, by_size)).otherwise(F.array().cast("array<struct<size:int,at:array<int>>>"))
 
 
-def marked_by_join(texts: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
-    """(text_key, marks, by) as from the literal table, by joins that shuffle marks and texts instead."""
+def by_join(texts: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """(text_key, v) with the wanted windows, by joins that shuffle marks and texts instead of a literal table."""
     rows = texts.select("doc_id", "text_key", F.posexplode(let(words_of(text_of()), marks_of)).alias("pos", "mark"))
     hits = rows.join(grams, "mark").groupBy("text_key", "size", "pos").agg(F.min("doc_id").alias("doc_id"))
     dense = hits.groupBy("text_key", "size").agg(
@@ -135,7 +135,20 @@ def marked_by_join(texts: DataFrame, grams: DataFrame, percent: int) -> DataFram
         F.min("doc_id").alias("of")), "wanted")
     bodies = texts.join(wanted.withColumnRenamed("text_key", "key"), (F.col("text_key") == F.col("key"))
                         & F.col("doc_id").eqNullSafe(F.col("of")))
-    return bodies.select("text_key", let(words_of(text_of()), marks_of).alias("marks"), F.explode("wanted").alias("by"))
+    return bodies.select("text_key", F.explode(
+        let(let(words_of(text_of()), marks_of), lambda m: cut(m, F.col("wanted")))).alias("v"))
+
+
+def cut(marks: Column, wanted: Column) -> Column:
+    """The marks of each wanted window that lies within the text: structs of size, start, marks."""
+    def one(by: Column, start: Column) -> Column:
+        return F.struct(by["size"].alias("size"), start.alias("start"),
+                        F.slice(marks, start + 1, by["size"] - (WORDS - 1)).alias("marks"))
+
+    def inside(by: Column) -> Column:
+        return F.filter(by["at"], lambda start: start + by["size"] - (WORDS - 1) <= F.size(marks))
+
+    return F.flatten(F.transform(wanted, lambda by: F.transform(inside(by), lambda start: one(by, start))))
 
 
 def windows_worth_a_look(texts: DataFrame, items: DataFrame, percent: int, in_plan: int = IN_PLAN) -> DataFrame:
@@ -148,16 +161,12 @@ def windows_worth_a_look(texts: DataFrame, items: DataFrame, percent: int, in_pl
     grams = items.select("size", F.explode("marks").alias("mark")).distinct()
     if grams.limit(in_plan + 1).count() <= in_plan:
         table = table_of(grams)
-        found = texts.select("text_key", let(let(words_of(text_of()), marks_of), lambda m: F.struct(
-            m.alias("marks"), wanted_starts(m, table, percent).alias("wanted"))).alias("f"))
-        marked = found.select("text_key", "f.marks", F.explode("f.wanted").alias("by"))
+        windows = texts.select("text_key", F.explode(let(
+            let(words_of(text_of()), marks_of), lambda m: cut(m, wanted_starts(m, table, percent)))).alias("v"))
     else:
-        marked = marked_by_join(texts, grams, percent)
-    placed = marked.select("text_key", "marks", F.col("by.size").alias("size"), F.explode("by.at").alias("start"))
-    inside = placed.filter(F.col("start") + F.col("size") - (WORDS - 1) <= F.size("marks"))
-    part = F.slice("marks", F.col("start") + 1, F.col("size") - (WORDS - 1))
-    return inside.select("text_key", "size", "start", let(part, lambda m: F.struct(
-        m.alias("marks"), simhash(m).alias("print"))).alias("w"))
+        windows = by_join(texts, grams, percent)
+    return windows.select("text_key", "v.size", "v.start", F.struct(
+        F.col("v.marks").alias("marks"), simhash(F.col("v.marks")).alias("print")).alias("w"))
 
 
 def matches(texts: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
@@ -165,10 +174,11 @@ def matches(texts: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
     items = benchmark.select("item_id", let(words_of(text_of()), lambda w: F.struct(
         F.size(w).alias("size"), marks_of(w).alias("marks"))).alias("i")).select("item_id", "i.*").filter(
         F.size("marks") > 0).distinct()
-    items = stash(items.withColumn("item_print", simhash(F.col("marks"))), "items")
-    blocks = items.select("item_id", "size", "item_print", F.posexplode(F.array(*[
+    items = stash(items.withColumn("item_print", simhash(F.col("marks"))).withColumn(
+        "item", F.monotonically_increasing_id()), "items")
+    blocks = items.select("item", "size", "item_print", F.posexplode(F.array(*[
         block(F.col("item_print"), i) for i in range(BLOCKS)])).alias("number", "own"))
-    index = stash(blocks.select("item_id", "size", "item_print", "number", F.explode(F.transform(
+    index = stash(blocks.select("item", "size", "item_print", "number", F.explode(F.transform(
         F.lit(list(flips(WIDTH, RADIUS // BLOCKS))), lambda m: m.bitwiseXOR(F.col("own")))).alias("value")), "index")
 
     prints = windows_worth_a_look(texts, items, percent).select("text_key", "size", "start", "w", F.posexplode(F.array(*[
@@ -177,11 +187,11 @@ def matches(texts: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
     # A pair may meet in several blocks; the first of them stands for all.
     first = F.coalesce(*[F.when(F.bit_count(block(apart, i)) <= RADIUS // BLOCKS, i) for i in range(BLOCKS)])
     near = prints.join(small_or_not(index), ["size", "number", "value"]).filter(
-        (F.bit_count(apart) <= RADIUS) & (first == F.col("number"))).select("text_key", "item_id", "start", "w.marks")
-    wholes = small_or_not(items.select("item_id", "size", F.col("marks").alias("item_marks")))
-    judged = near.join(wholes, "item_id").withColumn("shared", shared_weight(F.col("marks"), F.col("item_marks")))
+        (F.bit_count(apart) <= RADIUS) & (first == F.col("number"))).select("text_key", "item", "start", "w.marks")
+    wholes = small_or_not(items.select("item", "item_id", "size", F.col("marks").alias("item_marks")))
+    judged = near.join(wholes, "item").withColumn("shared", shared_weight(F.col("marks"), F.col("item_marks")))
     good = judged.filter(F.col("shared") >= needed(F.size("item_marks"), percent))
-    best = good.groupBy("text_key", "item_id").agg(F.max(F.struct("shared", -F.col("start"), "size")).alias("best"))
+    best = good.groupBy("text_key", "item", "item_id").agg(F.max(F.struct("shared", -F.col("start"), "size")).alias("best"))
     return stash(best.select("text_key", "item_id", (-F.col("best")["col2"]).alias("start"),
                              F.col("best.size").alias("n_words"), F.col("best.shared").alias("shared")), "matches")
 
@@ -197,7 +207,7 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, percent: int = PE
     the best; ``shared`` its common weight. Words are compared in lower case.
     Null or empty texts, and items of fewer than WORDS words, match nothing. Null
     ids are carried through; rows that repeat an id are searched each, and equal
-    results returned once. Empty tables give no rows. Other columns are ignored.
+    results returned once; so are rows that repeat an item's id. Empty tables give no rows. Other columns are ignored.
     """
     texts = keyed(documents.select("doc_id", "text"))
     n = F.col("n_words") - (WORDS - 1)
