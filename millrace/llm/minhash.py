@@ -174,7 +174,7 @@ def near_duplicates(documents: DataFrame, percent: int = LINK_PERCENT) -> DataFr
     stars = stash(banded.join(pivots, "band").filter("p <> cid").select("p", F.col("cid").alias("x")).distinct(), "stars")
 
     def full_sets(ids: DataFrame) -> DataFrame:
-        return stash(texts.join(ids.distinct(), "doc_id", "left_semi").mapInPandas(
+        return stash(texts.join(small_or_not(stash(ids.distinct(), "wanted")), "doc_id", "left_semi").mapInPandas(
             gathered, "cid long, items array<long>"), "sets")
 
     def needed(size: Column) -> Column:
