@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import bpe, decontaminate, minhash, pii, toxicity
 from millrace.llm.common import stash, table
-from millrace.llm.queries import token_ranks
+from millrace.llm.queries import tokenizer
 from millrace.session import tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -39,7 +39,7 @@ def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, and whether they decode to the text."""
     tune(spark)
-    return bpe.round_trip(docs.select("doc_id", "text", "lang", "source", "n_chars"), token_ranks()).drop("text")
+    return bpe.round_trip(docs.select("doc_id", "text", "lang", "source", "n_chars"), tokenizer()).drop("text")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -1,19 +1,24 @@
-"""Byte-level BPE with higher-order functions.
-
-Text is split by the tokenizer's pattern; each piece is encoded by itself, so
-frequent pieces are encoded once. Encoding folds merges over the piece's bytes:
-as long as a neighbouring pair is in the literal rank map, the pair of lowest
-rank, leftmost first, becomes one token. The DICTIONARY most frequent pieces of
-the corpus are folded first and become a literal too, which bounds its size;
-pieces outside it are folded where they occur, so the result does not depend on it.
-Decoding looks tokens up in a literal array and joins their bytes.
+"""Byte-level BPE: merges folded by higher-order functions, once for each frequent word.
+
+Text is split by the tokenizer's pattern and each piece is encoded by itself.
+The DICTIONARY most frequent distinct pieces of the corpus are encoded by Spark: a
+higher-order function folds merges over the piece's bytes, each time of the
+neighbouring pair of lowest rank, leftmost first, found in a literal rank map. The
+dictionary is bounded, so it can be sent to all tasks, which put a text's ids together from it.
+A piece outside it is merged in the task that meets it, by the same rule, and kept in a
+bounded cache; the result does not depend on what the dictionary holds.
+Decoding looks ids up and concatenates their bytes.
 """
 
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
+from hashlib import sha256
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import let, literal, text_of
@@ -21,158 +26,213 @@ from millrace.llm.common import let, literal, text_of
 #: Fixed by the tokenizer: the pattern that cuts text into pieces. White space is Unicode's.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+"
            r"|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+")
-DICTIONARY = 200_000
+DICTIONARY, CACHED = 100_000, 200_000
 SLOTS = 1 << 16
 NO_RANK = 2**31 - 1
-
-
-def read_ranks(path: str) -> dict[bytes, int]:
-    """Ranks by token, from a file of lines with a base64 token and its rank. Token ids are ranks below 65,536."""
-    with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-
-
-def pieces_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+Pairs = dict[tuple[int, int], int]
 
 
 class Vocabulary:
-    """The literal tables of one rank file."""
+    """Tokens by rank, ranks below 65,536, and the rank of each pair of tokens that make a token."""
 
-    def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
-        self.bytes = literal([ranks[bytes([b])] for b in range(256)], "array<int>")
-        pairs: list[list[int]] = [[] for _ in range(SLOTS)]
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.first = [ranks[bytes([b])] for b in range(256)]
+        self.pairs: Pairs = {}
         for token, rank in ranks.items():
             for i in range(1, len(token)):
                 a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
-                    pairs[(a * 40503 + b) % SLOTS].append((a << 16 | b) << 16 | rank)
-        self.pairs = literal(pairs, "array<array<bigint>>")
-        names = [""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            names[rank] = token.hex()
-        self.names = literal(names, "array<string>")
-        whole = [(t.decode(), r) for t, r in ranks.items() if _is_text(t)]
-        self.whole = slotted(spark.createDataFrame(whole, "piece string, id int").withColumn("ids", F.array("id")))
-
-
-def _is_text(token: bytes) -> bool:
-    try:
-        token.decode()
-    except UnicodeDecodeError:
-        return False
-    return True
+                    self.pairs[a, b] = rank
+        #: Whole pieces that are a token although merges of their bytes do not lead there.
+        self.unreached = {t: [r] for t, r in ranks.items() if merged(t, self.first, self.pairs) != [r]}
 
 
-def slotted(entries: DataFrame) -> Column:
-    """Literal hash table from piece to ids, of a DataFrame small enough for the driver."""
-    slots: list[list[dict]] = [[] for _ in range(SLOTS)]
-    for row in entries.select(slot_of(F.col("piece")).alias("slot"), "piece", "ids").collect():
-        slots[row["slot"]].append({"p": row["piece"], "i": row["ids"]})
-    return literal(slots, "array<array<struct<p:string,i:array<int>>>>")
-
-
-def slot_of(piece: Column) -> Column:
-    return F.pmod(F.xxhash64(piece), F.lit(SLOTS)).cast("int")
+def read_vocabulary(path: str) -> Vocabulary:
+    """From a file of lines with a base64 token and its rank."""
+    with open(path, "rb") as lines:
+        return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
+
+
+def merged(piece: bytes, first: list[int], pairs: Pairs) -> list[int]:
+    """Ids of a piece: the leftmost pair of the lowest rank merges, again and again."""
+    ids = [first[b] for b in piece]
+    ranks = [pairs.get(p, NO_RANK) for p in zip(ids, ids[1:])]
+    while ranks and (lowest := min(ranks)) < NO_RANK:
+        i = ranks.index(lowest)
+        while True:
+            ids[i:i + 2] = [lowest]
+            del ranks[i]
+            left = right = NO_RANK
+            if i:
+                left = ranks[i - 1] = pairs.get((ids[i - 1], lowest), NO_RANK)
+            if i < len(ranks):
+                right = ranks[i] = pairs.get((lowest, ids[i + 1]), NO_RANK)
+            # Unless the merge made a pair that comes first, go on to the next one of this rank.
+            if left <= lowest or right < lowest or lowest not in ranks:
+                break
+            i = ranks.index(lowest, i)
+    return ids
 
 
-def looked_up(table: Column, piece: Column, otherwise: Column) -> Column:
-    """The ids of a piece in a table, or else ``otherwise``."""
-    return let(F.filter(F.get(table, slot_of(piece)), lambda e: e["p"] == piece),
-               lambda found: F.when(F.size(found) > 0, F.get(found, F.lit(0))["i"]).otherwise(otherwise))
+def pieces_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
 def folded(piece: Column, vocabulary: Vocabulary) -> Column:
-    """Ids of a piece by folding merges over its bytes."""
-    def rank(a: Column, b: Column) -> Column:
-        pair = let((a.cast("long") * 65536 + b), lambda key: F.filter(
-            F.get(vocabulary.pairs, (a * 40503 + b) % SLOTS), lambda v: F.shiftright(v, 16) == key))
-        return F.coalesce(F.get(pair, F.lit(0)).bitwiseAND(F.lit(65535)).cast("int"), F.lit(NO_RANK))
+    """Ids of a piece by folding merges over its bytes, with the rank map as a literal hash table."""
+    slots: list[list[int]] = [[] for _ in range(SLOTS)]
+    for (a, b), rank_ in vocabulary.pairs.items():
+        slots[(a * 40503 + b) % SLOTS].append((a << 16 | b) << 16 | rank_)
+    table = literal(slots, "array<array<bigint>>")
+    bytes_ = literal(vocabulary.first, "array<int>")
 
     def digit(code: Column) -> Column:
         return F.when(code < 58, code - 48).otherwise(code - 55)
 
     def first_ids(text: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.char_length(text), F.lit(2)), lambda i: F.get(
-            vocabulary.bytes, digit(F.ascii(F.substring(text, i, F.lit(1)))) * 16
+            bytes_, digit(F.ascii(F.substring(text, i, F.lit(1)))) * 16
             + digit(F.ascii(F.substring(text, i + 1, F.lit(1))))))
 
-    def start(ids: Column) -> Column:
-        ranks = F.when(F.size(ids) > 1, F.transform(F.sequence(F.lit(0), F.size(ids) - 2), lambda i: rank(
-            F.get(ids, i), F.get(ids, i + 1)))).otherwise(F.array().cast("array<int>"))
-        return F.struct(ids.alias("ids"), ranks.alias("ranks"))
+    def with_table(ranks: Column) -> Column:
+        def rank(a: Column, b: Column) -> Column:
+            pair = let(a.cast("long") * 65536 + b, lambda key: F.filter(
+                F.get(ranks, (a * 40503 + b) % SLOTS), lambda v: F.shiftright(v, 16) == key))
+            return F.coalesce(F.get(pair, F.lit(0)).bitwiseAND(F.lit(65535)).cast("int"), F.lit(NO_RANK))
+
+        def start(ids: Column) -> Column:
+            pairs = F.transform(F.sequence(F.lit(0), F.size(ids) - 2), lambda i: rank(F.get(ids, i), F.get(ids, i + 1)))
+            return F.struct(ids.alias("ids"), F.when(F.size(ids) > 1, pairs).otherwise(
+                F.array().cast("array<int>")).alias("ranks"))
+
+        def merge(state: Column, _: Column) -> Column:
+            ids, known = state["ids"], state["ranks"]
 
-    def merge(state: Column, _: Column) -> Column:
-        ids, ranks = state["ids"], state["ranks"]
+            def at(k: Column, lowest: Column) -> Column:
+                n = F.size(ids)
+                none = F.array().cast("array<int>")
+                before = F.when(k > 1, F.array(rank(F.get(ids, k - 2), lowest))).otherwise(none)
+                after = F.when(k + 1 < n, F.array(rank(lowest, F.get(ids, k + 1)))).otherwise(none)
+                return F.struct(
+                    F.concat(F.slice(ids, F.lit(1), k - 1), F.array(lowest), F.slice(ids, k + 2, n)).alias("ids"),
+                    F.concat(F.slice(known, F.lit(1), F.greatest(k - 2, F.lit(0))), before, after,
+                             F.slice(known, k + 2, n)).alias("ranks"))
 
-        def at(k: Column, lowest: Column) -> Column:
-            n = F.size(ids)
-            none = F.array().cast("array<int>")
-            before = F.when(k > 1, F.array(rank(F.get(ids, k - 2), lowest))).otherwise(none)
-            after = F.when(k + 1 < n, F.array(rank(lowest, F.get(ids, k + 1)))).otherwise(none)
-            return F.struct(
-                F.concat(F.slice(ids, F.lit(1), k - 1), F.array(lowest), F.slice(ids, k + 2, n)).alias("ids"),
-                F.concat(F.slice(ranks, F.lit(1), F.greatest(k - 2, F.lit(0))), before, after,
-                         F.slice(ranks, k + 2, n)).alias("ranks"))
+            return let(F.array_min(known), lambda lowest: F.when(
+                F.coalesce(lowest, F.lit(NO_RANK)) < NO_RANK,
+                let(F.array_position(known, lowest).cast("int"), lambda k: at(k, lowest))).otherwise(state))
 
-        return let(F.array_min(ranks), lambda lowest: F.when(
-            F.coalesce(lowest, F.lit(NO_RANK)) < NO_RANK,
-            let(F.array_position(ranks, lowest).cast("int"), lambda k: at(k, lowest))).otherwise(state))
+        ids = let(F.hex(piece.cast("binary")), first_ids)
+        return let(ids, lambda x: F.aggregate(F.sequence(F.lit(1), F.size(x)), start(x), merge)["ids"])
 
-    ids = let(F.hex(piece.cast("binary")), first_ids)
-    return let(ids, lambda x: F.aggregate(F.sequence(F.lit(1), F.size(x)), start(x), merge)["ids"])
+    return let(table, with_table)
 
 
-def dictionary(pieces: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY) -> Column:
-    """Literal table of the ``size`` most frequent of all pieces (column ``piece``), ties by piece."""
+def dictionary(pieces: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY) -> dict[str, list[int]]:
+    """Ids of the ``size`` most frequent of all pieces (column ``piece``), ties by piece."""
     top = pieces.groupBy("piece").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "piece").limit(size)
-    spread = top.repartition("piece")
-    return slotted(spread.select("piece", looked_up(
-        vocabulary.whole, F.col("piece"), folded(F.col("piece"), vocabulary)).alias("ids")))
+    coded = top.select("piece").repartition("piece").select("piece", folded(F.col("piece"), vocabulary).alias("ids"))
+    known = {r["piece"]: r["ids"] for r in coded.toLocalIterator()}
+    return known | {p.decode(): ids for p, ids in vocabulary.unreached.items() if p.decode(errors="ignore").encode() == p}
+
+
+class Encoder:
+    """Gives each task's function from pieces to ids."""
+
+    def __init__(self, documents: DataFrame, vocabulary: Vocabulary, text: str, size: int):
+        pieces = documents.select(F.explode(pieces_of(text_of(text))).alias("piece"))
+        context = documents.sparkSession.sparkContext
+        self.sent = context.broadcast((dictionary(pieces, vocabulary, size), vocabulary.first, vocabulary.pairs,
+                                       vocabulary.tokens))
 
+    def function(self):
+        sent = self.sent
 
-def encoder(documents: DataFrame, ranks: dict[bytes, int], text: str = "text", size: int = DICTIONARY):
-    """The expression that turns a text column into token ids, and the tables it uses."""
-    vocabulary = Vocabulary(documents.sparkSession, ranks)
-    known = dictionary(documents.select(F.explode(pieces_of(text_of(text))).alias("piece")), vocabulary, size)
+        def start():
+            known, first, pairs, tokens = sent.value
+            others: dict[str, list[int]] = {}
 
-    def one(piece: Column) -> Column:
-        return looked_up(known, piece, looked_up(vocabulary.whole, piece, folded(piece, vocabulary)))
+            def ids_of(pieces: list[str]) -> list[int]:
+                out: list[int] = []
+                for p in pieces:
+                    ids = known.get(p)
+                    if ids is None:
+                        ids = others.get(p)
+                        if ids is None:
+                            if len(others) >= CACHED:
+                                others.clear()
+                            ids = others[p] = merged(p.encode(), first, pairs)
+                    out += ids
+                return out
 
-    return F.flatten(F.transform(pieces_of(text_of(text)), one)), vocabulary
+            return ids_of, tokens
+        return start
+
+
+def encoded(documents: DataFrame, vocabulary: Vocabulary, text: str, size: int) -> Column:
+    """Column of token ids."""
+    function = Encoder(documents, vocabulary, text, size).function()
+
+    @F.pandas_udf("array<int>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ids_of, _ = function()
+        for pieces in batches:
+            yield pd.Series([np.array(ids_of(p), "int32") for p in pieces])
+
+    return run(pieces_of(text_of(text)))
 
 
 def decoded(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The bytes of token ids, joined."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(vocabulary.names, i)), ""))
+    """The bytes of token ids, concatenated."""
+    names = literal([t.hex() for t in vocabulary.tokens], "array<string>")
+    return let(names, lambda table: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")))
 
 
-def encode(documents: DataFrame, ranks: dict[bytes, int], text: str = "text", size: int = DICTIONARY) -> DataFrame:
+def encode(documents: DataFrame, vocabulary: Vocabulary, text: str = "text", size: int = DICTIONARY) -> DataFrame:
     """All columns plus ``ids``, without special tokens. Null and empty texts have no ids; ``ids`` is replaced."""
-    ids, _ = encoder(documents, ranks, text, size)
-    return documents.withColumn("ids", ids)
+    return documents.withColumn("ids", encoded(documents, vocabulary, text, size))
 
 
-def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+def decode(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """All columns plus ``bytes``, of the column ``ids``; null ids give null, unknown ids nothing."""
-    return tokens.withColumn("bytes", decoded(F.col("ids"), Vocabulary(tokens.sparkSession, ranks)))
+    return tokens.withColumn("bytes", decoded(F.col("ids"), vocabulary))
 
 
-def digest(documents: DataFrame, ranks: dict[bytes, int], size: int = DICTIONARY) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    ids, vocabulary = encoder(documents, ranks, size=size)
-    out = let(ids, lambda x: F.struct(
-        F.size(x).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(x.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decoded(x, vocabulary), 256).alias("decoded_sha256")))
-    return documents.select("doc_id", out.alias("d")).select("doc_id", "d.*")
+def digest(documents: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY) -> DataFrame:
+    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, the last of the decoded ids."""
+    function = Encoder(documents, vocabulary, "text", size).function()
 
+    @F.pandas_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        ids_of, tokens = function()
+        for batch in batches:
+            rows = []
+            for pieces in batch:
+                ids = ids_of(pieces)
+                back = b"".join([tokens[i] for i in ids])
+                rows.append((len(ids), sha256(",".join(map(str, ids)).encode()).hexdigest(), sha256(back).hexdigest()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-def round_trip(documents: DataFrame, ranks: dict[bytes, int], text: str = "text", size: int = DICTIONARY) -> DataFrame:
+    return documents.select("doc_id", run(pieces_of(text_of())).alias("d")).select("doc_id", "d.*")
+
+
+def round_trip(documents: DataFrame, vocabulary: Vocabulary, text: str = "text", size: int = DICTIONARY) -> DataFrame:
     """All columns plus ``n_tokens``, ``ids`` and ``same``: whether the ids decode to the text's bytes (null as empty)."""
-    ids, vocabulary = encoder(documents, ranks, text, size)
-    out = let(ids, lambda x: F.struct(
-        F.size(x).cast("long").alias("n_tokens"), x.alias("ids"),
-        (decoded(x, vocabulary) == text_of(text).cast("binary")).alias("same")))
+    function = Encoder(documents, vocabulary, text, size).function()
+
+    @F.pandas_udf("struct<n_tokens:long,ids:array<int>,same:boolean>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        ids_of, tokens = function()
+        for texts, batch in batches:
+            rows = []
+            for whole, pieces in zip(texts, batch):
+                ids = ids_of(pieces)
+                rows.append((len(ids), np.array(ids, "int32"), b"".join([tokens[i] for i in ids]) == whole.encode()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids", "same"])
+
     kept = [c for c in documents.columns if c not in ("n_tokens", "ids", "same")]
-    return documents.select(*kept, out.alias("__out")).select(*kept, "__out.*")
+    out = documents.select(*kept, run(text_of(text), pieces_of(text_of(text))).alias("__out"))
+    return out.select(*kept, "__out.*")

@@ -29,12 +29,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def token_ranks() -> dict[bytes, int]:
-    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+def tokenizer() -> bpe.Vocabulary:
+    return bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digest(table(spark, sf_dir, "documents"), token_ranks())
+    return bpe.digest(table(spark, sf_dir, "documents"), tokenizer())
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
