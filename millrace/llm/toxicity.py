@@ -169,7 +169,7 @@ def measured(models, vocabulary, pick) -> object:
 
 def features(measure: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     size = np.log1p(n_words)
-    return np.stack([np.ones(len(measure)), measure, measure * np.sqrt(n_words), size], axis=1)
+    return np.stack([np.ones(len(measure)), measure, measure * np.sqrt(n_words), measure * size, size], axis=1)
 
 
 def curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -267,7 +267,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Score
         weights = curve(features(fit["measure"].to_numpy(), fit["n_words"].to_numpy()), y)
     else:
         share = (y.sum() + 0.5) / (len(y) + 1)
-        weights = np.array([np.log(share / (1 - share)), 0, 0, 0])
+        weights = np.array([np.log(share / (1 - share)), 0, 0, 0, 0])
     return Scorer(words, models, weights)
 
 

@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from llm_cases import ODD
+
 
 @pytest.fixture
 def documents(spark):
@@ -16,16 +18,7 @@ def documents(spark):
     return build
 
 
-#: Texts that every operator must take: null, empty, blank, short, odd characters, a tie and a very long one.
-ODD = [None, "", " \n\t ", "word", "two words", "naïve café \U0001F600 ﬁn", "a" * 5000, "x y " * 20000,
-       "the same text twice over and over again", "the same text twice over and over again", "tab\tvt\x0bff\x0cend"]
-
-
 @pytest.fixture
 def odd(documents):
     pairs = list(enumerate(ODD)) + [(None, "no id at all"), (3, "word"), (3, "another text with the id three")]
     return documents(pairs)
-
-
-def by_id(df, *columns):
-    return {r["doc_id"]: tuple(r[c] for c in columns) for r in df.collect()}

@@ -6,7 +6,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from conftest import by_id
+from llm_cases import by_id
 from millrace.llm import bpe
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

@@ -6,7 +6,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by_id
+from llm_cases import by_id
 from millrace.llm import minhash
 
 

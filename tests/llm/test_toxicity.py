@@ -1,0 +1,121 @@
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from llm_cases import by_id
+from millrace.llm import toxicity as t
+
+
+def corpus(seed, n=900):
+    """Toxic texts hold several words of a small list; long ordinary ones may hold one."""
+    rng = random.Random(seed)
+    bad = ["vile", "rotten", "foul", "nasty"]
+    rows = []
+    for i in range(n):
+        words = [f"w{min(int(rng.expovariate(0.02)), 400)}" for _ in range(rng.randint(10, 120))]
+        toxic = rng.random() < 0.25
+        for _ in range(rng.randint(3, 6) if toxic else int(rng.random() < 0.03)):
+            at = rng.randint(0, len(words))
+            words[at:at] = ["so", rng.choice(bad).upper() + "!"]
+        rows.append((i, " ".join(words), int(toxic)))
+    return rows
+
+
+def test_held_out_accuracy(spark, documents):
+    rows = corpus(1, 2500)
+    docs = documents([(i, x) for i, x, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = by_id(t.score_toxicity(docs, labels), "held_out", "score", "predicted")
+    out = [i for i, *_ in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert {i for i, v in got.items() if v[0]} == set(out)
+    truth = {i: y for i, _, y in rows}
+    assert all(0 <= s <= 1 and p == (s >= 0.7) for _, s, p in got.values())
+    hits = sum(got[i][2] == truth[i] for i in out)
+    assert hits / len(out) > 0.97
+    assert sum(got[i][2] for i in out if not truth[i]) <= 0.02 * len(out)
+    kept = t.without_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, v in got.items() if not v[2]}
+
+
+def test_labels_of_held_out_rows_have_no_effect(spark, documents):
+    rows = corpus(2, 300)
+    docs = documents([(i, x) for i, x, _ in rows])
+    other = [(i, 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y) for i, _, y in rows]
+    one = t.score_toxicity(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    two = t.score_toxicity(docs, spark.createDataFrame(other, "doc_id long, toxic int"))
+    assert by_id(one, "score") == by_id(two, "score")
+
+
+def test_model_against_plain_counts(spark, documents):
+    """Probabilities by the formulas, from counts made word by word."""
+    rows = [(i, x, y) for i, x, y in corpus(3, 600) if zlib.crc32(str(i).encode()) % 3 != 1]
+    scorer = t.train(spark, documents([(i, x) for i, x, _ in rows]),
+                     spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    seen = Counter(w for _, x, _ in rows for w in set(t.words_of(x)))
+    vocabulary = [w for w, n in seen.items() if n >= t.LEAST_SEEN]
+    assert set(scorer.vocabulary) == set(vocabulary)
+    pairs, words, docs = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}, Counter()
+    for _, x, y in rows:
+        docs[y] += 1
+        ids = [t.START] + [scorer.vocabulary.get(w, t.UNKNOWN) for w in t.words_of(x)]
+        pairs[y].update(set(zip(ids, ids[1:])))
+        words[y].update({i for i in ids[1:] if i > 1})
+
+    def beyond(a, b):
+        share, n = docs[1] / (docs[0] + docs[1]), a + b
+        return 2 * sum(c * math.log(c / e) for c, e in ((a, n * share), (b, n * (1 - share))) if c) >= t.BEYOND_CHANCE
+
+    size = len(vocabulary) + 2
+    shared = defaultdict(set)
+    for y in (0, 1):
+        for h, w in pairs[y]:
+            shared[w].add(h)
+    total = sum(map(len, shared.values())) + size
+    model = scorer.models[-1]
+
+    def p_word(y, w):
+        before = defaultdict(set)
+        for h, v in pairs[y]:
+            before[v].add(h)
+        n = len(pairs[y])
+        base = (len(shared[w]) + 1) / total
+        if not beyond(words[1][w], words[0][w]):
+            return base
+        return max(len(before[w]) - t.DISCOUNT, 0) / n + t.DISCOUNT * len(before) / n * base
+
+    for word in ("vile", "w0", "w5"):
+        i = scorer.vocabulary[word]
+        assert model["words"][i] == pytest.approx(math.log(p_word(1, i) / p_word(0, i)))
+    assert len(model["keys"]) and model["words"][scorer.vocabulary["foul"]] > 2
+    for key, entry in zip(model["keys"][:5], model["entries"][:5]):
+        h, w = int(key) >> 32, int(key) & 0xFFFFFFFF
+        assert beyond(pairs[1][h, w], pairs[0][h, w])
+        p = []
+        for y in (1, 0):
+            c = sum(n for (a, _), n in pairs[y].items() if a == h)
+            kinds = sum(a == h for a, _ in pairs[y])
+            left = t.DISCOUNT * kinds / c if c else 1
+            p.append(max(pairs[y][h, w] - t.DISCOUNT, 0) / max(c, 1) + left * p_word(y, w))
+        assert entry == pytest.approx(math.log(p[0] / p[1]))
+
+
+def test_odd_rows(spark, odd):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    some = spark.createDataFrame([(3, 1), (3, 0), (None, 1), (4, None), (8, 0), (99, 1)], "doc_id long, toxic int")
+    for labels in (none, some):
+        rows = t.score_toxicity(odd, labels).collect()
+        assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
+        assert not any(r["held_out"] for r in rows if r["doc_id"] is None)
+        assert t.score_toxicity(odd.limit(0), labels).collect() == []
+
+
+def test_curve():
+    rng = np.random.default_rng(0)
+    x = np.stack([np.ones(5000), rng.normal(size=5000)], axis=1)
+    y = (rng.random(5000) < 1 / (1 + np.exp(-(x @ [0.5, 2.0])))).astype(float)
+    assert t.curve(x, y) == pytest.approx([0.5, 2.0], abs=0.2)
