@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.inputs import ROW, change_events, events, events_with_k, k, mixed_strings, profiles
 from millrace.catalog.registry import registered
-from millrace.functions.jsons import json_parse, json_value, json_values
+from millrace.functions.jsons import json_parse, json_value, json_values, register_json_value
 from millrace.functions.scalars import (
     concat,
     equal,
@@ -82,9 +82,9 @@ def _(spark, d):
 
 
 @registered("add_columns", f"""
-    SELECT event_id AS id, event_type AS name, CAST({K} AS VARCHAR) AS tel, event_type AS country FROM events""")
+    SELECT event_id AS id, event_type AS kind, CAST({K} AS VARCHAR) AS score, user_id::VARCHAR AS member FROM events""")
 def _(spark, d):
-    paths = {"name": "$.name", "tel": "$.tel", "country": "$.addr.country"}
+    paths = {"kind": "$.kind", "score": "$.score", "member": "$.seen.user"}
     df = columns.add_columns(profiles(spark, d), json_values(F.col("data"), paths))
     return columns.drop_columns(df, "data")
 
@@ -179,14 +179,14 @@ def _(spark, d):
 
 
 @registered("sql_lateral_table", f"""
-    SELECT event_id AS id, event_type AS name, CAST({K} AS INTEGER) AS tel, event_type AS country FROM events""")
+    SELECT event_id AS id, event_type AS kind, CAST({K} AS INTEGER) AS score, user_id::VARCHAR AS member FROM events""")
 def _(spark, d):
     return sql_query(
         spark,
         """
-        SELECT id, t.name, t.tel, t.country
-        FROM {events}, LATERAL (SELECT j.name, j.tel, j.addr.country FROM (
-            SELECT from_json(data, 'name STRING, tel INT, addr STRUCT<country: STRING>') AS j)) AS t
+        SELECT id, t.kind, t.score, t.member
+        FROM {events}, LATERAL (SELECT j.kind, j.score, j.seen.user AS member FROM (
+            SELECT from_json(data, 'kind STRING, score INT, seen STRUCT<user: STRING>') AS j)) AS t
         """,
         events=profiles(spark, d),
     )
@@ -239,12 +239,27 @@ def _(spark, d):
 
 
 @registered("json_value", """
-    SELECT event_id AS id, user_id::VARCHAR AS city, NULL::VARCHAR AS addr, NULL::VARCHAR AS missing FROM events""")
+    SELECT event_id AS id, user_id::VARCHAR AS member, NULL::VARCHAR AS seen, NULL::VARCHAR AS missing FROM events""")
 def _(spark, d):
-    paths = {"city": "$.addr.city", "addr": "$.addr", "missing": "$.addr.street"}
+    paths = {"member": "$.seen.user", "seen": "$.seen", "missing": "$.seen.place"}
     return profiles(spark, d).select("id", *[c.alias(n) for n, c in json_values(F.col("data"), paths).items()])
 
 
+@registered("json_value_sql", """
+    SELECT event_id, CASE WHEN event_id % 4 = 0 THEN event_type WHEN event_id % 4 = 1 THEN user_id::VARCHAR END AS got
+    FROM events""")
+def _(spark, d):
+    # Text, a number, an object and text that is not JSON at the same path.
+    register_json_value(spark)
+    return sql_query(spark, """
+        SELECT event_id, json_value(CASE event_id % 4
+            WHEN 0 THEN to_json(named_struct('a', named_struct('b', event_type)))
+            WHEN 1 THEN to_json(named_struct('a', named_struct('b', user_id)))
+            WHEN 2 THEN to_json(named_struct('a', named_struct('b', array(event_type))))
+            ELSE '{{"a": {{"b": ' END, '$.a.b') AS got
+        FROM {events}""", events=events(spark, d))
+
+
 @registered("cast_types", f"""
     SELECT event_id, {K} AS k, CAST(event_id AS VARCHAR) AS id_text, epoch_us(CAST({ISO} AS TIMESTAMP)) AS micros
     FROM events""")
@@ -266,15 +281,16 @@ def _(spark, d):
 
 @registered("parse_iso_ts", "SELECT event_id AS id, epoch_ms(date_trunc('second', ts)) AS millis FROM events")
 def _(spark, d):
-    utc = json_value(F.col("data"), "$.transaction_creation_date.utc")
+    utc = json_value(F.col("data"), "$.seen.at")
     return profiles(spark, d).select("id", F.unix_millis(parse_iso_seconds(utc)).alias("millis"))
 
 
 @registered("json_parse", f"""
-    SELECT event_id AS id, event_type AS name, {K} AS tel, user_id::VARCHAR AS city FROM events""")
+    SELECT event_id AS id, event_type AS kind, {K} AS score, user_id::VARCHAR AS member FROM events""")
 def _(spark, d):
-    parsed = json_parse(F.col("data"), "name STRING, tel BIGINT, addr STRUCT<country: STRING, city: STRING>")
-    return profiles(spark, d).select("id", parsed.alias("j")).select("id", "j.name", "j.tel", "j.addr.city")
+    parsed = json_parse(F.col("data"), "kind STRING, score BIGINT, seen STRUCT<user: STRING, at: STRING>")
+    return profiles(spark, d).select("id", parsed.alias("j")).select(
+        "id", "j.kind", "j.score", F.col("j.seen.user").alias("member"))
 
 
 @registered("str_split", """
@@ -336,12 +352,13 @@ def _(spark, d):
 
 @registered("sql_tumble", MINUTE_COUNTS)
 def _(spark, d):
+    register_json_value(spark)
     return sql_query(
         spark,
         """
         SELECT unix_millis(window.start) AS window_start, unix_millis(window.end) AS window_end,
                count(*) AS event_count
-        FROM (SELECT CAST(get_json_object(data, '$.transaction_creation_date.utc') AS TIMESTAMP) AS utc FROM {events})
+        FROM (SELECT try_cast(json_value(data, '$.seen.at') AS TIMESTAMP) AS utc FROM {events})
         GROUP BY window(utc, '1 minute')
         """,
         events=profiles(spark, d),

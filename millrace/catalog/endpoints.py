@@ -10,6 +10,7 @@ from millrace.catalog.registry import registered
 from millrace.session import scratch_dir
 from millrace.sinks.writers import as_json_value, stream_row_files, stream_to_console
 from millrace.sources.endpoints import (
+    bad_events,
     read_strings,
     register_stream_table,
     stream_json_rows,
@@ -17,7 +18,7 @@ from millrace.sources.endpoints import (
 )
 from millrace.sources.tables import stream_table
 from millrace.streaming.bounded import run_available
-from millrace.streaming.jobs import forward, forward_valid, produce_json_rows
+from millrace.streaming.jobs import forward, forward_valid, outcome_files, produce_json_rows
 
 PROPS = "SELECT props AS value FROM events"
 MIXED = "CASE WHEN event_type = 'error' THEN left(props, length(props) - 1) ELSE props END"
@@ -38,11 +39,22 @@ def _(spark, d):
     return read_strings(spark, as_topic(_props(spark, d), "topic"))
 
 
-@registered("kafka_json_row_source", "SELECT CAST(event_id AS INTEGER) AS f0, event_type AS f1 FROM events")
+@registered("kafka_json_row_source", """
+    SELECT CAST(event_id AS INTEGER) AS f0, CASE WHEN event_id % 5 > 0 THEN event_type END AS f1, NULL::VARCHAR AS bad
+    FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT NULL, NULL, '{"f0":' || event_id || ',"f1"' FROM events WHERE event_type = 'error'""")
 def _(spark, d):
-    pairs = events(spark, d).select(F.col("event_id").alias("f0"), F.col("event_type").alias("f1"))
-    topic = as_topic(as_json_value(pairs), "topic")
-    return run_available(stream_json_rows(spark, topic, "f0 INT, f1 STRING"), "json-rows")
+    # Some fields are null; error events are cut short and go to dead letters.
+    kind = F.when(F.col("event_id") % 5 > 0, F.col("event_type"))
+    pairs = as_json_value(events(spark, d).filter("event_type <> 'error'").select(
+        F.col("event_id").alias("f0"), kind.alias("f1")))
+    cut = events(spark, d).filter("event_type = 'error'").select(
+        F.concat(F.lit('{"f0":'), "event_id", F.lit(',"f1"')).alias("value"))
+    topic = as_topic(pairs.union(cut), "topic")
+    rows = run_available(stream_json_rows(spark, topic, "f0 INT, f1 STRING", bad="drop"), "json-rows")
+    dead = run_available(bad_events(stream_strings(spark, topic), "f0 INT, f1 STRING"), "dead-letters")
+    return rows.withColumn("bad", F.lit(None).cast("string")).unionByName(
+        dead.select(F.lit(None).cast("int").alias("f0"), F.lit(None).cast("string").alias("f1"), F.col("value").alias("bad")))
 
 
 @registered("kafka_sql_table", f"SELECT {K} AS k FROM events")
@@ -61,20 +73,21 @@ def _(spark, d):
 
 @registered("kafka_validated_sink", f"SELECT {MIXED} AS value, event_type <> 'error' AS valid FROM events")
 def _(spark, d):
-    sent, dead = empty_topic(spark, "sent"), empty_topic(spark, "dead")
+    sent, dead = outcome_files(scratch_dir(spark, "outcomes"))
     source = as_topic(mixed_strings(spark, d), "topic")
     checkpoint = scratch_dir(spark, "checkpoint")
-    for query in forward_valid(spark, source, sent, dead, checkpoint, available_now=True, rewrite=True):
-        query.awaitTermination()
+    forward_valid(spark, source, sent, dead, checkpoint, available_now=True, rewrite=True).awaitTermination()
     good = read_strings(spark, sent).withColumn("valid", F.lit(True))
     return good.unionByName(read_strings(spark, dead).withColumn("valid", F.lit(False)))
 
 
 @registered("kafka_json_row_sink", """
-    SELECT '{"f0":' || event_id || ',"f1":"' || event_type || '"}' AS value FROM events""")
+    SELECT '{"f0":' || event_id || ',"f1":' || CASE WHEN event_type = 'error' THEN 'null' ELSE '"' || event_type || '"' END
+           || '}' AS value FROM events""")
 def _(spark, d):
     sent = empty_topic(spark, "sent")
-    pairs = stream_table(spark, d, "events").select(F.col("event_id").alias("f0"), F.col("event_type").alias("f1"))
+    kind = F.when(F.col("event_type") != "error", F.col("event_type"))
+    pairs = stream_table(spark, d, "events").select(F.col("event_id").alias("f0"), kind.alias("f1"))
     produce_json_rows(pairs, sent, scratch_dir(spark, "checkpoint"), available_now=True).awaitTermination()
     return read_strings(spark, sent)
 
@@ -89,14 +102,16 @@ def _(spark, d):
     return written.select("event_id", "event_type", suffix.alias("suffix"))
 
 
-@registered("console_sink", "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type")
+@registered("console_sink", "SELECT count(DISTINCT event_type) AS shown, count(*) AS taken FROM events")
 def _(spark, d):
     # The console collects what it shows, so it gets the small result only.
+    # What it was given is read from the query's own progress.
     counts = stream_table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("cnt"))
-    stream_to_console(
-        counts, scratch_dir(spark, "checkpoint"), available_now=True, mode="complete", rows=5
-    ).awaitTermination()
-    return events(spark, d).groupBy("event_type").agg(F.count("*").alias("cnt"))
+    query = stream_to_console(counts, scratch_dir(spark, "checkpoint"), available_now=True, mode="complete")
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p.numInputRows]
+    return spark.createDataFrame(
+        [(progress[-1].sink.numOutputRows, sum(p.numInputRows for p in progress))], "shown BIGINT, taken BIGINT")
 
 
 @registered("cdc_forward", CDC)

@@ -29,10 +29,9 @@ def events_with_k(spark: SparkSession, folder: str) -> DataFrame:
 def profiles(spark: SparkSession, folder: str) -> DataFrame:
     """(id, data): every event as nested JSON text."""
     data = F.struct(
-        F.col("event_type").alias("name"),
-        k().alias("tel"),
-        F.struct(F.col("event_type").alias("country"), F.col("user_id").cast("string").alias("city")).alias("addr"),
-        F.struct(F.date_format("ts", ISO_SECONDS).alias("utc")).alias("transaction_creation_date"),
+        F.col("event_type").alias("kind"),
+        k().alias("score"),
+        F.struct(F.col("user_id").cast("string").alias("user"), F.date_format("ts", ISO_SECONDS).alias("at")).alias("seen"),
     )
     return events(spark, folder).select(F.col("event_id").alias("id"), F.to_json(data).alias("data"))
 

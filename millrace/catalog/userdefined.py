@@ -19,52 +19,57 @@ from millrace.operators.userfunctions import map_rows, register_function
 from millrace.plans.inspect import sql_query
 
 
-def address(data: str) -> dict:
-    return json.loads(data)["addr"]
+def doubled_score(row: dict) -> tuple:
+    score = json.loads(row["data"]).get("score")
+    return row["id"], None if score is None else 2 * score
 
 
-def country_of(row: dict) -> tuple:
-    return row["id"], address(row["data"])["country"]
+def user_and_kind(key: int, data: str):
+    """A row for the user, and one for the kind of every third event."""
+    event = json.loads(data)
+    yield key, event["seen"]["user"]
+    if key % 3 == 0:
+        yield key, event["kind"]
 
 
-def city_of(key: int, data: str):
-    return [(key, address(data)["city"])]
+def flat_event(data: str):
+    event = json.loads(data)
+    return [(event["kind"], event.get("score"), event["seen"]["user"])]
 
 
-def profile_of(data: str):
-    profile = json.loads(data)
-    return [(profile["name"], profile["tel"], profile["addr"]["country"])]
+def letters(text: str):
+    """Each letter with how often the text has it."""
+    return sorted((c, text.count(c)) for c in set(text))
 
 
-def pieces(text: str):
-    return [(piece,) for piece in text.split("i")]
-
-
-@registered("udf_row_map", "SELECT event_id AS id, event_type AS country FROM events")
+@registered("udf_row_map", f"SELECT event_id AS id, 2 * CAST({K} AS BIGINT) AS doubled FROM events")
 def _(spark, d):
-    return map_rows(profiles(spark, d), country_of, ["id", "data"], "id BIGINT, country STRING")
+    return map_rows(profiles(spark, d), doubled_score, ["id", "data"], "id BIGINT, doubled BIGINT")
 
 
-@registered("udtf_flat_map", "SELECT event_id AS f0, user_id::VARCHAR AS f1 FROM events")
+@registered("udtf_flat_map", """
+    SELECT event_id AS f0, user_id::VARCHAR AS f1 FROM events
+    UNION ALL SELECT event_id, event_type FROM events WHERE event_id % 3 = 0""")
 def _(spark, d):
-    city = joins.table_function(city_of, "id BIGINT, city STRING")
-    return joins.flat_map(profiles(spark, d), city, "id", "data")
+    both = joins.table_function(user_and_kind, "id BIGINT, value STRING")
+    return joins.flat_map(profiles(spark, d), both, "id", "data")
 
 
 @registered("lateral_python_udtf", """
-    SELECT event_id, event_type, unnest(string_split(event_type, 'i')) AS a FROM events""")
+    SELECT event_id, event_type, a, CAST(length(event_type) - length(replace(event_type, a, '')) AS INTEGER) AS n
+    FROM (SELECT event_id, event_type, unnest(list_distinct(string_split(event_type, ''))) AS a FROM events)""")
 def _(spark, d):
-    split = joins.table_function(pieces, "a STRING")
-    return joins.join_lateral(events(spark, d).select("event_id", "event_type"), split, "event_type")
+    counted = joins.table_function(letters, "a STRING, n INT")
+    return joins.join_lateral(events(spark, d).select("event_id", "event_type"), counted, "event_type")
 
 
 @registered("register_udtf_sql", f"""
-    SELECT event_id AS id, event_type AS name, CAST({K} AS INTEGER) AS tel, event_type AS country FROM events""")
+    SELECT event_id AS id, event_type AS kind, CAST({K} AS INTEGER) AS score, user_id::VARCHAR AS member FROM events""")
 def _(spark, d):
-    joins.register_table_function(spark, "profile_of", profile_of, "name STRING, tel INT, country STRING")
+    joins.register_table_function(spark, "flat_event", flat_event, "kind STRING, score INT, member STRING")
     return sql_query(
         spark,
-        "SELECT e.id, t.name, t.tel, t.country FROM {events} AS e, LATERAL profile_of(e.data) AS t(name, tel, country)",
+        "SELECT e.id, t.kind, t.score, t.member FROM {events} AS e, LATERAL flat_event(e.data) AS t(kind, score, member)",
         events=profiles(spark, d),
     )
 
@@ -104,7 +109,7 @@ def _(spark, d):
 
 
 def created_at(data: Column) -> Column:
-    return parse_iso_seconds(json_value(data, "$.transaction_creation_date.utc"))
+    return parse_iso_seconds(json_value(data, "$.seen.at"))
 
 
 @registered("timestamp_assigner_fn", """

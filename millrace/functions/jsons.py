@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Strict JSON: Spark's reader is lenient about quotes and NaN unless told.
@@ -107,6 +107,19 @@ def json_value(text: Column, path: str) -> Column:
     return json_values(text, {"value": path})["value"]
 
 
+def register_json_value(spark: SparkSession, name: str = "json_value") -> None:
+    """Make a scalar at a path callable in SQL as ``json_value(text, '$.a.b')``.
+
+    NULL where the path is missing, holds null, an object or an array, or
+    where the text is not JSON.
+    """
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(json_text STRING, json_path STRING) RETURNS STRING RETURN
+        CASE WHEN schema_of_variant(try_variant_get(try_parse_json(json_text), json_path, 'variant'))
+                  RLIKE '^(ARRAY|OBJECT|VOID)' THEN NULL
+             ELSE try_variant_get(try_parse_json(json_text), json_path, 'string') END""")
+
+
 def json_parse(text: Column, schema: str) -> Column:
     """The whole event as a typed struct; NULL fields where it does not parse."""
     return F.from_json(text, schema, STRICT)

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import json_parse
+from millrace.functions.jsons import is_json, json_parse
 from millrace.schemas import CUSTOMER_ROW, cdc_envelope
 
 
 def cdc_unpack(
     df: DataFrame, column: str = "value", row_schema: str = CUSTOMER_ROW, key: str = "id"
 ) -> DataFrame:
-    """One flat row per change event.
+    """One flat row per change event; tombstones, with a NULL value, are left out, and so are bad events.
 
     ``before_*`` and ``after_*`` hold the row images, ``key`` comes from
     whichever image is there, and ``changed`` names the fields that differ
@@ -21,7 +21,8 @@ def cdc_unpack(
     """
     fields = T.DataType.fromDDL(row_schema).names
     e = F.col("e")
-    parsed = df.select(json_parse(F.col(column), cdc_envelope(row_schema)).alias("e"))
+    parsed = df.filter(_is_change(F.col(column), row_schema)).select(
+        json_parse(F.col(column), cdc_envelope(row_schema)).alias("e"))
     before, after = e.getField("before"), e.getField("after")
 
     def differs(name: str) -> Column:
@@ -37,3 +38,15 @@ def cdc_unpack(
         *[after.getField(n).alias(f"after_{n}") for n in fields],
         F.array_compact(F.array(*[differs(n) for n in fields])).alias("changed"),
     )
+
+
+def cdc_dead_letters(df: DataFrame, column: str = "value", row_schema: str = CUSTOMER_ROW) -> DataFrame:
+    """Events that are neither a tombstone nor a change event, as they came."""
+    return df.filter(F.col(column).isNotNull() & ~_is_change(F.col(column), row_schema))
+
+
+def _is_change(text: Column, row_schema: str) -> Column:
+    """Valid JSON with an operation and at least one row image."""
+    e = json_parse(text, cdc_envelope(row_schema))
+    image = e.getField("before").isNotNull() | e.getField("after").isNotNull()
+    return F.coalesce(is_json(text) & e.getField("op").isNotNull() & image, F.lit(False))

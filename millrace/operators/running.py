@@ -1,10 +1,10 @@
 """Running aggregates per key that do not need a key to fit in one task.
 
-A plain window over ``PARTITION BY key`` sorts all rows of a key in one task.
-That is the cheapest way as long as the largest key is small, which is counted
-first. Otherwise rows are range-partitioned by key and order, so a large key
-is cut into many chunks of even size. Every chunk is scanned on its own, and
-what the earlier chunks of the same key add up to is carried in.
+Rows are range-partitioned by key and order, so a large key is cut into many
+chunks of even size. Every chunk is scanned on its own, and what the earlier
+chunks of the same key add up to is carried in. A plain window over ``PARTITION
+BY key``, which sorts all rows of a key in one task, is there for callers who
+know that their keys are small.
 """
 
 from __future__ import annotations
@@ -15,10 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import cut_lineage
-
-# Rows of one key that a single task may sort.
-ROWS_PER_TASK = 2_000_000
+from millrace.session import scratch_dir
 
 _CHUNK = "__chunk"
 
@@ -33,15 +30,6 @@ def _combine(kind: str, earlier: Column, later: Column) -> Column:
     return F.when(earlier.isNull(), later).when(later.isNull(), earlier).otherwise(earlier + later)
 
 
-def fits_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether every key has few enough rows for a plain window.
-
-    Reads the key columns alone and sends one count per key and task.
-    """
-    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    return (largest or 0) <= ROWS_PER_TASK
-
-
 def running_aggregates(
     df: DataFrame,
     keys: Sequence[str],
@@ -49,7 +37,7 @@ def running_aggregates(
     aggregates: Mapping[str, tuple[str, str]],
     previous: Mapping[str, str] | None = None,
     chunks: int | None = None,
-    small_keys: bool | None = None,
+    plain: bool = False,
 ) -> DataFrame:
     """Add, to every row, aggregates over the rows of its key up to it.
 
@@ -57,11 +45,11 @@ def running_aggregates(
     ``min``, column). ``previous`` maps a new column to one of those names and
     gives its value before the row. ``order_by`` must be unique within a key.
 
-    ``small_keys`` tells whether all keys fit one task, which is otherwise
-    counted. ``chunks`` asks for a cut into about so many.
+    ``chunks`` asks for a cut into about so many. ``plain`` asks for one window
+    per key instead, for keys that each fit one task.
     """
     previous = dict(previous or {})
-    if chunks is None and (fits_one_task(df, keys) if small_keys is None else small_keys):
+    if plain:
         return df.select("*", *_scan(keys, order_by, aggregates, previous))
     return _in_chunks(df, keys, order_by, aggregates, previous, chunks)
 
@@ -90,11 +78,13 @@ def _in_chunks(
     previous: Mapping[str, str],
     chunks: int | None,
 ) -> DataFrame:
-    # Written out once with a reliable checkpoint: the row and the carry side
-    # then see the same cut even if executors are lost.
+    # Written out once: the row and the carry side then see the same cut even
+    # if executors are lost, and the carry side reads only what it adds up.
     spread = [*keys, *order_by]
     cut = df.repartitionByRange(chunks, *spread) if chunks else df.repartitionByRange(*spread)
-    cut = cut_lineage(df.sparkSession, cut.withColumn(_CHUNK, F.spark_partition_id()))
+    path = scratch_dir(df.sparkSession, "chunks")
+    cut.withColumn(_CHUNK, F.spark_partition_id()).write.parquet(path)
+    cut = df.sparkSession.read.schema(cut.withColumn(_CHUNK, F.lit(0)).schema).parquet(path)
 
     # One row per key and chunk. Only keys spanning chunks need a carry; a cut
     # crosses one key at most, so there are less than twice as many such rows

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.running import fits_one_task, running_aggregates
+from millrace.operators.running import running_aggregates
 
 
 def keyed_sum_at_timers(
@@ -23,12 +23,10 @@ def keyed_sum_at_timers(
     """For every key and distinct time t: the sum over rows up to t + delay.
 
     Rows and timers are put on one time line per key, rows before timers of
-    the same instant, and the running sum is read at the timers. Rows of one
+    the same instant, and the running sum is read at the timers. A row without
+    a time comes before all others and has no timer. Rows of one
     key and instant are added up first, in the tasks that read them.
     """
-    # Counted on the rows as read, so the sums below are not made twice. Every
-    # row gives at most one row and one timer on the line.
-    small_keys = None if chunks else fits_one_task(df, keys)
     at = df.groupBy(*keys, time).agg(F.sum(value).alias("__v"))
     steps = F.array(
         F.struct(F.col(time).alias("at"), F.lit(0).alias("is_timer"), F.col("__v").alias("v")),
@@ -39,9 +37,7 @@ def keyed_sum_at_timers(
         ),
     )
     line = at.select(*keys, F.inline(steps))
-    summed = running_aggregates(
-        line, keys, ["at", "is_timer"], {"__sum": ("sum", "v")}, chunks=chunks, small_keys=small_keys
-    )
-    return summed.filter("is_timer = 1").select(
+    summed = running_aggregates(line, keys, ["at", "is_timer"], {"__sum": ("sum", "v")}, chunks=chunks)
+    return summed.filter("is_timer = 1 AND at IS NOT NULL").select(
         *keys, F.col("at").alias(timer_as), F.col("__sum").alias(sum_as)
     )

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from operator import add, attrgetter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -69,6 +69,27 @@ def _batches(rows: Iterable[list], schema: pa.Schema) -> Iterator[pa.RecordBatch
         yield build()
 
 
+def comparable(key: Column, kind: T.DataType) -> Column:
+    """The key with one zero and one NaN, also inside structs and arrays, as grouping in Spark has it."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(F.isnan(key), F.lit(float("nan"))).otherwise(key + F.lit(0.0)).cast(kind)
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[comparable(key.getField(f.name), f.dataType).alias(f.name) for f in kind])
+        return F.when(key.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(key, lambda x: comparable(x, kind.elementType))
+    return key
+
+
+def frozen(key):
+    """A hashable form of a key, in which NaN equals itself."""
+    if isinstance(key, dict):
+        return tuple((k, frozen(v)) for k, v in key.items())
+    if isinstance(key, (list, tuple)):
+        return tuple(map(frozen, key))
+    return "NaN" if isinstance(key, float) and key != key else key
+
+
 def state_codec(state_type: T.DataType):
     """State lists to and from their column form."""
     if isinstance(state_type, T.StructType):
@@ -83,7 +104,8 @@ def partial_aggregate(
     """First phase: keys and a ``state`` column, a key at most once per flush of a task."""
     if not keys:
         raise ValueError("name at least one key column")
-    wanted = df.select(*keys, *inputs, *([op] if op else []))
+    same = [comparable(F.col(k), df.schema[k].dataType).alias(k) for k in keys]
+    wanted = df.select(*same, *inputs, *([op] if op else []))
     state_type = T.DataType.fromDDL(fn.state_type)
     schema = T.StructType([*[wanted.schema[k] for k in keys], T.StructField("state", state_type)])
     arrow = to_arrow_schema(schema)
@@ -93,21 +115,21 @@ def partial_aggregate(
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def partials():
-            held: dict[tuple, list] = {}
+            held: dict[tuple, tuple[tuple, list]] = {}
             for batch in batches:
                 columns = [c.to_pylist() for c in batch.columns]
                 ops = columns[n + m] if op else None
                 key_rows = list(zip(*columns[:n]))
                 rows = zip(*columns[n:n + m]) if m else [()] * len(key_rows)
                 for i, (key, row) in enumerate(zip(key_rows, rows)):
-                    state = held.get(key)
-                    if state is None:
-                        state = held[key] = fn.zero()
-                    fn.step(state, Input._make(row), -1 if ops and ops[i].startswith("-") else 1)
+                    entry = held.get(frozen(key))
+                    if entry is None:
+                        entry = held[frozen(key)] = key, fn.zero()
+                    fn.step(entry[1], Input._make(row), -1 if ops and ops[i].startswith("-") else 1)
                 if len(held) > KEYS_IN_MEMORY:
-                    yield from ([*k, pack(s)] for k, s in held.items())
+                    yield from ([*k, pack(s)] for k, s in held.values())
                     held = {}
-            yield from ([*k, pack(s)] for k, s in held.items())
+            yield from ([*k, pack(s)] for k, s in held.values())
 
         yield from _batches(partials(), arrow)
 
@@ -132,7 +154,7 @@ def aggregate(
             current, state = None, None
             for batch in batches:
                 for *key, stored in zip(*[c.to_pylist() for c in batch.columns]):
-                    if key != current:
+                    if current is None or frozen(key) != frozen(current):
                         if current is not None:
                             yield from ([*current, *r] for r in fn.rows(tuple(current), state))
                         current, state = key, fn.zero()

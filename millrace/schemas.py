@@ -8,48 +8,6 @@ CDC_SOURCE = (
 )
 CUSTOMER_ROW = "id BIGINT, first_name STRING, last_name STRING, email STRING"
 
-_MONEY = "STRUCT<currency_code: STRING, currency_exponent: INT, value: BIGINT>"
-_WHEN = "STRUCT<local: STRING, local_timezone: STRING, utc: STRING>"
-_EMPTY = "MAP<STRING, STRING>"
-_ANSWER = f"approval_code: STRING, response_code: STRING, response_text: STRING, response_date: {_WHEN}"
-
-AUTH_EVENT = ", ".join([
-    "system_id STRING, source_system STRING, acceptance_source_system STRING, type STRING, entry_type STRING",
-    "payment_reference_id STRING, original_payment_reference_id STRING, merchant_payment_reference STRING",
-    "acquirer_name STRING, processor_name STRING, stan_number STRING",
-    f"transaction_creation_date {_WHEN}",
-    "requester STRUCT<origin_ip: STRING, origin_platform: STRING, origin_country_code: STRING, "
-    "username: STRING, fingerprint: STRING>",
-    "merchant STRUCT<id: STRING, system_id: STRING, external_id: STRING, scheme_merchant_id: STRING, "
-    "acquirer_id: STRING, terminal_id: STRING, market_category_code: STRING>",
-    f"market_data {_EMPTY}",
-    "channel STRUCT<type: STRING, payment_site_id: STRING, terminal_id: STRING, info: STRUCT<"
-    "pos_entry_mode: STRING, pos_capability: STRING, pos_environment: STRING, pos_condition_code: STRING, "
-    "pos_condition_description: STRING, pos_processing_code: STRING, card_holder_verification_method: STRING>>",
-    "currency_conversion STRUCT<type: STRING, is_eligible: BOOLEAN, is_accepted: BOOLEAN, "
-    "exchange_rate: DOUBLE, markup: DOUBLE>",
-    f"amounts STRUCT<requested: {_MONEY}, authorized: {_MONEY}, tip: {_MONEY}, donation: {_MONEY}, vat: {_MONEY}>",
-    "payment_method STRUCT<type: STRING, card_type: STRING, scheme_id: STRING, scheme_name: STRING, "
-    "currency_code: STRING, masked_number: STRING, bin_number: STRING, last4_number: STRING, "
-    "issuer: STRUCT<name: STRING, country_code: STRING>, token: STRUCT<value: STRING, provider: STRING>, "
-    "read_method: STRING, cardholder_verification_method: STRING, "
-    "three_ds: STRUCT<used: BOOLEAN, is_frictionless: BOOLEAN, acs_url: STRING, authentication_type: STRING, "
-    "transaction_id: STRING, message_version: STRING, authentication_response: STRING, result_reason: STRING, "
-    "exemption_type: STRING>, "
-    "sca: STRUCT<transaction_reference: STRING, transaction_initiator: STRING, card_on_file_indicator: STRING, "
-    "exemption_indicator: STRING, mit_type: STRING>, "
-    "emv: STRUCT<application_id: STRING, cryptogram: STRING, cryptogram_type: STRING, "
-    "unpredictable_number: STRING, transaction_status_info: STRING>, "
-    "avs: STRUCT<response_code: STRING, partner_response_code: STRING>, "
-    "cvv: STRUCT<response_code: STRING, partner_response_code: STRING>>",
-    f"metadata STRUCT<merchant: {_EMPTY}, user: {_EMPTY}>",
-    f"scheme_response STRUCT<reference_id: STRING, {_ANSWER}>",
-    f"acquirer_response STRUCT<retrieval_reference_number: STRING, action_code: STRING, {_ANSWER}>",
-    f"gateway_response STRUCT<{_ANSWER}>",
-    "receipt STRUCT<link: STRING>",
-    f"event {_EMPTY}",
-])
-
 
 def cdc_envelope(row: str = CUSTOMER_ROW) -> str:
     """Change envelope around a row schema given as DDL."""

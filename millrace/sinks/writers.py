@@ -10,8 +10,8 @@ from millrace.sources.endpoints import Endpoint
 
 
 def as_json_value(df: DataFrame) -> DataFrame:
-    """Serialise each row as a JSON object in a single ``value`` column."""
-    return df.select(F.to_json(F.struct("*")).alias("value"))
+    """Serialise each row as a JSON object in a single ``value`` column; NULL fields stay, as null."""
+    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def _stream_writer(df: DataFrame, checkpoint: str, available_now: bool, mode: str):

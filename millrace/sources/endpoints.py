@@ -12,10 +12,12 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.jsons import STRICT
+
 
 @dataclass(frozen=True)
 class Endpoint:
@@ -90,20 +92,51 @@ def stream_strings(spark: SparkSession, source: Endpoint, also: Sequence[str] =
     return _as_strings(spark.readStream.format(source.format).options(**source.options).load(source.path), also)
 
 
-def json_rows(strings: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Typed rows from JSON strings; unparseable events give a row of NULLs."""
-    parsed = strings.select(F.from_json("value", schema).alias("j"))
-    return parsed.select("j.*")
+BAD = "__bad"
+
+
+def json_rows(strings: DataFrame, schema: T.StructType | str, bad: str = "fail") -> DataFrame:
+    """Typed rows from JSON strings, read strictly.
+
+    An event that is not JSON, is no object or does not fit the schema ends the
+    job (``bad="fail"``) or is left out (``"drop"``); ``bad_events`` gives
+    those left out. NULL events are bad.
+    """
+    if bad not in ("fail", "drop"):
+        raise ValueError(f"bad is fail or drop, not {bad!r}")
+    parsed = strings.select(_parsed(schema).alias("j"), F.col("value"))
+    if bad == "drop":
+        return parsed.filter(_fits()).select("j.*").drop(BAD)
+    message = F.concat(F.lit("not an event of this schema: "), F.coalesce(F.col("value"), F.lit("NULL")))
+    checked = F.when(_fits(), F.col("j")).otherwise(F.raise_error(message))
+    return parsed.select(checked.alias("j")).select("j.*").drop(BAD)
+
+
+def bad_events(strings: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """The events (``value``) that ``json_rows`` refuses, for dead letters."""
+    return strings.withColumn("j", _parsed(schema)).filter(~_fits()).select("value")
+
+
+def _parsed(schema: T.StructType | str) -> Column:
+    fields = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    marked = T.StructType([*fields.fields, T.StructField(BAD, T.StringType())])
+    return F.from_json("value", marked, {**STRICT, "columnNameOfCorruptRecord": BAD})
+
+
+def _fits() -> Column:
+    # An array would be read as its first element.
+    is_object = F.coalesce(F.col("value").rlike(r"^\s*\{"), F.lit(False))
+    return is_object & F.col("j").isNotNull() & F.col(f"j.{BAD}").isNull()
 
 
-def stream_json_rows(spark: SparkSession, source: Endpoint, schema: T.StructType | str) -> DataFrame:
-    return json_rows(stream_strings(spark, source), schema)
+def stream_json_rows(spark: SparkSession, source: Endpoint, schema: T.StructType | str, bad: str = "fail") -> DataFrame:
+    return json_rows(stream_strings(spark, source), schema, bad)
 
 
 def register_stream_table(
-    spark: SparkSession, name: str, source: Endpoint, schema: T.StructType | str
+    spark: SparkSession, name: str, source: Endpoint, schema: T.StructType | str, bad: str = "fail"
 ) -> DataFrame:
     """Name a JSON event stream so SQL can select from it."""
-    df = stream_json_rows(spark, source, schema)
+    df = stream_json_rows(spark, source, schema, bad)
     df.createOrReplaceTempView(name)
     return df

@@ -4,7 +4,8 @@ Append output holds back windows and timers the watermark has not passed, and
 the end of a bounded input does not move the watermark. So once the input is
 used up, the query is resumed from its checkpoint with one more record, far
 later than any other. It moves the watermark and is then filtered out, before
-any operator of the query sees it.
+any operator of the query sees it. A column of its own marks it, so rows of any
+time, and of none, are kept.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 from millrace.session import scratch_dir
 from millrace.sinks.writers import stream_to_parquet
 
-END_OF_TIME = "9999-01-01 00:00:00"
+#: Seconds since 1970 of the last record: tens of thousands of years ahead, later than any date that can be written.
+END_SECONDS = 10**12
+_LAST = "__last"
 _STRICT_LATE = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
@@ -44,35 +47,24 @@ def late_rows(spark: SparkSession, strict: bool) -> Iterator[None]:
 def _last_record(like: DataFrame, time: str) -> DataFrame:
     return like.sparkSession.range(1).select(
         *[
-            (F.lit(END_OF_TIME) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in like.schema
-        ]
+            (F.timestamp_seconds(F.lit(END_SECONDS)) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in like.schema if f.name != _LAST
+        ],
+        F.lit(True).alias(_LAST),
     )
 
 
-@contextmanager
-def state_partitions(spark: SparkSession) -> Iterator[None]:
-    """On one machine, no more state stores than twice its cores.
-
-    A query keeps the number of state partitions it starts with. On a cluster
-    the session's setting stands.
-    """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    if spark.sparkContext.master.startswith("local"):
-        spark.conf.set(name, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 Watermark = Callable[[DataFrame, str], DataFrame]
 
 
 def _watermarked(df: DataFrame, time: str, watermark: Watermark) -> DataFrame:
-    # A filter on the event time stays above the watermark.
-    return watermark(df, time).filter(F.col(time) < F.lit(END_OF_TIME).cast("timestamp"))
+    # A filter on the event time stays above the watermark, so the last record counts for it.
+    last = F.col(_LAST) & F.col(time).eqNullSafe(F.timestamp_seconds(F.lit(END_SECONDS)))
+    return watermark(df, time).filter(~last).drop(_LAST)
+
+
+def _marked(df: DataFrame) -> DataFrame:
+    return df.withColumn(_LAST, F.lit(False))
 
 
 class _Run:
@@ -82,7 +74,7 @@ class _Run:
         self.spark, self.folder, self.result, self.strict_late = spark, folder, result, strict_late
 
     def go(self) -> None:
-        with late_rows(self.spark, self.strict_late), state_partitions(self.spark):
+        with late_rows(self.spark, self.strict_late):
             query = stream_to_parquet(self.result, f"{self.folder}/out", f"{self.folder}/checkpoint")
         query.awaitTermination()
 
@@ -109,6 +101,7 @@ def run_to_end(
     spark = sources[0].sparkSession
     folder = scratch_dir(spark, label)
     ended = []
+    sources = [_marked(s) for s in sources]
     for i, source in enumerate(sources):
         spark.createDataFrame([], source.schema).write.parquet(f"{folder}/end-{i}")
         end = spark.readStream.schema(source.schema).parquet(f"{folder}/end-{i}")
@@ -135,6 +128,7 @@ def run_in_phases(
     """
     spark = phases[0].sparkSession
     folder = scratch_dir(spark, label)
+    phases = [_marked(p) for p in phases]
     phases[0].write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(phases[0].schema).parquet(f"{folder}/in")
     run = _Run(spark, folder, build(_watermarked(stream, time, watermark)), strict_late)
@@ -149,7 +143,6 @@ def run_available(df: DataFrame, label: str = "available", mode: str = "append")
     """Run a stream without event-time state over what is there now."""
     spark = df.sparkSession
     folder = scratch_dir(spark, label)
-    with state_partitions(spark):
-        query = stream_to_parquet(df, f"{folder}/out", f"{folder}/checkpoint", mode=mode)
+    query = stream_to_parquet(df, f"{folder}/out", f"{folder}/checkpoint", mode=mode)
     query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
