@@ -98,6 +98,18 @@ def beyond_chance(toxic: np.ndarray, ordinary: np.ndarray, n_toxic: float, n_ord
     return g >= BEYOND_CHANCE
 
 
+def g2(toxic: list[str], ordinary: list[str], documents: dict[str, int]) -> Column:
+    """The statistic of ``beyond_chance`` over count columns."""
+    n_toxic, n_ordinary = sum(documents[c] for c in toxic), sum(documents[c] for c in ordinary)
+    share = n_toxic / max(n_toxic + n_ordinary, 1)
+    a, b = sum((F.col(c) for c in toxic), F.lit(0)), sum((F.col(c) for c in ordinary), F.lit(0))
+
+    def term(count: Column, part: float) -> Column:
+        return F.when(count > 0, count * F.log(count / ((a + b) * max(part, 1e-12)))).otherwise(0.0)
+
+    return 2 * (term(a, share) + term(b, 1 - share))
+
+
 #: A model as plain arrays, which need no class on the workers: the log-likelihood difference ``words`` by word, and
 #: of the sorted bigram ``keys`` as ``entries``.
 Model = dict[str, np.ndarray]
@@ -254,14 +266,18 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Score
     both = [k.alias(f"s{folds}") for k, folds in zip(kinds("to", ""), ("0", "1", "01"))]
     contexts = pairs.groupBy(F.shiftright("key", 32).alias("key")).agg(*sums, *each).toPandas()
     follows = pairs.groupBy(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("key")).agg(*each, *both).toPandas()
-    frequent = pairs.filter(seen >= 2 * LEAST_SEEN).orderBy(seen.desc(), "key").limit(BIGRAMS).toPandas().sort_values("key")
-    models = [fitted_model(by_word, frequent, contexts, follows, documents_of, folds) for folds in ((0,), (1,), (0, 1))]
+    groups = ((0,), (1,), (0, 1))
+    telling = [g2([f"t{f}" for f in g], [f"o{f}" for f in g], documents_of) >= BEYOND_CHANCE for g in groups]
+    own = pairs.filter((seen >= 2 * LEAST_SEEN) & (telling[0] | telling[1] | telling[2]))
+    frequent = own.orderBy(seen.desc(), "key").limit(BIGRAMS).toPandas().sort_values("key")
+    models = [fitted_model(by_word, frequent, contexts, follows, documents_of, g) for g in groups]
 
     sent = spark.sparkContext.broadcast(models)
-    sample = rows.orderBy(F.xxhash64("doc_id")).limit(FITTED)
-    fit = sample.select("text", "fold", "toxic").mapInPandas(
+    doc_id = rows.schema["doc_id"].dataType.simpleString()
+    fit = rows.select("doc_id", "text", "fold", "toxic").mapInPandas(
         measured(sent, vocabulary, lambda pdf: 1 - pdf["fold"].to_numpy()),
-        "fold int, toxic int, n_words long, measure double").toPandas()
+        f"doc_id {doc_id}, fold int, toxic int, n_words long, measure double"
+    ).orderBy(F.xxhash64("doc_id")).limit(FITTED).select("toxic", "n_words", "measure").toPandas()
     y = (fit["toxic"] == 1).to_numpy(float)
     if 0 < y.sum() < len(y):
         weights = curve(features(fit["measure"].to_numpy(), fit["n_words"].to_numpy()), y)
