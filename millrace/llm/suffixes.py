@@ -39,6 +39,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import small_or_not, stash, stash_by
 
 LENGTH, GRAM = 50, 16
+#: Bytes that the suffix array's rounds have compared when what is still tied can only be told apart further on.
+PROVED = 32
 IN_WINDOW = LENGTH - GRAM + 1
 SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 20
 #: Text for which one more part is made.
@@ -92,9 +94,8 @@ def stretches(body: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
         grams = len(piece) - GRAM + 1
         w = words_at(piece)
         gram = mixed(mixed(w[:grams] * M2) + mixed(w[8: 8 + grams] * M3))
-        at = np.arange(grams, dtype="uint64")
         mask = np.uint64((1 << 22) - 1)
-        least = (gram & ~mask) | (mask - at)  # of equal grams the last one
+        least = (gram & ~mask) | (mask - np.arange(grams, dtype="uint64"))  # of equal grams the last one
         span = 1
         while 2 * span <= IN_WINDOW:
             least = np.minimum(least[:-span], least[span:])
@@ -102,46 +103,54 @@ def stretches(body: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
         if span < IN_WINDOW:
             least = np.minimum(least[: len(least) - (IN_WINDOW - span)], least[IN_WINDOW - span:])
         anchor = (mask - (least & mask)).astype("int64")
-        starts = np.arange(len(anchor)) + a
-        whole = starts + LENGTH <= ends[np.searchsorted(ends, starts, side="right")]
+        whole = np.ones(len(anchor), bool)
+        first, last = np.searchsorted(ends, (a + 1, a + len(anchor) + LENGTH))
+        for end in (ends[first:last] - a).tolist():
+            whole[max(end - LENGTH + 1, 0): end] = False
         fresh = np.ones(len(anchor), bool)
         fresh[1:] = (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1])
-        first = np.flatnonzero(fresh)
-        count = np.diff(np.append(first, len(anchor)))
-        good = whole[first]
-        lows.append(first[good] + a)
+        at = np.flatnonzero(fresh)
+        count = np.diff(np.append(at, len(anchor)))
+        good = whole[at]
+        lows.append(at[good] + a)
         sizes.append(count[good])
-        hashes.append(gram[anchor[first[good]]])
+        hashes.append(gram[anchor[at[good]]])
     if not lows:
         return np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, "uint64")
     return np.concatenate(lows), np.concatenate(sizes), np.concatenate(hashes)
 
 
-def suffix_array(body: np.ndarray) -> np.ndarray:
-    """All positions in the order of the text from them on.
+def suffix_array(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions in the order of the text from them on; and which share PROVED bytes with the one before, at least.
 
     Each round orders what is still tied after h bytes by the ranks of the
     positions h further on, which doubles h; what is alone in its rank is done.
     """
     n = len(body)
     first = words_at(body, ">")
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     ranked = first[order]
     head = np.ones(n, bool)
     head[1:] = ranked[1:] != ranked[:-1]
     rank = np.empty(n, "int64")
     rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    places, h = np.arange(n), 8
+    places, h, close = np.arange(n), 8, None
     while True:
+        if h == PROVED:
+            close = ~head
         alone = head[places] & np.append(head, True)[places + 1]
         places = places[~alone]
         if not len(places):
-            return order
+            if close is None:
+                return order, np.zeros(n, bool)
+            # Near the end the zeros after it may have stood for text.
+            whole = order + PROVED <= n
+            return order, close & whole & np.append(True, whole[:-1])
         at = order[places]
         beyond = at + h
         # Past the end the shorter text comes first.
         key = (rank[at] << 32) + np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, n - beyond)
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         at, key = at[by], key[by]
         order[places] = at
         fresh = np.ones(len(at), bool)
@@ -151,9 +160,11 @@ def suffix_array(body: np.ndarray) -> np.ndarray:
         h *= 2
 
 
-def common_prefixes(body: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(body: np.ndarray, order: np.ndarray, most: int, close: np.ndarray | None = None) -> np.ndarray:
     """Bytes in common, up to ``most``, of each place of the order with the place before it.
 
+    With ``close`` from the suffix array, places that share less than PROVED bytes are given as 0.
+
     Kasai's rule: one position further on, the common prefix with the
     predecessor is at most one shorter. Positions are taken in strides, coarse
     to fine, each starting from what a neighbour to the left has proved.
@@ -163,11 +174,16 @@ def common_prefixes(body: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     before = np.empty(n, "int64")
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
-    found = np.zeros(n, "int64")
+    least = np.zeros(n, "int64")
+    wanted = before >= 0
+    if close is not None:
+        wanted[order] = close
+        least[wanted] = PROVED
+    found = least.copy()
     stride = 16
     todo = np.arange(0, n, stride)
     while True:
-        here = todo[(before[todo] >= 0) & (found[todo] < most)]
+        here = todo[wanted[todo] & (found[todo] < most)]
         while len(here):
             other, known = before[here], found[here]
             room = np.minimum(n - np.maximum(here, other), most) - known
@@ -180,15 +196,15 @@ def common_prefixes(body: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
             return found[order]
         stride //= 2
         todo = np.arange(stride, n, 2 * stride)
-        found[todo] = np.where(before[todo] >= 0, np.maximum(found[todo - stride] - stride, 0), 0)
+        found[todo] = np.where(wanted[todo], np.maximum(found[todo - stride] - stride, least[todo]), 0)
 
 
 def distinct_strings(pieces: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct strings of the pieces in order, the smallest id of each, and each start's place among them."""
     body = np.frombuffer(b"".join(pieces), "uint8")
     sizes = np.array([len(p) for p in pieces])
-    order = suffix_array(body)
-    prefix = common_prefixes(body, order, LENGTH)
+    order, close = suffix_array(body)
+    prefix = common_prefixes(body, order, LENGTH, close)
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(body))
     starts = left[order] >= LENGTH
     # A string goes on from start to start as long as no prefix on the way is shorter.

@@ -52,13 +52,14 @@ def test_suffix_array(seed):
     alphabet = [b"ab", b"a", b"\0a", bytes(range(256))][seed]
     text = bytes(rng.choices(alphabet, k=700)) + bytes(rng.choices(alphabet, k=60)) * 3
     body = np.frombuffer(text, "uint8")
-    order = s.suffix_array(body)
+    order, close = s.suffix_array(body)
     assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
     prefix = s.common_prefixes(body, order, 50)
+    part = s.common_prefixes(body, order, 50, close)
     for k in range(1, len(order)):
         a, b = text[order[k - 1]:][:50], text[order[k]:][:50]
         n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-        assert prefix[k] == n
+        assert prefix[k] == n and part[k] == (n if n >= s.PROVED else 0)
 
 
 def test_odd_rows(odd):
