@@ -1,0 +1,87 @@
+"""The pipeline, stage by stage, against plain versions of the stages."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as p
+from millrace.llm import toxicity
+from test_bpe import PEER
+from test_decontaminate import plain as plain_leaks
+from test_minhash import plain as plain_groups
+from test_toxicity import corpus
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Toxic texts, copies of several sorts, benchmark passages, personal data and odd rows."""
+    rng = random.Random(4)
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    rows = [(i, f"id{i} " + text, toxic) for i, text, toxic in corpus(8, 700)]
+    items = [(k, " ".join(f"b{rng.randint(0, 900)}" for _ in range(rng.randint(12, 30)))) for k in range(6)]
+    texts = dict((i, t) for i, t, _ in rows)
+    for i in range(700, 760):
+        texts[i] = texts[rng.randint(0, 600)] + (" and one more word" if i % 2 else "")
+    for i in range(760, 780):
+        words = [f"q{rng.randint(0, 5000)}" for _ in range(40)]
+        words[10:10] = rng.choice(items)[1].split()
+        texts[i] = " ".join(words)
+    for i in range(780, 800):
+        texts[i] = f"reach me at u{i}@mail.example or +1 (555) 010-4{i} " + " ".join(f"r{rng.randint(0, 5000)}" for _ in range(25))
+    texts |= {800: None, 801: "", 802: "é 4111 1111 1111 1111"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").select(
+        "doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"),
+        F.char_length("text").cast("long").alias("n_chars"))
+    docs.repartition(4).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int").write.parquet(
+        f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder, items
+
+
+def texts_of(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_every_stage_takes_effect(spark, tables):
+    folder, items = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = dict(p.STAGES)
+    assert list(stages) == ["toxicity", "near_duplicates", "decontamination", "pii", "byte_bpe"]
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    before = texts_of(docs)
+
+    left = stages["toxicity"](spark, docs, folder)
+    assert left.columns == docs.columns
+    bad = {r["doc_id"] for r in toxicity.score_toxicity(docs, labels).filter("predicted = 1").collect()}
+    clean = texts_of(left)
+    assert len(bad) > 50 and clean == {i: t for i, t in before.items() if i not in bad}
+
+    one = texts_of(stages["near_duplicates"](spark, left, folder))
+    groups = plain_groups(sorted(clean.items()))
+    assert one == {i: t for i, t in clean.items() if groups[i][2]} and len(one) < len(clean)
+
+    kept = stages["near_duplicates"](spark, left, folder)
+    pure = texts_of(stages["decontamination"](spark, kept, folder))
+    leaks = {i for i, *_ in plain_leaks(list(one.items()), items)}
+    assert leaks and pure == {i: t for i, t in one.items() if i not in leaks}
+
+    masked = stages["pii"](spark, kept, folder)
+    assert masked.columns == docs.columns
+    hidden = texts_of(masked)
+    assert hidden[802] == "é [CARD]" and "[EMAIL] or [PHONE] " in hidden[780] and set(hidden) == set(one)
+
+    coded = stages["byte_bpe"](spark, masked, folder).collect()
+    assert all(r["same"] and r["ids"] == PEER.encode_ordinary(hidden[r["doc_id"]] or "") for r in coded)
+
+
+def test_run_is_the_stages_in_order(spark, tables):
+    folder, _ = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in p.STAGES:
+        docs = stage(spark, docs, folder)
+    want = sorted((r["doc_id"], r["n_tokens"], tuple(r["ids"])) for r in docs.collect())
+    got = p.run(spark, folder)
+    assert sorted((r["doc_id"], r["n_tokens"], tuple(r["ids"])) for r in got.collect()) == want
+    assert all(r["same"] for r in got.collect())
