@@ -6,16 +6,15 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from fixtures import AUTH_EVENT, NEW, OLD, change
+from fixtures import NEW, OLD, ORDER_EVENT, ORDER_SCHEMA, change
 from conftest import rows
-from millrace.functions.jsons import is_json, json_parse, json_value, json_values
+from millrace.functions.jsons import is_json, json_parse, json_value, json_values, register_json_value
 from millrace.functions.scalars import minus_millis, parse_iso_seconds
-from millrace.operators.cdc import cdc_unpack
+from millrace.operators.cdc import cdc_dead_letters, cdc_unpack
 from millrace.operators.rows import split_by_validity
 from millrace.operators.windows import tumbling_count
-from millrace.schemas import AUTH_EVENT as AUTH_SCHEMA
 from millrace.sinks.writers import as_json_value
-from millrace.sources.endpoints import json_rows
+from millrace.sources.endpoints import bad_events, json_rows
 
 TEXTS = [
     '{"a":1}', '{"a":1} x', '{"a":1}{"b":2}', "{'a':1}", '{"a":NaN}', "NaN", "Infinity", "-Infinity", "INF",
@@ -114,18 +113,27 @@ def test_long_text_with_odd_tokens(spark):
     assert df.select(is_json(F.col("t"))).first()[0] is parses(df.first().t) is True
 
 
-def test_authorization_event(spark):
-    df = spark.createDataFrame([(AUTH_EVENT,)], "message STRING")
-    e = json_parse(F.col("message"), AUTH_SCHEMA)
-    got = df.select(
-        e["transaction_creation_date"]["utc"], e["amounts"]["requested"]["value"],
-        e["currency_conversion"]["exchange_rate"], e["payment_method"]["three_ds"]["used"], e["market_data"],
-    ).first()
-    assert tuple(got) == ("2024-02-19T08:00:00", 100, 1.25, True, {})
-    utc = json_value(F.col("message"), "$.transaction_creation_date.utc")
-    counted = tumbling_count(df.select(parse_iso_seconds(utc).alias("ts")), [], "ts", "1 minute")
-    assert rows(counted) == [(1708329600000, 1708329660000, 1)]
-    assert df.select(json_value(F.col("message"), "$.merchant")).first()[0] is None
+def test_nested_event(spark):
+    df = spark.createDataFrame([(ORDER_EVENT,)], "message STRING")
+    e = json_parse(F.col("message"), ORDER_SCHEMA)
+    got = df.select(e["order"]["placed"], e["order"]["total"]["value"], e["rate"], e["gift"], e["notes"], e["lines"]).first()
+    assert tuple(got) == ("2023-05-01T12:00:59", 1995, 0.25, True, {}, [1, 2])
+    placed = json_value(F.col("message"), "$.order.placed")
+    counted = tumbling_count(df.select(parse_iso_seconds(placed).alias("ts")), [], "ts", "1 minute")
+    assert rows(counted) == [(1682942400000, 1682942460000, 1)]
+    assert df.select(json_value(F.col("message"), "$.order.total")).first()[0] is None
+
+
+@pytest.mark.parametrize("text,want", [
+    ('{"a":{"b":"x"}}', "x"), ('{"a":{"b":1}}', "1"), ('{"a":{"b":1.5}}', "1.5"), ('{"a":{"b":true}}', "true"),
+    ('{"a":{"b":null}}', None), ('{"a":{"b":{}}}', None), ('{"a":{"b":[1]}}', None), ('{"a":{"b":"{x"}}', "{x"),
+    ('{"a":1}', None), ('{"b":1}', None), ('{"a":', None), ("", None), (None, None),
+    ('{"a":{"b":12345678901234567890123}}', "12345678901234567890123"),
+])
+def test_json_value_in_sql(spark, text, want):
+    register_json_value(spark)
+    df = spark.createDataFrame([(text,)], "t STRING")
+    assert spark.sql("SELECT json_value(t, '$.a.b') AS v FROM {df}", df=df).first()[0] == want
 
 
 def test_iso_times(spark):
@@ -139,18 +147,34 @@ def test_iso_times(spark):
 
 
 def test_change_events(spark):
-    events = [change("u", OLD, NEW), change("c", None, NEW), change("d", OLD, None), change("u", OLD, OLD), "{bad"]
-    out = cdc_unpack(spark.createDataFrame([(e,) for e in events], "value STRING")).collect()
-    assert [(r.op, r.id, r.table_name, r.ts_ms) for r in out[:4]] == [
-        (op, 1001, "customers", 1646128593100) for op in "ucdu"]
-    assert [r.changed for r in out[:4]] == [["email"], list(OLD), list(OLD), []]
-    assert (out[0].before_email, out[0].after_email) == (OLD["email"], NEW["email"])
+    good = [change("u", OLD, NEW), change("c", None, NEW), change("d", OLD, None), change("u", OLD, OLD)]
+    bad = ["{bad", '{"op":"u"}', "[1]", change("u", None, None), '{"after":{"id":1}}']
+    df = spark.createDataFrame([(e,) for e in [*good, *bad, None]], "value STRING")
+    out = cdc_unpack(df).collect()
+    assert [(r.op, r.id, r.table_name, r.ts_ms) for r in out] == [(op, 52, "members", 1700000000123) for op in "ucdu"]
+    assert [r.changed for r in out] == [["last_name", "email"], ["id", "first_name", "last_name"], list(OLD), []]
+    assert (out[0].before_email, out[0].after_email) == (OLD["email"], None)
     assert out[1].before_id is None and out[2].after_id is None
-    assert out[4].op is None and out[4].id is None
+    # A tombstone is neither a change nor a bad event.
+    assert rows(cdc_dead_letters(df)) == sorted([(b,) for b in bad], key=str)
 
 
 def test_json_rows_both_ways(spark):
-    df = spark.createDataFrame([(1, "hi"), (2, None)], "f0 INT, f1 STRING")
+    df = spark.createDataFrame([(1, "hi"), (2, None), (None, "")], "f0 INT, f1 STRING")
     values = as_json_value(df)
-    assert rows(values) == [('{"f0":1,"f1":"hi"}',), ('{"f0":2}',)]
-    assert rows(json_rows(values, "f0 INT, f1 STRING")) == [(1, "hi"), (2, None)]
+    assert rows(values) == sorted([('{"f0":1,"f1":"hi"}',), ('{"f0":2,"f1":null}',), ('{"f0":null,"f1":""}',)], key=str)
+    assert rows(json_rows(values, "f0 INT, f1 STRING")) == rows(df)
+
+
+def test_bad_rows_fail_or_go_to_dead_letters(spark):
+    good = ['{"f0":1,"f1":"a"}', "{}", ' {"f1":"b","more":2}']
+    bad = ["{'f0':1}", '{"f0":"x"}', '[{"f0":1}]', "", "7", '{"f0":', None]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad]], "value STRING")
+    schema = "f0 INT, f1 STRING"
+    assert rows(json_rows(df, schema, bad="drop")) == sorted([(1, "a"), (None, None), (None, "b")], key=str)
+    assert rows(bad_events(df, schema)) == sorted([(b,) for b in bad], key=str)
+    for text in bad:
+        with pytest.raises(Exception, match="not an event"):
+            json_rows(spark.createDataFrame([(text,)], "value STRING"), schema).collect()
+    with pytest.raises(ValueError):
+        json_rows(df, schema, bad="ignore")

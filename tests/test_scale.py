@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.functions.jsons import json_value, json_values
-from millrace.operators import running, userdefined
+from millrace.operators import userdefined
 from millrace.operators.aggregates import top_per_group
 from millrace.operators.changelog import changelog_aggregate
 from millrace.operators.joins import join_inner
@@ -31,15 +31,13 @@ def skewed(n=900, seed=7):
     ]
 
 
-@pytest.mark.parametrize("chunks,limit", [(11, 10**6), (None, 10**6), (None, 100)])
-def test_running_aggregates(spark, monkeypatch, chunks, limit):
-    monkeypatch.setattr(running, "ROWS_PER_TASK", limit)
+@pytest.mark.parametrize("chunks,plain", [(11, False), (None, False), (None, True)])
+def test_running_aggregates(spark, chunks, plain):
     data = skewed()
     df = spark.createDataFrame(data, "k STRING, i BIGINT, v BIGINT").repartition(5)
     aggs = {"total": ("sum", "v"), "n": ("count", "v"), "top": ("max", "v"), "low": ("min", "v")}
-    out = running_aggregates(df, ["k"], ["i"], aggs, {"before": "total"}, chunks=chunks)
-    # A plain window as long as the largest key fits.
-    assert ("__chunk" in explain(out)) == (chunks is not None or limit == 100)
+    out = running_aggregates(df, ["k"], ["i"], aggs, {"before": "total"}, chunks=chunks, plain=plain)
+    assert ("__chunk" in explain(out)) == (not plain)
     want, seen = [], defaultdict(list)
     for k, i, v in data:
         earlier = [x for x in seen[k] if x is not None]
@@ -109,6 +107,17 @@ def test_user_aggregate_retracts(spark):
     assert rows(aggregate(df, ["k"], CountSum("v"), ["v"], op="op")) == [("a", 1, 8), ("b", 0, 0)]
 
 
+@pytest.mark.parametrize("kind", ["DOUBLE", "STRUCT<a: DOUBLE, b: STRING>", "ARRAY<DOUBLE>"])
+def test_user_aggregate_keys_are_those_of_grouping(spark, kind):
+    numbers = [float("nan"), 0.0, -0.0, 1.5, None, float("nan"), 1.5, -0.0]
+    wrap = {"D": lambda x: x, "S": lambda x: (x, "s"), "A": lambda x: [x, 2.0]}[kind[0]]
+    data = [(wrap(x), i) for i, x in enumerate(numbers)] + [(None, 100), (None, 200)]
+    df = spark.createDataFrame(data, f"k {kind}, v BIGINT").repartition(4)
+    want = df.groupBy("k").agg(F.count("v").alias("n"), F.sum("v").alias("s"))
+    # As text, in which NaN equals itself.
+    assert str(rows(aggregate(df, ["k"], CountSum("v"), ["v"]))) == str(rows(want))
+
+
 def test_user_aggregate_on_empty_input(spark):
     df = spark.createDataFrame([], "k STRING, v BIGINT")
     assert rows(aggregate(df, ["k"], CountSum("v"), ["v"])) == []

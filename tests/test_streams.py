@@ -4,9 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from fixtures import (
-    ACQUIRER_WINDOWS, ACQUIRERS, AUTHORIZATION_WINDOWS, AUTHORIZATIONS, LATE_WINDOW, PAYMENTS,
-)
+from fixtures import DELAYED, DELAYED_WINDOWS, LATE_WINDOW, METERED, ON_TIME, READING_WINDOWS, READINGS, STOCK
 from millrace.functions.scalars import event_time_from_millis, parse_iso_seconds
 from millrace.operators.aggregates import group_count_max
 from millrace.operators.joins import join_inner
@@ -28,8 +26,8 @@ def timed(df):
     return assign_event_time(df, event_time_from_millis(F.col("event_order")), "ts")
 
 
-def five_ms(df):
-    return tumbling_count(df, ["name"], "ts", "5 milliseconds")
+def ten_ms(df):
+    return tumbling_count(df, ["name"], "ts", "10 milliseconds")
 
 
 def expected(windows):
@@ -37,64 +35,64 @@ def expected(windows):
 
 
 def test_windows_in_batch(spark):
-    for data, want in ((ACQUIRERS, ACQUIRER_WINDOWS), (AUTHORIZATIONS, AUTHORIZATION_WINDOWS)):
+    for data, want in ((READINGS, READING_WINDOWS), (DELAYED, DELAYED_WINDOWS)):
         df = timed(from_collection(spark, data, ORDERED))
-        assert rows(five_ms(df)) == expected(want)
-        assert rows(batch_window_process(df, ["name"], "ts", "5 milliseconds", WindowCount(), [])) == expected(want)
+        assert rows(ten_ms(df)) == expected(want)
+        assert rows(batch_window_process(df, ["name"], "ts", "10 milliseconds", WindowCount(), [])) == expected(want)
 
 
 def test_windows_on_a_stream(spark, folder):
-    batches = [ACQUIRERS[:3], ACQUIRERS[3:6], ACQUIRERS[6:]]
+    batches = [READINGS[:3], READINGS[3:6], READINGS[6:]]
     stream = timed(replay(spark, batches, ORDERED, f"{folder}/in"))
-    assert rows(run_to_end(stream, "ts", watermark_monotonous, five_ms)) == expected(ACQUIRER_WINDOWS)
+    assert rows(run_to_end(stream, "ts", watermark_monotonous, ten_ms)) == expected(READING_WINDOWS)
 
 
 def test_user_windows_on_a_stream(spark, folder):
-    batches = [ACQUIRERS[:3], ACQUIRERS[3:6], ACQUIRERS[6:]]
+    batches = [READINGS[:3], READINGS[3:6], READINGS[6:]]
     stream = timed(replay(spark, batches, ORDERED, f"{folder}/in"))
     out = run_to_end(
         stream, "ts", watermark_monotonous,
         lambda e: stateful.window_process(
-            e, ["name"], "ts", "5 milliseconds", CountSum("event_order"), ["event_order"]
+            e, ["name"], "ts", "10 milliseconds", CountSum("event_order"), ["event_order"]
         ),
     )
-    sums = {("PayPal", 0): 4, ("MasterCard", 0): 6, ("PayPal", 5): 5, ("MasterCard", 5): 17, ("PayPal", 15): 15}
-    assert rows(out) == expected([(*w, sums[w[0], w[1]]) for w in ACQUIRER_WINDOWS])
+    sums = {("roof", 0): 12, ("cellar", 0): 4, ("roof", 10): 10, ("cellar", 10): 31, ("roof", 30): 31}
+    assert rows(out) == expected([(*w, sums[w[0], w[1]]) for w in READING_WINDOWS])
 
 
 @pytest.mark.parametrize("strict", [True, False])
 def test_late_rows_after_a_closed_window(spark, strict):
-    on_time, late = AUTHORIZATIONS[:8], AUTHORIZATIONS[8:]
+    on_time, late = DELAYED[:ON_TIME], DELAYED[ON_TIME:]
     phases = [timed(from_collection(spark, p, ORDERED)) for p in (on_time, late)]
-    out = run_in_phases(phases, "ts", watermark_monotonous, five_ms, strict_late=strict)
-    assert rows(out) == expected([w for w in AUTHORIZATION_WINDOWS if w != LATE_WINDOW])
+    out = run_in_phases(phases, "ts", watermark_monotonous, ten_ms, strict_late=strict)
+    assert rows(out) == expected([w for w in DELAYED_WINDOWS if w != LATE_WINDOW])
 
 
 def test_late_rows_in_the_very_next_batch(spark, folder):
     # Back to back micro-batches: only the strict form compares with the
     # watermark the first one leaves.
-    batches = [AUTHORIZATIONS[:8], AUTHORIZATIONS[8:]]
+    batches = [DELAYED[:ON_TIME], DELAYED[ON_TIME:]]
     got = {}
     for strict in (True, False):
         stream = timed(replay(spark, batches, ORDERED, f"{folder}/in-{strict}"))
-        got[strict] = rows(run_to_end(stream, "ts", watermark_monotonous, five_ms, strict_late=strict))
-    assert got[True] == expected([w for w in AUTHORIZATION_WINDOWS if w != LATE_WINDOW])
-    assert got[False] == expected(AUTHORIZATION_WINDOWS)
+        got[strict] = rows(run_to_end(stream, "ts", watermark_monotonous, ten_ms, strict_late=strict))
+    assert got[True] == expected([w for w in DELAYED_WINDOWS if w != LATE_WINDOW])
+    assert got[False] == expected(DELAYED_WINDOWS)
 
 
 def test_lateness_keeps_them(spark):
-    phases = [timed(from_collection(spark, p, ORDERED)) for p in (AUTHORIZATIONS[:8], AUTHORIZATIONS[8:])]
-    out = run_in_phases(phases, "ts", watermark_bounded("10 milliseconds"), five_ms, strict_late=True)
-    assert rows(out) == expected(AUTHORIZATION_WINDOWS)
+    phases = [timed(from_collection(spark, p, ORDERED)) for p in (DELAYED[:ON_TIME], DELAYED[ON_TIME:])]
+    out = run_in_phases(phases, "ts", watermark_bounded("30 milliseconds"), ten_ms, strict_late=True)
+    assert rows(out) == expected(DELAYED_WINDOWS)
 
 
 def test_user_windows_drop_late_rows_too(spark):
-    phases = [timed(from_collection(spark, p, ORDERED)) for p in (AUTHORIZATIONS[:8], AUTHORIZATIONS[8:])]
+    phases = [timed(from_collection(spark, p, ORDERED)) for p in (DELAYED[:ON_TIME], DELAYED[ON_TIME:])]
     out = run_in_phases(
         phases, "ts", watermark_monotonous,
-        lambda e: stateful.window_process(e, ["name"], "ts", "5 milliseconds", WindowCount(), []),
+        lambda e: stateful.window_process(e, ["name"], "ts", "10 milliseconds", WindowCount(), []),
     )
-    assert rows(out) == expected([w for w in AUTHORIZATION_WINDOWS if w != LATE_WINDOW])
+    assert rows(out) == expected([w for w in DELAYED_WINDOWS if w != LATE_WINDOW])
 
 
 def test_the_slowest_part_holds_the_watermark(spark, folder):
@@ -102,10 +100,10 @@ def test_the_slowest_part_holds_the_watermark(spark, folder):
     fast = replay(spark, [[("f", 100)], [("f", 200)]], ORDERED, f"{folder}/fast")
     slow = replay(spark, [[("s", 1)], [("s", 2)]], ORDERED, f"{folder}/slow")
     out = run_to_end(
-        [timed(fast), timed(slow)], "ts", watermark_monotonous, lambda *p: five_ms(merge_watermarked(p)),
+        [timed(fast), timed(slow)], "ts", watermark_monotonous, lambda *p: ten_ms(merge_watermarked(p)),
         strict_late=True,
     )
-    assert rows(out) == expected([("f", 100, 105, 1), ("f", 200, 205, 1), ("s", 0, 5, 2)])
+    assert rows(out) == expected([("f", 100, 110, 1), ("f", 200, 210, 1), ("s", 0, 10, 2)])
 
 
 PAYMENT = "at STRING, name STRING, value DOUBLE"
@@ -119,25 +117,45 @@ def second(timer_ms):
     return (timer_ms // 1000) % 60
 
 
+TIMERS = [("gas", 2), ("gas", 12), ("gas", 13), ("water", 6), ("water", 32)]
+
+
 def test_timers_in_batch(spark):
-    out = batch_sums(payments(from_collection(spark, PAYMENTS, PAYMENT)), ["name"], "ts", "value", chunks=3)
+    out = batch_sums(payments(from_collection(spark, METERED, PAYMENT)), ["name"], "ts", "value", chunks=3)
     got = rows(out.select("name", F.second("timer"), F.round("sum", 1)))
-    assert got == expected([
-        ("PayPal", 2, 110.1), ("PayPal", 5, 163.3), ("PayPal", 6, 163.3), ("PayPal", 7, 163.3),
-        ("MasterCard", 3, 86.4), ("MasterCard", 4, 86.4), ("MasterCard", 5, 86.4), ("MasterCard", 9, 102.5),
-    ])
+    # Rows up to two seconds after a timer's own row count.
+    assert got == expected(zip(*zip(*TIMERS), [2.0, 11.0, 11.0, 10.0, 6.0]))
 
 
 @pytest.mark.parametrize("spread", [1, 3])
 def test_timers_on_a_stream(spark, folder, spread):
-    stream = payments(replay(spark, [PAYMENTS[:4], PAYMENTS[4:]], PAYMENT, f"{folder}/in"))
+    stream = payments(replay(spark, [METERED[:4], METERED[4:]], PAYMENT, f"{folder}/in"))
     out = run_to_end(
         stream, "ts", watermark_bounded("1 hour"),
         lambda e: stateful.keyed_sum_at_timers(e, ["name"], "ts", "value", spread=spread),
     )
     got = sorted((r.name, second(r.timer_ms), round(r["sum"], 1)) for r in out.collect())
-    assert got == sorted(
-        [("PayPal", s, 163.3) for s in (2, 5, 6, 7)] + [("MasterCard", s, 102.5) for s in (3, 4, 5, 9)])
+    assert got == sorted((name, s, {"gas": 11.0, "water": 6.0}[name]) for name, s in TIMERS)
+
+
+FAR = [("roof", 3, 253402250400), ("roof", 4, None), ("cellar", 5, 1), ("roof", 6, 1)]
+
+
+@pytest.mark.parametrize("spread", [1, 3])
+def test_rows_of_any_time_are_kept(spark, spread):
+    """The last day of the year 9999, and no time at all."""
+    df = spark.createDataFrame(FAR, "name STRING, value DOUBLE, s BIGINT").select(
+        "name", "value", F.timestamp_seconds("s").alias("ts"))
+    day = lambda e: tumbling_count(e, ["name"], "ts", "1 day")
+    assert rows(run_in_phases([df], "ts", watermark_monotonous, day)) == rows(day(df))
+    sums = run_in_phases(
+        [df], "ts", watermark_bounded("1 hour"),
+        lambda e: stateful.keyed_sum_at_timers(e, ["name"], "ts", "value", spread=spread))
+    assert rows(sums.select("name", "timer_ms", "sum")) == expected([
+        ("roof", 253402250402000, 13.0), ("roof", 3000, 13.0), ("cellar", 3000, 5.0)])
+    batch = batch_sums(df, ["name"], "ts", "value")
+    assert rows(batch.select("name", F.unix_millis("timer"), "sum")) == expected([
+        ("roof", 253402250402000, 13.0), ("roof", 3000, 10.0), ("cellar", 3000, 5.0)])
 
 
 @pytest.mark.parametrize("spread", [1, 3])
@@ -174,27 +192,26 @@ def test_sums_expire(spark):
     assert sorted((second(r.timer_ms), r["sum"]) for r in ample.collect()) == [(2, 5.0), (3, 5.0)]
 
 
-COUNTRY = "country STRING, id BIGINT, tel BIGINT"
-CALLS = [("Germany", 1, 123), ("China", 2, 135), ("USA", 3, 124), ("China", 4, 32)]
-AGGS = {"n": ("count", "id"), "most": ("max", "tel")}
+COUNTRY = "country STRING, id BIGINT, stock BIGINT"
+AGGS = {"n": ("count", "id"), "most": ("max", "stock")}
 
 
 @pytest.mark.parametrize("per_record", [True, False])
 def test_changelog_row_by_row(spark, folder, per_record):
-    stream = replay(spark, [[c] for c in CALLS], COUNTRY, f"{folder}/in")
+    stream = replay(spark, [[c] for c in STOCK], COUNTRY, f"{folder}/in")
     log = run_available(stateful.changelog_aggregate(stream, ["country"], AGGS, per_record))
     assert rows(log) == expected([
-        ("Germany", "+I", 1, 123), ("USA", "+I", 1, 124), ("China", "+I", 1, 135),
-        ("China", "-U", 1, 135), ("China", "+U", 2, 135),
+        ("Kenya", "+I", 1, 15), ("Norway", "+I", 1, 22), ("Peru", "+I", 1, 40),
+        ("Peru", "-U", 1, 40), ("Peru", "+U", 2, 40),
     ])
 
 
 def test_changelog_of_one_batch(spark, folder):
-    for per_record, china in ((False, [("China", "+I", 2, 135)]), (True, None)):
-        stream = replay(spark, [CALLS], COUNTRY, f"{folder}/in-{per_record}")
+    for per_record, peru in ((False, [("Peru", "+I", 2, 40)]), (True, None)):
+        stream = replay(spark, [STOCK], COUNTRY, f"{folder}/in-{per_record}")
         log = run_available(stateful.changelog_aggregate(stream, ["country"], AGGS, per_record))
-        got = [r for r in rows(log) if r[0] == "China"]
-        assert got == china if china else len(got) == 3 and ("China", "+U", 2, 135) in got
+        got = [r for r in rows(log) if r[0] == "Peru"]
+        assert got == peru if peru else len(got) == 3 and ("Peru", "+U", 2, 40) in got
 
 
 def test_changelog_with_nulls(spark, folder):
@@ -204,37 +221,37 @@ def test_changelog_with_nulls(spark, folder):
 
 
 def test_user_aggregates_as_change_logs(spark, folder):
-    batches = [CALLS[:2], CALLS[2:], [("China", 5, 200)]]
+    batches = [STOCK[:2], STOCK[2:], [("Peru", 5, 60)]]
     stream = replay(spark, batches, COUNTRY, f"{folder}/sum")
-    log = run_available(stateful.user_aggregate(stream, ["country"], CountSum("tel"), ["tel"]))
+    log = run_available(stateful.user_aggregate(stream, ["country"], CountSum("stock"), ["stock"]))
     assert rows(log) == expected([
-        ("Germany", "+I", 1, 123), ("USA", "+I", 1, 124), ("China", "+I", 1, 135), ("China", "-U", 1, 135),
-        ("China", "+U", 2, 167), ("China", "-U", 2, 167), ("China", "+U", 3, 367),
+        ("Kenya", "+I", 1, 15), ("Norway", "+I", 1, 22), ("Peru", "+I", 1, 40), ("Peru", "-U", 1, 40),
+        ("Peru", "+U", 2, 49), ("Peru", "-U", 2, 49), ("Peru", "+U", 3, 109),
     ])
     stream = replay(spark, batches, COUNTRY, f"{folder}/top")
-    log = run_available(stateful.user_aggregate(stream, ["country"], Largest("tel"), ["tel"]))
+    log = run_available(stateful.user_aggregate(stream, ["country"], Largest("stock"), ["stock"]))
     assert rows(log) == expected([
-        ("Germany", "+I", 123), ("USA", "+I", 124), ("China", "+I", 135), ("China", "+I", 32), ("China", "-D", 32),
-        ("China", "+I", 200),
+        ("Kenya", "+I", 15), ("Norway", "+I", 22), ("Peru", "+I", 40), ("Peru", "+I", 9), ("Peru", "-D", 9),
+        ("Peru", "+I", 60),
     ])
 
 
 def test_limit_on_a_stream(spark, folder):
-    stream = replay(spark, [CALLS[:2], CALLS[2:]], COUNTRY, f"{folder}/in")
+    stream = replay(spark, [STOCK[:2], STOCK[2:]], COUNTRY, f"{folder}/in")
     assert run_available(limit_rows(stream, 3)).count() == 3
 
 
 def test_upserts(spark, folder):
-    stream = replay(spark, [CALLS[:2], CALLS[2:]], COUNTRY, f"{folder}/in")
-    counted = group_count_max(stream, ["country"], "id", F.col("tel"), "n", "most")
+    stream = replay(spark, [STOCK[:2], STOCK[2:]], COUNTRY, f"{folder}/in")
+    counted = group_count_max(stream, ["country"], "id", F.col("stock"), "n", "most")
     writer = counted.writeStream.format("memory").queryName("upserts").outputMode("update")
     writer.trigger(availableNow=True).start().awaitTermination()
     assert rows(spark.table("upserts")) == expected([
-        ("Germany", 1, 123), ("China", 1, 135), ("USA", 1, 124), ("China", 2, 135)])
+        ("Peru", 1, 40), ("Kenya", 1, 15), ("Norway", 1, 22), ("Peru", 2, 40)])
 
 
 def test_streams_join(spark, folder):
-    left = replay(spark, [CALLS[:2], CALLS[2:]], COUNTRY, f"{folder}/left")
+    left = replay(spark, [STOCK[:2], STOCK[2:]], COUNTRY, f"{folder}/left")
     right = replay(spark, [[(4, 10)], [(1, 18)]], "r_id BIGINT, age BIGINT", f"{folder}/right")
     out = run_available(join_inner(left, right, [("id", "r_id")]))
     assert rows(out.select("id", "r_id", "age")) == [(1, 1, 18), (4, 4, 10)]
@@ -247,8 +264,8 @@ def test_distinct_with_bounded_state(spark):
 
 
 def test_distinct_on_a_stream(spark, folder):
-    stream = replay(spark, [[c] for c in CALLS], COUNTRY, f"{folder}/in")
-    assert rows(run_available(distinct_rows(stream, "country"))) == [("China",), ("Germany",), ("USA",)]
+    stream = replay(spark, [[c] for c in STOCK], COUNTRY, f"{folder}/in")
+    assert rows(run_available(distinct_rows(stream, "country"))) == [("Kenya",), ("Norway",), ("Peru",)]
 
 
 def test_replay_gives_one_batch_per_trigger(spark, folder):

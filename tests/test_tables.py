@@ -1,11 +1,12 @@
 """Table operators on the small fixtures."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import AGES, PATHS, PEOPLE, PEOPLE_ROWS
+from fixtures import PATHS, PLANT_ROWS, PLANTS, PRICES
 from conftest import rows
-from millrace.catalog.userdefined import city_of, country_of, pieces, profile_of
 from millrace.functions.jsons import json_values
 from millrace.functions.scalars import concat, to_bigint, to_text
 from millrace.operators import columns, joins
@@ -20,39 +21,26 @@ from millrace.sources.memory import from_collection, from_elements
 
 @pytest.fixture
 def raw(spark):
-    return from_elements(spark, PEOPLE, ["id", "data"])
-
-
-def extracted(df):
-    return columns.drop_columns(columns.add_columns(df, json_values(F.col("data"), PATHS)), "data")
-
-
-@pytest.fixture
-def people(raw):
-    return extracted(raw)
+    return from_elements(spark, PLANTS, ["id", "data"])
 
 
 @pytest.fixture
-def people_rows(spark):
-    return extracted(from_elements(spark, PEOPLE_ROWS, ["id", "data"]))
+def plants(raw):
+    return columns.drop_columns(columns.add_columns(raw, json_values(F.col("data"), PATHS)), "data")
 
 
-ALL = [(1, "Trail", "123", "Germany"), (2, "hello", "135", "China"), (3, "world", "124", "USA"),
-       (4, "MyTrail", "32", "China")]
+def test_add_and_drop_columns(plants):
+    assert rows(plants) == PLANT_ROWS
+    assert plants.dtypes == [("id", "bigint"), ("species", "string"), ("height", "string"), ("country", "string")]
 
 
-def test_add_and_drop_columns(people):
-    assert rows(people) == ALL
-    assert people.dtypes == [("id", "bigint"), ("name", "string"), ("tel", "string"), ("country", "string")]
+def test_limit(plants):
+    assert rows(limit_rows(plants, 2, "id")) == PLANT_ROWS[:2]
+    assert limit_rows(plants, 2).count() == 2
 
 
-def test_limit(people):
-    assert rows(limit_rows(people, 3, "id")) == ALL[:3]
-    assert limit_rows(people, 3).count() == 3
-
-
-def test_filter(people):
-    assert rows(filter_not_equal(people, "id", 3)) == [ALL[0], ALL[1], ALL[3]]
+def test_filter(plants):
+    assert rows(filter_not_equal(plants, "id", 5)) == [r for r in PLANT_ROWS if r[0] != 5]
 
 
 def test_filter_drops_null(spark):
@@ -60,17 +48,17 @@ def test_filter_drops_null(spark):
     assert rows(filter_not_equal(df, "id", 3)) == [(1,)]
 
 
-def test_group_count_max(people):
-    out = group_count_max(people, ["country"], "id", to_bigint(F.col("tel")), "n", "most")
-    assert rows(out) == [("China", 2, 135), ("Germany", 1, 123), ("USA", 1, 124)]
+def test_group_count_max(plants):
+    out = group_count_max(plants, ["country"], "id", to_bigint(F.col("height")), "n", "most")
+    assert rows(out) == [("Kenya", 1, 80), ("Norway", 1, 30), ("Peru", 3, 210)]
 
 
-def test_changelog(people):
-    df = people.withColumn("tel", to_bigint(F.col("tel")))
-    log = changelog_aggregate(df, ["country"], "id", {"n": ("count", "id"), "most": ("max", "tel")})
-    assert rows(log.drop("id")) == sorted([
-        ("Germany", "+I", 1, 123), ("USA", "+I", 1, 124), ("China", "+I", 1, 135),
-        ("China", "-U", 1, 135), ("China", "+U", 2, 135),
+def test_changelog(plants):
+    df = plants.withColumn("height", to_bigint(F.col("height")))
+    log = changelog_aggregate(df, ["country"], "id", {"n": ("count", "id"), "most": ("max", "height")})
+    assert rows(log) == sorted([
+        ("Norway", 1, "+I", 1, 30), ("Kenya", 7, "+I", 1, 80), ("Peru", 3, "+I", 1, 45),
+        ("Peru", 5, "-U", 1, 45), ("Peru", 5, "+U", 2, 45), ("Peru", 9, "-U", 2, 45), ("Peru", 9, "+U", 3, 210),
     ], key=str)
 
 
@@ -80,40 +68,41 @@ def test_changelog_is_silent_when_nothing_changes(spark):
     assert rows(log) == [("a", 1, "+I", 5), ("a", 3, "+U", 9), ("a", 3, "-U", 5)]
 
 
-def test_distinct(people):
-    assert rows(distinct_rows(people, "country")) == [("China",), ("Germany",), ("USA",)]
+def test_distinct(plants):
+    assert rows(distinct_rows(plants, "country")) == [("Kenya",), ("Norway",), ("Peru",)]
 
 
-def test_join(spark, people):
-    ages = columns.rename_columns(from_elements(spark, AGES, ["id", "age"]), {"id": "r_id"})
-    joined = joins.join_inner(people, ages, [("id", "r_id")])
-    assert [(r.id, r.r_id, r.age) for r in joined.orderBy("id").collect()] == [
-        (1, 1, 18), (2, 2, 30), (3, 3, 25), (4, 4, 10)]
-    assert joined.columns == ["id", "name", "tel", "country", "r_id", "age"]
+def test_join(spark, plants):
+    prices = columns.rename_columns(from_elements(spark, PRICES, ["id", "price"]), {"id": "r_id"})
+    joined = joins.join_inner(plants, prices, [("id", "r_id")])
+    assert [(r.id, r.r_id, r.price) for r in joined.orderBy("id").collect()] == [(1, 1, 4.5), (5, 5, 12.0), (9, 9, 30.0)]
+    assert joined.columns == ["id", "species", "height", "country", "r_id", "price"]
 
 
-def test_join_refuses_equal_names(spark, people):
+def test_join_refuses_equal_names(spark, plants):
     with pytest.raises(ValueError, match="id"):
-        joins.join_inner(people, from_elements(spark, AGES, ["id", "age"]), [("id", "id")])
+        joins.join_inner(plants, from_elements(spark, PRICES, ["id", "price"]), [("id", "id")])
 
 
-SPLIT = [(1, "Tra"), (1, "l"), (2, "hello"), (3, "world"), (4, "MyTra"), (4, "l")]
+SPLIT = [(1, "sedge"), (1, "blue"), (3, "fern"), (5, "lily"), (5, "white"), (7, "rose"), (7, "tea"), (7, "red"),
+         (9, "agave"), (9, "")]
 
 
-def test_lateral_split(people):
-    out = joins.lateral_split(people, "name", "i", "a")
+def test_lateral_split(plants):
+    out = joins.lateral_split(plants, "species", "-", "a")
     assert rows(out.select("id", "a")) == sorted(SPLIT, key=str)
-    assert out.columns == ["id", "name", "tel", "country", "a"]
+    assert out.columns == ["id", "species", "height", "country", "a"]
 
 
-def test_lateral_python_function(people):
-    out = joins.join_lateral(people, joins.table_function(pieces, "a STRING"), "name")
+def test_lateral_python_function(plants):
+    split = joins.table_function(lambda text: [(part,) for part in text.split("-")], "a STRING")
+    out = joins.join_lateral(plants, split, "species")
     assert rows(out.select("id", "a")) == sorted(SPLIT, key=str)
 
 
-def test_lateral_without_rows_drops_the_row(people):
-    none_for_hello = joins.table_function(lambda n: iter([] if n == "hello" else [(n,)]), "a STRING")
-    assert sorted(r.id for r in joins.join_lateral(people, none_for_hello, "name").collect()) == [1, 3, 4]
+def test_lateral_without_rows_drops_the_row(plants):
+    none_for_fern = joins.table_function(lambda n: iter([] if n == "fern" else [(n,)]), "a STRING")
+    assert sorted(r.id for r in joins.join_lateral(plants, none_for_fern, "species").collect()) == [1, 5, 7, 9]
 
 
 @pytest.mark.parametrize("separator", ["i", ".", "|", "a+", "\\"])
@@ -125,37 +114,42 @@ def test_split_is_literal(spark, separator):
 
 
 def test_sql_lateral(spark, raw):
-    joins.register_table_function(spark, "profile_of", profile_of, "name STRING, tel INT, country STRING")
-    out = sql_query(spark, "SELECT * FROM {t} AS p, LATERAL profile_of(p.data) AS x(name, tel, country)", t=raw)
-    assert rows(out.drop("data")) == [(i, n, int(t), c) for i, n, t, c in ALL]
-    assert dict(out.dtypes)["tel"] == "int"
+    def flat_plant(data):
+        plant = json.loads(data)
+        return [(plant["species"], plant["height"], plant["origin"]["country"])]
+
+    joins.register_table_function(spark, "flat_plant", flat_plant, "species STRING, height INT, country STRING")
+    out = sql_query(spark, "SELECT * FROM {t} AS p, LATERAL flat_plant(p.data) AS x(species, height, country)", t=raw)
+    assert rows(out.drop("data")) == [(i, n, int(h), c) for i, n, h, c in PLANT_ROWS]
+    assert dict(out.dtypes)["height"] == "int"
 
 
-def test_rename_keeps_position(people):
-    out = columns.rename_columns(people, {"tel": "telephone"})
-    assert out.columns == ["id", "name", "telephone", "country"]
-    assert rows(out) == ALL
+def test_rename_keeps_position(plants):
+    out = columns.rename_columns(plants, {"height": "cm"})
+    assert out.columns == ["id", "species", "cm", "country"]
+    assert rows(out) == PLANT_ROWS
 
 
-def test_replace_keeps_position(people):
-    out = columns.add_or_replace_columns(people, {"id": concat(to_text(F.col("id")), F.lit("_"), F.col("name"))})
-    assert [r.id for r in out.orderBy("id").collect()] == ["1_Trail", "2_hello", "3_world", "4_MyTrail"]
+def test_replace_keeps_position(plants):
+    out = columns.add_or_replace_columns(plants, {"id": concat(F.col("species"), F.lit("#"), to_text(F.col("id")))})
+    assert sorted(r.id for r in out.collect()) == ["agave-#9", "fern#3", "lily-white#5", "rose-tea-red#7", "sedge-blue#1"]
     assert out.dtypes[0] == ("id", "string")
 
 
-def test_column_checks(people):
+def test_column_checks(plants):
     with pytest.raises(ValueError):
-        columns.add_columns(people, {"NAME": F.lit(1)})
+        columns.add_columns(plants, {"SPECIES": F.lit(1)})
     with pytest.raises(ValueError):
-        columns.drop_columns(people, "data")
+        columns.drop_columns(plants, "data")
     with pytest.raises(ValueError):
-        columns.rename_columns(people, {"phone": "telephone"})
+        columns.rename_columns(plants, {"width": "cm"})
     with pytest.raises(ValueError):
-        columns.rename_columns(people, {"tel": "name"})
+        columns.rename_columns(plants, {"height": "species"})
 
 
-def test_swap_names(people):
-    assert columns.rename_columns(people, {"tel": "name", "name": "tel"}).columns == ["id", "tel", "name", "country"]
+def test_swap_names(plants):
+    swapped = columns.rename_columns(plants, {"height": "species", "species": "height"})
+    assert swapped.columns == ["id", "height", "species", "country"]
 
 
 def test_concat_with_null(spark):
@@ -163,30 +157,35 @@ def test_concat_with_null(spark):
     assert rows(df.select(concat(F.col("x"), F.lit("_"), F.col("y")))) == [("a_b",), (None,)]
 
 
-def test_map(spark):
-    df = from_elements(spark, PEOPLE_ROWS, ["id", "data"])
-    out = map_rows(df, country_of, ["id", "data"], "id BIGINT, country STRING")
-    assert rows(out) == [(1, "Germany"), (2, "China"), (3, "China"), (4, "China")]
+def test_map(raw):
+    def tall(row):
+        return row["id"], json.loads(row["data"])["height"] >= 80
+
+    assert rows(map_rows(raw, tall, ["id", "data"], "id BIGINT, tall BOOLEAN")) == [
+        (1, False), (3, False), (5, False), (7, True), (9, True)]
+
 
+def test_flat_map(raw):
+    def beds(key, data):
+        bed = json.loads(data)["origin"]["bed"]
+        return [(key, bed)] * (2 if bed == "pond" else bed != "shade")
 
-def test_flat_map(spark):
-    df = from_elements(spark, PEOPLE_ROWS, ["id", "data"])
-    out = joins.flat_map(df, joins.table_function(city_of, "id BIGINT, city STRING"), "id", "data")
+    out = joins.flat_map(raw, joins.table_function(beds, "id BIGINT, bed STRING"), "id", "data")
     assert out.columns == ["f0", "f1"]
-    assert rows(out) == [(1, "Berlin"), (2, "Shanghai"), (3, "NewYork"), (4, "Hangzhou")]
+    assert rows(out) == [(1, "pond"), (1, "pond"), (5, "pond"), (5, "pond"), (7, "north"), (9, "south")]
 
 
-def test_count_sum(people_rows):
-    want = [("China", 3, 291), ("Germany", 1, 123)]
-    assert rows(group_count_sum(people_rows, ["country"], to_bigint(F.col("tel")))) == want
-    assert rows(aggregate(people_rows, ["country"], CountSum("tel"), ["tel"])) == want
+def test_count_sum(plants):
+    want = [("Kenya", 1, 80), ("Norway", 1, 30), ("Peru", 3, 300)]
+    assert rows(group_count_sum(plants, ["country"], to_bigint(F.col("height")))) == want
+    assert rows(aggregate(plants, ["country"], CountSum("height"), ["height"])) == want
 
 
-def test_top2(people_rows):
-    want = [("China", 124), ("China", 135), ("Germany", 123)]
-    numbered = people_rows.withColumn("tel", to_bigint(F.col("tel")))
-    assert rows(top_per_group(numbered, ["country"], "tel")) == want
-    assert rows(aggregate(people_rows, ["country"], Largest("tel"), ["tel"])) == want
+def test_top2(plants):
+    want = [("Kenya", 80), ("Norway", 30), ("Peru", 210), ("Peru", 45)]
+    numbered = plants.withColumn("height", to_bigint(F.col("height")))
+    assert rows(top_per_group(numbered, ["country"], "height")) == want
+    assert rows(aggregate(plants, ["country"], Largest("height"), ["height"])) == want
 
 
 def test_largest_takes_no_change_log(spark):
@@ -212,13 +211,13 @@ def test_strict_and_lenient_integers(spark):
         df.select(to_bigint(F.col("t"))).collect()
 
 
-def test_schema_and_plans(spark, people, capsys):
-    assert schema_lines(people) == ["`id` BIGINT", "`name` STRING", "`tel` STRING", "`country` STRING"]
-    print_schema(people)
-    assert "`tel` STRING" in capsys.readouterr().out
-    text = explain(people)
+def test_schema_and_plans(spark, plants, capsys):
+    assert schema_lines(plants) == ["`id` BIGINT", "`species` STRING", "`height` STRING", "`country` STRING"]
+    print_schema(plants)
+    assert "`height` STRING" in capsys.readouterr().out
+    text = explain(plants)
     assert "Analyzed Logical Plan" in text and "Physical Plan" in text
-    assert "Optimized Logical Plan" in explain_sql(spark, "SELECT name FROM {p}", p=people)
+    assert "Optimized Logical Plan" in explain_sql(spark, "SELECT species FROM {p}", p=plants)
 
 
 def test_declared_types(spark):
