@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import STRICT
+from millrace.functions.jsons import STRICT, is_json
 
 
 @dataclass(frozen=True)
@@ -124,8 +124,8 @@ def _parsed(schema: T.StructType | str) -> Column:
 
 
 def _fits() -> Column:
-    # An array would be read as its first element.
-    is_object = F.coalesce(F.col("value").rlike(r"^\s*\{"), F.lit(False))
+    # Of an array the reader takes the first element, and of text after an object it takes no notice.
+    is_object = is_json(F.col("value")) & F.coalesce(F.col("value").rlike(r"^\s*\{"), F.lit(False))
     return is_object & F.col("j").isNotNull() & F.col(f"j.{BAD}").isNull()
 
 
