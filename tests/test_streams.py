@@ -138,7 +138,7 @@ def test_timers_on_a_stream(spark, folder, spread):
     assert got == sorted((name, s, {"gas": 11.0, "water": 6.0}[name]) for name, s in TIMERS)
 
 
-FAR = [("roof", 3, 253402250400), ("roof", 4, None), ("cellar", 5, 1), ("roof", 6, 1)]
+FAR = [("roof", 3.0, 253402250400), ("roof", 4.0, None), ("cellar", 5.0, 1), ("roof", 6.0, 1)]
 
 
 @pytest.mark.parametrize("spread", [1, 3])
