@@ -2,28 +2,47 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.catalog.batch import DAY_COUNTS, K, MINUTE_COUNTS, TOP2
 from millrace.catalog.inputs import events, k
 from millrace.catalog.registry import registered
-from millrace.operators.joins import join_inner
+from millrace.operators.joins import join_inner, join_within
 from millrace.operators.rows import distinct_rows
 from millrace.operators.userdefined import CountSum, Largest
 from millrace.operators.windows import tumbling_count, window_bounds
 from millrace.session import scratch_dir
-from millrace.sources.tables import stream_table
+from millrace.sources.tables import load_table, stream_table
 from millrace.streaming import stateful
 from millrace.streaming.bounded import run_available, run_in_phases, run_to_end
 from millrace.streaming.eventtime import merge_watermarked, watermark_bounded, watermark_monotonous
 
-# All input is one micro-batch, so every timer sees the whole sum.
+# Lateness beyond the table's span: no timer fires before all rows are in, however they are split into micro-batches.
+BEYOND = "4000 days"
 TIMERS = """
     SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 2000 AS timer_ms,
            round(sum(value) OVER (PARTITION BY user_id), 2) AS "sum"
     FROM events"""
 
 
+def in_files(spark, d, table, columns, time=None, n=3):
+    """The table as a stream of several micro-batches: in order of ``time``, or dealt out without order."""
+    folder = scratch_dir(spark, f"laid-{table}")
+    df = load_table(spark, d, table).select(*columns)
+    if time:
+        at = F.unix_micros(time)
+        cuts = df.select(at.cast("double").alias("t")).approxQuantile("t", [i / n for i in range(1, n)], 0.01)
+        bounds = [float("-inf"), *cuts, float("inf")]
+        parts = [df.filter((at >= a) & (at < b)) for a, b in zip(bounds[:-1], bounds[1:])]
+    else:
+        parts = [df.filter(F.pmod(F.xxhash64(*columns), F.lit(n)) == i) for i in range(n)]
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def _minute_counts(df):
     counted = df.groupBy(F.window("ts", "1 minute").alias("w")).agg(F.count("*").alias("event_count"))
     return counted.select(*window_bounds(F.col("w")), "event_count")
@@ -32,7 +51,7 @@ def _minute_counts(df):
 @registered("watermark_monotonous", DAY_COUNTS)
 def _(spark, d):
     return run_to_end(
-        stream_table(spark, d, "events").select("event_type", "ts"), "ts", watermark_monotonous,
+        in_files(spark, d, "events", ["event_type", "ts"], "ts"), "ts", watermark_monotonous,
         lambda e: tumbling_count(e, ["event_type"], "ts", "1 day"),
     )
 
@@ -40,7 +59,7 @@ def _(spark, d):
 @registered("watermark_bounded", DAY_COUNTS)
 def _(spark, d):
     return run_to_end(
-        stream_table(spark, d, "events").select("event_type", "ts"), "ts", watermark_bounded("2 seconds"),
+        in_files(spark, d, "events", ["event_type", "ts"], "ts"), "ts", watermark_bounded("2 seconds"),
         lambda e: tumbling_count(e, ["event_type"], "ts", "1 day"),
     )
 
@@ -48,14 +67,14 @@ def _(spark, d):
 @registered("watermark_5s", MINUTE_COUNTS)
 def _(spark, d):
     return run_to_end(
-        stream_table(spark, d, "events").select("ts"), "ts", watermark_bounded("5 seconds"), _minute_counts
+        in_files(spark, d, "events", ["ts"], "ts"), "ts", watermark_bounded("5 seconds"), _minute_counts
     )
 
 
 @registered("bounded_flush", MINUTE_COUNTS)
 def _(spark, d):
     return run_to_end(
-        stream_table(spark, d, "events").select("ts"), "ts", watermark_monotonous, _minute_counts
+        in_files(spark, d, "events", ["ts"], "ts"), "ts", watermark_monotonous, _minute_counts
     )
 
 
@@ -80,15 +99,17 @@ def _(spark, d):
 
 @registered("partition_watermark", DAY_COUNTS)
 def _(spark, d):
-    # Two partitions of a topic, laid down as folders.
+    # Two partitions of a topic: all others are there at once, errors come in several micro-batches. Were the
+    # watermark that of the fastest partition, all errors but the first would be late.
     folder = scratch_dir(spark, "partitions")
     df = events(spark, d).select("event_type", "ts")
-    part = F.when(F.col("event_type") == "error", 0).otherwise(1)
-    df.withColumn("part", part).write.partitionBy("part").parquet(folder)
-    parts = [spark.readStream.schema(df.schema).parquet(f"{folder}/part={i}") for i in (0, 1)]
+    df.filter("event_type <> 'error'").coalesce(1).write.parquet(folder)
+    others = spark.readStream.schema(df.schema).parquet(folder)
+    errors = in_files(spark, d, "events", ["event_type", "ts"], "ts").filter("event_type = 'error'")
     return run_to_end(
-        parts, "ts", watermark_monotonous,
+        [errors, others], "ts", watermark_monotonous,
         lambda *p: tumbling_count(merge_watermarked(p), ["event_type"], "ts", "1 day"),
+        strict_late=True,
     )
 
 
@@ -105,18 +126,20 @@ def _(spark, d):
 @registered("keyed_sum_timers_stream", TIMERS)
 def _(spark, d):
     sums = run_to_end(
-        stream_table(spark, d, "events").select("user_id", "ts", "value"), "ts", watermark_bounded("2 seconds"),
+        in_files(spark, d, "events", ["user_id", "ts", "value"]), "ts", watermark_bounded(BEYOND),
         lambda e: stateful.keyed_sum_at_timers(e, ["user_id"], "ts", "value"),
     )
     return sums.withColumn("sum", F.round("sum", 2))
 
 
-@registered("state_ttl", TIMERS)
+@registered("state_ttl", """
+    SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 2000 AS timer_ms, CAST(NULL AS DOUBLE) AS "sum" FROM events""")
 def _(spark, d):
     sums = run_to_end(
-        stream_table(spark, d, "events").select("user_id", "ts", "value"), "ts", watermark_bounded("2 seconds"),
-        lambda e: stateful.keyed_sum_at_timers(e, ["user_id"], "ts", "value", ttl_seconds=86_400),
+        in_files(spark, d, "events", ["user_id", "ts", "value"]), "ts", watermark_bounded(BEYOND),
+        lambda e: stateful.keyed_sum_at_timers(e, ["user_id"], "ts", "value", ttl_seconds=0),
     )
+    # Timers fire in a later micro-batch than their rows: by then each sum has run out.
     return sums.withColumn("sum", F.round("sum", 2))
 
 
@@ -125,7 +148,7 @@ def _(spark, d):
 def _(spark, d):
     log = run_available(
         stateful.changelog_aggregate(
-            stream_table(spark, d, "events").withColumn("k", k()),
+            in_files(spark, d, "events", ["event_id", "event_type", "props"]).withColumn("k", k()),
             ["event_type"],
             {"cnt": ("count", "event_id"), "max_k": ("max", "k")},
         )
@@ -140,7 +163,7 @@ def _(spark, d):
 @registered("keyed_sum_timers_spread", TIMERS)
 def _(spark, d):
     sums = run_to_end(
-        stream_table(spark, d, "events").select("user_id", "ts", "value"), "ts", watermark_bounded("2 seconds"),
+        in_files(spark, d, "events", ["user_id", "ts", "value"]), "ts", watermark_bounded(BEYOND),
         lambda e: stateful.keyed_sum_at_timers(e, ["user_id"], "ts", "value", spread=4),
     )
     return sums.withColumn("sum", F.round("sum", 2))
@@ -149,7 +172,7 @@ def _(spark, d):
 @registered("udaf_stream", f"""
     SELECT user_id, count(*) AS cnt, CAST(sum({K}) AS BIGINT) AS "sum" FROM events GROUP BY user_id""")
 def _(spark, d):
-    df = stream_table(spark, d, "events").withColumn("k", k())
+    df = in_files(spark, d, "events", ["event_id", "user_id", "event_type", "props"]).withColumn("k", k())
     log = run_available(stateful.user_aggregate(df, ["user_id"], CountSum("k"), ["k"]))
     sign = F.when(F.col("op").startswith("-"), -1).otherwise(1)
     return log.groupBy("user_id").agg(F.sum(sign * F.col("cnt")).alias("cnt"), F.sum(sign * F.col("sum")).alias("sum"))
@@ -157,10 +180,13 @@ def _(spark, d):
 
 @registered("udtaf_stream", TOP2)
 def _(spark, d):
-    df = stream_table(spark, d, "events").withColumn("k", k())
+    df = in_files(spark, d, "events", ["event_id", "user_id", "event_type", "props"]).withColumn("k", k())
     log = run_available(stateful.user_aggregate(df, ["event_type"], Largest("k"), ["k"]))
-    # All input is one micro-batch, so nothing is taken back.
-    return log.filter("op = '+I'").drop("op")
+    # What is given minus what is taken back, row by row, leaves the last result.
+    sign = F.when(F.col("op").startswith("-"), -1).otherwise(1)
+    columns = [c for c in log.columns if c != "op"]
+    left = log.groupBy(*columns).agg(F.sum(sign).alias("n")).filter("n > 0")
+    return left.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("n")
 
 
 @registered("join_streams", """
@@ -182,3 +208,70 @@ def _(spark, d):
         watermark_monotonous,
         lambda e: stateful.window_process(e, ["user_id"], "ts", "1 day", CountSum("k"), ["k"]),
     )
+
+
+GAP_MS = 86_400_000
+
+
+class Sessions(StatefulProcessor):
+    """A user's own processor: counts events until none has come for a day."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("session", "cnt BIGINT, last_ms BIGINT")
+
+    def _closed(self, key, cnt, last):
+        return Row(user_id=key[0], closed_ms=last + GAP_MS, cnt=cnt)
+
+    def handleInputRows(self, key, rows, timerValues):
+        cnt, last = self.state.get() or (0, 0)
+        for ms in sorted(row["ms"] for row in rows):
+            if cnt and ms - last > GAP_MS:
+                yield self._closed(key, cnt, last)
+                cnt = 0
+            cnt, last = cnt + 1, ms
+        self.state.update((cnt, last))
+        self.handle.registerTimer(last + GAP_MS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        stored = self.state.get()
+        # A timer of an earlier event finds the session still open.
+        if stored and stored[1] + GAP_MS <= timerValues.getCurrentWatermarkInMs():
+            self.state.clear()
+            yield self._closed(key, *stored)
+
+    def close(self) -> None:
+        pass
+
+
+@registered("keyed_process_own", f"""
+    WITH e AS (SELECT user_id, epoch_us(ts) // 1000 AS ms FROM events),
+         g AS (SELECT *, CASE WHEN ms - lag(ms) OVER (PARTITION BY user_id ORDER BY ms) <= {GAP_MS} THEN 0 ELSE 1 END AS fresh
+               FROM e),
+         n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ms, fresh ROWS UNBOUNDED PRECEDING) AS nth FROM g)
+    SELECT user_id, max(ms) + {GAP_MS} AS closed_ms, count(*) AS cnt FROM n GROUP BY user_id, nth""")
+def _(spark, d):
+    return run_to_end(
+        in_files(spark, d, "events", ["user_id", "ts"], "ts"), "ts", watermark_monotonous,
+        lambda e: stateful.process_keyed(
+            e.select("user_id", "ts", F.unix_millis("ts").alias("ms")), ["user_id"], Sessions(),
+            "user_id BIGINT, closed_ms BIGINT, cnt BIGINT"),
+    )
+
+
+@registered("join_streams_within", """
+    SELECT c.event_id AS click_id, p.event_id AS purchase_id
+    FROM events AS c JOIN events AS p ON c.user_id = p.user_id AND p.ts BETWEEN c.ts AND c.ts + INTERVAL 30 DAYS
+    WHERE c.event_type = 'click' AND p.event_type = 'purchase'""")
+def _(spark, d):
+    columns = ["event_id", "user_id", "event_type", "ts"]
+    clicks = in_files(spark, d, "events", columns, "ts").filter("event_type = 'click'").select("ts", "user_id", "event_id")
+    bought = in_files(spark, d, "events", columns, "ts").filter("event_type = 'purchase'").select("ts", "user_id", "event_id")
+    joined = run_to_end(
+        [clicks, bought], "ts", watermark_monotonous,
+        lambda c, p: join_within(
+            c.select("user_id", F.col("ts").alias("clicked"), F.col("event_id").alias("click_id")),
+            p.select(F.col("user_id").alias("buyer"), F.col("ts").alias("paid"), F.col("event_id").alias("purchase_id")),
+            [("user_id", "buyer")], "clicked", "paid", "30 DAYS"),
+    )
+    return joined.select("click_id", "purchase_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,21 @@ def join_inner(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]])
     return left.join(right, condition, "inner")
 
 
+def join_within(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_time: str, right_time: str, within: str
+) -> DataFrame:
+    """Inner equi-join of rows whose right time is at most ``within`` after the left one.
+
+    On streams with watermarks on both times, state is freed once the watermark
+    has passed what a row can still meet. A hot key sits in one state partition,
+    as state is not split at run time; the time bound is what limits it.
+    """
+    latest = F.col(left_time) + F.expr(f"INTERVAL {within}")
+    bound = (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= latest)
+    equal = [F.col(a) == F.col(b) for a, b in on]
+    return left.join(right, reduce(Column.__and__, equal, bound), "inner")
+
+
 def lateral_split(df: DataFrame, column: str, separator: str, alias: str) -> DataFrame:
     """One row per piece of a text column, beside the row it came from."""
     return df.withColumn(alias, F.explode(split_text(F.col(column), separator)))
