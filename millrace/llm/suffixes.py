@@ -44,7 +44,8 @@ PROVED = 32
 IN_WINDOW = LENGTH - GRAM + 1
 SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 20
 #: Text for which one more part is made.
-PART_BYTES = 4 << 20
+PART_BYTES = 8 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 40, 100_000
 #: Occurrences, added up over shards, from which an anchor is hot.
 HOT = 4096
 #: Stretches of so many bytes together get one suffix array.
@@ -69,6 +70,42 @@ def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
             for kind, a, b in zip(kinds, ends[:-1], ends[1:])]
 
 
+class Squeeze:
+    """Compresses short pieces of text, with a sample of the corpus to refer back to."""
+
+    def __init__(self, sample: bytes):
+        known = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
+        self.press, self.back = zstandard.ZstdCompressor(9, known), zstandard.ZstdDecompressor(known)
+
+
+def noted(part: np.ndarray, piece: np.ndarray, low: np.ndarray, size: np.ndarray, parts: int) -> bytes:
+    """Occurrences of stretches by part, in few bytes.
+
+    Stretches of a part are numbered as they first occur, so a new one needs
+    no number and one seen before only how far back its number is.
+    """
+    by = np.argsort(part, kind="stable")
+    part, piece, low = part[by].astype("int64"), piece[by].astype("int64"), low[by].astype("int64")
+    highest = np.maximum.accumulate(part << 32 | piece) if len(part) else part
+    before = np.append(-1, highest[:-1])[: len(part)]
+    next_new = np.where(before >> 32 == part, before - (part << 32) + 1, 0)
+    back = np.where(piece == next_new, 0, next_new - piece)
+    step = np.diff(low, prepend=0)
+    return packed(np.bincount(part, minlength=parts).astype("uint32"), back.astype("uint32"), step.astype("int32"),
+                  size[by].astype("uint8"))
+
+
+def occurrences(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(part, piece, low, size) as they were noted, in order of part."""
+    counts, back, step, size = unpacked(blob, "uint32", "uint32", "int32", "uint8")
+    part = np.repeat(np.arange(len(counts)), counts)
+    new = np.cumsum(back == 0)
+    ends = np.cumsum(counts, dtype="int64")
+    base = np.append(0, new)[ends - counts]
+    next_new = new - (back == 0) - base[part]
+    return part, next_new - back, np.cumsum(step, dtype="int64"), size.astype("int64")
+
+
 def words_at(body: np.ndarray, order: str = "<") -> np.ndarray:
     """The 8 bytes from each position on as one number; zeros follow the end."""
     padded = np.concatenate([body, np.zeros(16, "uint8")])
@@ -303,10 +340,11 @@ def in_common(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["shard", "blob"])
 
 
-def cut_out(parts: int) -> object:
+def cut_out(parts: int, sample: bytes) -> object:
     """A shard's stretches around shared anchors, equal ones once, by part; and where each occurs."""
     def run(bodies: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         columns = ["shard", "part", "blob"]
+        squeeze = Squeeze(sample)
         if not len(wanted) or not len(bodies):
             return pd.DataFrame({"shard": [], "part": [], "blob": []}).astype({"shard": "int64", "part": "int64"})
         shard = int(bodies["shard"].iloc[0])
@@ -342,54 +380,57 @@ def cut_out(parts: int) -> object:
                 least[p].append(i)
             elif i < least[p][q]:
                 least[p][q] = i
-        out = [(shard, -1, packed(np.array(part, "uint32"), piece, low.astype("uint32"), size.astype("uint16")))]
+        out = [(shard, -1, noted(np.array(part, "int64"), piece, low, size, parts))]
         for p, known in enumerate(places):
             if known:
                 sizes = np.array([len(t) for t in known], "uint8")
-                out.append((shard, p, packed(sizes, np.array(least[p], "int64"), np.frombuffer(b"".join(known), "uint8"))))
+                out.append((shard, p, packed(sizes, np.array(least[p], "int64"), np.frombuffer(squeeze.press.compress(b"".join(known)), "uint8"))))
         return pd.DataFrame(out, columns=columns)
     return run
 
 
-def answered(pdf: pd.DataFrame) -> pd.DataFrame:
+def answered(sample: bytes) -> object:
     """For each shard's stretches in a part: how far below the shard's own smallest id the smallest of all is.
 
     One number for a stretch whose strings have the same, else one for each string.
     """
-    known: dict[bytes, int] = {}
-    least: list[int] = []
-    asked, held = [], []
-    for blob in pdf["blob"]:
-        sizes, ids, text = unpacked(blob, "uint8", "int64", "uint8")
-        text, end = text.tobytes(), np.cumsum(sizes, dtype="int64")
-        mine = np.empty(len(sizes), "int64")
-        for k, (a, b, i) in enumerate(zip((end - sizes).tolist(), end.tolist(), ids.tolist())):
-            q = mine[k] = known.setdefault(text[a:b], len(known))
-            if q == len(least):
-                least.append(i)
-            elif i < least[q]:
-                least[q] = i
-        asked.append(mine)
-        held.append(ids)
-    pieces = list(known)
-    sizes = np.array([len(p) for p in pieces])
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES)) + 1
-    bounds = [0, *cuts.tolist(), len(pieces)]
-    ids = np.array(least, "int64")
-    blocks = [distinct_strings(pieces[a:b], ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-    strings, best = merged([(s, i.copy()) for s, i, _ in blocks])
-    by_start = np.concatenate([best[np.searchsorted(strings, s)][number] for s, _, number in blocks])
-    count = sizes - LENGTH + 1
-    first = np.cumsum(count) - count
-    low, high = np.minimum.reduceat(by_start, first), np.maximum.reduceat(by_start, first)
-    out = []
-    for shard, part, mine, own in zip(pdf["shard"], pdf["part"], asked, held):
-        even = low[mine] == high[mine]
-        odd = mine[~even]
-        n = count[odd]
-        at = np.repeat(first[odd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        out.append((shard, part, packed(even, (own - low[mine])[even], np.repeat(own[~even], n) - by_start[at])))
-    return pd.DataFrame(out, columns=["shard", "part", "blob"])
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        squeeze = Squeeze(sample)
+        known: dict[bytes, int] = {}
+        least: list[int] = []
+        asked, held = [], []
+        for blob in pdf["blob"]:
+            sizes, ids, text = unpacked(blob, "uint8", "int64", "uint8")
+            text, end = squeeze.back.decompress(text.tobytes()), np.cumsum(sizes, dtype="int64")
+            mine = np.empty(len(sizes), "int64")
+            for k, (a, b, i) in enumerate(zip((end - sizes).tolist(), end.tolist(), ids.tolist())):
+                q = mine[k] = known.setdefault(text[a:b], len(known))
+                if q == len(least):
+                    least.append(i)
+                elif i < least[q]:
+                    least[q] = i
+            asked.append(mine)
+            held.append(ids)
+        pieces = list(known)
+        sizes = np.array([len(p) for p in pieces])
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES)) + 1
+        bounds = [0, *cuts.tolist(), len(pieces)]
+        ids = np.array(least, "int64")
+        blocks = [distinct_strings(pieces[a:b], ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        strings, best = merged([(s, i.copy()) for s, i, _ in blocks])
+        by_start = np.concatenate([best[np.searchsorted(strings, s)][number] for s, _, number in blocks])
+        count = sizes - LENGTH + 1
+        first = np.cumsum(count) - count
+        low, high = np.minimum.reduceat(by_start, first), np.maximum.reduceat(by_start, first)
+        out = []
+        for shard, part, mine, own in zip(pdf["shard"], pdf["part"], asked, held):
+            even = low[mine] == high[mine]
+            odd = mine[~even]
+            n = count[odd]
+            at = np.repeat(first[odd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out.append((shard, part, packed(even, (own - low[mine])[even], np.repeat(own[~even], n) - by_start[at])))
+        return pd.DataFrame(out, columns=["shard", "part", "blob"])
+    return run
 
 
 def smallest(reply: bytes, piece: np.ndarray, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -414,13 +455,12 @@ def finished(bodies: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         gone = np.zeros(len(body) + 1, "int64")
         replies = {p: b for p, b in zip(told["part"], told["blob"]) if p >= 0}
         for blob in told["blob"][told["part"] < 0]:
-            part, piece, low, size = (x.astype("int64") for x in unpacked(blob, "uint32", "uint32", "uint32", "uint16"))
-            by = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[by], np.arange(part.max() + 2)) if len(part) else [0]
+            part, piece, low, size = occurrences(blob)
+            cuts = np.searchsorted(part, np.arange(part.max() + 2)) if len(part) else [0]
             for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if a == b:
                     continue
-                mine = by[a:b]
+                mine = slice(a, b)
                 n = size[mine]
                 least, first = smallest(replies[p], piece[mine], n, ids[np.searchsorted(ends, low[mine], side="right")])
                 step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -462,14 +502,17 @@ def without_repeats(documents: DataFrame) -> DataFrame:
 
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // PART_BYTES))
+    # Only an aid to compression: any pieces of text do, and they need not be many.
+    some = texts.select(F.substring("text", 1, SAMPLE_BYTES // SAMPLE_ROWS).alias("text")).filter("text IS NOT NULL")
+    sample = "".join(r["text"] for r in some.limit(SAMPLE_ROWS).collect()).encode()
     form = "shard long, part long, blob binary"
     shards = stash_by(rest.mapInPandas(pack(parts), "shard long, part long, body binary, blob binary"), "shard",
                       -(-total // SHARD_BYTES), "shards")
     bodies = shards.filter("body IS NOT NULL").select("shard", "body").groupBy("shard")
     wanted = shards.filter("part IS NOT NULL").select("shard", "part", "blob").groupBy("part").applyInPandas(
         in_common, "shard long, blob binary")
-    pieces = stash(bodies.cogroup(wanted.groupBy("shard")).applyInPandas(cut_out(parts), form), "pieces")
-    replies = pieces.filter("part >= 0").groupBy("part").applyInPandas(answered, form)
+    pieces = stash(bodies.cogroup(wanted.groupBy("shard")).applyInPandas(cut_out(parts, sample), form), "pieces")
+    replies = pieces.filter("part >= 0").groupBy("part").applyInPandas(answered(sample), form)
     told = replies.union(pieces.filter("part < 0")).groupBy("shard")
     return bodies.cogroup(told).applyInPandas(
         finished, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").union(whole)

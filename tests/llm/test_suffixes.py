@@ -69,3 +69,19 @@ def test_odd_rows(odd):
     by = {r["doc_id"]: r for r in rows if r["doc_id"] not in (None, 3)}
     assert (by[0]["n_bytes"], by[0]["n_removed"]) == (0, 0) and by[6]["n_removed"] == 0
     assert bytes(by[10]["kept"]) == b"tab\tvt\x0bff\x0cend"
+
+
+def test_occurrences_come_back():
+    rng = np.random.default_rng(0)
+    part = rng.integers(0, 5, 400)
+    piece = np.zeros(400, "uint32")
+    known = {p: 0 for p in range(5)}
+    for k, p in enumerate(part):
+        new = known[p] == 0 or rng.random() < 0.5
+        piece[k] = known[p] if new else rng.integers(0, known[p])
+        known[p] += new
+    low, size = np.sort(rng.integers(0, 10**6, 400)), rng.integers(1, 35, 400)
+    got = s.occurrences(s.noted(part, piece, low, size, 7))
+    by = np.argsort(part, kind="stable")
+    assert all((a == b[by]).all() for a, b in zip(got, (part, piece, low, size)))
+    assert len(s.occurrences(s.noted(part[:0], piece[:0], low[:0], size[:0], 7))[0]) == 0
