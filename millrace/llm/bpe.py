@@ -26,7 +26,7 @@ from millrace.llm.common import let, literal, text_of
 #: Fixed by the tokenizer: the pattern that cuts text into pieces. White space is Unicode's.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+"
            r"|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+")
-DICTIONARY, CACHED = 200_000, 200_000
+DICTIONARY, CACHED = 100_000, 50_000
 SLOTS = 1 << 16
 NO_RANK = 2**31 - 1
 Pairs = dict[tuple[int, int], int]
