@@ -11,25 +11,36 @@ difference of its two log-likelihoods divided by its number of words. A logistic
 curve turns measure and length into a score; it is fitted on texts measured by
 models that did not count them (two folds).
 
-Bounds: the models know the VOCABULARY most frequent training words, all others
-being one unknown word, and hold at most BIGRAMS bigrams as entries of their own,
-all others being left to the backoff. The curve is fitted on at most FITTED rows.
+Words seen in fewer than LEAST_SEEN training documents, and all new ones, are one
+unknown word. Words and bigrams are counted as tables that grow with the labelled
+text; a word is named by a 64-bit hash, and the rare words of a document come to
+it by a join. Only words and bigrams that differ have a difference other than
+that of their backoff, zero in the end, so these are all that scoring looks up:
+sent to tasks, with the hashes of known words, if a count shows at most SENT of
+them, else joined with the bigrams of the texts. The one bound is that the curve
+is fitted on at most FITTED rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import small_or_not, stash
 
-VOCABULARY, BIGRAMS, FITTED = 32_768, 500_000, 20_000
+FITTED = 20_000
+#: Rows of the model (8 to 40 bytes each) that may be sent to tasks.
+SENT = 1_000_000
+#: At most 3: the two documents of a rarer word are found as the least and the greatest.
 LEAST_SEEN = 3
+CACHED_WORDS = 200_000
 #: Log-likelihood ratio (G2) from which counts of the classes differ beyond chance, over tens of thousands of tests.
 BEYOND_CHANCE = 20.0
 DISCOUNT = 0.75
@@ -37,69 +48,112 @@ THRESHOLD = 0.7
 #: Rows whose id has this remainder are held out.
 FOLDS, HELD_OUT = 3, 1
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "…“”„‘’«»¿¡"
-#: Ids of the unknown word and of a text's start.
+#: Keys of the unknown word and of a text's start; those of other words are hashes.
 UNKNOWN, START = 0, 1
 #: Count columns: class (toxic, ordinary) by fold (first, second).
 CELLS = ("t0", "o0", "t1", "o1")
+#: Models: of one fold, the other, both.
+GROUPS = ("0", "1", "01")
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
     return [w for w in (x.strip(EDGES) for x in (text or "").lower().split()) if w]
 
 
+def hashed(word: str) -> int:
+    h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def within(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Which of the keys are in the sorted ``held``."""
+    if not len(held):
+        return np.zeros(len(keys), bool)
+    return held[np.minimum(np.searchsorted(held, keys), len(held) - 1)] == keys
+
+
+def keys_of(words: list[str], cache: dict[str, int], known: np.ndarray | None = None) -> list[int]:
+    """Keys of words; those not in ``known`` are unknown."""
+    if len(cache) > CACHED_WORDS:
+        cache.clear()
+    new = [w for w in set(words) if w not in cache]
+    if new:
+        keys = np.array([hashed(w) for w in new], "int64")
+        if known is not None:
+            keys = np.where(within(keys, known), keys, UNKNOWN)
+        cache.update(zip(new, keys.tolist()))
+    return [cache[w] for w in words]
+
+
+def joined(previous: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One number for a bigram."""
+    x = (previous.view("uint64") ^ (previous.view("uint64") >> np.uint64(31))) * MIX
+    return ((x ^ (x >> np.uint64(29))) + word.view("uint64")).view("int64")
+
+
 def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents by word and cell."""
+    """Documents by word and cell, and the least and greatest row that has the word."""
     for pdf in batches:
         found: dict[str, list[int]] = {}
-        for text, cell in zip(pdf["text"], pdf["cell"]):
+        for text, cell, row in zip(pdf["text"], pdf["cell"], pdf["row"]):
             for w in set(words_of(text)):
-                found.setdefault(w, [0] * len(CELLS))[cell] += 1
-        yield pd.DataFrame([(w, *c) for w, c in found.items()], columns=["word", *CELLS])
+                x = found.setdefault(w, [0] * len(CELLS) + [row, row])
+                x[cell] += 1
+                x[-2:] = min(x[-2], row), max(x[-1], row)
+        yield pd.DataFrame([(w, hashed(w), *c) for w, c in found.items()],
+                           columns=["word", "key", *CELLS, "least", "greatest"])
 
 
-def coded(texts: pd.Series, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """All bigrams of the texts as ``previous << 32 | word``, and where each text's begin and end."""
+def coded(texts: pd.Series, cache: dict[str, int], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the texts' words, each text with words led by START, and where each text begins and ends."""
     ids: list[int] = []
     ends = [0]
-    get = vocabulary.get
     for text in texts:
         words = words_of(text)
         if words:
             ids.append(START)
-            ids.extend([get(w, UNKNOWN) for w in words])
+            ids.extend(keys_of(words, cache, known))
         ends.append(len(ids))
-    flat = np.array(ids, "int64")
-    keys = np.zeros(len(flat), "int64")
-    keys[1:] = flat[:-1] << 32 | flat[1:]
-    return keys, np.array(ends)
-
+    return np.array(ids, "int64"), np.array(ends)
 
-def count_bigrams(vocabulary) -> object:
-    """Documents by bigram and cell."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            keys, ends = coded(pdf["text"], vocabulary.value)
-            once = [np.unique(keys[a + 1:b]) for a, b in zip(ends[:-1], ends[1:])]
-            cells = np.repeat(pdf["cell"].to_numpy(), [len(x) for x in once])
-            known, at = np.unique(np.concatenate(once), return_inverse=True)
-            table = np.zeros((len(known), len(CELLS)), "int64")
-            np.add.at(table, (at, cells), 1)
-            yield pd.DataFrame(dict(zip(CELLS, table.T)) | {"key": known})
-    return run
 
-
-def beyond_chance(toxic: np.ndarray, ordinary: np.ndarray, n_toxic: float, n_ordinary: float) -> np.ndarray:
-    """Which counts, out of so many documents of each class, differ beyond chance."""
-    share = n_toxic / max(n_toxic + n_ordinary, 1)
-    both = toxic + ordinary
-    with np.errstate(divide="ignore", invalid="ignore"):
-        g = 2 * (np.nan_to_num(toxic * np.log(toxic / (both * share)))
-                 + np.nan_to_num(ordinary * np.log(ordinary / (both * (1 - share)))))
-    return g >= BEYOND_CHANCE
+def count_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents by bigram and cell; the words in ``rare`` are unknown."""
+    cache: dict[str, int] = {}
+    for pdf in batches:
+        flat, ends = coded(pdf["text"], cache)
+        firsts = []
+        for a, b, rare in zip(ends[:-1], ends[1:], pdf["rare"]):
+            if rare is not None and len(rare):
+                flat[a:b][within(flat[a:b], np.sort(np.asarray(rare, "int64")))] = UNKNOWN
+            _, at = np.unique(joined(flat[a:b][:-1], flat[a:b][1:]), return_index=True)
+            firsts.append(a + 1 + at)
+        cells = np.repeat(pdf["cell"].to_numpy(), [len(x) for x in firsts])
+        places = np.concatenate(firsts).astype("int64")
+        previous, word = flat[places - 1], flat[places]
+        _, first, at = np.unique(joined(previous, word), return_index=True, return_inverse=True)
+        table = np.zeros((len(first), len(CELLS)), "int64")
+        np.add.at(table, (at, cells), 1)
+        yield pd.DataFrame(dict(zip(CELLS, table.T)) | {"previous": previous[first], "word": word[first]})
+
+
+def text_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Bigrams of each text and how often; a text without words has one row that counts nothing."""
+    cache: dict[str, int] = {}
+    for pdf in batches:
+        flat, ends = coded(pdf["text"], cache)
+        for a, b, key, which in zip(ends[:-1], ends[1:], pdf["key"], pdf["which"]):
+            if a == b:
+                yield pd.DataFrame({"key": [key], "which": [which], "previous": [START], "word": [START], "n": [0]})
+                continue
+            previous, word = flat[a:b - 1], flat[a + 1:b]
+            _, at, n = np.unique(joined(previous, word), return_index=True, return_counts=True)
+            yield pd.DataFrame({"key": key, "which": which, "previous": previous[at], "word": word[at], "n": n})
 
 
 def g2(toxic: list[str], ordinary: list[str], documents: dict[str, int]) -> Column:
-    """The statistic of ``beyond_chance`` over count columns."""
+    """Log-likelihood ratio of counts, out of so many documents of each class."""
     n_toxic, n_ordinary = sum(documents[c] for c in toxic), sum(documents[c] for c in ordinary)
     share = n_toxic / max(n_toxic + n_ordinary, 1)
     a, b = sum((F.col(c) for c in toxic), F.lit(0)), sum((F.col(c) for c in ordinary), F.lit(0))
@@ -110,59 +164,31 @@ def g2(toxic: list[str], ordinary: list[str], documents: dict[str, int]) -> Colu
     return 2 * (term(a, share) + term(b, 1 - share))
 
 
-#: A model as plain arrays, which need no class on the workers: the log-likelihood difference ``words`` by word, and
-#: of the sorted bigram ``keys`` as ``entries``.
+#: What scoring looks up, as plain arrays, which need no class on the workers: sorted keys of known words, of words and
+#: bigrams that differ, and their differences by model; NaN where a bigram has none of its own.
 Model = dict[str, np.ndarray]
 
 
-def difference(model: Model, keys: np.ndarray) -> np.ndarray:
+def difference(model: Model, which: int, previous: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Log-likelihood difference of each bigram: its own entry, or what it backs off to."""
-    out, held = model["words"][keys & 0xFFFFFFFF], model["keys"]
-    if len(held):
-        at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
-        out = np.where(held[at] == keys, model["entries"][at], out)
+    out = np.zeros(len(word))
+    if len(held := model["words"]):
+        at = np.minimum(np.searchsorted(held, word), len(held) - 1)
+        out = np.where(held[at] == word, model["by_word"][at, which], out)
+    if len(held := model["joined"]):
+        at = np.minimum(np.searchsorted(held, joined(previous, word)), len(held) - 1)
+        own = model["by_pair"][at, which]
+        out = np.where((model["previous"][at] == previous) & (model["word"][at] == word) & ~np.isnan(own), own, out)
     return out
 
 
-def fitted_model(words: pd.DataFrame, bigrams: pd.DataFrame, contexts: pd.DataFrame, follows: pd.DataFrame,
-                 documents: dict[str, int], folds: tuple[int, ...]) -> Model:
-    """Kneser-Ney estimates of both classes from the counts of some folds."""
-    size, name = len(words), "".join(map(str, folds))
-
-    def of(table: pd.DataFrame, c: str) -> np.ndarray:
-        return sum(table[f"{c}{f}"].to_numpy() for f in folds)
-
-    def spread(table: pd.DataFrame, values) -> np.ndarray:
-        out = np.zeros(size)
-        out[table["key"]] = values
-        return out
-
-    docs = {c: sum(documents[f"{c}{f}"] for f in folds) for c in "to"}
-    shared = spread(follows, follows[f"s{name}"]) + 1.0
-    shared /= shared.sum()
-    differ = beyond_chance(of(words, "t"), of(words, "o"), docs["t"], docs["o"])
-    own = beyond_chance(of(bigrams, "t"), of(bigrams, "o"), docs["t"], docs["o"])
-    keys = bigrams["key"].to_numpy()[own]
-    previous, word = keys >> 32, keys & 0xFFFFFFFF
-    log_word, log_pair = [], []
-    for c in "to":
-        cont = spread(follows, follows[f"n{c}{name}"])
-        n = max(cont.sum(), 1.0)
-        rest = DISCOUNT * np.count_nonzero(cont) / n if cont.any() else 1.0
-        p_word = np.where(differ, np.maximum(cont - DISCOUNT, 0) / n + rest * shared, shared)
-        total, kinds = spread(contexts, of(contexts, c)), spread(contexts, contexts[f"n{c}{name}"])
-        left = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-        seen = np.maximum(of(bigrams, c)[own] - DISCOUNT, 0) / np.maximum(total[previous], 1)
-        log_word.append(np.log(p_word))
-        log_pair.append(np.log(seen + left[previous] * p_word[word]))
-    return {"words": log_word[0] - log_word[1], "keys": keys, "entries": log_pair[0] - log_pair[1]}
-
-
-def measured(models, vocabulary, pick) -> object:
+def measured(model, pick) -> object:
     """Adds n_words and the mean difference per word, by the model that ``pick`` names for a row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache: dict[str, int] = {}
         for pdf in batches:
-            keys, ends = coded(pdf["text"], vocabulary.value)
+            flat, ends = coded(pdf["text"], cache, model.value["known"])
+            previous = np.concatenate([flat[:1], flat[:-1]])
             which = pick(pdf)
             gaps = np.diff(ends)
             lengths = np.maximum(gaps - 1, 0)
@@ -172,7 +198,7 @@ def measured(models, vocabulary, pick) -> object:
                 inner = np.repeat(rows, gaps)
                 inner[ends[:-1][gaps > 0]] = False
                 owner = np.repeat(np.arange(len(pdf)), gaps)[inner]
-                sums += np.bincount(owner, difference(models.value[m], keys[inner]), len(pdf))
+                sums += np.bincount(owner, difference(model.value, m, previous[inner], flat[inner]), len(pdf))
             out = pdf.drop(columns="text")
             out["n_words"], out["measure"] = lengths, sums / np.maximum(lengths, 1)
             yield out
@@ -197,20 +223,80 @@ def curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+@dataclass
+class Tables:
+    """A fitted model: ``known`` (word, key, seen), and differences ``m0``, ``m1``, ``m01`` by model of words (key) and
+    of bigrams (previous, word)."""
+
+    known: DataFrame
+    words: DataFrame
+    pairs: DataFrame
+
+    @cached_property
+    def sent(self) -> object | None:
+        """The model as a broadcast, or None if it has too many rows."""
+        parts = (self.known.select("key"), self.words, self.pairs)
+        if any(p.limit(SENT + 1).count() > SENT for p in parts):
+            return None
+        known, words, pairs = (p.toPandas() for p in parts)
+        words = words.sort_values("key")
+        code = joined(pairs["previous"].to_numpy("int64"), pairs["word"].to_numpy("int64"))
+        order, columns = np.argsort(code), [f"m{g}" for g in GROUPS]
+        model = {"known": np.sort(known["key"].to_numpy("int64")), "words": words["key"].to_numpy("int64"),
+                 "by_word": words[columns].to_numpy(float), "joined": code[order],
+                 "by_pair": pairs[columns].to_numpy(float)[order],
+                 "previous": pairs["previous"].to_numpy("int64")[order], "word": pairs["word"].to_numpy("int64")[order]}
+        return self.known.sparkSession.sparkContext.broadcast(model)
+
+    def measures(self, texts: DataFrame) -> DataFrame:
+        """(key, n_words, measure) of rows (key, text, which), by the model at that place in GROUPS."""
+        kind = texts.schema["key"].dataType.simpleString()
+        if self.sent is not None:
+            return texts.mapInPandas(
+                measured(self.sent, lambda pdf: pdf["which"].to_numpy()),
+                f"key {kind}, which int, n_words long, measure double").drop("which")
+        rows = texts.mapInPandas(text_bigrams, f"key {kind}, which int, previous long, word long, n long")
+        start = self.known.sparkSession.createDataFrame([(START,)], "key long")
+        known = self.known.select("key").union(start)
+        for column in ("previous", "word"):
+            here = known.select(F.col("key").alias(column), F.lit(True).alias("here"))
+            rows = rows.join(small_or_not(here), column, "left").withColumn(
+                column, F.when(F.col("here"), F.col(column)).otherwise(UNKNOWN)).drop("here")
+
+        def by_model(name: str) -> Column:
+            return F.array(*[F.col(f"m{g}") for g in GROUPS]).alias(name)
+
+        pairs = self.pairs.select("previous", "word", by_model("own"))
+        words = self.words.select(F.col("key").alias("word"), by_model("back"))
+        rows = rows.join(small_or_not(pairs), ["previous", "word"], "left").join(small_or_not(words), "word", "left")
+        gap = F.coalesce(F.get("own", "which"), F.get("back", "which"), F.lit(0.0))
+        sums = rows.groupBy("key").agg(F.sum("n").alias("n_words"), F.sum(F.col("n") * gap).alias("total"))
+        return sums.select("key", "n_words", (F.col("total") / F.greatest("n_words", F.lit(1))).alias("measure"))
+
+
 @dataclass
 class Scorer:
-    """What scoring needs, all of bounded size."""
+    """Tables of the model, and weights of the curve."""
 
-    vocabulary: dict[str, int]
-    models: list[Model]
+    tables: Tables
     weights: np.ndarray
 
-    def column(self, spark: SparkSession, text: str = "text") -> Column:
-        """The score of a text column; null and empty texts get the score of no words."""
-        vocabulary = spark.sparkContext.broadcast(self.vocabulary)
-        models = spark.sparkContext.broadcast(self.models[-1:])
+    def with_score(self, documents: DataFrame, score: str = "score") -> DataFrame:
+        """Adds the score of the column text; null and empty texts get the score of no words."""
+        if self.tables.sent is not None:
+            return documents.withColumn(score, self._column())
+        key = "__text_key"
+        keyed = documents.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))
+        texts = keyed.groupBy(F.col(key).alias("key")).agg(F.first("text").alias("text"))
+        size, m = F.log1p("n_words"), F.col("measure")
+        z = sum(w * x for w, x in zip(map(float, self.weights), (F.lit(1.0), m, m * F.sqrt("n_words"), m * size, size)))
+        scores = self.tables.measures(texts.withColumn("which", F.lit(len(GROUPS) - 1))).select(
+            F.col("key").alias(key), (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))).alias(score))
+        return keyed.drop(score).join(small_or_not(stash(scores, "scores")), key).drop(key)
+
+    def _column(self) -> Column:
         weights = self.weights
-        run = measured(models, vocabulary, lambda pdf: np.zeros(len(pdf), int))
+        run = measured(self.tables.sent, lambda pdf: np.full(len(pdf), len(GROUPS) - 1))
 
         @F.pandas_udf("double")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -218,7 +304,27 @@ class Scorer:
                 z = features(pdf["measure"].to_numpy(), pdf["n_words"].to_numpy()) @ weights
                 yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-        return score(text)
+        return score("text")
+
+    @cached_property
+    def vocabulary(self) -> dict[str, int]:
+        """Known words, numbered; to look at a small model."""
+        return {r["word"]: i + 2 for i, r in enumerate(self.tables.known.orderBy(F.desc("seen"), "word").collect())}
+
+    @cached_property
+    def models(self) -> list[Model]:
+        """By model the differences ``words`` by number, and ``entries`` of bigrams ``keys`` (previous << 32 | word)."""
+        number = {hashed(w): i for w, i in self.vocabulary.items()} | {UNKNOWN: UNKNOWN, START: START}
+        words, pairs = self.tables.words.collect(), self.tables.pairs.collect()
+        out = []
+        for name in (f"m{g}" for g in GROUPS):
+            by_word = np.zeros(len(number))
+            for r in words:
+                by_word[number[r["key"]]] = r[name] or 0.0
+            own = sorted((number[r["previous"]] << 32 | number[r["word"]], r[name]) for r in pairs if r[name] is not None)
+            out.append({"words": by_word, "keys": np.array([k for k, _ in own], "int64"),
+                        "entries": np.array([e for _, e in own])})
+        return out
 
 
 def held_out(column: str) -> Column:
@@ -226,6 +332,69 @@ def held_out(column: str) -> Column:
     return F.coalesce(remainder, F.lit(False))
 
 
+def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
+    """Kneser-Ney estimates of both classes, by model, from rows (row, text, cell)."""
+    sums = [F.sum(c).alias(c) for c in CELLS]
+    seen = sum((F.col(c) for c in CELLS[1:]), F.col(CELLS[0]))
+    counts = ", ".join(f"{c} long" for c in CELLS)
+    words = stash(rows.select("text", "cell", "row").mapInPandas(
+        count_words, f"word string, key long, {counts}, least long, greatest long").groupBy("word", "key").agg(
+        *sums, F.min("least").alias("least"), F.max("greatest").alias("greatest")), "words")
+    rare = words.filter(seen < LEAST_SEEN).select(
+        F.explode(F.array_distinct(F.array("least", "greatest"))).alias("row"), "key").groupBy("row").agg(
+        F.collect_list("key").alias("rare"))
+    known = words.filter(seen >= LEAST_SEEN).withColumn("seen", seen)
+    pairs = stash(rows.select("text", "cell", "row").join(rare, "row", "left").select("text", "cell", "rare").mapInPandas(
+        count_bigrams, f"{counts}, previous long, word long").groupBy("previous", "word").agg(*sums), "bigrams")
+
+    def of(c: str, g: str) -> Column:
+        """Documents of a class in the folds of a model."""
+        return sum((F.col(f"{c}{f}") for f in g), F.lit(0))
+
+    def kinds(classes: str, prefix: str) -> list[Column]:
+        """How many different bigrams, by class and folds."""
+        return [F.count_if(sum((of(c, g) for c in classes), F.lit(0)) > 0).alias(f"{prefix}{g}") for g in GROUPS]
+
+    def telling(g: str) -> Column:
+        return g2([f"t{f}" for f in g], [f"o{f}" for f in g], documents) >= BEYOND_CHANCE
+
+    follows = stash(pairs.groupBy("word").agg(*kinds("t", "nt"), *kinds("o", "no"), *kinds("to", "s")), "follows")
+    names = [f"{x}{g}" for x in ("nt", "no", "s") for g in GROUPS]
+    totals = follows.agg(*[F.sum(n).alias(n) for n in names], *[F.count_if(F.col(n) > 0).alias(f"some_{n}") for n in names]
+                         ).first().asDict()
+    totals = {k: v or 0 for k, v in totals.items()}
+    size = known.count() + 2
+
+    def p_word(c: str, g: str) -> Column:
+        """A word's probability; needs the columns of follows and ``differs`` by model."""
+        shared = (F.coalesce(f"s{g}", F.lit(0)) + 1.0) / float(totals[f"s{g}"] + size)
+        n = float(max(totals[f"n{c}{g}"], 1))
+        rest = DISCOUNT * totals[f"some_n{c}{g}"] / n if totals[f"n{c}{g}"] else 1.0
+        own = F.greatest(F.coalesce(f"n{c}{g}", F.lit(0)) - DISCOUNT, F.lit(0.0)) / n + rest * shared
+        return F.when(F.col(f"differs{g}"), own).otherwise(shared)
+
+    tests = [telling(g).alias(f"differs{g}") for g in GROUPS]
+    any_differs = F.expr(" OR ".join(f"differs{g}" for g in GROUPS))
+    differing = stash(known.select("key", *tests).filter(any_differs), "differing")
+    by_word = differing.join(follows.withColumnRenamed("word", "key"), "key", "left").select("key", *[
+        F.when(F.col(f"differs{g}"), F.log(p_word("t", g)) - F.log(p_word("o", g))).alias(f"m{g}") for g in GROUPS])
+
+    own = stash(pairs.filter(seen >= 2 * LEAST_SEEN).select("*", *[telling(g).alias(f"own{g}") for g in GROUPS]).filter(
+        " OR ".join(f"own{g}" for g in GROUPS)), "telling")
+    contexts = pairs.groupBy("previous").agg(
+        *[F.sum(of(c, g)).alias(f"all_{c}{g}") for c in "to" for g in GROUPS], *kinds("t", "kt"), *kinds("o", "ko"))
+
+    def log_pair(c: str, g: str) -> Column:
+        total = F.col(f"all_{c}{g}")
+        left = F.when(total > 0, DISCOUNT * F.col(f"k{c}{g}") / total).otherwise(1.0)
+        return F.log(F.greatest(of(c, g) - DISCOUNT, F.lit(0.0)) / F.greatest(total, F.lit(1)) + left * p_word(c, g))
+
+    differs = differing.withColumnRenamed("key", "word")
+    by_pair = own.join(contexts, "previous").join(follows, "word").join(differs, "word", "left").select(
+        "previous", "word", *[F.when(F.col(f"own{g}"), log_pair("t", g) - log_pair("o", g)).alias(f"m{g}") for g in GROUPS])
+    return Tables(known.select("word", "key", "seen"), stash(by_word, "by-word"), stash(by_pair, "by-pair"))
+
+
 def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Scorer:
     """Fit on the labelled rows that are not held out.
 
@@ -237,54 +406,26 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Score
         F.max("toxic").alias("toxic")).filter(~held_out("doc_id"))
     fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != 0).cast("int")
     texts = documents.select("doc_id", "text").filter(~held_out("doc_id"))
-    rows = texts.join(small_or_not(marks), "doc_id").withColumn("fold", fold).withColumn(
-        "cell", 2 * F.col("fold") + (F.col("toxic") != 1).cast("int"))
-    rows = stash(rows.withColumn("same", F.xxhash64("text")), "training")
-    firsts = rows.groupBy("same", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    rows = stash(rows.join(small_or_not(firsts), "doc_id", "left_semi"), "distinct")
+    same = stash(texts.select("doc_id", F.xxhash64("text").alias("same")).join(small_or_not(marks), "doc_id"), "training")
+    firsts = same.groupBy("same", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic").distinct()
+    rows = stash(texts.join(small_or_not(firsts), "doc_id").withColumn("fold", fold).withColumn(
+        "cell", 2 * F.col("fold") + (F.col("toxic") != 1).cast("int")).withColumn(
+        "row", F.monotonically_increasing_id()), "distinct")
     documents_of = {c: 0 for c in CELLS} | {CELLS[r["cell"]]: r["count"] for r in rows.groupBy("cell").count().collect()}
-    sums = [F.sum(c).alias(c) for c in CELLS]
-    seen = sum((F.col(c) for c in CELLS[1:]), F.col(CELLS[0]))
+    tables = fitted(rows, documents_of)
 
-    counts = ", ".join(f"{c} long" for c in CELLS)
-    top = (rows.select("text", "cell").mapInPandas(count_words, f"word string, {counts}").groupBy("word").agg(*sums)
-           .filter(seen >= LEAST_SEEN).orderBy(seen.desc(), "word").limit(VOCABULARY).toPandas())
-    words = {w: i + 2 for i, w in enumerate(top["word"])}
-    first_two = pd.DataFrame({c: [0, 0] for c in CELLS})
-    by_word = pd.concat([first_two, top[list(CELLS)]], ignore_index=True)
-    vocabulary = spark.sparkContext.broadcast(words)
-
-    pairs = stash(rows.select("text", "cell").mapInPandas(count_bigrams(vocabulary), f"{counts}, key long")
-                  .groupBy("key").agg(*sums), "bigrams")
-
-    def kinds(letters: str, prefix: str) -> list:
-        """How many different bigrams, by class and folds."""
-        return [F.count_if(sum((F.col(f"{c}{f}") for f in folds for c in letters), F.lit(0)) > 0).alias(f"n{prefix}{folds}")
-                for folds in ("0", "1", "01")]
-
-    each = [*kinds("t", "t"), *kinds("o", "o")]
-    both = [k.alias(f"s{folds}") for k, folds in zip(kinds("to", ""), ("0", "1", "01"))]
-    contexts = pairs.groupBy(F.shiftright("key", 32).alias("key")).agg(*sums, *each).toPandas()
-    follows = pairs.groupBy(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("key")).agg(*each, *both).toPandas()
-    groups = ((0,), (1,), (0, 1))
-    telling = [g2([f"t{f}" for f in g], [f"o{f}" for f in g], documents_of) >= BEYOND_CHANCE for g in groups]
-    own = pairs.filter((seen >= 2 * LEAST_SEEN) & (telling[0] | telling[1] | telling[2]))
-    frequent = own.orderBy(seen.desc(), "key").limit(BIGRAMS).toPandas().sort_values("key")
-    models = [fitted_model(by_word, frequent, contexts, follows, documents_of, g) for g in groups]
-
-    sent = spark.sparkContext.broadcast(models)
-    doc_id = rows.schema["doc_id"].dataType.simpleString()
-    fit = rows.select("doc_id", "text", "fold", "toxic").mapInPandas(
-        measured(sent, vocabulary, lambda pdf: 1 - pdf["fold"].to_numpy()),
-        f"doc_id {doc_id}, fold int, toxic int, n_words long, measure double"
-    ).orderBy(F.xxhash64("doc_id")).limit(FITTED).select("toxic", "n_words", "measure").toPandas()
+    sample = rows.select("row", "toxic", F.xxhash64("doc_id").alias("at")).orderBy("at", "row").limit(FITTED)
+    sample = stash(sample.select("row", "toxic"), "sample")
+    fit = tables.measures(rows.join(F.broadcast(sample.select("row")), "row").select(
+        F.col("row").alias("key"), "text", (1 - F.col("fold")).alias("which"))).join(
+        F.broadcast(sample), F.col("key") == F.col("row")).select("toxic", "n_words", "measure").toPandas()
     y = (fit["toxic"] == 1).to_numpy(float)
     if 0 < y.sum() < len(y):
         weights = curve(features(fit["measure"].to_numpy(), fit["n_words"].to_numpy()), y)
     else:
         share = (y.sum() + 0.5) / (len(y) + 1)
         weights = np.array([np.log(share / (1 - share)), 0, 0, 0, 0])
-    return Scorer(words, models, weights)
+    return Scorer(tables, weights)
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -294,7 +435,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     held out. Repeated rows are scored alike. Other columns are ignored.
     """
     scorer = train(documents.sparkSession, documents, labels)
-    scored = documents.select("doc_id", scorer.column(documents.sparkSession).alias("score"))
+    scored = scorer.with_score(documents.select("doc_id", "text"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -302,4 +443,5 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of documents scored below the threshold, all columns as they are."""
     scorer = train(documents.sparkSession, documents, labels)
-    return documents.filter(scorer.column(documents.sparkSession) < THRESHOLD)
+    score = "__score"
+    return scorer.with_score(documents, score).filter(F.col(score) < THRESHOLD).select(*documents.columns)

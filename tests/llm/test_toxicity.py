@@ -119,3 +119,35 @@ def test_curve():
     x = np.stack([np.ones(5000), rng.normal(size=5000)], axis=1)
     y = (rng.random(5000) < 1 / (1 + np.exp(-(x @ [0.5, 2.0])))).astype(float)
     assert t.curve(x, y) == pytest.approx([0.5, 2.0], abs=0.2)
+
+
+def test_words_beyond_any_cap(spark, documents):
+    """A telling word is known although tens of thousands of other words are more frequent."""
+    rows = []
+    for i in range(90):
+        part = i % 10
+        rows.append((i, f"id{i} " + " ".join(f"c{part}x{k}" for k in range(4000)) + (" vile foul" if i >= 81 else ""), int(i >= 81)))
+    rows += [(90 + i, f"short {i} vile foul", 1) for i in range(6)]
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    seen = Counter(w for _, x, _ in train for w in set(t.words_of(x)))
+    known = {w for w, n in seen.items() if n >= t.LEAST_SEEN}
+    assert len(known) > 32_768
+    scorer = t.train(spark, documents([(i, x) for i, x, _ in rows]),
+                     spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert set(scorer.vocabulary) == known
+
+
+def test_joined_model_scores_alike(spark, documents, monkeypatch):
+    """Scores are the same if the model is joined, not sent; odd texts included."""
+    rows = corpus(6, 400)
+    docs = documents([(i, x) for i, x, _ in rows] + [(400, None), (401, ""), (402, rows[0][1]), (402, "new words only")])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+
+    def scores():
+        return sorted((r["doc_id"], round(r["score"], 9)) for r in t.score_toxicity(docs, labels).collect())
+
+    sent, kept = scores(), sorted(r["doc_id"] for r in t.without_toxic(docs, labels).collect())
+    monkeypatch.setattr(t, "SENT", 0)
+    assert scores() == sent
+    left = t.without_toxic(docs, labels)
+    assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == kept
