@@ -11,6 +11,9 @@ from millrace.llm.common import stash, table
 from millrace.llm.queries import tokenizer
 from millrace.session import tune
 
+#: Similarity, in percent, from which the pipeline takes documents for near duplicates.
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -22,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near duplicates."""
     tune(spark)
-    return minhash.one_of_each(docs)
+    return minhash.one_of_each(docs, percent=NEAR_PERCENT)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

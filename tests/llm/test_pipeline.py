@@ -85,3 +85,16 @@ def test_run_is_the_stages_in_order(spark, tables):
     got = p.run(spark, folder)
     assert sorted((r["doc_id"], r["n_tokens"], tuple(r["ids"])) for r in got.collect()) == want
     assert all(r["same"] for r in got.collect())
+
+
+def test_near_duplicates_from_eighty_percent(spark, documents, tmp_path):
+    """Pairs of similarity 0.80 to 0.85 are near duplicates here, those just below 0.80 are not."""
+    rng = random.Random(9)
+    texts = []
+    for tail in (7, 9, 10, 12):  # similarity (96 - tail) / (96 + tail)
+        words = [f"n{rng.randint(0, 10**6)}" for _ in range(100)]
+        texts += [" ".join(words), " ".join(words[:-tail] + [f"m{rng.randint(0, 10**6)}" for _ in range(tail)])]
+    docs = documents(enumerate(texts))
+    left = texts_of(dict(p.STAGES)["near_duplicates"](spark, docs, str(tmp_path)))
+    groups = plain_groups(list(enumerate(texts)), percent=80)
+    assert set(left) == {i for i, g in groups.items() if g[2]} == {0, 2, 4, 6, 7}
