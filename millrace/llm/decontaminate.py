@@ -1,14 +1,14 @@
 """Benchmark items inside documents, by SimHash of item-sized windows.
 
-A window has as many words as an item. Both are bags of word shingles, weighted
+A window has as many words as an item; where the text has fewer, it is the whole text. Both are bags of word shingles, weighted
 by how often they occur; each gets a 64-bit SimHash. Fingerprints are split in
 BLOCKS blocks, and an index holds, for each block of each item, all values
 within RADIUS // BLOCKS bits: two fingerprints at most RADIUS bits apart must meet in
 some block, so the index misses none of them. Pairs that meet are decided by
 the exact weighted similarity, sum of minima over sum of maxima of the weights.
 
-Two bags of n shingles are that similar only if they share 2 s n / (1 + s) of them, so
-only windows with that many shingles from items of their size are fingerprinted.
+Two bags of n and m shingles are that similar only if they share s (n + m) / (1 + s) of
+them, so only windows with that many shingles from items of their size are fingerprinted.
 At similarity 0.8 fingerprints differ by 10 of 64 bits on average, with a
 deviation of 3: RADIUS is more than four deviations away.
 """
@@ -71,22 +71,32 @@ def shared_weight(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_intersect(a, b), F.lit(0), lambda n, m: n + least(m))
 
 
-def needed(shingles: Column, percent: int) -> Column:
-    """The least shared weight of two equally large bags at the threshold: s of 2 n - s is percent."""
-    return F.ceil(shingles * (2 * percent) / (100 + percent)).cast("int")
+def needed(together: Column, percent: int) -> Column:
+    """The least shared weight of two bags at the threshold: s of ``together`` - s is percent."""
+    return F.ceil(together * percent / (100 + percent)).cast("int")
 
 
-def starts(found: Column, size: Column, percent: int) -> Column:
-    """Starts of all windows of ``size`` words that hold enough of the sorted positions ``found``."""
+def least_found(size: Column, length: Column, percent: int) -> Column:
+    """Shingles that a window for items of ``size`` words needs in a text of ``length`` shingles."""
     n = size - (WORDS - 1)
-    k = needed(n, percent)
+    return needed(n + F.least(n, length), percent)
+
+
+def starts(found: Column, size: Column, length: Column, percent: int) -> Column:
+    """Starts of all windows of ``size`` words that hold enough of the sorted positions ``found``.
+
+    A text of fewer shingles (``length``) is one window.
+    """
+    n = size - (WORDS - 1)
+    k = needed(2 * n, percent)
 
     def around(j: Column) -> Column:
         first, last = F.get(found, j), F.get(found, j + k - 1)
         return F.when(last - first < n, F.sequence(F.greatest(last - n + 1, F.lit(0)), first)).otherwise(
             F.array().cast("array<int>"))
 
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size(found) - k), around)))
+    return F.when(length < n, F.array(F.lit(0))).otherwise(
+        F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size(found) - k), around))))
 
 
 def table_of(grams: DataFrame) -> Column:
@@ -110,7 +120,7 @@ def wanted_starts(marks: Column, table: Column, percent: int) -> Column:
         def one(size: Column) -> Column:
             found = F.transform(F.filter(hits, lambda h: F.array_contains(h["sizes"], size)), lambda h: h["pos"])
             return let(found, lambda f: F.struct(size.alias("size"), F.when(
-                F.size(f) >= needed(size - (WORDS - 1), percent), starts(f, size, percent)).otherwise(
+                F.size(f) >= least_found(size, F.size(marks), percent), starts(f, size, F.size(marks), percent)).otherwise(
                 F.array().cast("array<int>")).alias("at")))
 
         return F.transform(sizes, one)
@@ -125,13 +135,17 @@ def wanted_starts(marks: Column, table: Column, percent: int) -> Column:
 
 def by_join(texts: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     """(text_key, v) with the wanted windows, by joins that shuffle marks and texts instead of a literal table."""
-    rows = texts.select("doc_id", "text_key", F.posexplode(let(words_of(text_of()), marks_of)).alias("pos", "mark"))
-    hits = rows.join(grams, "mark").groupBy("text_key", "size", "pos").agg(F.min("doc_id").alias("doc_id"))
+    rows = texts.select("doc_id", "text_key", let(words_of(text_of()), marks_of).alias("marks")).select(
+        "doc_id", "text_key", F.size("marks").alias("length"), F.posexplode("marks").alias("pos", "mark"))
+    hits = rows.join(grams, "mark").groupBy("text_key", "size", "pos").agg(
+        F.min("doc_id").alias("doc_id"), F.min("length").alias("length"))
     dense = hits.groupBy("text_key", "size").agg(
-        F.sort_array(F.collect_list("pos")).alias("found"), F.min("doc_id").alias("doc_id")).filter(
-        F.size("found") >= needed(F.col("size") - (WORDS - 1), percent))
+        F.sort_array(F.collect_list("pos")).alias("found"), F.min("doc_id").alias("doc_id"),
+        F.min("length").alias("length")).filter(
+        F.size("found") >= least_found(F.col("size"), F.col("length"), percent))
+    at = starts(F.col("found"), F.col("size"), F.col("length"), percent)
     wanted = stash(dense.groupBy("text_key").agg(
-        F.collect_list(F.struct("size", starts(F.col("found"), F.col("size"), percent).alias("at"))).alias("wanted"),
+        F.collect_list(F.struct("size", at.alias("at"))).alias("wanted"),
         F.min("doc_id").alias("of")), "wanted")
     bodies = texts.join(wanted.withColumnRenamed("text_key", "key"), (F.col("text_key") == F.col("key"))
                         & F.col("doc_id").eqNullSafe(F.col("of")))
@@ -140,13 +154,14 @@ def by_join(texts: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
 
 
 def cut(marks: Column, wanted: Column) -> Column:
-    """The marks of each wanted window that lies within the text: structs of size, start, marks."""
+    """The marks of each wanted window that lies within the text, or is the text: structs of size, start, marks."""
     def one(by: Column, start: Column) -> Column:
         return F.struct(by["size"].alias("size"), start.alias("start"),
                         F.slice(marks, start + 1, by["size"] - (WORDS - 1)).alias("marks"))
 
     def inside(by: Column) -> Column:
-        return F.filter(by["at"], lambda start: start + by["size"] - (WORDS - 1) <= F.size(marks))
+        held = F.least(by["size"] - (WORDS - 1), F.size(marks))
+        return F.filter(by["at"], lambda start: start + held <= F.size(marks))
 
     return F.flatten(F.transform(wanted, lambda by: F.transform(inside(by), lambda start: one(by, start))))
 
@@ -170,7 +185,10 @@ def windows_worth_a_look(texts: DataFrame, items: DataFrame, percent: int, in_pl
 
 
 def matches(texts: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
-    """(text_key, item_id, start, n_words, shared): the best window of each text for each item found in it."""
+    """(text_key, item_id, start, n_words, shared, together): the best window of each text for each item found in it.
+
+    ``together`` is the weight of window and item.
+    """
     items = benchmark.select("item_id", let(words_of(text_of()), lambda w: F.struct(
         F.size(w).alias("size"), marks_of(w).alias("marks"))).alias("i")).select("item_id", "i.*").filter(
         F.size("marks") > 0).distinct()
@@ -189,11 +207,13 @@ def matches(texts: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
     near = prints.join(small_or_not(index), ["size", "number", "value"]).filter(
         (F.bit_count(apart) <= RADIUS) & (first == F.col("number"))).select("text_key", "item", "start", "w.marks")
     wholes = small_or_not(items.select("item", "item_id", "size", F.col("marks").alias("item_marks")))
-    judged = near.join(wholes, "item").withColumn("shared", shared_weight(F.col("marks"), F.col("item_marks")))
-    good = judged.filter(F.col("shared") >= needed(F.size("item_marks"), percent))
-    best = good.groupBy("text_key", "item", "item_id").agg(F.max(F.struct("shared", -F.col("start"), "size")).alias("best"))
+    judged = near.join(wholes, "item").withColumn("shared", shared_weight(F.col("marks"), F.col("item_marks"))).withColumn(
+        "n_words", F.size("marks") + (WORDS - 1)).withColumn("together", F.size("marks") + F.size("item_marks"))
+    good = judged.filter(F.col("shared") >= needed(F.col("together"), percent))
+    best = good.groupBy("text_key", "item", "item_id").agg(
+        F.max(F.struct("shared", -F.col("start"), "n_words", "together")).alias("best"))
     return stash(best.select("text_key", "item_id", (-F.col("best")["col2"]).alias("start"),
-                             F.col("best.size").alias("n_words"), F.col("best.shared").alias("shared")), "matches")
+                             "best.n_words", "best.shared", "best.together"), "matches")
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -204,17 +224,16 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, percent: int = PE
     """One row per document and item found in it: doc_id, item_id, start, n_words, shared, similarity.
 
     ``start`` is the word (from 0) at which the best window begins, the first of
-    the best; ``shared`` its common weight. Words are compared in lower case.
+    the best; ``n_words`` its words, fewer than the item's only where the text has fewer; ``shared`` its common weight. Words are compared in lower case.
     Null or empty texts, and items of fewer than WORDS words, match nothing. Null
     ids are carried through; rows that repeat an id are searched each, and equal
     results returned once; so are rows that repeat an item's id. Empty tables give no rows. Other columns are ignored.
     """
     texts = keyed(documents.select("doc_id", "text"))
-    n = F.col("n_words") - (WORDS - 1)
     found = small_or_not(matches(texts, benchmark, percent))
     return texts.select("doc_id", "text_key").join(found, "text_key").select(
         "doc_id", "item_id", F.col("start").cast("long").alias("start"), F.col("n_words").cast("long").alias("n_words"),
-        F.col("shared").cast("long").alias("shared"), (F.col("shared") / (2 * n - F.col("shared"))).alias("similarity")
+        F.col("shared").cast("long").alias("shared"), (F.col("shared") / (F.col("together") - F.col("shared"))).alias("similarity")
     ).distinct()
 
 

@@ -87,3 +87,27 @@ def test_index_misses_nothing():
     for _ in range(3000):
         x = sum(1 << b for b in rng.sample(range(64), rng.randint(0, d.RADIUS)))
         assert any((x >> (d.WIDTH * i)) % 2**d.WIDTH in masks for i in range(d.BLOCKS))
+
+
+@pytest.mark.parametrize("in_plan", [d.IN_PLAN, 0])
+def test_texts_shorter_than_the_item(spark, documents, monkeypatch, in_plan):
+    """A text of fewer words than an item is one window; a shorter one too dissimilar is clean."""
+    monkeypatch.setattr(d.windows_worth_a_look, "__defaults__", (in_plan,))
+    rng = random.Random(7)
+    items = [(k, words(rng, n, 5000)) for k, n in enumerate((37, 20, 12, 54))] + [(4, ["we", "go"] * 14)]
+    docs = [(100 * k + cut, " ".join(item[cut // 2:len(item) - (cut - cut // 2)])) for k, item in items for cut in range(9)]
+    want = set()
+    for i, text in docs:
+        ws = text.split()
+        for k, item in items:
+            if len(ws) <= len(item):
+                a, b = Counter(grams(ws)), Counter(grams(item))
+                both, n = sum((a & b).values()), sum(a.values()) + sum(b.values())
+                if both and 100 * both >= 80 * (n - both):
+                    want.add((i, k, 0, len(ws), both, both / (n - both)))
+    assert {(1, 0), (101, 1), (301, 3), (8, 0)} - {x[:2] for x in want} == {(8, 0)}
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string")
+    got = d.find_benchmark(documents(docs), benchmark).collect()
+    assert {tuple(r[c] for c in COLUMNS) for r in got} == want
+    left = d.without_benchmark(documents(docs), benchmark)
+    assert {r["doc_id"] for r in left.collect()} == {i for i, _ in docs} - {x[0] for x in want}
