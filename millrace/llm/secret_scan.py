@@ -1,4 +1,9 @@
-"""Secrets in text: fixed patterns, and windows of high entropy inside long tokens."""
+"""Secrets in text: fixed patterns, and windows of high entropy inside long tokens.
+
+Runs of letters must also differ from words: a window counts only if enough of
+its letter pairs are rare in words. Tokens of digits alone are left out, as
+neither entropy nor pairs tell secret ones from ids and other numbers.
+"""
 
 from __future__ import annotations
 
@@ -23,12 +28,25 @@ WINDOW = 20
 #: Character classes by the pattern the whole candidate must fit, first fit wins, and the bits per
 #: character above which a window of WINDOW characters counts as random.
 CLASSES: list[tuple[str, str, float]] = [
-    ("digits", r"^[0-9]+$", 99.0),
+    ("digits", r"^[0-9]+$", 99.0),  # out of reach: left out
     ("hexadecimal", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 2.9),
-    ("letters", r"^[A-Za-z]+$", 4.15),
+    ("lower", r"^[a-z]+$", 3.1),
+    ("upper", r"^[A-Z]+$", 3.1),
+    ("mixed", r"^[A-Za-z]+$", 3.4),
     ("alphanumeric", r"^[A-Za-z0-9]+$", 3.7),
     ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.8),
 ]
+#: Letter pairs usual in words of English, German, French and Spanish, and how many of the WINDOW - 1 pairs of a window
+#: of letters must be others.
+COMMON_PAIRS = (
+    "aa ac ad ae ai al am an ar as at au ay be bl bo ca ce ch ci co ct da de di do dt du ea eb ec ed ee eh ei el "
+    "em en eo ep eq er es et eu ev ew ez fo ga ge ha hb hc he hg hh hi hl hn ho hr hs ht hu ia ic id ie ig il im "
+    "in io ir is it ja ke la le li ll lo ly ma me mi mp na nb nc nd ne ng nh ni nk nl nm nn no np nq nr ns nt nu "
+    "nv nw nz oa oc oe of oi ol om on or os ot ou ow pa pe pf po pr qu ra rb re rh ri rn ro rr rs rt sa sc sd se "
+    "sg sh si sj sl sm so sq sr ss st su ta tb te th ti to tr ts tt ty tz ua ue uf ui ul un uo ur us ut ux ve vi "
+    "vo wa wh xa xe xo zu "
+)
+ODD_PAIRS = 10
 #: Candidates that are never secrets, by a pattern found anywhere in them.
 ALLOWED = [
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
@@ -44,11 +62,13 @@ def random_spans(candidate: Column, threshold: Column) -> Column:
 
     The window slides by one character. Counts are kept as one character per
     letter of the alphabet; a step changes one of them up and one down, and with
-    them the running sum of c log2 c.
+    them the running sum of c log2 c. In a run of letters the unusual pairs are
+    counted likewise.
     """
+    letters = F.regexp_like(candidate, F.lit(r"^[A-Za-z]+$"))
     parts = F.array(*[F.lit(0.0 if c == 0 else c * math.log2(c)) for c in range(WINDOW + 2)])
     start = F.struct(F.lit("0" * len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"),
-                     F.array().cast(SPANS).alias("found"))
+                     F.lit(0).alias("odd"), F.array().cast(SPANS).alias("found"))
 
     def changed(counts: Column, total: Column, ch: Column, by: int) -> Column:
         at = F.instr(F.lit(ALPHABET), ch)
@@ -57,10 +77,16 @@ def random_spans(candidate: Column, threshold: Column) -> Column:
                        F.overlay(counts, F.char((x["c"] + (48 + by)).cast("long")), x["at"], F.lit(1)).alias("counts"),
                        (total + F.get(parts, x["c"] + by) - F.get(parts, x["c"])).alias("total")))
 
+    def odd(i: Column) -> Column:
+        """One if the pair that begins at ``i`` is unusual."""
+        return (F.instr(F.lit(COMMON_PAIRS), F.lower(F.substring(candidate, i, F.lit(2)))) == 0).cast("int")
+
     def step(acc: Column, i: Column) -> Column:
         added = changed(acc["counts"], acc["total"], F.substring(candidate, i, F.lit(1)), 1)
         moved = let(added, lambda a: F.when(i <= WINDOW, a).otherwise(
             changed(a["counts"], a["total"], F.substring(candidate, i - WINDOW, F.lit(1)), -1)))
+        pairs = F.when(letters, acc["odd"] + F.when(i > 1, odd(i - 1)).otherwise(0)
+                       - F.when(i > WINDOW, odd(i - WINDOW)).otherwise(0)).otherwise(0)
 
         def noted(m: Column) -> Column:
             bits = math.log2(WINDOW) - m["total"] / WINDOW
@@ -71,8 +97,8 @@ def random_spans(candidate: Column, threshold: Column) -> Column:
             joined = F.when((n > 0) & (last["end"] >= i - WINDOW),
                             F.concat(F.slice(acc["found"], F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(longer))
                             ).otherwise(F.concat(acc["found"], F.array(fresh)))
-            return F.struct(m["counts"].alias("counts"), m["total"].alias("total"),
-                            F.when((i >= WINDOW) & (bits >= threshold), joined).otherwise(acc["found"]).alias("found"))
+            return F.struct(m["counts"].alias("counts"), m["total"].alias("total"), pairs.alias("odd"),
+                            F.when((i >= WINDOW) & (bits >= threshold) & (~letters | (pairs >= ODD_PAIRS)), joined).otherwise(acc["found"]).alias("found"))
 
         return let(moved, noted)
 

@@ -138,3 +138,16 @@ def test_long_runs_do_not_break(documents):
     texts = ["1" * 60000, "a." * 30000 + "@" + "b." * 30000, "+1" + " 2" * 40000, "f" * 60000, "token=" + "x" * 60000]
     docs = documents(enumerate(texts))
     assert len(pii.pii_digest(docs).collect()) == len(secret_scan.secrets_digest(docs).collect()) == 5
+
+
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+                                      "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_random_letters_and_words(documents, alphabet):
+    """Random runs of letters are found, joined words and digits are not."""
+    rng = random.Random(11)
+    texts = [f"x {''.join(rng.choices(alphabet, k=32))} y" for _ in range(100)]
+    texts += ["internationalizationoftheseservices", "getCustomerAccountInformationFromRequest",
+              "THEQUICKANSWERTOALLOFTHESEQUESTIONS", "31415926535897932384626433832795"]
+    found = {r["doc_id"]: "entropy" in r["spans"] for r in secret_scan.secrets_digest(documents(enumerate(texts))).collect()}
+    assert sum(found[i] for i in range(100)) >= 95
+    assert not any(found[i] for i in range(100, 104))
