@@ -28,7 +28,7 @@ TIMERS = """
 
 
 def in_files(spark, d, table, columns, time=None, n=3):
-    """The table as a stream of several micro-batches: in order of ``time``, or dealt out without order."""
+    """The table as a stream of several micro-batches: in order of ``time`` (rows without one first), or dealt out without order."""
     folder = scratch_dir(spark, f"laid-{table}")
     df = load_table(spark, d, table).select(*columns)
     if time:
@@ -36,6 +36,7 @@ def in_files(spark, d, table, columns, time=None, n=3):
         cuts = df.select(at.cast("double").alias("t")).approxQuantile("t", [i / n for i in range(1, n)], 0.01)
         bounds = [float("-inf"), *cuts, float("inf")]
         parts = [df.filter((at >= a) & (at < b)) for a, b in zip(bounds[:-1], bounds[1:])]
+        parts[0] = parts[0].union(df.filter(at.isNull()))
     else:
         parts = [df.filter(F.pmod(F.xxhash64(*columns), F.lit(n)) == i) for i in range(n)]
     for part in parts:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from fixtures import DELAYED, DELAYED_WINDOWS, LATE_WINDOW, METERED, ON_TIME, READING_WINDOWS, READINGS, STOCK
+from millrace.catalog.streams import in_files
 from millrace.functions.scalars import event_time_from_millis, parse_iso_seconds
 from millrace.operators.aggregates import group_count_max
 from millrace.operators.joins import join_inner
@@ -282,3 +283,12 @@ def test_tables_stream_from_files_and_folders(spark, folder):
     stream = stream_table(spark, folder, "many", max_files_per_trigger=1)
     assert dict(stream.dtypes)["ts"] == "timestamp"
     assert run_available(stream).count() == 6
+
+
+def test_rows_without_time_enter_the_stream(spark, folder):
+    """Dealing a table out by time keeps the rows whose time is NULL."""
+    df = spark.sql("SELECT id, IF(id % 4 = 0, NULL, timestamp_seconds(id)) AS ts FROM range(40)")
+    df.write.parquet(f"{folder}/data/events.parquet")
+    laid = in_files(spark, f"{folder}/data", "events", ["id", "ts"], "ts")
+    seen = run_available(laid)
+    assert sorted(r["id"] for r in seen.collect()) == list(range(40))
