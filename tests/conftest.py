@@ -32,7 +32,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=str)

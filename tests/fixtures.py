@@ -3,6 +3,10 @@
 import json
 
 
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
 def _plant(species, height, country, bed):
     return json.dumps({"species": species, "height": height, "origin": {"country": country, "bed": bed}})
 

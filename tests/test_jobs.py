@@ -5,8 +5,7 @@ import os
 
 import pytest
 
-from conftest import rows
-from fixtures import NEW, NOTES, OLD, change
+from fixtures import NEW, NOTES, OLD, change, rows
 from millrace.operators.cdc import cdc_unpack
 from millrace.session import scratch_dir
 from millrace.sinks.writers import stream_row_files, stream_to_console, write_row_files

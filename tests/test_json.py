@@ -6,8 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from fixtures import NEW, OLD, ORDER_EVENT, ORDER_SCHEMA, change
-from conftest import rows
+from fixtures import NEW, OLD, ORDER_EVENT, ORDER_SCHEMA, change, rows
 from millrace.functions.jsons import is_json, json_parse, json_value, json_values, register_json_value
 from millrace.functions.scalars import minus_millis, parse_iso_seconds
 from millrace.operators.cdc import cdc_dead_letters, cdc_unpack

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from millrace.functions.jsons import json_value, json_values
 from millrace.operators import userdefined
 from millrace.operators.aggregates import top_per_group

@@ -3,8 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from fixtures import DELAYED, DELAYED_WINDOWS, LATE_WINDOW, METERED, ON_TIME, READING_WINDOWS, READINGS, STOCK
+from fixtures import DELAYED, DELAYED_WINDOWS, LATE_WINDOW, METERED, ON_TIME, READING_WINDOWS, READINGS, STOCK, rows
 from millrace.catalog.streams import in_files
 from millrace.functions.scalars import event_time_from_millis, parse_iso_seconds
 from millrace.operators.aggregates import group_count_max

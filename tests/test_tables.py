@@ -5,8 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import PATHS, PLANT_ROWS, PLANTS, PRICES
-from conftest import rows
+from fixtures import PATHS, PLANT_ROWS, PLANTS, PRICES, rows
 from millrace.functions.jsons import json_values
 from millrace.functions.scalars import concat, to_bigint, to_text
 from millrace.operators import columns, joins
