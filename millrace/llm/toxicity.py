@@ -11,14 +11,14 @@ difference of its two log-likelihoods divided by its number of words. A logistic
 curve turns measure and length into a score; it is fitted on texts measured by
 models that did not count them (two folds).
 
-Words seen in fewer than LEAST_SEEN training documents, and all new ones, are one
-unknown word. Words and bigrams are counted as tables that grow with the labelled
-text; a word is named by a 64-bit hash, and the rare words of a document come to
-it by a join. Only words and bigrams that differ have a difference other than
-that of their backoff, zero in the end, so these are all that scoring looks up:
-sent to tasks, with the hashes of known words, if a count shows at most SENT of
-them, else joined with the bigrams of the texts. The one bound is that the curve
-is fitted on at most FITTED rows.
+Words seen in fewer than LEAST_SEEN training documents are one unknown word, whose
+bigrams have no difference of their own. Words and bigrams are counted as tables that
+grow with the labelled text; a word is named by a 64-bit hash, and the rare words
+of a document come to it by a join. Only words and bigrams that differ have a
+difference other than that of their backoff, zero in the end, so these are all
+that scoring looks up: sent to tasks if a count shows at most SENT of them, else
+joined with the bigrams of the texts, by the same rule. The one bound is that the
+curve is fitted on at most FITTED rows.
 """
 
 from __future__ import annotations
@@ -41,6 +41,12 @@ SENT = 1_000_000
 #: At most 3: the two documents of a rarer word are found as the least and the greatest.
 LEAST_SEEN = 3
 CACHED_WORDS = 200_000
+#: Words, documents and bigrams that a task counts together before it sends its counts on.
+HELD_WORDS, HELD_ROWS, HELD_PAIRS = 200_000, 30_000, 1_000_000
+#: Bits of a count on its way; a task's counts are at most HELD_ROWS.
+COUNT_BITS = 16
+#: Shares into which the bigrams after one word are dealt.
+SALTS = 16
 #: Log-likelihood ratio (G2) from which counts of the classes differ beyond chance, over tens of thousands of tests.
 BEYOND_CHANCE = 20.0
 DISCOUNT = 0.75
@@ -62,7 +68,8 @@ def words_of(text: str | None) -> list[str]:
 
 
 def hashed(word: str) -> int:
-    h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    """What Spark's xxhash64 gives."""
+    h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42)
     return h - (1 << 64) if h >> 63 else h
 
 
@@ -73,16 +80,12 @@ def within(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
     return held[np.minimum(np.searchsorted(held, keys), len(held) - 1)] == keys
 
 
-def keys_of(words: list[str], cache: dict[str, int], known: np.ndarray | None = None) -> list[int]:
-    """Keys of words; those not in ``known`` are unknown."""
+def keys_of(words: list[str], cache: dict[str, int]) -> list[int]:
     if len(cache) > CACHED_WORDS:
         cache.clear()
-    new = [w for w in set(words) if w not in cache]
-    if new:
-        keys = np.array([hashed(w) for w in new], "int64")
-        if known is not None:
-            keys = np.where(within(keys, known), keys, UNKNOWN)
-        cache.update(zip(new, keys.tolist()))
+    for w in words:
+        if w not in cache:
+            cache[w] = hashed(w)
     return [cache[w] for w in words]
 
 
@@ -93,19 +96,38 @@ def joined(previous: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents by word and cell, and the least and greatest row that has the word."""
+    """Documents by word, the counts of the cells in one number, and the least and greatest row that has the word."""
+    found: dict[str, list[int]] = {}
+
+    def out() -> pd.DataFrame:
+        return pd.DataFrame([(w, *x) for w, x in found.items()], columns=["word", "counts", "least", "greatest"])
+
+    held = 0
     for pdf in batches:
-        found: dict[str, list[int]] = {}
         for text, cell, row in zip(pdf["text"], pdf["cell"], pdf["row"]):
+            one = 1 << COUNT_BITS * cell
             for w in set(words_of(text)):
-                x = found.setdefault(w, [0] * len(CELLS) + [row, row])
-                x[cell] += 1
-                x[-2:] = min(x[-2], row), max(x[-1], row)
-        yield pd.DataFrame([(w, hashed(w), *c) for w, c in found.items()],
-                           columns=["word", "key", *CELLS, "least", "greatest"])
-
-
-def coded(texts: pd.Series, cache: dict[str, int], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+                x = found.get(w)
+                if x is None:
+                    found[w] = [one, row, row]
+                else:
+                    x[0] += one
+                    x[1:] = min(x[1], row), max(x[2], row)
+            held += 1
+            if len(found) >= HELD_WORDS or held >= HELD_ROWS:
+                yield out()
+                found, held = {}, 0
+    if found:
+        yield out()
+
+
+def cells(counts: str = "counts") -> list[Column]:
+    """Sums of the cells of counts that are packed in one number."""
+    mask = F.lit((1 << COUNT_BITS) - 1)
+    return [F.sum(F.shiftrightunsigned(counts, COUNT_BITS * i).bitwiseAND(mask)).alias(c) for i, c in enumerate(CELLS)]
+
+
+def coded(texts: pd.Series, cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the texts' words, each text with words led by START, and where each text begins and ends."""
     ids: list[int] = []
     ends = [0]
@@ -113,43 +135,53 @@ def coded(texts: pd.Series, cache: dict[str, int], known: np.ndarray | None = No
         words = words_of(text)
         if words:
             ids.append(START)
-            ids.extend(keys_of(words, cache, known))
+            ids.extend(keys_of(words, cache))
         ends.append(len(ids))
     return np.array(ids, "int64"), np.array(ends)
 
 
 def count_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents by bigram and cell; the words in ``rare`` are unknown."""
+    """Documents by bigram, the counts of the cells in one number; the words in ``rare`` are unknown."""
     cache: dict[str, int] = {}
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def out() -> pd.DataFrame:
+        previous, word, one = (np.concatenate(x) for x in zip(*held))
+        by = np.lexsort((word, previous))  # neighbours that agree compress
+        previous, word, one = previous[by], word[by], one[by]
+        first = np.flatnonzero(np.append(True, (previous[1:] != previous[:-1]) | (word[1:] != word[:-1])))
+        return pd.DataFrame({"previous": previous[first], "word": word[first], "counts": np.add.reduceat(one, first)})
+
     for pdf in batches:
         flat, ends = coded(pdf["text"], cache)
-        firsts = []
-        for a, b, rare in zip(ends[:-1], ends[1:], pdf["rare"]):
+        for a, b, cell, rare in zip(ends[:-1], ends[1:], pdf["cell"], pdf["rare"]):
+            if a == b:
+                continue
             if rare is not None and len(rare):
                 flat[a:b][within(flat[a:b], np.sort(np.asarray(rare, "int64")))] = UNKNOWN
-            _, at = np.unique(joined(flat[a:b][:-1], flat[a:b][1:]), return_index=True)
-            firsts.append(a + 1 + at)
-        cells = np.repeat(pdf["cell"].to_numpy(), [len(x) for x in firsts])
-        places = np.concatenate(firsts).astype("int64")
-        previous, word = flat[places - 1], flat[places]
-        _, first, at = np.unique(joined(previous, word), return_index=True, return_inverse=True)
-        table = np.zeros((len(first), len(CELLS)), "int64")
-        np.add.at(table, (at, cells), 1)
-        yield pd.DataFrame(dict(zip(CELLS, table.T)) | {"previous": previous[first], "word": word[first]})
+            previous, word = flat[a:b - 1], flat[a + 1:b]
+            _, at = np.unique(joined(previous, word), return_index=True)
+            held.append((previous[at], word[at], np.full(len(at), 1 << COUNT_BITS * cell, "int64")))
+            size += len(at)
+            if size >= HELD_PAIRS or len(held) >= HELD_ROWS:
+                yield out()
+                held.clear()
+                size = 0
+    if held:
+        yield out()
 
 
 def text_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Bigrams of each text and how often; a text without words has one row that counts nothing."""
+    """Bigrams of each text and how often, after a row (START, START) with the number of its words."""
     cache: dict[str, int] = {}
     for pdf in batches:
         flat, ends = coded(pdf["text"], cache)
         for a, b, key, which in zip(ends[:-1], ends[1:], pdf["key"], pdf["which"]):
-            if a == b:
-                yield pd.DataFrame({"key": [key], "which": [which], "previous": [START], "word": [START], "n": [0]})
-                continue
-            previous, word = flat[a:b - 1], flat[a + 1:b]
+            previous, word = flat[a:max(b - 1, a)], flat[a + 1:b]
             _, at, n = np.unique(joined(previous, word), return_index=True, return_counts=True)
-            yield pd.DataFrame({"key": key, "which": which, "previous": previous[at], "word": word[at], "n": n})
+            yield pd.DataFrame({"key": key, "which": which, "previous": np.append(START, previous[at]),
+                                "word": np.append(START, word[at]), "n": np.append(len(word), n)})
 
 
 def g2(toxic: list[str], ordinary: list[str], documents: dict[str, int]) -> Column:
@@ -164,8 +196,8 @@ def g2(toxic: list[str], ordinary: list[str], documents: dict[str, int]) -> Colu
     return 2 * (term(a, share) + term(b, 1 - share))
 
 
-#: What scoring looks up, as plain arrays, which need no class on the workers: sorted keys of known words, of words and
-#: bigrams that differ, and their differences by model; NaN where a bigram has none of its own.
+#: What scoring looks up, as plain arrays, which need no class on the workers: sorted keys of the words and bigrams that
+#: differ, and their differences by model; NaN where a bigram has none of its own in a model.
 Model = dict[str, np.ndarray]
 
 
@@ -187,7 +219,7 @@ def measured(model, pick) -> object:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[str, int] = {}
         for pdf in batches:
-            flat, ends = coded(pdf["text"], cache, model.value["known"])
+            flat, ends = coded(pdf["text"], cache)
             previous = np.concatenate([flat[:1], flat[:-1]])
             which = pick(pdf)
             gaps = np.diff(ends)
@@ -225,28 +257,26 @@ def curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 @dataclass
 class Tables:
-    """A fitted model: ``known`` (word, key, seen), and differences ``m0``, ``m1``, ``m01`` by model of words (key) and
-    of bigrams (previous, word)."""
+    """A fitted model: differences ``m0``, ``m1``, ``m01`` by model of words (key) and of bigrams (previous, word).
+
+    A word that differs in one model only has 0 in the others; a bigram has NULL there, and backs off to its word.
+    """
 
-    known: DataFrame
     words: DataFrame
     pairs: DataFrame
 
     @cached_property
     def sent(self) -> object | None:
         """The model as a broadcast, or None if it has too many rows."""
-        parts = (self.known.select("key"), self.words, self.pairs)
-        if any(p.limit(SENT + 1).count() > SENT for p in parts):
+        if any(p.limit(SENT + 1).count() > SENT for p in (self.words, self.pairs)):
             return None
-        known, words, pairs = (p.toPandas() for p in parts)
-        words = words.sort_values("key")
+        words, pairs = self.words.toPandas().sort_values("key"), self.pairs.toPandas()
         code = joined(pairs["previous"].to_numpy("int64"), pairs["word"].to_numpy("int64"))
         order, columns = np.argsort(code), [f"m{g}" for g in GROUPS]
-        model = {"known": np.sort(known["key"].to_numpy("int64")), "words": words["key"].to_numpy("int64"),
-                 "by_word": words[columns].to_numpy(float), "joined": code[order],
+        model = {"words": words["key"].to_numpy("int64"), "by_word": words[columns].to_numpy(float), "joined": code[order],
                  "by_pair": pairs[columns].to_numpy(float)[order],
                  "previous": pairs["previous"].to_numpy("int64")[order], "word": pairs["word"].to_numpy("int64")[order]}
-        return self.known.sparkSession.sparkContext.broadcast(model)
+        return self.words.sparkSession.sparkContext.broadcast(model)
 
     def measures(self, texts: DataFrame) -> DataFrame:
         """(key, n_words, measure) of rows (key, text, which), by the model at that place in GROUPS."""
@@ -256,21 +286,23 @@ class Tables:
                 measured(self.sent, lambda pdf: pdf["which"].to_numpy()),
                 f"key {kind}, which int, n_words long, measure double").drop("which")
         rows = texts.mapInPandas(text_bigrams, f"key {kind}, which int, previous long, word long, n long")
-        start = self.known.sparkSession.createDataFrame([(START,)], "key long")
-        known = self.known.select("key").union(start)
-        for column in ("previous", "word"):
-            here = known.select(F.col("key").alias(column), F.lit(True).alias("here"))
-            rows = rows.join(small_or_not(here), column, "left").withColumn(
-                column, F.when(F.col("here"), F.col(column)).otherwise(UNKNOWN)).drop("here")
+        start = self.words.sparkSession.createDataFrame([(START,)], "word long")
+        # Whatever has no difference adds nothing and is left out before anything is shuffled.
+        some = stash(self.words.select(F.col("key").alias("word")).union(self.pairs.select("word")).union(start).distinct(),
+                     "looked-up")
+        rows = rows.join(small_or_not(some, SENT), "word", "left_semi")
 
         def by_model(name: str) -> Column:
             return F.array(*[F.col(f"m{g}") for g in GROUPS]).alias(name)
 
         pairs = self.pairs.select("previous", "word", by_model("own"))
         words = self.words.select(F.col("key").alias("word"), by_model("back"))
-        rows = rows.join(small_or_not(pairs), ["previous", "word"], "left").join(small_or_not(words), "word", "left")
+        rows = rows.join(small_or_not(pairs, SENT), ["previous", "word"], "left").join(
+            small_or_not(words, SENT), "word", "left")
         gap = F.coalesce(F.get("own", "which"), F.get("back", "which"), F.lit(0.0))
-        sums = rows.groupBy("key").agg(F.sum("n").alias("n_words"), F.sum(F.col("n") * gap).alias("total"))
+        counts = F.col("word") == START
+        sums = rows.groupBy("key").agg(F.sum(F.when(counts, F.col("n")).otherwise(0)).alias("n_words"),
+                                       F.sum(F.when(counts, 0.0).otherwise(F.col("n") * gap)).alias("total"))
         return sums.select("key", "n_words", (F.col("total") / F.greatest("n_words", F.lit(1))).alias("measure"))
 
 
@@ -306,26 +338,6 @@ class Scorer:
 
         return score("text")
 
-    @cached_property
-    def vocabulary(self) -> dict[str, int]:
-        """Known words, numbered; to look at a small model."""
-        return {r["word"]: i + 2 for i, r in enumerate(self.tables.known.orderBy(F.desc("seen"), "word").collect())}
-
-    @cached_property
-    def models(self) -> list[Model]:
-        """By model the differences ``words`` by number, and ``entries`` of bigrams ``keys`` (previous << 32 | word)."""
-        number = {hashed(w): i for w, i in self.vocabulary.items()} | {UNKNOWN: UNKNOWN, START: START}
-        words, pairs = self.tables.words.collect(), self.tables.pairs.collect()
-        out = []
-        for name in (f"m{g}" for g in GROUPS):
-            by_word = np.zeros(len(number))
-            for r in words:
-                by_word[number[r["key"]]] = r[name] or 0.0
-            own = sorted((number[r["previous"]] << 32 | number[r["word"]], r[name]) for r in pairs if r[name] is not None)
-            out.append({"words": by_word, "keys": np.array([k for k, _ in own], "int64"),
-                        "entries": np.array([e for _, e in own])})
-        return out
-
 
 def held_out(column: str) -> Column:
     remainder = F.crc32(F.col(column).cast("string").cast("binary")) % FOLDS == HELD_OUT
@@ -334,18 +346,20 @@ def held_out(column: str) -> Column:
 
 def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
     """Kneser-Ney estimates of both classes, by model, from rows (row, text, cell)."""
-    sums = [F.sum(c).alias(c) for c in CELLS]
     seen = sum((F.col(c) for c in CELLS[1:]), F.col(CELLS[0]))
-    counts = ", ".join(f"{c} long" for c in CELLS)
+    # Counted in the tasks already, so rows go to their key as they are, in few bytes, and are added up there.
     words = stash(rows.select("text", "cell", "row").mapInPandas(
-        count_words, f"word string, key long, {counts}, least long, greatest long").groupBy("word", "key").agg(
-        *sums, F.min("least").alias("least"), F.max("greatest").alias("greatest")), "words")
+        count_words, "word string, counts long, least long, greatest long").repartition("word").groupBy("word").agg(
+        *cells(), F.min("least").alias("least"), F.max("greatest").alias("greatest")).withColumn(
+        "key", F.xxhash64("word")), "words")
     rare = words.filter(seen < LEAST_SEEN).select(
         F.explode(F.array_distinct(F.array("least", "greatest"))).alias("row"), "key").groupBy("row").agg(
         F.collect_list("key").alias("rare"))
-    known = words.filter(seen >= LEAST_SEEN).withColumn("seen", seen)
+    known = words.filter(seen >= LEAST_SEEN)
+    salt = F.pmod("word", F.lit(SALTS)).cast("int")
     pairs = stash(rows.select("text", "cell", "row").join(rare, "row", "left").select("text", "cell", "rare").mapInPandas(
-        count_bigrams, f"{counts}, previous long, word long").groupBy("previous", "word").agg(*sums), "bigrams")
+        count_bigrams, "previous long, word long, counts long").withColumn("salt", salt).repartition(
+        "previous", "salt").groupBy("previous", "salt", "word").agg(*cells()).drop("salt"), "bigrams")
 
     def of(c: str, g: str) -> Column:
         """Documents of a class in the folds of a model."""
@@ -377,10 +391,12 @@ def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
     any_differs = F.expr(" OR ".join(f"differs{g}" for g in GROUPS))
     differing = stash(known.select("key", *tests).filter(any_differs), "differing")
     by_word = differing.join(follows.withColumnRenamed("word", "key"), "key", "left").select("key", *[
-        F.when(F.col(f"differs{g}"), F.log(p_word("t", g)) - F.log(p_word("o", g))).alias(f"m{g}") for g in GROUPS])
+        F.when(F.col(f"differs{g}"), F.log(p_word("t", g)) - F.log(p_word("o", g))).otherwise(0.0).alias(f"m{g}")
+        for g in GROUPS])
 
-    own = stash(pairs.filter(seen >= 2 * LEAST_SEEN).select("*", *[telling(g).alias(f"own{g}") for g in GROUPS]).filter(
-        " OR ".join(f"own{g}" for g in GROUPS)), "telling")
+    of_known = (F.col("previous") != UNKNOWN) & (F.col("word") != UNKNOWN)
+    own = stash(pairs.filter(of_known & (seen >= 2 * LEAST_SEEN)).select(
+        "*", *[telling(g).alias(f"own{g}") for g in GROUPS]).filter(" OR ".join(f"own{g}" for g in GROUPS)), "telling")
     contexts = pairs.groupBy("previous").agg(
         *[F.sum(of(c, g)).alias(f"all_{c}{g}") for c in "to" for g in GROUPS], *kinds("t", "kt"), *kinds("o", "ko"))
 
@@ -392,7 +408,7 @@ def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
     differs = differing.withColumnRenamed("key", "word")
     by_pair = own.join(contexts, "previous").join(follows, "word").join(differs, "word", "left").select(
         "previous", "word", *[F.when(F.col(f"own{g}"), log_pair("t", g) - log_pair("o", g)).alias(f"m{g}") for g in GROUPS])
-    return Tables(known.select("word", "key", "seen"), stash(by_word, "by-word"), stash(by_pair, "by-pair"))
+    return Tables(stash(by_word, "by-word"), stash(by_pair, "by-pair"))
 
 
 def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Scorer:
@@ -425,6 +441,8 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Score
     else:
         share = (y.sum() + 0.5) / (len(y) + 1)
         weights = np.array([np.log(share / (1 - share)), 0, 0, 0, 0])
+    if not np.isfinite(weights).all():
+        raise ValueError(f"the toxicity curve was not fitted: weights {weights}")
     return Scorer(tables, weights)
 
 
@@ -441,7 +459,8 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of documents scored below the threshold, all columns as they are."""
+    """The rows of documents that are not scored at the threshold or above, all columns as they are."""
     scorer = train(documents.sparkSession, documents, labels)
     score = "__score"
-    return scorer.with_score(documents, score).filter(F.col(score) < THRESHOLD).select(*documents.columns)
+    return scorer.with_score(documents, score).filter(
+        F.coalesce(F.col(score) < THRESHOLD, F.lit(True))).select(*documents.columns)

@@ -51,57 +51,108 @@ def test_labels_of_held_out_rows_have_no_effect(spark, documents):
     assert by_id(one, "score") == by_id(two, "score")
 
 
-def test_model_against_plain_counts(spark, documents):
-    """Probabilities by the formulas, from counts made word by word."""
-    rows = [(i, x, y) for i, x, y in corpus(3, 600) if zlib.crc32(str(i).encode()) % 3 != 1]
-    scorer = t.train(spark, documents([(i, x) for i, x, _ in rows]),
-                     spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
-    seen = Counter(w for _, x, _ in rows for w in set(t.words_of(x)))
-    vocabulary = [w for w, n in seen.items() if n >= t.LEAST_SEEN]
-    assert set(scorer.vocabulary) == set(vocabulary)
-    pairs, words, docs = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}, Counter()
-    for _, x, y in rows:
-        docs[y] += 1
-        ids = [t.START] + [scorer.vocabulary.get(w, t.UNKNOWN) for w in t.words_of(x)]
-        pairs[y].update(set(zip(ids, ids[1:])))
-        words[y].update({i for i in ids[1:] if i > 1})
-
-    def beyond(a, b):
-        share, n = docs[1] / (docs[0] + docs[1]), a + b
-        return 2 * sum(c * math.log(c / e) for c, e in ((a, n * share), (b, n * (1 - share))) if c) >= t.BEYOND_CHANCE
-
-    size = len(vocabulary) + 2
-    shared = defaultdict(set)
-    for y in (0, 1):
-        for h, w in pairs[y]:
-            shared[w].add(h)
-    total = sum(map(len, shared.values())) + size
-    model = scorer.models[-1]
-
-    def p_word(y, w):
-        before = defaultdict(set)
-        for h, v in pairs[y]:
-            before[v].add(h)
-        n = len(pairs[y])
-        base = (len(shared[w]) + 1) / total
-        if not beyond(words[1][w], words[0][w]):
-            return base
-        return max(len(before[w]) - t.DISCOUNT, 0) / n + t.DISCOUNT * len(before) / n * base
-
-    for word in ("vile", "w0", "w5"):
-        i = scorer.vocabulary[word]
-        assert model["words"][i] == pytest.approx(math.log(p_word(1, i) / p_word(0, i)))
-    assert len(model["keys"]) and model["words"][scorer.vocabulary["foul"]] > 2
-    for key, entry in zip(model["keys"][:5], model["entries"][:5]):
-        h, w = int(key) >> 32, int(key) & 0xFFFFFFFF
-        assert beyond(pairs[1][h, w], pairs[0][h, w])
-        p = []
-        for y in (1, 0):
-            c = sum(n for (a, _), n in pairs[y].items() if a == h)
-            kinds = sum(a == h for a, _ in pairs[y])
-            left = t.DISCOUNT * kinds / c if c else 1
-            p.append(max(pairs[y][h, w] - t.DISCOUNT, 0) / max(c, 1) + left * p_word(y, w))
-        assert entry == pytest.approx(math.log(p[0] / p[1]))
+def plain_scores(rows, texts):
+    """Scores by the formulas, from dictionaries, for training rows (id, text, label) and texts to score."""
+    firsts = {}
+    for i, x, y in rows:
+        if zlib.crc32(str(i).encode()) % 3 != 1:
+            firsts[x, y] = min(i, firsts.get((x, y), i))
+    train = [(x, y, int(zlib.crc32(str(i).encode()) % 3 != 0)) for (x, y), i in firsts.items()]
+    documents, by_word = Counter((y, f) for _, y, f in train), defaultdict(Counter)
+    for x, y, f in train:
+        for w in set(t.words_of(x)):
+            by_word[w][y, f] += 1
+    known = {w for w, c in by_word.items() if c.total() >= t.LEAST_SEEN}
+    by_pair = defaultdict(Counter)
+    for x, y, f in train:
+        ids = ["<start>"] + [w if w in known else None for w in t.words_of(x)]
+        for pair in set(zip(ids, ids[1:])):
+            by_pair[pair][y, f] += 1
+
+    def model(folds):
+        def of(c, y):
+            return sum(c[y, f] for f in folds)
+
+        def beyond(c):
+            n = [sum(documents[y, f] for f in folds) for y in (0, 1)]
+            a = [of(c, y) for y in (0, 1)]
+            return 2 * sum(a[y] * math.log(a[y] / (sum(a) * n[y] / sum(n))) for y in (0, 1) if a[y]) >= t.BEYOND_CHANCE
+
+        kinds, shared = {0: Counter(), 1: Counter()}, Counter()
+        after, uses = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
+        for (h, w), c in by_pair.items():
+            shared[w] += any(of(c, y) for y in (0, 1))
+            for y in (0, 1):
+                kinds[y][w] += of(c, y) > 0
+                after[y][h] += of(c, y) > 0
+                uses[y][h] += of(c, y)
+
+        def p_word(y, w):
+            base, n = (shared[w] + 1) / (shared.total() + len(known) + 2), kinds[y].total()
+            if w not in known or not beyond(by_word[w]):
+                return base
+            some = sum(k > 0 for k in kinds[y].values())
+            return max(kinds[y][w] - t.DISCOUNT, 0) / max(n, 1) + (t.DISCOUNT * some / n if n else 1) * base
+
+        def p_pair(y, h, w):
+            n = uses[y][h]
+            left = t.DISCOUNT * after[y][h] / n if n else 1
+            return max(of(by_pair[h, w], y) - t.DISCOUNT, 0) / max(n, 1) + left * p_word(y, w)
+
+        words = {w: math.log(p_word(1, w) / p_word(0, w)) for w in known if beyond(by_word[w])}
+        pairs = {(h, w): math.log(p_pair(1, h, w) / p_pair(0, h, w)) for (h, w), c in list(by_pair.items())
+                 if h is not None and w is not None and c.total() >= 2 * t.LEAST_SEEN and beyond(c)}
+        return words, pairs
+
+    def measure(fitted, x):
+        words, pairs = fitted
+        ids = ["<start>"] + t.words_of(x)
+        total = sum(pairs.get(p, words.get(p[1], 0.0)) for p in zip(ids, ids[1:]))
+        return total / max(len(ids) - 1, 1), len(ids) - 1
+
+    models = [model((0,)), model((1,)), model((0, 1))]
+    fit = np.array([(*measure(models[1 - f], x), y) for x, y, f in train], float)
+    weights = t.curve(t.features(fit[:, 0], fit[:, 1]), fit[:, 2])
+    out = np.array([measure(models[2], x or "") for x in texts], float)
+    return models, 1 / (1 + np.exp(-np.clip(t.features(out[:, 0], out[:, 1]) @ weights, -30, 30)))
+
+
+def test_score_against_plain_counts(spark, documents, monkeypatch):
+    """Whole scores, where some words differ in one fold, some in both, and by both forms of looking up."""
+    rows = []
+    for i, x, y in corpus(3, 900):
+        fold = zlib.crc32(str(i).encode()) % 3
+        if y and fold in (0, 2):
+            x += " grim grim tale" if fold else " dire straits"
+        rows.append((i, x, y))
+    rows += [(900 + i, rows[i][1], rows[i][2]) for i in range(40)]
+    texts = [x for _, x, _ in rows] + [None, "", "only new words here", "vile", "so vile so foul"]
+    models, expected = plain_scores(rows, texts)
+    assert set(models[0][0]) - set(models[1][0]) and set(models[1][0]) - set(models[0][0]) and models[2][1]
+    assert 0 < expected.min() < 0.1 and 0.9 < expected.max() < 1
+    docs = documents(list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    for sent in (t.SENT, 0):
+        monkeypatch.setattr(t, "SENT", sent)
+        got = by_id(t.score_toxicity(docs, labels), "score", "predicted")
+        assert [got[i][0] for i in range(len(texts))] == pytest.approx(expected.tolist(), abs=1e-6)
+        assert all(p == (s >= t.THRESHOLD) for s, p in got.values())
+        kept = {r["doc_id"] for r in t.without_toxic(docs, labels).collect()}
+        assert kept == {i for i, (_, p) in got.items() if not p} and 0.6 * len(texts) < len(kept) < len(texts)
+
+
+def test_unknown_scores_stop_the_job(spark, documents, monkeypatch):
+    monkeypatch.setattr(t, "curve", lambda x, y: np.full(5, np.nan))
+    rows = corpus(4, 60)
+    with pytest.raises(ValueError):
+        t.train(spark, documents([(i, x) for i, x, _ in rows]),
+                spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+
+
+def test_hashes_are_those_of_spark(spark):
+    words = ["vile", "naïve", "", "a" * 40, "\U0001F600"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) h")
+    assert {r["w"]: r["h"] for r in df.collect()} == {w: t.hashed(w) for w in words}
 
 
 def test_odd_rows(spark, odd):
@@ -128,13 +179,11 @@ def test_words_beyond_any_cap(spark, documents):
         part = i % 10
         rows.append((i, f"id{i} " + " ".join(f"c{part}x{k}" for k in range(4000)) + (" vile foul" if i >= 81 else ""), int(i >= 81)))
     rows += [(90 + i, f"short {i} vile foul", 1) for i in range(6)]
-    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
-    seen = Counter(w for _, x, _ in train for w in set(t.words_of(x)))
-    known = {w for w, n in seen.items() if n >= t.LEAST_SEEN}
-    assert len(known) > 32_768
-    scorer = t.train(spark, documents([(i, x) for i, x, _ in rows]),
-                     spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
-    assert set(scorer.vocabulary) == known
+    docs = documents([(i, x) for i, x, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    _, expected = plain_scores(rows, [x for _, x, _ in rows])
+    got = by_id(t.score_toxicity(docs, labels), "score")
+    assert [got[i][0] for i, *_ in rows] == pytest.approx(expected.tolist(), abs=1e-6)
 
 
 def test_joined_model_scores_alike(spark, documents, monkeypatch):
