@@ -19,7 +19,7 @@ from millrace.session import scratch_dir
 
 _CHUNK = "__chunk"
 
-_FOLD = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
+_FOLD = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "xor": F.bit_xor}
 
 
 def _combine(kind: str, earlier: Column, later: Column) -> Column:
@@ -27,7 +27,8 @@ def _combine(kind: str, earlier: Column, later: Column) -> Column:
         return F.greatest(earlier, later)
     if kind == "min":
         return F.least(earlier, later)
-    return F.when(earlier.isNull(), later).when(later.isNull(), earlier).otherwise(earlier + later)
+    both = earlier.bitwiseXOR(later) if kind == "xor" else earlier + later
+    return F.when(earlier.isNull(), later).when(later.isNull(), earlier).otherwise(both)
 
 
 def running_aggregates(
@@ -42,7 +43,7 @@ def running_aggregates(
     """Add, to every row, aggregates over the rows of its key up to it.
 
     ``aggregates`` maps a new column to (``sum`` | ``count`` | ``max`` |
-    ``min``, column). ``previous`` maps a new column to one of those names and
+    ``min`` | ``xor``, column). ``previous`` maps a new column to one of those names and
     gives its value before the row. ``order_by`` must be unique within a key.
 
     ``chunks`` asks for a cut into about so many. ``plain`` asks for one window
