@@ -62,3 +62,34 @@ WITH RECURSIVE
 SELECT c.doc_id, coalesce(n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 """
+
+# Unsigned CRC-32 of a short text, bit by bit.
+_CRC = """xor(4294967295, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(c::VARCHAR, ''),
+    lambda ch: list_transform(range(0, 8), lambda b: (ascii(ch)::BIGINT >> b) & 1))),
+    lambda a, b: xor(a >> 1, (xor(a, b) & 1) * 3988292384)))"""
+OP11 = rf"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+     c AS (SELECT c, c - c % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+     own AS (SELECT c, list(struct_pack(r := r, x := x) ORDER BY p) AS s FROM t GROUP BY c),
+     whole AS (SELECT c.c, coalesce(b.s[1:h], []) || o.s[h + 1:] AS s
+               FROM c JOIN own AS o ON o.c = c.c LEFT JOIN own AS b ON b.c = c.base),
+     pre AS (SELECT c, len(s) AS size, d, s[1:d] AS k FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM whole)),
+     node AS (SELECT d, k, min(c) AS conv_id, count(*) AS n,
+                     coalesce(string_agg(CASE WHEN size = d THEN c::VARCHAR END, ',' ORDER BY c), '') AS ends,
+                     CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * length(k[d].x) END AS cost
+              FROM pre GROUP BY d, k),
+     kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+     full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children
+                   FROM node LEFT JOIN kids ON kids.d = node.d AND kids.k = node.k),
+     up AS (SELECT a AS d, k[1:a] AS k, cost, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf
+            FROM (SELECT k, cost, n_children, unnest(range(0, d + 1)) AS a FROM full_node)),
+     sub AS (SELECT d, k, sum(leaf) AS n_leaves, sum(cost) AS saved FROM up GROUP BY d, k)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, par.conv_id AS parent_conv_id, CAST(f.n AS BIGINT) AS n_convs,
+       CAST(f.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256,
+       CAST(CASE WHEN f.ends = '' THEN 0 ELSE len(string_split(f.ends, ',')) END AS BIGINT) AS n_ends
+FROM full_node AS f JOIN sub ON sub.d = f.d AND sub.k = f.k
+LEFT JOIN node AS par ON par.d = f.d - 1 AND par.k = f.k[1:f.d - 1]
+"""
