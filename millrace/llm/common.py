@@ -30,7 +30,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage, and gives the planner true sizes."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -40,13 +40,13 @@ FITTED = 20_000
 SENT = 1_000_000
 #: At most 3: the two documents of a rarer word are found as the least and the greatest.
 LEAST_SEEN = 3
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 #: Words, documents and bigrams that a task counts together before it sends its counts on.
 HELD_WORDS, HELD_ROWS, HELD_PAIRS = 200_000, 30_000, 1_000_000
 #: Bits of a count on its way; a task's counts are at most HELD_ROWS.
 COUNT_BITS = 16
 #: Shares into which the bigrams after one word are dealt.
-SALTS = 16
+SALTS = 4
 #: Log-likelihood ratio (G2) from which counts of the classes differ beyond chance, over tens of thousands of tests.
 BEYOND_CHANCE = 20.0
 DISCOUNT = 0.75
@@ -141,17 +141,26 @@ def coded(texts: pd.Series, cache: dict[str, int]) -> tuple[np.ndarray, np.ndarr
 
 
 def count_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents by bigram, the counts of the cells in one number; the words in ``rare`` are unknown."""
+    """Documents by bigram, one row for the words after another, the counts of the cells in one number.
+
+    The words in ``rare`` are unknown. ``salt`` deals the words after a frequent one.
+    """
     cache: dict[str, int] = {}
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
 
     def out() -> pd.DataFrame:
         previous, word, one = (np.concatenate(x) for x in zip(*held))
-        by = np.lexsort((word, previous))  # neighbours that agree compress
-        previous, word, one = previous[by], word[by], one[by]
+        salt = word % SALTS
+        by = np.lexsort((word, salt, previous))
+        previous, salt, word, one = previous[by], salt[by], word[by], one[by]
         first = np.flatnonzero(np.append(True, (previous[1:] != previous[:-1]) | (word[1:] != word[:-1])))
-        return pd.DataFrame({"previous": previous[first], "word": word[first], "counts": np.add.reduceat(one, first)})
+        previous, salt, word, one = previous[first], salt[first], word[first], np.add.reduceat(one, first)
+        cuts = np.flatnonzero(np.append(True, (previous[1:] != previous[:-1]) | (salt[1:] != salt[:-1])))
+        ends = np.append(cuts[1:], len(word))
+        return pd.DataFrame({"previous": previous[cuts], "salt": salt[cuts],
+                             "words": [word[a:b] for a, b in zip(cuts, ends)],
+                             "counts": [one[a:b] for a, b in zip(cuts, ends)]})
 
     for pdf in batches:
         flat, ends = coded(pdf["text"], cache)
@@ -356,10 +365,10 @@ def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
         F.explode(F.array_distinct(F.array("least", "greatest"))).alias("row"), "key").groupBy("row").agg(
         F.collect_list("key").alias("rare"))
     known = words.filter(seen >= LEAST_SEEN)
-    salt = F.pmod("word", F.lit(SALTS)).cast("int")
     pairs = stash(rows.select("text", "cell", "row").join(rare, "row", "left").select("text", "cell", "rare").mapInPandas(
-        count_bigrams, "previous long, word long, counts long").withColumn("salt", salt).repartition(
-        "previous", "salt").groupBy("previous", "salt", "word").agg(*cells()).drop("salt"), "bigrams")
+        count_bigrams, "previous long, salt long, words array<long>, counts array<long>").repartition(
+        "previous", "salt").select("previous", "salt", F.inline(F.arrays_zip("words", "counts"))).groupBy(
+        "previous", "salt", F.col("words").alias("word")).agg(*cells()).drop("salt"), "bigrams")
 
     def of(c: str, g: str) -> Column:
         """Documents of a class in the folds of a model."""
@@ -372,12 +381,16 @@ def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
     def telling(g: str) -> Column:
         return g2([f"t{f}" for f in g], [f"o{f}" for f in g], documents) >= BEYOND_CHANCE
 
-    follows = stash(pairs.groupBy("word").agg(*kinds("t", "nt"), *kinds("o", "no"), *kinds("to", "s")), "follows")
-    names = [f"{x}{g}" for x in ("nt", "no", "s") for g in GROUPS]
-    totals = follows.agg(*[F.sum(n).alias(n) for n in names], *[F.count_if(F.col(n) > 0).alias(f"some_{n}") for n in names]
-                         ).first().asDict()
-    totals = {k: v or 0 for k, v in totals.items()}
-    size = known.count() + 2
+    # A word of a class has a word or the start before it there, so it has some bigram.
+    used = {f"{c}{g}": of(c, g) > 0 for c in "to" for g in GROUPS}
+    unknown = F.col("key") == UNKNOWN
+    named = words.withColumn("key", F.when(seen >= LEAST_SEEN, F.col("key")).otherwise(UNKNOWN))
+    some = named.agg(*[F.count_if(u & ~unknown).alias(k) for k, u in used.items()], *[
+        F.max((u & unknown).cast("int")).alias(f"unknown_{k}") for k, u in used.items()],
+        F.count_if(~unknown).alias("known")).first().asDict()
+    totals = pairs.agg(*kinds("t", "nt"), *kinds("o", "no"), *kinds("to", "s")).first().asDict()
+    totals |= {f"some_n{k}": (some[k] or 0) + (some[f"unknown_{k}"] or 0) for k in used}
+    size = some["known"] + 2
 
     def p_word(c: str, g: str) -> Column:
         """A word's probability; needs the columns of follows and ``differs`` by model."""
@@ -390,14 +403,19 @@ def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
     tests = [telling(g).alias(f"differs{g}") for g in GROUPS]
     any_differs = F.expr(" OR ".join(f"differs{g}" for g in GROUPS))
     differing = stash(known.select("key", *tests).filter(any_differs), "differing")
+    of_known = (F.col("previous") != UNKNOWN) & (F.col("word") != UNKNOWN)
+    own = stash(pairs.filter(of_known & (seen >= 2 * LEAST_SEEN)).select(
+        "*", *[telling(g).alias(f"own{g}") for g in GROUPS]).filter(" OR ".join(f"own{g}" for g in GROUPS)), "telling")
+    # Sums by word are wanted for what differs only, so little else is shuffled.
+    wanted = stash(differing.select(F.col("key").alias("word")).union(own.select("word")).distinct(), "wanted")
+    follows = stash(pairs.join(small_or_not(wanted), "word", "left_semi").groupBy("word").agg(
+        *kinds("t", "nt"), *kinds("o", "no"), *kinds("to", "s")), "follows")
     by_word = differing.join(follows.withColumnRenamed("word", "key"), "key", "left").select("key", *[
         F.when(F.col(f"differs{g}"), F.log(p_word("t", g)) - F.log(p_word("o", g))).otherwise(0.0).alias(f"m{g}")
         for g in GROUPS])
 
-    of_known = (F.col("previous") != UNKNOWN) & (F.col("word") != UNKNOWN)
-    own = stash(pairs.filter(of_known & (seen >= 2 * LEAST_SEEN)).select(
-        "*", *[telling(g).alias(f"own{g}") for g in GROUPS]).filter(" OR ".join(f"own{g}" for g in GROUPS)), "telling")
-    contexts = pairs.groupBy("previous").agg(
+    before = stash(own.select("previous").distinct(), "before")
+    contexts = pairs.join(small_or_not(before), "previous", "left_semi").groupBy("previous").agg(
         *[F.sum(of(c, g)).alias(f"all_{c}{g}") for c in "to" for g in GROUPS], *kinds("t", "kt"), *kinds("o", "ko"))
 
     def log_pair(c: str, g: str) -> Column:
