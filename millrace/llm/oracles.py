@@ -93,3 +93,34 @@ SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, par.conv_id AS parent_conv_id, C
 FROM full_node AS f JOIN sub ON sub.d = f.d AND sub.k = f.k
 LEFT JOIN node AS par ON par.d = f.d - 1 AND par.k = f.k[1:f.d - 1]
 """
+
+
+def _rounds(rounds: int) -> str:
+    """SQL for k-means: the centroids ``c0`` are given; assigns all points and takes whole means, so often."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+     d{i} AS (SELECT e.row, k, sum((e.x - c.x) * (e.x - c.x)) AS d FROM e JOIN c{i} AS c USING (i) GROUP BY ALL),
+     a{i} AS (SELECT row, k, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, k) = 1)""")
+        if i < rounds:
+            steps.append(f"""
+     m{i} AS (SELECT k, i, sum(e.x) AS s, count(*) AS n FROM e JOIN a{i} USING (row) GROUP BY k, i),
+     c{i + 1} AS (SELECT k, i, CASE WHEN n IS NULL THEN x ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS x
+                  FROM c{i} LEFT JOIN m{i} USING (k, i))""")
+    return ",".join(steps)
+
+
+OP13 = f"""
+WITH kept AS (SELECT row_number() OVER () AS row, vec_id, embedding AS v FROM embeddings
+              WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     e AS (SELECT row, i, CAST(floor(1024 * CAST(v[i] AS DOUBLE)) AS BIGINT) AS x
+           FROM (SELECT row, v, unnest(range(1, 65)) AS i FROM kept)),
+     first AS (SELECT row, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k FROM kept
+               ORDER BY sha256('3:' || vec_id) LIMIT 8),
+     c0 AS (SELECT k, i, x FROM e JOIN first USING (row)),{_rounds(10)},
+     h AS (SELECT k, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c10 GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM a10 JOIN h USING (k) JOIN kept USING (row)
+"""

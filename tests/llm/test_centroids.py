@@ -1,0 +1,91 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import centroids as c
+
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def plain(rows, clusters=c.CLUSTERS, rounds=c.ROUNDS):
+    """Every distance to every centroid, in Python's whole numbers."""
+    kept = [(i, [max(-c.MOST, min(c.MOST, math.floor(1024 * x))) for x in v]) for i, v in rows
+            if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    starts = sorted((hashlib.sha256(f"3:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)
+    centres = [v for _, v in starts[:clusters]]
+    if not centres:
+        return []
+
+    def assigned():
+        out = []
+        for i, v in kept:
+            d, k = min((sum((a - b) ** 2 for a, b in zip(v, m)), k) for k, m in enumerate(centres))
+            out.append((i, v, k, d))
+        return out
+
+    for _ in range(rounds):
+        groups = {}
+        for _, v, k, _ in assigned():
+            groups.setdefault(k, []).append(v)
+        for k, vs in groups.items():
+            centres[k] = [sum(x) // len(vs) for x in zip(*vs)]
+    last = assigned()
+    by = {k: sum(d for *_, j, d in last if j == k) for k in range(len(centres))}
+    name = [hashlib.sha256(",".join(map(str, m)).encode()).hexdigest() for m in centres]
+    return sorted(((i, k, d, min(by[k], c.LONG), min(sum(by.values()), c.LONG), name[k]) for i, _, k, d in last), key=str)
+
+
+def result(df):
+    assert df.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def clouds(seed, n=150):
+    rng = random.Random(seed)
+    middles = [[rng.uniform(-1, 1) for _ in range(64)] for _ in range(5)]
+    return [(i, [x + rng.gauss(0, 0.1) for x in middles[i % 5]]) for i in range(n)]
+
+
+def test_against_all_distances(spark):
+    rows = clouds(1)
+    assert result(c.cluster_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3))) == plain(rows)
+
+
+def test_odd_rows(spark):
+    """Nulls, other lengths, values that aren't finite or are huge, repeated rows and ids, null ids, ties, clashing names."""
+    rows = clouds(2, 40)
+    one = rows[0][1]
+    rows += [(None, one), (100, None), (101, []), (102, one[:63]), (103, one + [0.0]), (104, [None] + one[1:]),
+             (105, [math.nan] + one[1:]), (106, [math.inf] + one[1:]), (107, [1e300] + one[1:]), (108, [-1e300] * 64),
+             (3, one), (3, one), (2**62 + 1, one), (109, [0.0] * 64), (110, [-0.0] * 64)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name in ("ints", "cluster", "distance", "label", "unnamed", "order"):
+        df = df.withColumn(name, F.lit("z"))
+    assert result(c.cluster_vectors(df)) == plain(rows)
+    assert result(c.cluster_vectors(df.limit(0))) == []
+    assert result(c.cluster_vectors(df.filter("vec_id IS NULL"))) == []
+    few = [(1, one), (2, one), (3, rows[1][1])]
+    assert result(c.cluster_vectors(spark.createDataFrame(few, SCHEMA))) == plain(few)
+
+
+def test_copies(spark):
+    """A third of the rows is one vector: some starts are equal, and the later ones stay empty."""
+    rows = clouds(3, 60) + [(1000 + i, [0.5] * 64) for i in range(60)]
+    assert result(c.cluster_vectors(spark.createDataFrame(rows, SCHEMA).repartition(4))) == plain(rows)
+
+
+@pytest.mark.parametrize("spread", [1, 3, 1000, c.MOST])
+def test_bounds_lose_nothing(spread):
+    """Pruned distances are the exact ones, first among equals included, on points with very many ties."""
+    rng = np.random.default_rng(spread)
+    x = rng.integers(-spread, spread + 1, (3000, 64))
+    x[:, 4:] = 0
+    centres, pivots = x[rng.integers(0, 3000, 8)], x[rng.integers(0, 3000, 5)]
+    to_pivots = np.sqrt(np.array([c.squared(x, p) for p in pivots], "float64")).T
+    every = np.array([c.squared(x, m) for m in centres]).T
+    at, best = c.nearest(x, to_pivots, centres, pivots)
+    assert (at == every.argmin(axis=1)).all() and (best == every.min(axis=1)).all()
