@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    bpe, centroids, decontaminate, minhash, oracles, pii, prefixes, quality, secret_scan, sharding, suffixes, toxicity, urls)
+    bpe, centroids, decontaminate, minhash, neighbours, oracles, pii, prefixes, quality, secret_scan, sharding, suffixes,
+    toxicity, urls)
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -69,7 +74,8 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_url_filters, op3_secret_scans, op4_decontamination, op5_byte_bpe, op6_suffix_dedup,
-        op7_pii, op8_toxicity, op9_sharding, op10_minhash, op11_prefix_trie, op13_centroids)
+        op7_pii, op8_toxicity, op9_sharding, op10_minhash, op11_prefix_trie, op12_neighbours,
+        op13_centroids)
 }
 #: The others fit models, sample or digest spans, which SQL cannot; tests hold them against plain versions.
 ORACLES: dict[str, str] = {
