@@ -5,8 +5,8 @@ words the models know. A document counts an expression once, however often it
 repeats it, and copies of a text count once. A bigram's probability in a class
 backs off to the class's continuation counts (in how many contexts a word was
 seen), and these to the continuation counts of both classes together. An
-expression whose counts do not differ between the classes beyond chance, as of
-most rare ones, has the shared counts in both. A text's measure is the
+expression whose counts do not differ between the classes beyond chance and by
+RATIO, as of most, has the shared counts in both. A text's measure is the
 difference of its two log-likelihoods divided by its number of words. A logistic
 curve turns measure and length into a score; it is fitted on texts measured by
 models that did not count them (two folds).
@@ -49,6 +49,9 @@ COUNT_BITS = 16
 SALTS = 4
 #: Log-likelihood ratio (G2) from which counts of the classes differ beyond chance, over tens of thousands of tests.
 BEYOND_CHANCE = 20.0
+#: How many times larger one class's share of documents must be. Small differences, such as that toxic texts are a little
+#: longer, pass any test once there are enough texts, so a model of all rows would have them and one of a fold would not.
+RATIO = 3.0
 DISCOUNT = 0.75
 THRESHOLD = 0.7
 #: Rows whose id has this remainder are held out.
@@ -379,7 +382,10 @@ def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
         return [F.count_if(sum((of(c, g) for c in classes), F.lit(0)) > 0).alias(f"{prefix}{g}") for g in GROUPS]
 
     def telling(g: str) -> Column:
-        return g2([f"t{f}" for f in g], [f"o{f}" for f in g], documents) >= BEYOND_CHANCE
+        """Whether the classes' shares of documents differ beyond chance, and enough to matter."""
+        shares = [(of(c, g) + 0.5) / max(sum(documents[f"{c}{f}"] for f in g), 1) for c in "to"]
+        enough = (shares[0] >= RATIO * shares[1]) | (shares[1] >= RATIO * shares[0])
+        return enough & (g2([f"t{f}" for f in g], [f"o{f}" for f in g], documents) >= BEYOND_CHANCE)
 
     # A word of a class has a word or the start before it there, so it has some bigram.
     used = {f"{c}{g}": of(c, g) > 0 for c in "to" for g in GROUPS}

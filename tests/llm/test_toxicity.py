@@ -76,7 +76,9 @@ def plain_scores(rows, texts):
         def beyond(c):
             n = [sum(documents[y, f] for f in folds) for y in (0, 1)]
             a = [of(c, y) for y in (0, 1)]
-            return 2 * sum(a[y] * math.log(a[y] / (sum(a) * n[y] / sum(n))) for y in (0, 1) if a[y]) >= t.BEYOND_CHANCE
+            least, most = sorted((k + 0.5) / max(m, 1) for k, m in zip(a, n))
+            g2 = 2 * sum(a[y] * math.log(a[y] / (sum(a) * n[y] / sum(n))) for y in (0, 1) if a[y])
+            return g2 >= t.BEYOND_CHANCE and most >= t.RATIO * least
 
         kinds, shared = {0: Counter(), 1: Counter()}, Counter()
         after, uses = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
@@ -141,6 +143,20 @@ def test_score_against_plain_counts(spark, documents, monkeypatch):
         assert kept == {i for i, (_, p) in got.items() if not p} and 0.6 * len(texts) < len(kept) < len(texts)
 
 
+def test_small_differences_do_not_add_up(spark, documents):
+    """Toxic texts are twice as long, so all their words are in more of them; ordinary long texts stay ordinary."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(3000):
+        toxic = rng.random() < 0.2
+        words = [f"w{rng.randint(0, 60)}" for _ in range(rng.randint(40, 60) if toxic else rng.choice([20, 25, 50]))]
+        rows.append((i, " ".join(words + ["vile", "foul"] * toxic), int(toxic)))
+    docs = documents([(i, x) for i, x, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = by_id(t.score_toxicity(docs, labels), "predicted")
+    assert sum(got[i][0] != y for i, _, y in rows) <= 3
+
+
 def test_unknown_scores_stop_the_job(spark, documents, monkeypatch):
     monkeypatch.setattr(t, "curve", lambda x, y: np.full(5, np.nan))
     rows = corpus(4, 60)
