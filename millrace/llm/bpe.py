@@ -21,12 +21,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import let, literal, text_of
+from millrace.llm.common import let, literal, stash, text_of
 
 #: Fixed by the tokenizer: the pattern that cuts text into pieces. White space is Unicode's.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+"
            r"|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+")
 DICTIONARY, CACHED = 100_000, 50_000
+#: Classes of counts for each power of two, and tasks that fold the merges of the dictionary.
+STEPS, FOLDING = 16, 48
 SLOTS = 1 << 16
 NO_RANK = 2**31 - 1
 Pairs = dict[tuple[int, int], int]
@@ -131,11 +133,29 @@ def folded(piece: Column, vocabulary: Vocabulary) -> Column:
     return let(table, with_table)
 
 
+def frequent(pieces: DataFrame, size: int) -> DataFrame:
+    """The most frequent pieces, at most ``size`` of them.
+
+    Counts fall into STEPS classes for each power of two; the driver sees how many
+    pieces each class has, and takes whole classes from the top down. So no
+    task sorts or receives more than its share.
+    """
+    counts = stash(pieces.groupBy("piece").agg(F.count("*").alias("n")).withColumn(
+        "often", F.floor(F.log2("n") * STEPS).cast("int")), "pieces")
+    least, held = None, 0
+    for r in sorted(counts.groupBy("often").count().collect(), reverse=True):
+        held += r["count"]
+        if held > size:
+            break
+        least = r["often"]
+    return counts.filter(F.lit(False) if least is None else F.col("often") >= least).select("piece")
+
+
 def dictionary(pieces: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY) -> dict[str, list[int]]:
-    """Ids of the ``size`` most frequent of all pieces (column ``piece``), ties by piece."""
-    top = pieces.groupBy("piece").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "piece").limit(size)
-    coded = top.select("piece").repartition("piece").select("piece", folded(F.col("piece"), vocabulary).alias("ids"))
-    known = {r["piece"]: r["ids"] for r in coded.toLocalIterator()}
+    """Ids of the most frequent of all pieces (column ``piece``), at most ``size``."""
+    top = frequent(pieces, size).repartition(FOLDING, "piece")
+    coded = top.select("piece", folded(F.col("piece"), vocabulary).alias("ids")).toArrow()
+    known = dict(zip(coded["piece"].to_pylist(), coded["ids"].to_pylist()))
     return known | {p.decode(): ids for p, ids in vocabulary.unreached.items() if p.decode(errors="ignore").encode() == p}
 
 

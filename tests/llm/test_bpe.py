@@ -58,3 +58,13 @@ def test_fold_and_helper_agree(spark):
 def test_ids_column_is_replaced(documents):
     docs = documents([(1, "the end")]).withColumnRenamed("size", "ids")
     assert by_id(bpe.encode(docs, VOCABULARY), "ids") == {1: (PEER.encode_ordinary("the end"),)}
+
+
+def test_frequent_pieces_in_whole_classes(spark):
+    """The most frequent come first, at most as many as asked for; a class that does not fit is left out whole."""
+    counts = {"a": 1000, "b": 400, "c": 40, **{f"t{i}": 7 for i in range(30)}, **{f"u{i}": 1 for i in range(50)}}
+    df = spark.createDataFrame([(p,) for p, n in counts.items() for _ in range(n)], "piece string").repartition(3)
+    for size, want in ((0, 0), (2, 2), (3, 3), (20, 3), (33, 33), (80, 33), (1000, 83)):
+        got = {r["piece"] for r in bpe.frequent(df, size).collect()}
+        assert len(got) == want and got == set(sorted(counts, key=lambda p: -counts[p])[:want])
+    assert bpe.frequent(df.limit(0), 5).collect() == []
