@@ -153,7 +153,8 @@ def frequent(pieces: DataFrame, size: int) -> DataFrame:
 
 def dictionary(pieces: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY) -> dict[str, list[int]]:
     """Ids of the most frequent of all pieces (column ``piece``), at most ``size``."""
-    top = frequent(pieces, size).repartition(FOLDING, "piece")
+    # Written first, so that the plan with the literal map is one stage and is described to listeners once.
+    top = stash(frequent(pieces, size).repartition(FOLDING, "piece"), "frequent")
     coded = top.select("piece", folded(F.col("piece"), vocabulary).alias("ids")).toArrow()
     known = dict(zip(coded["piece"].to_pylist(), coded["ids"].to_pylist()))
     return known | {p.decode(): ids for p, ids in vocabulary.unreached.items() if p.decode(errors="ignore").encode() == p}

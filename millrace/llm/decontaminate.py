@@ -176,8 +176,9 @@ def windows_worth_a_look(texts: DataFrame, items: DataFrame, percent: int, in_pl
     grams = items.select("size", F.explode("marks").alias("mark")).distinct()
     if grams.limit(in_plan + 1).count() <= in_plan:
         table = table_of(grams)
-        windows = texts.select("text_key", F.explode(let(
-            let(words_of(text_of()), marks_of), lambda m: cut(m, wanted_starts(m, table, percent)))).alias("v"))
+        # Few windows are left. Written at once, so that the plan with the literal table is one stage.
+        windows = stash(texts.select("text_key", F.explode(let(
+            let(words_of(text_of()), marks_of), lambda m: cut(m, wanted_starts(m, table, percent)))).alias("v")), "windows")
     else:
         windows = by_join(texts, grams, percent)
     return windows.select("text_key", "v.size", "v.start", F.struct(

@@ -11,15 +11,16 @@ WITH d AS (SELECT doc_id, {_WORDS.format("lower(text)")} AS w FROM documents),
             FROM (SELECT item_id, w, unnest(range(0, len(w) - 4)) AS p FROM b WHERE len(w) >= 5)),
      bc AS (SELECT item_id, size, s, count(*) AS c FROM bs GROUP BY ALL),
      hit AS (SELECT doc_id, n, item_id, size, p, ds.s, c FROM ds JOIN bc ON ds.s = bc.s),
-     st AS (SELECT DISTINCT doc_id, n, item_id, size, unnest(range(greatest(p - size + 5, 0), p + 1)) AS start FROM hit),
-     k AS (SELECT st.doc_id, st.item_id, st.size, st.start, hit.s, least(count(*), any_value(c)) AS least
+     st AS (SELECT DISTINCT doc_id, n, item_id, size, least(size - 4, n) AS held,
+                   unnest(range(greatest(p - size + 5, 0), p + 1)) AS start FROM hit),
+     k AS (SELECT st.doc_id, st.item_id, st.size, held, st.start, hit.s, least(count(*), any_value(c)) AS least
            FROM st JOIN hit ON st.doc_id = hit.doc_id AND st.item_id = hit.item_id
              AND hit.p BETWEEN st.start AND st.start + st.size - 5
-           WHERE st.start + st.size - 4 <= st.n GROUP BY ALL),
-     t AS (SELECT doc_id, item_id, size, start, sum(least) AS shared FROM k GROUP BY ALL)
-SELECT doc_id, item_id, start, CAST(size AS BIGINT) AS n_words, CAST(shared AS BIGINT) AS shared,
-       CAST(shared AS DOUBLE) / (2 * (size - 4) - shared) AS similarity
-FROM t WHERE 180 * shared >= 160 * (size - 4)
+           WHERE st.start + held <= st.n GROUP BY ALL),
+     t AS (SELECT doc_id, item_id, held, held + size - 4 AS together, start, sum(least) AS shared FROM k GROUP BY ALL)
+SELECT doc_id, item_id, start, CAST(held + 4 AS BIGINT) AS n_words, CAST(shared AS BIGINT) AS shared,
+       CAST(shared AS DOUBLE) / (together - shared) AS similarity
+FROM t WHERE 180 * shared >= 80 * together
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY shared DESC, start) = 1
 """
 

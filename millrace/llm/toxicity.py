@@ -13,7 +13,7 @@ models that did not count them (two folds).
 
 Words seen in fewer than LEAST_SEEN training documents are one unknown word, whose
 bigrams have no difference of their own. Words and bigrams are counted as tables that
-grow with the labelled text; a word is named by a 64-bit hash, and the rare words
+grow with the labelled text; a word is named by KEY_BITS of a hash, and the rare words
 of a document come to it by a join. Only words and bigrams that differ have a
 difference other than that of their backoff, zero in the end, so these are all
 that scoring looks up: sent to tasks if a count shows at most SENT of them, else
@@ -42,11 +42,12 @@ SENT = 1_000_000
 LEAST_SEEN = 3
 CACHED_WORDS = 100_000
 #: Words, documents and bigrams that a task counts together before it sends its counts on.
-HELD_WORDS, HELD_ROWS, HELD_PAIRS = 200_000, 30_000, 1_000_000
-#: Bits of a count on its way; a task's counts are at most HELD_ROWS.
-COUNT_BITS = 16
-#: Shares into which the bigrams after one word are dealt.
-SALTS = 4
+HELD_WORDS, HELD_ROWS, HELD_PAIRS = 200_000, 30_000, 3_000_000
+#: Bits of a word's hash, of a cell's number, and of a count on its way; a task's counts are at most HELD_ROWS.
+#: A word, a cell and a count make one number. Words that share a hash, one pair in 2**46, would count as one word.
+KEY_BITS, CELL_BITS, COUNT_BITS = 46, 2, 16
+#: First bits of a hash by which the bigrams after one word are dealt.
+SALT_BITS = 4
 #: Log-likelihood ratio (G2) from which counts of the classes differ beyond chance, over tens of thousands of tests.
 BEYOND_CHANCE = 20.0
 #: How many times larger one class's share of documents must be. Small differences, such as that toxic texts are a little
@@ -71,9 +72,12 @@ def words_of(text: str | None) -> list[str]:
 
 
 def hashed(word: str) -> int:
-    """What Spark's xxhash64 gives."""
-    h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42)
-    return h - (1 << 64) if h >> 63 else h
+    """The first KEY_BITS of what Spark's xxhash64 gives."""
+    return max(xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) >> 64 - KEY_BITS, START + 1)
+
+
+def key_of(word: str) -> Column:
+    return F.greatest(F.shiftrightunsigned(F.xxhash64(word), 64 - KEY_BITS), F.lit(START + 1))
 
 
 def within(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -144,26 +148,23 @@ def coded(texts: pd.Series, cache: dict[str, int]) -> tuple[np.ndarray, np.ndarr
 
 
 def count_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents by bigram, one row for the words after another, the counts of the cells in one number.
+    """Documents by bigram and cell; ``entry`` has the word, the cell and the count, ``salt`` the first bits of the word.
 
-    The words in ``rare`` are unknown. ``salt`` deals the words after a frequent one.
+    The words in ``rare`` are unknown.
     """
     cache: dict[str, int] = {}
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
     def out() -> pd.DataFrame:
-        previous, word, one = (np.concatenate(x) for x in zip(*held))
-        salt = word % SALTS
-        by = np.lexsort((word, salt, previous))
-        previous, salt, word, one = previous[by], salt[by], word[by], one[by]
-        first = np.flatnonzero(np.append(True, (previous[1:] != previous[:-1]) | (word[1:] != word[:-1])))
-        previous, salt, word, one = previous[first], salt[first], word[first], np.add.reduceat(one, first)
-        cuts = np.flatnonzero(np.append(True, (previous[1:] != previous[:-1]) | (salt[1:] != salt[:-1])))
-        ends = np.append(cuts[1:], len(word))
-        return pd.DataFrame({"previous": previous[cuts], "salt": salt[cuts],
-                             "words": [word[a:b] for a, b in zip(cuts, ends)],
-                             "counts": [one[a:b] for a, b in zip(cuts, ends)]})
+        previous, entry = (np.concatenate(x) for x in zip(*held))
+        by = np.lexsort((entry, previous))  # neighbours that agree compress
+        previous, entry = previous[by], entry[by]
+        first = np.flatnonzero(np.append(True, (previous[1:] != previous[:-1]) | (entry[1:] != entry[:-1])))
+        count = np.diff(np.append(first, len(entry))).astype("uint64")
+        previous, entry = previous[first], entry[first]
+        return pd.DataFrame({"previous": previous, "salt": (entry >> np.uint64(64 - SALT_BITS)).astype("int32"),
+                             "entry": (entry | count).view("int64")})
 
     for pdf in batches:
         flat, ends = coded(pdf["text"], cache)
@@ -174,7 +175,8 @@ def count_bigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 flat[a:b][within(flat[a:b], np.sort(np.asarray(rare, "int64")))] = UNKNOWN
             previous, word = flat[a:b - 1], flat[a + 1:b]
             _, at = np.unique(joined(previous, word), return_index=True)
-            held.append((previous[at], word[at], np.full(len(at), 1 << COUNT_BITS * cell, "int64")))
+            named = (word[at].view("uint64") << np.uint64(CELL_BITS) | np.uint64(cell)) << np.uint64(COUNT_BITS)
+            held.append((previous[at], named))
             size += len(at)
             if size >= HELD_PAIRS or len(held) >= HELD_ROWS:
                 yield out()
@@ -363,15 +365,18 @@ def fitted(rows: DataFrame, documents: dict[str, int]) -> Tables:
     words = stash(rows.select("text", "cell", "row").mapInPandas(
         count_words, "word string, counts long, least long, greatest long").repartition("word").groupBy("word").agg(
         *cells(), F.min("least").alias("least"), F.max("greatest").alias("greatest")).withColumn(
-        "key", F.xxhash64("word")), "words")
+        "key", key_of("word")), "words")
     rare = words.filter(seen < LEAST_SEEN).select(
         F.explode(F.array_distinct(F.array("least", "greatest"))).alias("row"), "key").groupBy("row").agg(
         F.collect_list("key").alias("rare"))
     known = words.filter(seen >= LEAST_SEEN)
+    cell = F.shiftrightunsigned("entry", COUNT_BITS).bitwiseAND(F.lit(len(CELLS) - 1))
+    count = F.col("entry").bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
+    by_cell = [F.sum(F.when(cell == i, count).otherwise(0)).alias(c) for i, c in enumerate(CELLS)]
     pairs = stash(rows.select("text", "cell", "row").join(rare, "row", "left").select("text", "cell", "rare").mapInPandas(
-        count_bigrams, "previous long, salt long, words array<long>, counts array<long>").repartition(
-        "previous", "salt").select("previous", "salt", F.inline(F.arrays_zip("words", "counts"))).groupBy(
-        "previous", "salt", F.col("words").alias("word")).agg(*cells()).drop("salt"), "bigrams")
+        count_bigrams, "previous long, salt int, entry long").repartition("previous", "salt").groupBy(
+        "previous", "salt", F.shiftrightunsigned("entry", CELL_BITS + COUNT_BITS).alias("word")).agg(*by_cell).drop("salt"),
+        "bigrams")
 
     def of(c: str, g: str) -> Column:
         """Documents of a class in the folds of a model."""

@@ -1,9 +1,11 @@
 import random
 from collections import Counter
 
+import duckdb
 import pytest
 
 from millrace.llm import decontaminate as d
+from millrace.llm.oracles import OP4
 
 
 def words(rng, n, pool=60):
@@ -15,22 +17,22 @@ def grams(ws):
 
 
 def plain(docs, items, percent=80):
-    """Every window of every item's size."""
+    """Every window of every item's size, or the whole of a shorter text."""
     out = set()
     for i, text in docs:
         ws = (text or "").lower().split()
         for k, item in items:
             bag = Counter(grams(item.lower().split()))
             size, n = len(item.split()), sum(bag.values())
-            best = (0, 0)
+            best, held = (0, 0), min(size, len(ws))
             if not n:
                 continue
-            for s in range(len(ws) - size + 1):
-                both = sum((Counter(grams(ws[s:s + size])) & bag).values())
-                if 100 * both >= percent * (2 * n - both):
+            for s in range(len(ws) - held + 1):
+                both = sum((Counter(grams(ws[s:s + held])) & bag).values())
+                if 100 * both >= percent * (n + held - 4 - both):
                     best = max(best, (both, -s))
             if best[0]:
-                out.add((i, k, -best[1], size, best[0], best[0] / (2 * n - best[0])))
+                out.add((i, k, -best[1], held, best[0], best[0] / (n + held - 4 - best[0])))
     return out
 
 
@@ -111,3 +113,20 @@ def test_texts_shorter_than_the_item(spark, documents, monkeypatch, in_plan):
     assert {tuple(r[c] for c in COLUMNS) for r in got} == want
     left = d.without_benchmark(documents(docs), benchmark)
     assert {r["doc_id"] for r in left.collect()} == {i for i, _ in docs} - {x[0] for x in want}
+
+
+def test_sql_agrees_on_shorter_texts(spark, documents):
+    """The SQL has the same rule where a text has fewer words than an item."""
+    rng = random.Random(3)
+    items = [(k, words(rng, n, 5000)) for k, n in enumerate((37, 20, 12, 54))]
+    docs = [(100 * k + cut, " ".join(item[cut // 2:len(item) - (cut - cut // 2)] + words(rng, 3) * (cut % 3 == 2)))
+            for k, item in items for cut in range(9)]
+    items = [(k, " ".join(x)) for k, x in items]
+    duck = duckdb.connect()
+    for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
+        duck.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        duck.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    found = {tuple(r) for r in duck.execute(f"SELECT {', '.join(COLUMNS)} FROM ({OP4})").fetchall()}
+    got = d.find_benchmark(documents(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert found == {tuple(r[c] for c in COLUMNS) for r in got.collect()} == plain(docs, items)
+    assert any(r[3] < 37 for r in found if r[1] == 0)
