@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Long texts travel to Python in batches of a few MB.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Plans may hold large literals; the driver keeps a description of every plan it has run.
+    "spark.sql.maxPlanStringLength": "200000",
     # State lives on local disk with snapshots in the checkpoint, so its size
     # is not bounded by executor heap.
     "spark.sql.streaming.stateStore.providerClass":
