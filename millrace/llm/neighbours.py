@@ -1,9 +1,9 @@
 """Nearest neighbours by cross-polytope hashing.
 
 A unit vector is rotated by fast Hadamard transforms with random signs and falls to
-the signed axis it is nearest to, one of 2 x dimensions; a further rotation, cut to a
-power of two of dimensions, splits these cells until a cell holds about CELL_ROWS vectors
-on average. TABLES such tables are laid over the vectors.
+the signed axis it is nearest to, one of 2 x dimensions. Where these cells would hold more
+than CELL_ROWS vectors on average, further rotations split them, the last one cut to a
+power of two of dimensions. TABLES such tables are laid over the vectors.
 
 A query probes more than its own cell: all whose axes it is near enough to. How near is
 near enough follows from how far its neighbours are. The less two vectors have in
@@ -40,7 +40,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from millrace.llm.common import small_or_not, stash
 
 NEAREST, EVERY = 20, 20
-TABLES, CELL_ROWS, MISSED = 4, 64, 0.04
+TABLES, LEAST_ROWS, CELL_ROWS, MISSED = 4, 16, 4096, 0.06
 #: Rows of a cell, or queries that visit it, in one block; vectors, and queries' visits, for which one more part is made.
 UNIT_ROWS, PART_ROWS, PART_VISITS = 4096, 16_384, 262_144
 #: Vectors that a query's first look is to meet, about.
@@ -116,14 +116,15 @@ class Hashes:
 
 
 def cuts_for(size: int, rows: int) -> tuple[int, ...]:
-    """Whole polytopes and a last one in part, for cells of CELL_ROWS rows on average."""
-    cells, cuts = max(rows // CELL_ROWS, 1), []
-    while cells >= 2 * size and size > 1:
-        cuts.append(size)
-        cells //= 2 * size
-    last = 1 << max(int(cells // 2).bit_length() - 1, 0)
-    if cells >= 4 or not cuts:
-        cuts.append(min(last, size))
+    """Dimensions of the polytopes: a whole one, or less for few rows, then what brings cells to CELL_ROWS on average."""
+    def part(cells: int) -> int:
+        return min(size, 1 << max((cells // 2).bit_length() - 1, 0))
+
+    cuts = [part(max(rows // LEAST_ROWS, 2))]
+    rows //= 2 * cuts[0]
+    while rows >= 4 * CELL_ROWS and size > 1:
+        cuts.append(part(rows // CELL_ROWS))
+        rows //= 2 * cuts[-1]
     return tuple(cuts)
 
 
@@ -175,11 +176,11 @@ def highest(projections: list[np.ndarray], most: int, table: int) -> np.ndarray:
     return at
 
 
-def probing(hashes: Hashes, limits: np.ndarray | None, width: int, longest: float) -> Callable:
-    """Cells that each query visits: its best ones in a table, or those beyond the limit for its cosine so far."""
+def probing(hashes: Hashes, limits: np.ndarray | int, width: int, longest: float) -> Callable:
+    """Cells that each query visits: so many of the best in one table, or those beyond the limit for its cosine so far."""
     def visits(p: list[list[np.ndarray]], cosine: float) -> np.ndarray:
-        if limits is None:
-            return highest(p[0], -(-FIRST_ROWS // CELL_ROWS), 0)
+        if isinstance(limits, int):
+            return highest(p[0], limits, 0)
         if not cosine > 0:  # no bound yet: all cells of one table are all vectors
             return np.arange(hashes.cells)
         limit = limits[min(int(cosine / STEP), len(limits) - 1)]
@@ -303,7 +304,7 @@ def nearest_neighbours(vectors: DataFrame, column: str = "embedding", every: int
     queries = classes.join(small_or_not(asking.select("v").distinct()), "v", "left_semi").select("v", "vec")
     unknown = F.lit(None).cast("double").alias("least")
 
-    def look(asked: DataFrame, tables: int, limit: np.ndarray | None, label: str) -> DataFrame:
+    def look(asked: DataFrame, tables: int, limit: np.ndarray | int, label: str) -> DataFrame:
         """What queries (v, vec, least) find in the cells they visit: (q, v, score)."""
         visits = stash(asked.mapInPandas(probing(hashes, limit, width, longest), "q long, cells array<long>"), f"{label}-visits")
         visits = visits.select("q", F.explode("cells").alias("cell"))
@@ -336,7 +337,8 @@ def nearest_neighbours(vectors: DataFrame, column: str = "embedding", every: int
         return sent.union(questions).repartition("part").sortWithinPartitions("part", "is_query").mapInPandas(
             meeting(width), "q long, v long, score double")
 
-    first = stash(best_per_query(look(queries.select("v", "vec", unknown), 1, None, "first"), BEST), "first")
+    some = -(-FIRST_ROWS * hashes.cells // max(n, 1))
+    first = stash(best_per_query(look(queries.select("v", "vec", unknown), 1, some, "first"), BEST), "first")
     bounds = first.filter(F.col("rank") == BEST).select(F.col("q").alias("v"), F.col("score").alias("least"))
     wider = stash(queries.join(bounds, "v", "left").select("v", "vec", "least"), "bounds")
     found = stash(look(wider, TABLES, limits, "wide"), "found")

@@ -79,7 +79,8 @@ def test_recall(spark, monkeypatch, kind):
 def test_few_cells_are_visited_for_near_neighbours():
     """What is visited depends on how far the neighbours are, and thresholds keep pairs at their cosine."""
     rng = np.random.default_rng(2)
-    hashes = n.Hashes(64, n.cuts_for(64, 200_000))
+    assert n.cuts_for(64, 51_282) == (64,) and n.cuts_for(64, 77_000_000) == (64, 64) and n.cuts_for(64, 20) == (1,)
+    hashes = n.Hashes(64, n.cuts_for(64, 9_000_000))
     assert hashes.cells > 1000
     limits = hashes.thresholds()
     assert (np.diff(limits) > 0).all()
