@@ -115,9 +115,21 @@ def register_json_value(spark: SparkSession, name: str = "json_value") -> None:
     """
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(json_text STRING, json_path STRING) RETURNS STRING RETURN
-        CASE WHEN schema_of_variant(try_variant_get(try_parse_json(json_text), json_path, 'variant'))
-                  RLIKE '^(ARRAY|OBJECT|VOID)' THEN NULL
-             ELSE try_variant_get(try_parse_json(json_text), json_path, 'string') END""")
+        get(transform(array(try_variant_get(try_parse_json(json_text), json_path, 'variant')), v ->
+            CASE WHEN schema_of_variant(v) RLIKE '^(ARRAY|OBJECT|VOID)' THEN NULL
+                 ELSE try_variant_get(v, '$', 'string') END), 0)""")
+
+
+def object_parse(text: Column, schema: str) -> Column:
+    """The whole event as a typed struct, in one pass; NULL unless the text is one JSON object and no more.
+
+    The reader ignores what follows a value. Inside an array only something
+    that closes it could follow unnoticed; texts that may have that, and only
+    these, are checked by ``is_json`` as well.
+    """
+    events = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"ARRAY<{schema}>", STRICT)
+    alone = F.is_valid_utf8(text) & F.when(text.rlike(r"\}\s*\]"), is_json(text)).otherwise(True)
+    return F.when(alone & (F.size(events) == 1), F.get(events, F.lit(0)))
 
 
 def json_parse(text: Column, schema: str) -> Column:

@@ -71,9 +71,3 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared root; never reused."""
     return f"{scratch_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(spark: SparkSession, df):
-    """Reliable checkpoint, so lost executors do not force a recomputation."""
-    scratch_root(spark)
-    return df.checkpoint(eager=True)

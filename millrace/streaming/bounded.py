@@ -23,25 +23,27 @@ from millrace.sinks.writers import stream_to_parquet
 END_SECONDS = 10**12
 _LAST = "__last"
 _STRICT_LATE = "spark.sql.streaming.statefulOperator.allowMultiple"
+_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
 
 
 @contextmanager
 def late_rows(spark: SparkSession, strict: bool) -> Iterator[None]:
-    """Queries started inside drop late rows by the current watermark.
+    """Settings for queries started inside; the session has its own again afterwards.
 
-    Without ``strict`` Spark compares with the watermark of one micro-batch
-    earlier, which keeps late rows it could have dropped; with it a query can
-    hold only one stateful operator.
+    Of several watermarks the slowest counts. With ``strict`` late rows are
+    dropped by the current watermark; without it Spark compares with that of
+    one micro-batch earlier, which keeps late rows it could have dropped. Strict
+    queries can hold only one stateful operator.
     """
-    if not strict:
-        yield
-        return
-    before = spark.conf.get(_STRICT_LATE)
-    spark.conf.set(_STRICT_LATE, "false")
+    wanted = {_POLICY: "min"} | ({_STRICT_LATE: "false"} if strict else {})
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_STRICT_LATE, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def _last_record(like: DataFrame, time: str) -> DataFrame:

@@ -24,7 +24,9 @@ def duck():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
+    before = spark.conf.getAll
     df = QUERIES[name](spark, SF)
+    assert spark.conf.getAll == before
     got = [tuple(r[c] for c in sorted(df.columns)) for r in df.collect()]
     result = duck.execute(SQL[name])
     names = [c[0] for c in result.description]
