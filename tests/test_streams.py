@@ -291,3 +291,78 @@ def test_rows_without_time_enter_the_stream(spark, folder):
     laid = in_files(spark, f"{folder}/data", "events", ["id", "ts"], "ts")
     seen = run_available(laid)
     assert sorted(r["id"] for r in seen.collect()) == list(range(40))
+
+
+class _Timers:
+    """What ``PendingTimers`` asks of a handle, with the calls counted."""
+
+    def __init__(self):
+        self.map, self.registered, self.calls = {}, [], 0
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.map
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.map[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.map[key] = value
+
+    def removeKey(self, key):
+        self.map.pop(key, None)
+
+    def registerTimer(self, at):
+        self.registered.append(at)
+
+    def deleteTimer(self, at):
+        self.registered.remove(at)
+
+
+def test_timers_by_bucket_touch_what_is_due():
+    """However many timers a key has pending, a firing reads its bucket only; each time fires once."""
+    handle = _Timers()
+    timers = stateful.PendingTimers(handle, bucket_ms=10)
+    timers.add(range(0, 10_000, 2))
+    assert len(handle.registered) == 1000 and len(handle.map) == 1000
+    fired = []
+    for watermark in (5, 31, 4000):
+        while handle.registered and min(handle.registered) < watermark:
+            at = min(handle.registered)
+            handle.registered.remove(at)
+            handle.calls = 0
+            fired += timers.due(at, watermark)
+            assert handle.calls <= 3
+        assert fired == list(range(0, watermark, 2))
+    timers.add([4000, 3, 4001])
+    assert sorted(handle.registered)[:2] == [3, 4000] and handle.map[400,] == ([4000, 4001, 4002, 4004, 4006, 4008],)
+
+
+def test_timers_fire_while_the_stream_runs(spark):
+    """With the sum of that moment; a late row fires its timer at once, again if it had fired before."""
+    schema = "k STRING, ms BIGINT, v DOUBLE"
+    batches = [[("a", 1000, 1.0), ("a", 5000, 2.0), ("b", 1000, 7.0)], [("a", 20_000, 4.0), ("a", 5000, 8.0)],
+               [("b", 1000, 1.0), ("a", None, 16.0)]]
+    phases = [from_collection(spark, b, schema).select("k", F.timestamp_millis("ms").alias("ts"), "v") for b in batches]
+    out = run_in_phases(phases, "ts", watermark_bounded("1 second"),
+                        lambda e: stateful.keyed_sum_at_timers(e, ["k"], "ts", "v", delay_seconds=1))
+    # Watermarks: 4 s, 19 s, 19 s, the end.
+    assert rows(out) == expected([("a", 2000, 3.0), ("b", 2000, 7.0), ("a", 6000, 15.0), ("b", 2000, 8.0), ("a", 21_000, 31.0)])
+
+
+def test_lateness_decides(spark):
+    """The same arrivals with three bounds: what comes behind the watermark of its window is dropped."""
+    ms = [[1000, 9000], [3900, 6900, 8900, 10_000], [8000, 7999]]
+    phases = [from_collection(spark, [(t,) for t in b], "ms BIGINT").select(F.timestamp_millis("ms").alias("ts")) for b in ms]
+    got = []
+    for seconds in (0, 2, 5):
+        out = run_in_phases(phases, "ts", watermark_bounded(f"{seconds} seconds"), lambda e: tumbling_count(
+            e.withColumn("one", F.lit(1)), ["one"], "ts", "1 second"), strict_late=True)
+        got.append({r["window_start"]: r["cnt"] for r in out.collect()})
+    assert got == [{1000: 1, 9000: 1, 10_000: 1}, {1000: 1, 8000: 2, 9000: 1, 10_000: 1},
+                   {1000: 1, 6000: 1, 7000: 1, 8000: 2, 9000: 1, 10_000: 1}]
