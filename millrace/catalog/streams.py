@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millrace.catalog.batch import DAY_COUNTS, K, MINUTE_COUNTS, TOP2
 from millrace.catalog.inputs import events, k
 from millrace.catalog.registry import registered
+from millrace.catalog.userdefined import TOP2_OF_SUMS
+from millrace.operators.aggregates import top_of_changes
 from millrace.operators.joins import join_inner, join_within
 from millrace.operators.rows import distinct_rows
 from millrace.operators.userdefined import CountSum, Largest
@@ -239,6 +241,14 @@ def _(spark, d):
     return left.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("n")
 
 
+@registered("udtaf_retract_stream", TOP2_OF_SUMS)
+def _(spark, d):
+    df = in_files(spark, d, "events", ["event_id", "user_id", "event_type", "props"]).withColumn("k", k())
+    sums = stateful.changelog_aggregate(df, ["event_type", "user_id"], {"sum": ("sum", "k")})
+    log = run_available(stateful.top_of_changes(sums, ["event_type"], "sum"))
+    return top_of_changes(log, ["event_type"], "sum")
+
+
 @registered("join_streams", """
     SELECT o_orderkey, o_custkey, c_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey""")
 def _(spark, d):

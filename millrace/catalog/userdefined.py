@@ -13,6 +13,7 @@ from millrace.catalog.registry import registered
 from millrace.functions.jsons import json_value
 from millrace.functions.scalars import parse_iso_seconds
 from millrace.operators import joins
+from millrace.operators.aggregates import top_of_changes
 from millrace.operators.changelog import changelog_aggregate
 from millrace.operators.userdefined import CountSum, Largest, WindowCount, aggregate, window_process
 from millrace.operators.userfunctions import map_rows, register_function
@@ -98,6 +99,20 @@ def _(spark, d):
     return aggregate(log, ["event_type"], CountSum("seen"), ["seen"], op="op")
 
 
+TOP2_OF_SUMS = f"""
+    SELECT event_type, "sum" FROM (
+        SELECT event_type, "sum", row_number() OVER (PARTITION BY event_type ORDER BY "sum" DESC) AS r
+        FROM (SELECT event_type, user_id, CAST(sum({K}) AS BIGINT) AS "sum" FROM events GROUP BY event_type, user_id)
+    ) WHERE r <= 2 AND "sum" <> 0"""
+
+
+@registered("udtaf_retract", TOP2_OF_SUMS)
+def _(spark, d):
+    # Each user's running sum takes its last value back, so most of what was once largest is gone in the end.
+    log = changelog_aggregate(events_with_k(spark, d), ["event_type", "user_id"], "event_id", {"sum": ("sum", "k")})
+    return top_of_changes(log, ["event_type"], "sum")
+
+
 @registered("udtaf_surface", TOP2)
 def _(spark, d):
     return aggregate(events_with_k(spark, d), ["event_type"], Largest("k"), ["k"])

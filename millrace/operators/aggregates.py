@@ -34,3 +34,15 @@ def top_per_group(df: DataFrame, keys: Sequence[str], value: str, n: int = 2) ->
     largest_first = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
     ranked = df.select(*keys, value).withColumn("__rank", F.row_number().over(largest_first))
     return ranked.filter(F.col("__rank") <= n).filter(F.col(value) != 0).drop("__rank")
+
+
+def top_of_changes(df: DataFrame, keys: Sequence[str], value: str, n: int = 2, op: str = "op") -> DataFrame:
+    """``top_per_group`` over what a change log leaves: rows whose op starts with ``-`` take a value back.
+
+    A value counts as often as it was given more than taken back. These sums
+    combine before the shuffle, and a value given a million times is ``n`` rows.
+    """
+    sign = F.when(F.col(op).startswith("-"), -1).otherwise(1)
+    left = df.groupBy(*keys, value).agg(F.sum(sign).alias("__n")).filter("__n > 0")
+    times = F.sequence(F.lit(1), F.least(F.col("__n"), F.lit(n)).cast("int"))
+    return top_per_group(left.select(*keys, value, F.explode(times)), keys, value, n)

@@ -209,7 +209,8 @@ class CountSum(Aggregate):
 class Largest(Aggregate):
     """The ``n`` largest values of an integer field; zeros take a place unseen.
 
-    What fell out of the list is not known, so it takes no change log.
+    What fell out of the list is not known, so it takes no change log; for
+    those see ``top_of_changes``, on tables and on streams.
     """
 
     state_type = "ARRAY<BIGINT>"

@@ -1,5 +1,7 @@
 """Streams on small fixtures with fixed micro-batches."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from fixtures import DELAYED, DELAYED_WINDOWS, LATE_WINDOW, METERED, ON_TIME, RE
 from millrace.catalog.streams import in_files
 from millrace.functions.scalars import event_time_from_millis, parse_iso_seconds
 from millrace.operators.aggregates import group_count_max
+from millrace.operators.aggregates import top_of_changes as batch_top_of_changes
 from millrace.operators.joins import join_inner
 from millrace.operators.rows import distinct_rows, distinct_within_watermark, limit_rows
 from millrace.operators.timers import keyed_sum_at_timers as batch_sums
@@ -366,3 +369,36 @@ def test_lateness_decides(spark):
         got.append({r["window_start"]: r["cnt"] for r in out.collect()})
     assert got == [{1000: 1, 9000: 1, 10_000: 1}, {1000: 1, 8000: 2, 9000: 1, 10_000: 1},
                    {1000: 1, 6000: 1, 7000: 1, 8000: 2, 9000: 1, 10_000: 1}]
+
+
+def _net(log):
+    left = {}
+    for r in log:
+        left[r["k"], r["v"]] = left.get((r["k"], r["v"]), 0) + (-1 if r["op"][0] == "-" else 1)
+    return sorted(x for x, n in left.items() for _ in range(n))
+
+
+@pytest.mark.parametrize("held", [2, 3, 64])
+def test_top_of_a_change_log(spark, folder, held):
+    """A value taken back brings the next one in, also when it is no longer at hand; ties, zeros, nulls, early retractions."""
+    rng = random.Random(held)
+    given, batches = [], []
+    for step in range(4):
+        batch = []
+        for _ in range(40):
+            if given and rng.random() < 0.45:
+                batch.append((*given.pop(rng.randrange(len(given))), "-U"))
+            else:
+                x = rng.choice("ab"), rng.choice([0, 0, -3, 5, 5, rng.randint(1, 30)])
+                given.append(x)
+                batch.append((*x, "+U"))
+        batches.append([*batch, ("a", None, "+I"), ("c", step, "-D"), ("c", step, "+I"), ("d", 7, "-D" if step == 0 else "+I")])
+    schema = "k STRING, v BIGINT, op STRING"
+    want = {"a": [], "b": [], "d": [7, 7]}
+    for k, v in given:
+        want[k].append(v)
+    want = sorted((k, v) for k, vs in want.items() for v in sorted(vs, reverse=True)[:2] if v)
+    flat = from_collection(spark, [r for b in batches for r in b], schema)
+    assert sorted(tuple(r) for r in batch_top_of_changes(flat, ["k"], "v").select("k", "v").collect()) == want
+    log = run_available(stateful.top_of_changes(replay(spark, batches, schema, f"{folder}/in"), ["k"], "v", held=held))
+    assert _net(log.collect()) == want
