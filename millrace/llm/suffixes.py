@@ -52,7 +52,9 @@ HOT = 4096
 BLOCK_BYTES = 1 << 18
 #: Stands for a null id: larger than any, so that it never counts as smaller.
 NO_ID = np.iinfo("int64").max
-KEY = (1 << 40) - 1
+#: Bits of an anchor's hash that tell it from others in its part, besides those that choose the part. An anchor taken
+#: for another costs a stretch sent in vain.
+KEY_BITS = 32
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -78,32 +80,22 @@ class Squeeze:
         self.press, self.back = zstandard.ZstdCompressor(9, known), zstandard.ZstdDecompressor(known)
 
 
-def noted(part: np.ndarray, piece: np.ndarray, low: np.ndarray, size: np.ndarray, parts: int) -> bytes:
-    """Occurrences of stretches by part, in few bytes.
+def noted(piece: np.ndarray, low: np.ndarray, size: np.ndarray) -> bytes:
+    """Where a shard has the stretches it sends to a part, in few bytes.
 
-    Stretches of a part are numbered as they first occur, so a new one needs
-    no number and one seen before only how far back its number is.
+    Stretches are numbered as they first occur, so a new one needs no number
+    and one seen before only how far back its number is.
     """
-    by = np.argsort(part, kind="stable")
-    part, piece, low = part[by].astype("int64"), piece[by].astype("int64"), low[by].astype("int64")
-    highest = np.maximum.accumulate(part << 32 | piece) if len(part) else part
-    before = np.append(-1, highest[:-1])[: len(part)]
-    next_new = np.where(before >> 32 == part, before - (part << 32) + 1, 0)
+    next_new = np.append(0, np.maximum.accumulate(piece) + 1)[: len(piece)]
     back = np.where(piece == next_new, 0, next_new - piece)
-    step = np.diff(low, prepend=0)
-    return packed(np.bincount(part, minlength=parts).astype("uint32"), back.astype("uint32"), step.astype("int32"),
-                  size[by].astype("uint8"))
+    return packed(back.astype("uint32"), np.diff(low, prepend=0).astype("int32"), size.astype("uint8"))
 
 
-def occurrences(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(part, piece, low, size) as they were noted, in order of part."""
-    counts, back, step, size = unpacked(blob, "uint32", "uint32", "int32", "uint8")
-    part = np.repeat(np.arange(len(counts)), counts)
-    new = np.cumsum(back == 0)
-    ends = np.cumsum(counts, dtype="int64")
-    base = np.append(0, new)[ends - counts]
-    next_new = new - (back == 0) - base[part]
-    return part, next_new - back, np.cumsum(step, dtype="int64"), size.astype("int64")
+def occurrences(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, low, size) as they were noted."""
+    back, step, size = unpacked(blob, "uint32", "int32", "uint8")
+    fresh = back == 0
+    return np.cumsum(fresh) - fresh - back, np.cumsum(step, dtype="int64"), size.astype("int64")
 
 
 def words_at(body: np.ndarray, order: str = "<") -> np.ndarray:
@@ -288,12 +280,11 @@ def pack(parts: int) -> object:
         count = np.diff(np.append(first, len(code)))
         many = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first) if len(first) else first > 0
         code, count = code[first], np.minimum(count, 65535)
-        cuts = np.searchsorted(code >> 40, np.arange(parts + 1))
-        for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if a < b:
-                key = code[a:b] & KEY
-                out.append((shard, part, None, packed(key.astype("uint32"), (key >> 32).astype("uint8"),
-                                                      count[a:b].astype("uint16"), many[a:b])))
+        part = code >> KEY_BITS
+        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        for a, b in zip(cuts, np.append(cuts[1:], len(part))):
+            step = np.diff(code[a:b], prepend=part[a] << KEY_BITS)
+            out.append((shard, part[a], None, packed(step.astype("uint32"), count[a:b].astype("uint16"), many[a:b])))
         return pd.DataFrame(out, columns=["shard", "part", "body", "blob"]).astype({"part": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -312,19 +303,20 @@ def pack(parts: int) -> object:
 
 
 def codes(gram: np.ndarray, parts: int) -> np.ndarray:
-    """Part of an anchor and 40 bits of its hash, as one number."""
-    return ((gram >> np.uint64(40)) % np.uint64(parts)).astype("int64") << 40 | (gram & np.uint64(KEY)).astype("int64")
+    """Part of an anchor and KEY_BITS of its hash, as one number."""
+    key = gram & np.uint64((1 << KEY_BITS) - 1)
+    return ((gram >> np.uint64(KEY_BITS)) % np.uint64(parts)).astype("int64") << KEY_BITS | key.astype("int64")
 
 
 def in_common(pdf: pd.DataFrame) -> pd.DataFrame:
     """For each shard its anchors, of one part, that several documents have; and which are hot."""
     keys, counts, many, owner = [], [], [], []
     for k, blob in enumerate(pdf["blob"]):
-        low, high, n, m = unpacked(blob, "uint32", "uint8", "uint16", "bool")
-        keys.append(low.astype("int64") | high.astype("int64") << 32)
+        step, n, m = unpacked(blob, "uint32", "uint16", "bool")
+        keys.append(np.cumsum(step, dtype="int64"))
         counts.append(n.astype("int64"))
         many.append(m)
-        owner.append(np.full(len(low), k))
+        owner.append(np.full(len(step), k))
     key, count, several, of = map(np.concatenate, (keys, counts, many, owner))
     by = np.argsort(key, kind="stable")
     key, count, several, of = key[by], count[by], several[by], of[by]
@@ -336,28 +328,30 @@ def in_common(pdf: pd.DataFrame) -> pd.DataFrame:
     for k, shard in enumerate(pdf["shard"]):
         mine = shared & (of == k)
         if mine.any():
-            out.append((shard, packed(key[mine] | int(pdf["part"].iloc[0]) << 40, hot[mine])))
+            start = np.array([int(pdf["part"].iloc[0]) << KEY_BITS], "int64")
+            out.append((shard, packed(start, np.diff(key[mine], prepend=0).astype("uint32"), hot[mine])))
     return pd.DataFrame(out, columns=["shard", "blob"])
 
 
 def cut_out(parts: int, sample: bytes) -> object:
-    """A shard's stretches around shared anchors, equal ones once, by part; and where each occurs."""
+    """A shard's stretches around shared anchors, equal ones once, by part; with each part where they occur."""
     def run(bodies: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        columns = ["shard", "part", "blob"]
+        columns = ["shard", "part", "blob", "notes"]
         squeeze = Squeeze(sample)
         if not len(wanted) or not len(bodies):
-            return pd.DataFrame({"shard": [], "part": [], "blob": []}).astype({"shard": "int64", "part": "int64"})
+            return pd.DataFrame(columns=columns).astype({"shard": "int64", "part": "int64"})
         shard = int(bodies["shard"].iloc[0])
         body, ids, ends = unpacked(bodies["body"].iloc[0], "uint8", "int64", "int64")
-        lists = [unpacked(b, "int64", "bool") for b in wanted["blob"]]
-        codes_in, hot_in = (np.concatenate(x) for x in zip(*lists))
+        lists = [unpacked(b, "int64", "uint32", "bool") for b in wanted["blob"]]
+        codes_in = np.concatenate([start + np.cumsum(step, dtype="int64") for start, step, _ in lists])
+        hot_in = np.concatenate([hot for *_, hot in lists])
         by = np.argsort(codes_in)
         codes_in, hot_in = codes_in[by], hot_in[by]
         low, size, gram = stretches(body, ends)
         code = codes(gram, parts)
         at = np.minimum(np.searchsorted(codes_in, code), len(codes_in) - 1)
         mine = codes_in[at] == code
-        low, size, part, hot = low[mine], size[mine], code[mine] >> 40, hot_in[at[mine]]
+        low, size, part, hot = low[mine], size[mine], code[mine] >> KEY_BITS, hot_in[at[mine]]
         if hot.any():
             each = np.repeat(low[hot], size[hot]) + np.arange(size[hot].sum()) - np.repeat(
                 np.cumsum(size[hot]) - size[hot], size[hot])
@@ -366,25 +360,34 @@ def cut_out(parts: int, sample: bytes) -> object:
             size = np.append(size[~hot], np.ones(len(each), "int64"))
         raw = body.tobytes()
         owner = ids[np.searchsorted(ends, low, side="right")]
-        places: list[dict[bytes, int]] = [{} for _ in range(parts)]
-        least: list[list[int]] = [[] for _ in range(parts)]
-        piece = np.empty(len(low), "uint32")
+        # Only of the parts that this shard has something for.
+        places: dict[int, dict[bytes, int]] = {}
+        least: dict[int, list[int]] = {}
+        piece = np.empty(len(low), "int64")
         part = part.tolist()
         for k, (a, n, p, i) in enumerate(zip(low.tolist(), size.tolist(), part, owner.tolist())):
             text = raw[a: a + n + LENGTH - 1]
             if p < 0:
                 part[k] = p = crc32(text) % parts
-            known = places[p]
+            known = places.get(p)
+            if known is None:
+                known, least[p] = places.setdefault(p, {}), []
             q = piece[k] = known.setdefault(text, len(known))
             if q == len(least[p]):
                 least[p].append(i)
             elif i < least[p][q]:
                 least[p][q] = i
-        out = [(shard, -1, noted(np.array(part, "int64"), piece, low, size, parts))]
-        for p, known in enumerate(places):
-            if known:
-                sizes = np.array([len(t) for t in known], "uint8")
-                out.append((shard, p, packed(sizes, np.array(least[p], "int64"), np.frombuffer(squeeze.press.compress(b"".join(known)), "uint8"))))
+        by = np.argsort(np.array(part, "int64"), kind="stable")
+        part, piece, low, size = np.array(part, "int64")[by], piece[by], low[by], size[by]
+        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        out = []
+        for a, b in zip(cuts, np.append(cuts[1:], len(part))):
+            p = int(part[a])
+            known = places.pop(p)
+            text = np.frombuffer(squeeze.press.compress(b"".join(known)), "uint8")
+            sizes = np.array([len(t) for t in known], "uint8")
+            out.append((shard, p, packed(sizes, np.array(least.pop(p), "int64"), text),
+                        noted(piece[a:b], low[a:b], size[a:b])))
         return pd.DataFrame(out, columns=columns)
     return run
 
@@ -392,7 +395,7 @@ def cut_out(parts: int, sample: bytes) -> object:
 def answered(sample: bytes) -> object:
     """For each shard's stretches in a part: how far below the shard's own smallest id the smallest of all is.
 
-    One number for a stretch whose strings have the same, else one for each string.
+    One number for a stretch whose strings have the same, else one for each string. A shard's own notes go back with it.
     """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         squeeze = Squeeze(sample)
@@ -423,13 +426,13 @@ def answered(sample: bytes) -> object:
         first = np.cumsum(count) - count
         low, high = np.minimum.reduceat(by_start, first), np.maximum.reduceat(by_start, first)
         out = []
-        for shard, part, mine, own in zip(pdf["shard"], pdf["part"], asked, held):
+        for shard, notes, mine, own in zip(pdf["shard"], pdf["notes"], asked, held):
             even = low[mine] == high[mine]
             odd = mine[~even]
             n = count[odd]
             at = np.repeat(first[odd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((shard, part, packed(even, (own - low[mine])[even], np.repeat(own[~even], n) - by_start[at])))
-        return pd.DataFrame(out, columns=["shard", "part", "blob"])
+            out.append((shard, packed(even, (own - low[mine])[even], np.repeat(own[~even], n) - by_start[at]), notes))
+        return pd.DataFrame(out, columns=["shard", "blob", "notes"])
     return run
 
 
@@ -453,22 +456,15 @@ def finished(bodies: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
     for whole in bodies["body"]:
         body, ids, ends = unpacked(whole, "uint8", "int64", "int64")
         gone = np.zeros(len(body) + 1, "int64")
-        replies = {p: b for p, b in zip(told["part"], told["blob"]) if p >= 0}
-        for blob in told["blob"][told["part"] < 0]:
-            part, piece, low, size = occurrences(blob)
-            cuts = np.searchsorted(part, np.arange(part.max() + 2)) if len(part) else [0]
-            for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                if a == b:
-                    continue
-                mine = slice(a, b)
-                n = size[mine]
-                least, first = smallest(replies[p], piece[mine], n, ids[np.searchsorted(ends, low[mine], side="right")])
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                start = np.repeat(low[mine], n) + step
-                smaller = least[np.repeat(first[piece[mine]], n) + step] < ids[np.searchsorted(ends, start, side="right")]
-                start = start[smaller]
-                np.add.at(gone, start, 1)
-                np.add.at(gone, start + LENGTH, -1)
+        for reply, notes in zip(told["blob"], told["notes"]):
+            piece, low, n = occurrences(notes)
+            least, first = smallest(reply, piece, n, ids[np.searchsorted(ends, low, side="right")])
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            start = np.repeat(low, n) + step
+            smaller = least[np.repeat(first[piece], n) + step] < ids[np.searchsorted(ends, start, side="right")]
+            start = start[smaller]
+            np.add.at(gone, start, 1)
+            np.add.at(gone, start + LENGTH, -1)
         covered = np.cumsum(gone)[:-1] > 0
         for i, a, b in zip(ids.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
             mine = covered[a:b]
@@ -505,15 +501,14 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     # Only an aid to compression: any pieces of text do, and they need not be many.
     some = texts.select(F.substring("text", 1, SAMPLE_BYTES // SAMPLE_ROWS).alias("text")).filter("text IS NOT NULL")
     sample = "".join(r["text"] for r in some.limit(SAMPLE_ROWS).collect()).encode()
-    form = "shard long, part long, blob binary"
     shards = stash_by(rest.mapInPandas(pack(parts), "shard long, part long, body binary, blob binary"), "shard",
                       -(-total // SHARD_BYTES), "shards")
     bodies = shards.filter("body IS NOT NULL").select("shard", "body").groupBy("shard")
     wanted = shards.filter("part IS NOT NULL").select("shard", "part", "blob").groupBy("part").applyInPandas(
         in_common, "shard long, blob binary")
-    pieces = stash(bodies.cogroup(wanted.groupBy("shard")).applyInPandas(cut_out(parts, sample), form), "pieces")
-    replies = pieces.filter("part >= 0").groupBy("part").applyInPandas(answered(sample), form)
-    told = replies.union(pieces.filter("part < 0")).groupBy("shard")
+    pieces = bodies.cogroup(wanted.groupBy("shard")).applyInPandas(
+        cut_out(parts, sample), "shard long, part long, blob binary, notes binary")
+    told = pieces.groupBy("part").applyInPandas(answered(sample), "shard long, blob binary, notes binary").groupBy("shard")
     return bodies.cogroup(told).applyInPandas(
         finished, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").union(whole)
 
