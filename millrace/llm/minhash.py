@@ -1,7 +1,7 @@
 """Near-duplicate documents by b-bit MinHash.
 
 A document's set holds its distinct word shingles, each a 64-bit hash. Documents with
-equal sets are one class, represented by the smallest id. Classes whose minima
+equal sets are one class, which has a number and is represented by its smallest id. Classes whose minima
 agree on a whole band are candidates; signatures keep only the low bits of each
 minimum, packed in longs, and a candidate lives on if the similarity estimated
 from equal lanes, corrected for chance agreement, is not far below the
@@ -99,17 +99,23 @@ def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     packed[k], bands[k] = lanes[i].view("int64"), band[i].view("int64")
             yield pd.DataFrame({
                 "doc_id": piece["doc_id"], "n_shingles": sizes,
-                "set_hash": [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                "set_hash": [hash_of(s) if len(s) else None for s in sets],
                 "sig": packed, "bands": bands})
 
 
+def hash_of(items: np.ndarray) -> bytes:
+    return blake2b(items.tobytes(), digest_size=16).digest()
+
+
 def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Full shingle sets."""
+    """Full shingle sets of classes, from rows of their representatives; rows of an id with another text are left out."""
     known: dict[bytes, int] = {}
     for pdf in batches:
         for piece in chunks(pdf):
-            yield pd.DataFrame({"cid": piece["doc_id"],
-                                "items": [shingles(t, known).view("int64") for t in piece["text"]]})
+            sets = [shingles(t, known) for t in piece["text"]]
+            mine = np.array([hash_of(s) == bytes(h) for s, h in zip(sets, piece["set_hash"])], bool)
+            yield pd.DataFrame({"cid": piece["cid"].to_numpy()[mine], "items": pd.Series(
+                [s.view("int64") for s, m in zip(sets, mine) if m], dtype=object)})
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -166,22 +172,33 @@ def near_duplicates(documents: DataFrame, percent: int = LINK_PERCENT) -> DataFr
     signs = stash(texts.mapInPandas(
         signed, "doc_id long, n_shingles long, set_hash binary, sig array<long>, bands array<long>"), "signatures")
     known = signs.filter("set_hash IS NOT NULL AND doc_id IS NOT NULL")
-    classes = stash(known.groupBy("set_hash").agg(F.min("doc_id").alias("cid")), "classes")
-    reps = stash(known.join(classes, "set_hash").filter("doc_id = cid").select(
-        "cid", "n_shingles", "sig", "bands").dropDuplicates(["cid", "n_shingles"]), "reps")
+    classes = stash(known.groupBy("set_hash").agg(F.min("doc_id").alias("first")).withColumn(
+        "cid", F.monotonically_increasing_id()), "classes")
+    firsts = stash(known.join(classes, "set_hash").filter("doc_id = first").select("cid", "n_shingles", "sig", "bands"), "firsts")
+    reps = stash(firsts.dropDuplicates(["cid"]), "reps")
+    twice = firsts.count() > reps.count()  # rows that repeat id and text
+    # Classes that an id has in common, as rows repeat it with other texts.
+    several = stash(known.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).filter(
+        "a < b").select("doc_id"), "several")
+    same = stash(known.select("doc_id", "set_hash").join(small_or_not(several), "doc_id").join(
+        classes, "set_hash").select("doc_id", "cid").distinct(), "same-id")
+    same_id = same.join(same.groupBy("doc_id").agg(F.min("cid").alias("a")), "doc_id").select("a", F.col("cid").alias("b"))
     banded = reps.select("cid", F.explode("bands").alias("band"))
     pivots = banded.groupBy("band").agg(F.min("cid").alias("p"), F.count("*").alias("n")).filter("n > 1")
     stars = stash(banded.join(pivots, "band").filter("p <> cid").select("p", F.col("cid").alias("x")).distinct(), "stars")
 
-    def full_sets(ids: DataFrame) -> DataFrame:
-        return stash(texts.join(small_or_not(stash(ids.distinct(), "wanted")), "doc_id", "left_semi").mapInPandas(
-            gathered, "cid long, items array<long>"), "sets")
+    def full_sets(wanted: DataFrame) -> DataFrame:
+        named = classes.join(small_or_not(stash(wanted.distinct(), "wanted")), "cid").select(
+            F.col("first").alias("doc_id"), "cid", "set_hash")
+        found = texts.join(small_or_not(stash(named, "named")), "doc_id").select("text", "cid", "set_hash").mapInPandas(
+            gathered, "cid long, items array<long>")
+        return stash(found.dropDuplicates(["cid"]) if twice else found, "sets")
 
     def needed(size: Column) -> Column:
         """Common elements that a link needs, of two sets with ``size`` elements together."""
         return F.ceil(size * percent / (100 + percent))
 
-    sets = full_sets(stars.select(F.col("p").alias("doc_id")).union(stars.select("x")))
+    sets = full_sets(stars.select(F.col("p").alias("cid")).union(stars.select("x")))
     of_p = sets.select(F.col("cid").alias("p"), F.col("items").alias("items_p"))
     of_x = sets.select(F.col("cid").alias("x"), F.col("items").alias("items_x"))
     compared = stash(stars.join(of_p, "p").join(of_x, "x").select(
@@ -193,11 +210,13 @@ def near_duplicates(documents: DataFrame, percent: int = LINK_PERCENT) -> DataFr
     roots = components(first)
 
     links = first.union(_links_beside_pivots(compared, reps, roots, sets, percent, needed))
-    roots = components(links)
+    roots = components(links.union(same_id))
 
-    out = (signs.join(classes, "set_hash", "left")
-           .join(roots.withColumnRenamed("node", "cid"), "cid", "left"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "cid", "doc_id"))
+    least = roots.join(classes.select(F.col("cid").alias("node"), "first"), "node")
+    component = least.groupBy("root").agg(F.min("first").alias("component"))
+    named = stash(roots.join(component, "root").select(F.col("node").alias("cid"), "component"), "components")
+    out = signs.join(classes, "set_hash", "left").join(named, "cid", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
@@ -233,12 +252,22 @@ def _links_beside_pivots(compared: DataFrame, reps: DataFrame, roots: DataFrame,
     met = x.join(y, ["p", "item"]).filter("root <> root_y").select("x", "y").distinct()
 
     most = F.floor(F.col("both") * (100 + percent) / percent - F.col("nx"))
-    low = rows.filter("NOT linked").withColumn("most", most).filter(F.col("most") >= fewest).select(
-        "p", "x", "most", "root")
+    low = rows.filter("NOT linked").withColumn("most", most).filter(F.col("most") >= fewest)
     bound = low.groupBy("p").agg(F.max("most").alias("bound"))
-    small = rows.join(bound, "p").filter("nx <= bound").select(
-        "p", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("root").alias("root_y"))
-    contained = low.join(small, "p").filter("ny <= most AND root <> root_y").select("x", "y")
+    members = rows.join(bound, "p").withColumn("most", F.when(~F.col("linked") & (most >= fewest), most)).filter(
+        "most IS NOT NULL OR nx <= bound").select("p", "x", "nx", "most", "root", "bound")
+    # Linked sets share one of the rarest of each, so many that the rest is less than a link needs.
+    every = members.join(sets.withColumnRenamed("cid", "x"), "x").select(
+        "p", "x", "nx", "most", "root", "bound", F.explode("items").alias("item"))
+    common = every.groupBy("p", "item").agg(F.count("*").alias("often")).filter("often > 1")
+    rare = stash(every.join(common, ["p", "item"]).withColumn("nth", F.row_number().over(rarest)), "rare")
+    alone = rare.groupBy("p", "x").agg(F.count("*").alias("shared"))
+    keep = F.col("nth") <= F.col("shared") - F.ceil(F.col("nx") * percent / 100) + 1
+    rare = stash(rare.join(alone, ["p", "x"]).filter(keep).select("p", "item", "x", "nx", "most", "root", "bound"), "rarest")
+    small = rare.filter("nx <= bound").select(
+        "p", "item", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("root").alias("root_y"))
+    contained = rare.filter("most IS NOT NULL").join(small, ["p", "item"]).filter(
+        "ny <= most AND root <> root_y").select("x", "y")
 
     sig_x = reps.select(F.col("cid").alias("x"), F.col("sig").alias("sig_x"))
     sig_y = reps.select(F.col("cid").alias("y"), F.col("sig").alias("sig_y"))

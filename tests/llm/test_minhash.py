@@ -116,3 +116,38 @@ def test_components_of_paths(spark):
     got = {r["node"]: r["root"] for r in minhash.components(df).collect()}
     want = {i: 100 for i in range(100, 161)} | {i: 5 for i in range(5, 40)} | {i: 70 for i in (70, 71, 72)}
     assert got == want
+
+
+def test_ids_that_repeat(documents):
+    """Rows of one id are one document with the links of each of its texts; also if it is the smallest id of both."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    got = by_id(minhash.near_duplicates(documents([(0, a), (1, a), (1, b), (2, a), (3, b), (4, c)])), "component_id")
+    assert {i: x for i, (x,) in got.items()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4}
+    docs = documents([(1, a), (1, b), (2, a + " end"), (3, b + " end"), (5, c), (5, c), (5, None), (6, c + " end")])
+    rows = [(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()]
+    assert sorted(rows) == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (5, 5, True), (5, 5, True), (5, 5, True),
+                            (6, 5, False)]
+
+
+def test_parts_of_a_longer_text(documents):
+    """Excerpts much shorter than the pivot: linked among themselves, by what lies inside it, and not with it."""
+    rng = random.Random(5)
+    long = [f"l{i}" for i in range(300)]
+    cuts = [long[a: a + n] for a, n in ((rng.choice([0, 3, 40, 44, 90]), rng.randint(225, 250)) for _ in range(30))]
+    pairs = list(enumerate([" ".join(long)] + [" ".join(c) for c in cuts] + [" ".join(c) for c in cuts[:3]]))
+    for percent in (80, 85):
+        got = by_id(minhash.near_duplicates(documents(pairs), percent), "n_shingles", "component_id", "kept")
+        assert got == plain(pairs, percent)
+
+
+def test_pairs_found(spark, documents):
+    """Of all pairs at the threshold or above, by comparing everything, none is left apart: at 0.85 and at 0.80."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(25):
+        base = [f"w{rng.randint(0, 9000)}" for _ in range(rng.randint(80, 200))]
+        texts += [base] + [edited(base, rng, rng.randint(1, 4)) for _ in range(3)]
+    pairs = list(enumerate(" ".join(t) for t in texts))
+    for percent in (80, 85):
+        got = by_id(minhash.near_duplicates(documents(pairs), percent), "n_shingles", "component_id", "kept")
+        assert got == plain(pairs, percent)
