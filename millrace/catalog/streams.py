@@ -20,6 +20,7 @@ from millrace.sources.tables import load_table, stream_table
 from millrace.streaming import stateful
 from millrace.streaming.bounded import run_available, run_in_phases, run_to_end
 from millrace.streaming.eventtime import merge_watermarked, watermark_bounded, watermark_monotonous
+from millrace.streaming.partitions import PartitionClocks
 
 # Lateness beyond the table's span: no timer fires before all rows are in, however they are split into micro-batches.
 BEYOND = "4000 days"
@@ -165,6 +166,42 @@ def _(spark, d):
     )
 
 
+#: Micro-batches by time; partition 2 falls idle after the first, and partition 3 comes with the third, its older rows as well.
+STEPS, IDLE = 6, 2
+CLOCKS = f"""
+    WITH span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) + 1 AS hi FROM events),
+         q AS (SELECT event_type, epoch_us(ts) AS us, event_id % 4 AS p, (epoch_us(ts) - lo) * {STEPS} // (hi - lo) AS q
+               FROM events, span),
+         a AS (SELECT event_type, us, CASE WHEN p = 2 AND q > 0 THEN 0 ELSE p END AS p,
+                      CASE WHEN p = 3 THEN greatest(q, 2) ELSE q END AS batch FROM q),
+         b AS (SELECT DISTINCT batch FROM a),
+         seen AS (SELECT b.batch, p, max(us) // 1000 AS ms, max(a.batch) AS last FROM b JOIN a ON a.batch <= b.batch
+                  GROUP BY b.batch, p),
+         least AS (SELECT batch, min(ms) AS ms FROM seen WHERE last > batch - {IDLE} GROUP BY batch),
+         clock AS (SELECT batch, max(ms) OVER (ORDER BY batch) AS ms FROM least),
+         k AS (SELECT event_type, us // 86400000000 * 86400000 AS start FROM a LEFT JOIN clock ON clock.batch = a.batch - 1
+               WHERE ms IS NULL OR us // 86400000000 * 86400000 + 86400000 > ms)
+    SELECT event_type, start AS window_start, start + 86400000 AS window_end, count(*) AS cnt FROM k GROUP BY ALL"""
+
+
+@registered("partition_clocks", CLOCKS)
+def _(spark, d):
+    df = events(spark, d).select("event_type", "ts", F.unix_micros("ts").alias("us"), (F.col("event_id") % 4).alias("p"))
+    span = df.agg(F.min("us").alias("lo"), (F.max("us") + 1).alias("hi")).first()
+    q = F.expr(f"(us - {span['lo'] or 0}) * {STEPS} div {(span['hi'] or 1) - (span['lo'] or 0)}")
+    batch = F.coalesce(F.when(F.col("p") == 3, F.greatest(q, F.lit(2))).otherwise(q), F.lit(0))
+    laid, folder = scratch_dir(spark, "laid"), scratch_dir(spark, "partitions")
+    df.select("event_type", "ts", F.when((F.col("p") == 2) & (q > 0), 0).otherwise(F.col("p")).alias("p"),
+              batch.cast("int").alias("batch")).write.partitionBy("batch").parquet(laid)
+    rows = spark.read.parquet(laid)
+    clocks = PartitionClocks(spark, ["event_type"], "ts", "p", "1 day", idle=IDLE)
+    for i in range(STEPS):
+        # Partitions are folders of the source, there as soon as they have rows.
+        rows.filter(F.col("batch") == i).drop("batch").write.partitionBy("p").mode("append").parquet(folder)
+        clocks.run(spark.readStream.schema(df.select("event_type", "ts", "p").schema).parquet(folder))
+    return clocks.closed(at_end=True)
+
+
 @registered("stream_map", f"SELECT event_id, event_type, {K} AS k FROM events")
 def _(spark, d):
     return run_available(stream_table(spark, d, "events").select("event_id", "event_type", k().alias("k")))

@@ -21,6 +21,7 @@ from millrace.sources.tables import stream_table
 from millrace.streaming import stateful
 from millrace.streaming.bounded import run_available, run_in_phases, run_to_end
 from millrace.streaming.eventtime import assign_event_time, merge_watermarked, watermark_bounded, watermark_monotonous
+from millrace.streaming.partitions import PartitionClocks
 
 ORDERED = "name STRING, event_order INT"
 
@@ -402,3 +403,29 @@ def test_top_of_a_change_log(spark, folder, held):
     assert sorted(tuple(r) for r in batch_top_of_changes(flat, ["k"], "v").select("k", "v").collect()) == want
     log = run_available(stateful.top_of_changes(replay(spark, batches, schema, f"{folder}/in"), ["k"], "v", held=held))
     assert _net(log.collect()) == want
+
+
+def test_clocks_of_partitions(spark, folder):
+    """The slowest partition counts; an idle one not until it has rows again; one may come later; a batch run twice is one."""
+    schema = "part INT, ms BIGINT"
+    batches = [
+        [(0, 1000), (0, 9000), (1, 2000), (None, 5000)],  # clock 2 s, by partition 1
+        [(0, 19_000), (1, 1500), (1, 3000), (None, 6000)],  # 1.5 s is late; clock 3 s
+        [(0, 21_000), (2, 12_500), (2, 14_000), (0, None)],  # partitions 1 and NULL have one batch without rows; still 3 s
+        [(0, 30_000), (2, 16_000), (2, 2500), (2, 13_999)],  # 2.5 s is late; both idle now: 16 s, by partition 2
+        [(1, 15_000), (1, 15_999), (0, 31_000)],  # both late; partition 1 is back, but the clock never goes back
+    ]
+    clocks = PartitionClocks(spark, ["one"], "ts", "part", "1 second")
+    closed = []
+    for batch in batches:
+        rows_now = from_collection(spark, batch, schema).select("part", F.timestamp_millis("ms").alias("ts"), F.lit(1).alias("one"))
+        rows_now.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        clocks.run(spark.readStream.schema("part INT, ts TIMESTAMP, one INT").parquet(f"{folder}/in"))
+        closed.append({r["window_start"] // 1000: r["cnt"] for r in clocks.closed().collect()})
+    most = {1: 1, 2: 1, 3: 1, 5: 1, 6: 1, 9: 1, 12: 1, 13: 1, 14: 1}
+    assert closed == [{1: 1}, {1: 1, 2: 1}, {1: 1, 2: 1}, most, most]
+    assert clocks.late() == 4
+    whole = {r["window_start"] // 1000: r["cnt"] for r in clocks.closed(at_end=True).collect()}
+    assert whole == most | {16: 1, 19: 1, 21: 1, 30: 1, 31: 1}
+    clocks.step(rows_now, clocks.last)
+    assert {r["window_start"] // 1000: r["cnt"] for r in clocks.closed(at_end=True).collect()} == whole and clocks.late() == 4
