@@ -11,7 +11,7 @@ from millrace.catalog.inputs import events, k
 from millrace.catalog.registry import registered
 from millrace.catalog.userdefined import TOP2_OF_SUMS
 from millrace.operators.aggregates import top_of_changes
-from millrace.operators.joins import join_inner, join_within
+from millrace.operators.joins import heavy_keys, join_inner, join_spread, join_within
 from millrace.operators.rows import distinct_rows
 from millrace.operators.userdefined import CountSum, Largest
 from millrace.operators.windows import tumbling_count, window_bounds
@@ -294,6 +294,21 @@ def _(spark, d):
     return run_available(join_inner(orders, customers, [("o_custkey", "c_custkey")]))
 
 
+@registered("join_streams_spread", """
+    SELECT o_orderkey, customer, c_custkey, c_name
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS customer FROM orders)
+    JOIN customer ON customer = c_custkey""")
+def _(spark, d):
+    # A third of the orders is one customer's.
+    def of_customer(df):
+        return df.select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")).alias("customer"))
+
+    hot = heavy_keys(of_customer(load_table(spark, d, "orders")), "customer", 0.05)
+    orders = of_customer(in_files(spark, d, "orders", ["o_orderkey", "o_custkey"]))
+    customers = stream_table(spark, d, "customer").select("c_custkey", "c_name")
+    return run_available(join_spread(orders, customers, ("customer", "c_custkey"), hot, lanes=16))
+
+
 @registered("keyed_process_fn", f"""
     SELECT user_id, epoch_ms(date_trunc('day', ts)) AS window_start,
            epoch_ms(date_trunc('day', ts) + INTERVAL 1 DAY) AS window_end,

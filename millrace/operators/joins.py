@@ -39,6 +39,40 @@ def join_within(
     return left.join(right, reduce(Column.__and__, equal, bound), "inner")
 
 
+def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """Keys that hold at least that share of a table's rows; there are at most 1 / share of them."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    total = df.count()
+    return [r[key] for r in counts.filter(F.col("n") >= F.lit(share * total)).select(key).collect()] if total else []
+
+
+def join_spread(
+    left: DataFrame,
+    right: DataFrame,
+    on: tuple[str, str],
+    hot: Sequence,
+    lanes: int,
+    join: Callable[[DataFrame, DataFrame, list[tuple[str, str]]], DataFrame] = join_inner,
+) -> DataFrame:
+    """A join of two streams whose hot keys are spread over ``lanes`` state partitions.
+
+    A stream join keeps all rows of a key in one partition's state, and Spark
+    does not split state at run time. Here left rows of the keys in ``hot`` are
+    dealt over lanes and the right rows of these keys, which should be the
+    fewer, are copied to each. ``hot`` comes from ``heavy_keys`` over rows of
+    the past; state is laid out by it, so a query keeps its set for as long as
+    it keeps its checkpoint. ``join`` is given both sides and the key pairs;
+    bind ``join_within`` to it for a time bound.
+    """
+    a, b = on
+    lane, other = "__lane", "__other_lane"
+    is_hot = (lambda c: F.coalesce(F.col(c).isin(list(hot)), F.lit(False))) if hot else (lambda c: F.lit(False))
+    dealt = left.withColumn(lane, F.when(is_hot(a), F.pmod(F.xxhash64(*left.columns), F.lit(lanes)).cast("int")).otherwise(0))
+    every = F.sequence(F.lit(0), F.lit(lanes - 1))
+    copied = right.withColumn(other, F.explode(F.when(is_hot(b), every).otherwise(F.array(F.lit(0)))))
+    return join(dealt, copied, [on, (lane, other)]).drop(lane, other)
+
+
 def lateral_split(df: DataFrame, column: str, separator: str, alias: str) -> DataFrame:
     """One row per piece of a text column, beside the row it came from."""
     return df.withColumn(alias, F.explode(split_text(F.col(column), separator)))

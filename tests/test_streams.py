@@ -10,12 +10,13 @@ from millrace.catalog.streams import in_files
 from millrace.functions.scalars import event_time_from_millis, parse_iso_seconds
 from millrace.operators.aggregates import group_count_max
 from millrace.operators.aggregates import top_of_changes as batch_top_of_changes
-from millrace.operators.joins import join_inner
+from millrace.operators.joins import heavy_keys, join_inner, join_spread
 from millrace.operators.rows import distinct_rows, distinct_within_watermark, limit_rows
 from millrace.operators.timers import keyed_sum_at_timers as batch_sums
 from millrace.operators.userdefined import CountSum, Largest, WindowCount
 from millrace.operators.userdefined import window_process as batch_window_process
 from millrace.operators.windows import tumbling_count
+from millrace.sinks.writers import stream_to_parquet
 from millrace.sources.memory import from_collection, replay
 from millrace.sources.tables import stream_table
 from millrace.streaming import stateful
@@ -429,3 +430,29 @@ def test_clocks_of_partitions(spark, folder):
     assert whole == most | {16: 1, 19: 1, 21: 1, 30: 1, 31: 1}
     clocks.step(rows_now, clocks.last)
     assert {r["window_start"] // 1000: r["cnt"] for r in clocks.closed(at_end=True).collect()} == whole and clocks.late() == 4
+
+
+def test_hot_keys_of_a_join_are_spread(spark, folder):
+    """A third of the rows in one key: the result of the plain join, and no state partition far above the mean."""
+    left = [(i, 0 if i % 3 == 0 else i % 60) for i in range(3000)] + [(9999, None)]
+    right = [(k, f"r{k}") for k in range(60)] + [(0, "twice"), (None, "none")]
+    batches = [left[:1000], left[1000:2000], left[2000:]]
+    left_table, right_table = from_collection(spark, left, "id INT, k INT"), from_collection(spark, right, "rk INT, name STRING")
+    hot = heavy_keys(left_table, "k", 0.1)
+    assert hot == [0] and heavy_keys(left_table, "k", 0.9) == [] and heavy_keys(left_table.limit(0), "k") == []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        largest = {}
+        for lanes, keys in ((16, hot), (1, [])):
+            a = replay(spark, batches, "id INT, k INT", f"{folder}/left{lanes}")
+            b = replay(spark, [right[:30], right[30:]], "rk INT, name STRING", f"{folder}/right{lanes}")
+            query = stream_to_parquet(join_spread(a, b, ("k", "rk"), keys, lanes), f"{folder}/out{lanes}", f"{folder}/check{lanes}")
+            query.awaitTermination()
+            assert rows(spark.read.parquet(f"{folder}/out{lanes}")) == rows(join_inner(left_table, right_table, [("k", "rk")]))
+            state = spark.read.format("statestore").option("joinSide", "left").load(f"{folder}/check{lanes}")
+            counts = [r["count"] for r in state.groupBy("partition_id").count().collect()]
+            largest[lanes] = max(counts) / (sum(counts) / 4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert largest[16] < 1.35 < 1.8 < largest[1]
