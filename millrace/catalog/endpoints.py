@@ -16,6 +16,7 @@ from millrace.sources.endpoints import (
     stream_json_rows,
     stream_strings,
 )
+from millrace.sources.polling import poll_to_end
 from millrace.sources.tables import stream_table
 from millrace.streaming.bounded import run_available
 from millrace.streaming.jobs import forward, forward_valid, outcome_files, produce_json_rows
@@ -39,6 +40,22 @@ def _(spark, d):
     return read_strings(spark, as_topic(_props(spark, d), "topic"))
 
 
+@registered("poll_source_groups", """
+    SELECT 1 AS run, 'a' AS grp, event_id FROM events WHERE event_id % 2 = 0
+    UNION ALL SELECT 2, 'a', event_id FROM events WHERE event_id % 2 = 1
+    UNION ALL SELECT 3, 'b', event_id FROM events""")
+def _(spark, d):
+    # Half of the events is polled; when the others have come, the same group takes only these, another group takes all.
+    topic, df = scratch_dir(spark, "polled"), events(spark, d)
+    runs = []
+    for run, (group, some) in enumerate([("a", 0), ("a", 1), ("b", None)], 1):
+        if some is not None:
+            df.filter(F.col("event_id") % 2 == some).select(F.col("event_id").cast("string")).write.mode("append").text(topic)
+        lines = poll_to_end(spark, topic, group)
+        runs.append(lines.select(F.lit(run).alias("run"), F.lit(group).alias("grp"), F.col("value").cast("bigint").alias("event_id")))
+    return runs[0].union(runs[1]).union(runs[2])
+
+
 @registered("kafka_json_row_source", """
     SELECT CAST(event_id AS INTEGER) AS f0, CASE WHEN event_id % 5 > 0 THEN event_type END AS f1, NULL::VARCHAR AS bad
     FROM events WHERE event_type <> 'error'
