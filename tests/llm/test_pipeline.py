@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as p
 from millrace.llm import toxicity
+from millrace.llm.common import stash
 from test_bpe import PEER
 from test_decontaminate import plain as plain_leaks
 from test_minhash import plain as plain_groups
@@ -98,3 +99,17 @@ def test_near_duplicates_from_eighty_percent(spark, documents, tmp_path):
     left = texts_of(dict(p.STAGES)["near_duplicates"](spark, docs, str(tmp_path)))
     groups = plain_groups(list(enumerate(texts)), percent=80)
     assert set(left) == {i for i, g in groups.items() if g[2]} == {0, 2, 4, 6, 7}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_most_documents_stay(spark, sf):
+    """On the given tables no stage but the last stage's form change costs more than a fifth of its documents, nor all its work."""
+    folder = f"/root/testdata/{sf}"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    counts = [docs.count()]
+    for name, stage in p.STAGES:
+        docs = stash(stage(spark, docs, folder), name)
+        counts.append(docs.count())
+    assert all(b >= 0.8 * a for a, b in zip(counts, counts[1:])), counts
+    assert counts[-1] == counts[-2] == counts[-3] and counts[3] < counts[0]
+    assert docs.filter("same AND n_tokens IS NOT NULL").count() == counts[-1]
