@@ -45,7 +45,9 @@ IN_WINDOW = LENGTH - GRAM + 1
 SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 20
 #: Text for which one more part is made.
 PART_BYTES = 8 << 20
-SAMPLE_ROWS, SAMPLE_BYTES = 40, 100_000
+SAMPLE_ROWS, SAMPLE_BYTES = 400, 1_000_000
+#: Compression of stretches, and of the shards' own text.
+PIECES_LEVEL, BODY_LEVEL = 12, 6
 #: Occurrences, added up over shards, from which an anchor is hot.
 HOT = 4096
 #: Stretches of so many bytes together get one suffix array.
@@ -58,10 +60,10 @@ KEY_BITS = 32
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def packed(*arrays: np.ndarray) -> bytes:
+def packed(*arrays: np.ndarray, level: int = 3) -> bytes:
     """Arrays in one compressed piece of bytes."""
     raw = [a.tobytes() for a in arrays]
-    return zstandard.compress(struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw), 3)
+    return zstandard.compress(struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw), level)
 
 
 def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
@@ -77,7 +79,10 @@ class Squeeze:
 
     def __init__(self, sample: bytes):
         known = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
-        self.press, self.back = zstandard.ZstdCompressor(9, known), zstandard.ZstdDecompressor(known)
+        if known:
+            known.precompute_compress(level=PIECES_LEVEL)
+        self.press = zstandard.ZstdCompressor(dict_data=known) if known else zstandard.ZstdCompressor(PIECES_LEVEL)
+        self.back = zstandard.ZstdDecompressor(known)
 
 
 def noted(piece: np.ndarray, low: np.ndarray, size: np.ndarray) -> bytes:
@@ -270,7 +275,7 @@ def pack(parts: int) -> object:
         ends = np.cumsum([len(t) for t in texts])
         body = np.frombuffer(b"".join(texts), "uint8")
         shard = uuid.uuid4().int >> 65
-        out = [(shard, None, packed(body, ids, ends), None)]
+        out = [(shard, None, packed(body, ids, ends, level=BODY_LEVEL), None)]
         low, _, gram = stretches(body, ends)
         owner = np.searchsorted(ends, low, side="right")
         code = codes(gram, parts)
