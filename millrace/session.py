@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +71,27 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+#: The folder of the run that is going on, if it is to be removed.
+_RUN: ContextVar[str] = ContextVar("run", default="")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared root; never reused."""
-    return f"{scratch_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/millrace/{_RUN.get()}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written to the scratch folder inside is removed at the end.
+
+    Results are lazy and read it, so collect or write them inside as well.
+    Without this it is left for the operator to clean.
+    """
+    run = f"{_RUN.get()}run-{uuid.uuid4().hex}/"
+    folder, token = f"{scratch_root(spark)}/millrace/{run}", _RUN.set(run)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

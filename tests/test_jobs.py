@@ -7,7 +7,7 @@ import pytest
 
 from fixtures import NEW, NOTES, OLD, change, rows
 from millrace.operators.cdc import cdc_unpack
-from millrace.session import scratch_dir
+from millrace.session import scratch, scratch_dir
 from millrace.sinks.writers import stream_row_files, stream_to_console, write_row_files
 from millrace.sources.endpoints import (
     kafka_partition_sources, kafka_sink, kafka_source, read_strings, register_stream_table, stream_json_rows,
@@ -124,3 +124,19 @@ def test_pretty_printing(spark):
 def test_scratch_is_shared(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_scratch_is_removed(spark, folder):
+    """Tables, streams and checkpoints of a run, nested ones too; nothing of what was written outside."""
+    outside = scratch_dir(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    with scratch(spark):
+        inside = scratch_dir(spark, "inside")
+        spark.range(3).write.parquet(inside)
+        with scratch(spark):
+            nested = scratch_dir(spark, "nested")
+            spark.range(3).write.parquet(nested)
+        assert os.path.exists(inside.removeprefix("file:")) and not os.path.exists(nested.removeprefix("file:"))
+        assert spark.read.parquet(inside).count() == 3
+    assert not os.path.exists(os.path.dirname(inside.removeprefix("file:")))
+    assert spark.read.parquet(outside).count() == 3 and scratch_dir(spark, "x").rpartition("/")[0] == outside.rpartition("/")[0]
