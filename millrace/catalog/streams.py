@@ -232,6 +232,35 @@ def _(spark, d):
     return sums.withColumn("sum", F.round("sum", 2))
 
 
+#: Sums that start anew after a day and a half without an access; what a row finds is the last access before it.
+TTL_MS = 129_600_000
+EXPIRING = f"""
+    WITH {ARRIVALS},
+         r AS (SELECT user_id, value, us // 1000 AS ms, batch, row_number() OVER (PARTITION BY user_id ORDER BY batch, us) AS n FROM a),
+         w AS (SELECT batch, max(max(ms)) OVER (ORDER BY batch) - 2000 AS watermark FROM r GROUP BY batch
+               UNION ALL SELECT {PHASES}, 9000000000000000),
+         found AS (SELECT r.user_id, r.n,
+                          max(CASE WHEN p.batch < r.batch AND watermark > p.ms + 2000 THEN p.ms + 2000 ELSE p.ms END) AS accessed
+                   FROM r JOIN r AS p ON p.user_id = r.user_id AND p.n < r.n LEFT JOIN w ON w.batch = r.batch - 1
+                   GROUP BY r.user_id, r.n),
+         s AS (SELECT r.*, sum(CASE WHEN ms - accessed > {TTL_MS} THEN 1 ELSE 0 END) OVER (PARTITION BY r.user_id ORDER BY r.n) AS part
+               FROM r LEFT JOIN found ON found.user_id = r.user_id AND found.n = r.n),
+         run AS (SELECT *, sum(value) OVER (PARTITION BY user_id, part ORDER BY n) AS total FROM s),
+         f AS (SELECT DISTINCT user_id, ms + 2000 AS timer_ms, min(w.batch) AS fired
+               FROM r JOIN w ON w.batch >= r.batch AND watermark > ms + 2000 GROUP BY user_id, ms, r.batch)
+    SELECT f.user_id, timer_ms, round(max_by(total, n), 2) AS "sum"
+    FROM f JOIN run ON run.user_id = f.user_id AND run.batch <= fired GROUP BY f.user_id, timer_ms, fired"""
+
+
+@registered("state_ttl_event", EXPIRING)
+def _(spark, d):
+    sums = run_in_phases(
+        arrivals(spark, d, "user_id", "ts", "value"), "ts", watermark_bounded("2 seconds"),
+        lambda e: stateful.keyed_sum_at_timers(e, ["user_id"], "ts", "value", ttl_seconds=TTL_MS / 1000, ttl_clock="event"),
+    )
+    return sums.withColumn("sum", F.round("sum", 2))
+
+
 @registered("changelog_stream", f"""
     SELECT event_type, count(*) AS cnt, CAST(max({K}) AS BIGINT) AS max_k FROM events GROUP BY event_type""")
 def _(spark, d):

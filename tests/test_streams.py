@@ -456,3 +456,19 @@ def test_hot_keys_of_a_join_are_spread(spark, folder):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert largest[16] < 1.35 < 1.8 < largest[1]
+
+
+def test_sums_expire_by_event_time(spark):
+    """Access renews, by rows and by timers; a sum not accessed for longer than the TTL starts anew or is not there."""
+    batches = [[("a", 1000, 1.0), ("a", 9000, 2.0), ("b", 1000, 5.0), ("c", 30_000, 0.0)],
+               [("a", 25_000, 4.0), ("a", 3000, 8.0), ("b", 12_500, 6.0)], [("a", None, 16.0), ("b", 50_000, 7.0)]]
+    phases = [from_collection(spark, b, "k STRING, ms BIGINT, v DOUBLE").select("k", F.timestamp_millis("ms").alias("ts"), "v")
+              for b in batches]
+    out = run_in_phases(phases, "ts", watermark_bounded("1 second"), lambda e: stateful.keyed_sum_at_timers(
+        e, ["k"], "ts", "v", delay_seconds=2, ttl_seconds=10, ttl_clock="event"))
+    # b: the timer at 3 s renews, so 12.5 s is in time though more than 10 s after the row at 1 s.
+    assert rows(out) == expected([("a", 3000, 3.0), ("a", 11_000, 3.0), ("b", 3000, 5.0), ("a", 5000, 4.0), ("a", 27_000, 4.0),
+                                  ("b", 14_500, 11.0), ("b", 52_000, 7.0), ("c", 32_000, 0.0)])
+    never = run_in_phases(phases[:1], "ts", watermark_bounded("1 second"), lambda e: stateful.keyed_sum_at_timers(
+        e, ["k"], "ts", "v", delay_seconds=2, ttl_seconds=1, ttl_clock="event"))
+    assert ("b", 3000, None) in rows(never)
