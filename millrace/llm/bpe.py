@@ -160,12 +160,8 @@ def dictionary(pieces: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY
     return known | {p.decode(): ids for p, ids in vocabulary.unreached.items() if p.decode(errors="ignore").encode() == p}
 
 
-#: What a task knows of a piece: its ids, the same as text, and the bytes they decode to.
-Entry = tuple[list[int], str, bytes]
-
-
 class Encoder:
-    """Gives each task's function from a piece to its entry; a distinct piece is merged and decoded once, as long as it is held."""
+    """Gives each task's function from pieces to ids."""
 
     def __init__(self, documents: DataFrame, vocabulary: Vocabulary, text: str, size: int):
         pieces = documents.select(F.explode(pieces_of(text_of(text))).alias("piece"))
@@ -178,22 +174,22 @@ class Encoder:
 
         def start():
             known, first, pairs, tokens = sent.value
-            frequent_: dict[str, Entry] = {}
-            others: dict[str, Entry] = {}
-
-            def entry(piece: str) -> Entry:
-                found = frequent_.get(piece) or others.get(piece)
-                if found is None:
-                    ids = known.get(piece)
-                    held = others if ids is None else frequent_
-                    if ids is None:
-                        ids = merged(piece.encode(), first, pairs)
-                        if len(others) >= CACHED:
-                            others.clear()
-                    found = held[piece] = ids, ",".join(map(str, ids)), b"".join([tokens[i] for i in ids])
-                return found
+            others: dict[str, list[int]] = {}
 
-            return entry
+            def ids_of(pieces: list[str]) -> list[int]:
+                out: list[int] = []
+                for p in pieces:
+                    ids = known.get(p)
+                    if ids is None:
+                        ids = others.get(p)
+                        if ids is None:
+                            if len(others) >= CACHED:
+                                others.clear()
+                            ids = others[p] = merged(p.encode(), first, pairs)
+                    out += ids
+                return out
+
+            return ids_of, tokens
         return start
 
 
@@ -203,9 +199,9 @@ def encoded(documents: DataFrame, vocabulary: Vocabulary, text: str, size: int)
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        entry = function()
-        for texts in batches:
-            yield pd.Series([np.array([i for p in pieces for i in entry(p)[0]], "int32") for pieces in texts])
+        ids_of, _ = function()
+        for pieces in batches:
+            yield pd.Series([np.array(ids_of(p), "int32") for p in pieces])
 
     return run(pieces_of(text_of(text)))
 
@@ -232,13 +228,15 @@ def digest(documents: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY)
 
     @F.pandas_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        entry = function()
+        ids_of, tokens = function()
+        names = list(map(str, range(len(tokens))))
         for batch in batches:
             rows = []
             for pieces in batch:
-                found = [entry(p) for p in pieces]
-                named, back = ",".join([e[1] for e in found]), b"".join([e[2] for e in found])
-                rows.append((sum([len(e[0]) for e in found]), sha256(named.encode()).hexdigest(), sha256(back).hexdigest()))
+                ids = ids_of(pieces)
+                back = b"".join(map(tokens.__getitem__, ids))
+                rows.append((len(ids), sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
+                             sha256(back).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return documents.select("doc_id", run(pieces_of(text_of())).alias("d")).select("doc_id", "d.*")
@@ -250,13 +248,12 @@ def round_trip(documents: DataFrame, vocabulary: Vocabulary, text: str = "text",
 
     @F.pandas_udf("struct<n_tokens:long,ids:array<int>,same:boolean>")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        entry = function()
+        ids_of, tokens = function()
         for texts, batch in batches:
             rows = []
             for whole, pieces in zip(texts, batch):
-                found = [entry(p) for p in pieces]
-                ids = [i for e in found for i in e[0]]
-                rows.append((len(ids), np.array(ids, "int32"), b"".join([e[2] for e in found]) == whole.encode()))
+                ids = ids_of(pieces)
+                rows.append((len(ids), np.array(ids, "int32"), b"".join([tokens[i] for i in ids]) == whole.encode()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids", "same"])
 
     kept = [c for c in documents.columns if c not in ("n_tokens", "ids", "same")]
