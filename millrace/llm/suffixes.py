@@ -47,7 +47,7 @@ SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 20
 PART_BYTES = 8 << 20
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 1_000_000
 #: Compression of stretches, and of the shards' own text.
-PIECES_LEVEL, BODY_LEVEL = 12, 6
+PIECES_LEVEL, BODY_LEVEL = 9, 4
 #: Occurrences, added up over shards, from which an anchor is hot.
 HOT = 4096
 #: Stretches of so many bytes together get one suffix array.
