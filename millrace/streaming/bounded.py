@@ -36,14 +36,17 @@ def late_rows(spark: SparkSession, strict: bool) -> Iterator[None]:
     queries can hold only one stateful operator.
     """
     wanted = {_POLICY: "min"} | ({_STRICT_LATE: "false"} if strict else {})
-    before = {name: spark.conf.get(name) for name in wanted}
+    before = spark.conf.getAll
     for name, value in wanted.items():
         spark.conf.set(name, value)
     try:
         yield
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        for name in wanted:
+            if name in before:
+                spark.conf.set(name, before[name])
+            else:
+                spark.conf.unset(name)
 
 
 def _last_record(like: DataFrame, time: str) -> DataFrame:
