@@ -174,7 +174,8 @@ def near_duplicates(documents: DataFrame, percent: int = LINK_PERCENT) -> DataFr
     known = signs.filter("set_hash IS NOT NULL AND doc_id IS NOT NULL")
     classes = stash(known.groupBy("set_hash").agg(F.min("doc_id").alias("first")).withColumn(
         "cid", F.monotonically_increasing_id()), "classes")
-    firsts = stash(known.join(classes, "set_hash").filter("doc_id = first").select("cid", "n_shingles", "sig", "bands"), "firsts")
+    firsts = stash(known.join(classes, "set_hash").filter("doc_id = first").select(
+        "cid", "first", "n_shingles", "sig", "bands"), "firsts")
     reps = stash(firsts.dropDuplicates(["cid"]), "reps")
     twice = firsts.count() > reps.count()  # rows that repeat id and text
     # Classes that an id has in common, as rows repeat it with other texts.
@@ -183,8 +184,10 @@ def near_duplicates(documents: DataFrame, percent: int = LINK_PERCENT) -> DataFr
     same = stash(known.select("doc_id", "set_hash").join(small_or_not(several), "doc_id").join(
         classes, "set_hash").select("doc_id", "cid").distinct(), "same-id")
     same_id = same.join(same.groupBy("doc_id").agg(F.min("cid").alias("a")), "doc_id").select("a", F.col("cid").alias("b"))
-    banded = reps.select("cid", F.explode("bands").alias("band"))
-    pivots = banded.groupBy("band").agg(F.min("cid").alias("p"), F.count("*").alias("n")).filter("n > 1")
+    # The smallest id is the likeliest original of a group of copies, so most of them are linked with it at once.
+    banded = reps.select("cid", "first", F.explode("bands").alias("band"))
+    pivots = banded.groupBy("band").agg(F.min(F.struct("first", "cid")).alias("pivot"), F.count("*").alias("n")).filter(
+        "n > 1").select("band", F.col("pivot.cid").alias("p"))
     stars = stash(banded.join(pivots, "band").filter("p <> cid").select("p", F.col("cid").alias("x")).distinct(), "stars")
 
     def full_sets(wanted: DataFrame) -> DataFrame:
