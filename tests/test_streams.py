@@ -348,6 +348,97 @@ def test_timers_by_bucket_touch_what_is_due():
     assert sorted(handle.registered)[:2] == [3, 4000] and handle.map[400,] == ([4000, 4001, 4002, 4004, 4006, 4008],)
 
 
+class _Store:
+    """What ``Timers`` asks of a handle: values, maps and registered timers, with the calls counted."""
+
+    def __init__(self):
+        self.calls, self.registered, self.states = 0, [], {}
+
+    def getValueState(self, name, schema):
+        return _Entry(self, name)
+
+    getMapState = lambda self, name, key, value: _Entry(self, name)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        assert at not in self.registered
+        self.registered.append(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.registered.remove(at)
+
+
+class _Entry:
+    def __init__(self, store, name):
+        self.store, self.name = store, name
+
+    def _call(self, change, key=()):
+        self.store.calls += 1
+        return change(self.store.states, (self.name, *key))
+
+    def get(self):
+        return self._call(dict.get)
+
+    def update(self, value):
+        self._call(lambda states, key: states.update({key: value}))
+
+    def clear(self):
+        self._call(lambda states, key: states.pop(key, None))
+
+    def containsKey(self, key):
+        return self._call(dict.__contains__, key)
+
+    def getValue(self, key):
+        return self._call(dict.__getitem__, key)
+
+    def updateValue(self, key, value):
+        self._call(lambda states, key: states.update({key: value}), key)
+
+    def removeKey(self, key):
+        self._call(dict.pop, key)
+
+
+def _fired(store, timers, watermark):
+    out = []
+    while store.registered and min(store.registered) < watermark:
+        at = min(store.registered)
+        out += timers.due(at, watermark)
+        store.registered.remove(at)
+    return sorted(out)
+
+
+def test_few_timers_cost_few_calls():
+    """Times that are far apart are read and written together, and fire together."""
+    store = _Store()
+    timers = stateful.Timers(store)
+    hour = 3_600_000
+    timers.add([hour * i for i in range(1, 60)])
+    assert store.calls <= 3 and store.registered == [hour]
+    store.calls = 0
+    assert _fired(store, timers, 50 * hour) == [hour * i for i in range(1, 50)] and store.registered == [50 * hour]
+    assert store.calls <= 4
+    timers.add([50 * hour, 7])
+    assert _fired(store, timers, 8) == [7]
+    assert _fired(store, timers, 10**12) == [hour * i for i in range(50, 60)] and not store.states
+
+
+@pytest.mark.parametrize("few", [0, 3, 40])
+def test_timers_few_and_many(few):
+    """Against a plain set of pending times, over the border between one value and buckets."""
+    rng = random.Random(few)
+    store = _Store()
+    timers, pending, watermark = stateful.Timers(store, few), set(), 0
+    for _ in range(300):
+        new = [watermark + rng.randint(-10**6, 10**8) for _ in range(rng.choice([0, 1, 2, 30]))]
+        timers.add(new)
+        pending.update(new)
+        watermark += rng.choice([0, 10**6, 10**7, 10**8])
+        assert _fired(store, timers, watermark) == sorted(t for t in pending if t < watermark)
+        pending = {t for t in pending if t >= watermark}
+    assert _fired(store, timers, 10**18) == sorted(pending) and not store.states
+
+
 def test_timers_fire_while_the_stream_runs(spark):
     """With the sum of that moment; a late row fires its timer at once, again if it had fired before."""
     schema = "k STRING, ms BIGINT, v DOUBLE"
