@@ -18,7 +18,7 @@ from millrace.operators.userdefined import window_process as batch_window_proces
 from millrace.operators.windows import tumbling_count
 from millrace.sinks.writers import stream_to_parquet
 from millrace.sources.memory import from_collection, replay
-from millrace.sources.tables import stream_table
+from millrace.sources.tables import in_batches, stream_table
 from millrace.streaming import stateful
 from millrace.streaming.bounded import run_available, run_in_phases, run_to_end
 from millrace.streaming.eventtime import assign_event_time, merge_watermarked, watermark_bounded, watermark_monotonous
@@ -439,6 +439,18 @@ def test_timers_few_and_many(few):
     assert _fired(store, timers, 10**18) == sorted(pending) and not store.states
 
 
+def test_batches_do_not_multiply_with_files(spark, folder):
+    """A table of many rows is several files, and still one micro-batch; one without rows is none."""
+    parts = [spark.range(a, b, numPartitions=6).select("id") for a, b in ((0, 500), (500, 500), (500, 950), (950, 2000))]
+    stream = in_batches(parts, f"{folder}/in", rows_per_file=100)
+    query = stream.writeStream.format("memory").queryName("in_batches").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [500, 450, 1050]
+    assert len(spark.read.parquet(f"{folder}/in").inputFiles()) == 3 * 4
+    assert spark.table("in_batches").distinct().count() == 2000
+    assert run_available(in_batches(parts[1:2], f"{folder}/none")).count() == 0
+
+
 def test_timers_fire_while_the_stream_runs(spark):
     """With the sum of that moment; a late row fires its timer at once, again if it had fired before."""
     schema = "k STRING, ms BIGINT, v DOUBLE"
