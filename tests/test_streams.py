@@ -439,6 +439,37 @@ def test_timers_few_and_many(few):
     assert _fired(store, timers, 10**18) == sorted(pending) and not store.states
 
 
+def test_windows_of_a_key_share_an_entry(spark):
+    """Each fires as the watermark passes its end, once; late rows of closed windows go, those of open ones count."""
+    ms = [[1000, 9000, 40_500], [9500, 40_700, 41_000, 2000], [100_000, -500, 40_100]]
+    phases = [from_collection(spark, [("a", t) for t in b], "k STRING, ms BIGINT").select("k", F.timestamp_millis("ms").alias("ts"))
+              for b in ms]
+    out = run_in_phases(phases, "ts", watermark_bounded("35 seconds"), lambda e: stateful.window_process(
+        e, ["k"], "ts", "1 second", WindowCount(), []))
+    # Watermarks: 5.5 s, 6 s, 65 s.
+    assert rows(out) == expected([("a", 1000, 2000, 1), ("a", 9000, 10_000, 2), ("a", 40_000, 41_000, 3),
+                                  ("a", 41_000, 42_000, 1), ("a", 100_000, 101_000, 1)])
+
+
+def test_windows_in_one_entry_cost_few_calls():
+    class Clock:
+        getCurrentWatermarkInMs = lambda self: 30_500
+        getExpiryTimeInMs = lambda self: 1000
+
+    store = _Store()
+    states = stateful.WindowStates(WindowCount(), ["k", "window_start", "window_end", "cnt"])
+    states.init(store)
+    before = type("Before", (), {"getCurrentWatermarkInMs": lambda self: 0})()
+    starts = [1000 * i for i in range(32)]
+    assert not list(states.handleInputRows(
+        ("a", 0), [{"window_start": t, "window_end": t + 1000, "state": [2]} for t in starts], before))
+    assert store.calls <= 3 and store.registered == [1000]
+    store.calls, store.registered = 0, []
+    assert [tuple(r) for r in states.handleExpiredTimer(("a", 0), Clock(), Clock())] == [
+        ("a", t, t + 1000, 2) for t in starts[:30]]
+    assert store.calls <= 3 and store.registered == [31_000]
+
+
 def test_batches_do_not_multiply_with_files(spark, folder):
     """A table of many rows is several files, and still one micro-batch; one without rows is none."""
     parts = [spark.range(a, b, numPartitions=6).select("id") for a, b in ((0, 500), (500, 500), (500, 950), (950, 2000))]
