@@ -257,16 +257,29 @@ def features(measure: np.ndarray, n_words: np.ndarray) -> np.ndarray:
 
 
 def curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights of a logistic curve, by Newton steps with a small penalty."""
+    """Weights of a logistic curve, by Newton steps with a small penalty.
+
+    A step is halved until it lowers the penalised loss enough. Whole steps can overshoot to where every row is
+    certain; there the penalty alone makes the next step, and the weights only grow.
+    """
+    def loss(w: np.ndarray) -> float:
+        return np.logaddexp(0, (1 - 2 * y) * (x @ w)).sum() + ridge / 2 * w @ w
+
     w = np.zeros(x.shape[1])
-    for _ in range(50):
+    now = loss(w)
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (p - y) + ridge * w
         step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge * np.eye(len(w)), gradient)
-        w -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w
+        gain, slack = gradient @ step, 1e-12 * (1 + now)
+        if np.abs(step).max() < 1e-8 or gain < slack:
+            return w - step
+        for part in 0.5 ** np.arange(60):
+            then = loss(w - part * step)
+            if then <= now - 1e-4 * part * gain + slack:
+                break
+        w, now = w - part * step, then
+    raise ValueError(f"the toxicity curve did not settle: weights {w}")
 
 
 @dataclass

@@ -188,6 +188,23 @@ def test_curve():
     assert t.curve(x, y) == pytest.approx([0.5, 2.0], abs=0.2)
 
 
+def test_curve_settles_where_whole_steps_overshoot():
+    """A few long clean texts far out: undamped steps end with all rows toxic or none, by chance of the rows."""
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        y = (rng.random(3000) < 0.1).astype(float)
+        n_words = np.exp(rng.normal(5.6, 1, 3000)).astype(int) + 3
+        toxic = rng.uniform(0.02, 0.25, 3000)
+        clean = np.where(rng.random(3000) < 0.01, rng.uniform(0.02, 0.3, 3000), rng.normal(0, 0.005, 3000))
+        measure = np.where(y == 1, toxic, clean)
+        far = (rng.random(3000) < 0.01) & (y == 0)
+        x = t.features(100 * np.where(far, -5, measure), np.where(far, 300, n_words))
+        w = t.curve(x, y)
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        assert np.abs(x.T @ (p - y) + w).max() < 1e-3  # the minimum of the penalised loss
+        assert ((p >= t.THRESHOLD) == y).mean() > 0.95 and 0.05 < (p >= t.THRESHOLD).mean() < 0.15
+
+
 def test_words_beyond_any_cap(spark, documents):
     """A telling word is known although tens of thousands of other words are more frequent."""
     rows = []
