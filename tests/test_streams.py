@@ -225,6 +225,45 @@ def test_changelog_with_nulls(spark, folder):
     assert rows(log) == expected([("a", "+I", 0, None), ("a", "-U", 0, None), ("a", "+U", 1, 5)])
 
 
+@pytest.mark.parametrize("per_record", [True, False])
+def test_changelog_keys_share_state_entries(spark, folder, monkeypatch, per_record):
+    """Parts that double as keys come; keys that stay away keep their results; NULL keys, values beyond 2**53."""
+    monkeypatch.setattr(stateful, "SPANS", 2)
+    monkeypatch.setattr(stateful, "KEYS_TOGETHER", 3)
+    rng, calls = random.Random(5), "country STRING, city BIGINT, stock BIGINT"
+    names = [(c, i) for c in ("a", "b", None) for i in (None, *range(9))]
+    batches = [[(*rng.choice(names[: 6 * (step + 1)]), rng.choice([None, 1, -2, 2**60])) for _ in range(25)] for step in range(5)]
+    stream = replay(spark, batches, calls, f"{folder}/in")
+    log = run_available(stateful.changelog_aggregate(
+        stream, ["country", "city"], {"n": ("count", "stock"), "most": ("max", "stock"), "all": ("sum", "stock")}, per_record))
+    left, ops = {}, {}
+    for r in log.collect():
+        key, values = (r["country"], r["city"]), (r["n"], r["most"], r["all"])
+        left[key, values] = left.get((key, values), 0) + (-1 if r["op"] == "-U" else 1)
+        ops[key, r["op"]] = ops.get((key, r["op"]), 0) + 1
+    want = {}
+    for country, city, stock in (r for b in batches for r in b):
+        want.setdefault((country, city), []).append(stock)
+    for key, all_ in want.items():
+        some = [x for x in all_ if x is not None]
+        values = len(some), max(some, default=None), sum(some) if some else None
+        assert left.pop((key, values)) == 1 and ops[key, "+I"] == 1
+        assert ops.get((key, "-U"), 0) == ops.get((key, "+U"), 0)
+    assert not any(left.values())
+    if not per_record:  # a key changes once a batch at most
+        assert all(ops.get((key, "+U"), 0) < sum(any(r[:2] == key for r in b) for b in batches) for key in want)
+
+
+def test_a_micro_batch_hands_over_few_rows(spark):
+    """Rows and state entries follow the spans, not the keys: what each costs is the query's time."""
+    df = spark.range(0, 60_000, 1, 1).select((F.col("id") % 30_000).alias("k"), F.col("id").alias("v"))
+    df = df.withColumn("__hash", F.xxhash64("k")).withColumn("__span", F.pmod("__hash", F.lit(stateful.SPANS)))
+    dealt = stateful.deal_in_tasks(df, "__span", ["__hash", "k"], {"v": "sum"}, combine=True)
+    assert dealt.count() <= stateful.SPANS
+    flat = dealt.select(F.explode(F.arrays_zip("k", "v")).alias("r")).select("r.*")
+    assert flat.count() == 30_000 and flat.filter("v != 2 * k + 30000").count() == 0
+
+
 def test_user_aggregates_as_change_logs(spark, folder):
     batches = [STOCK[:2], STOCK[2:], [("Peru", 5, 60)]]
     stream = replay(spark, batches, COUNTRY, f"{folder}/sum")
