@@ -229,7 +229,7 @@ def test_changelog_with_nulls(spark, folder):
 def test_changelog_keys_share_state_entries(spark, folder, monkeypatch, per_record):
     """Parts that double as keys come; keys that stay away keep their results; NULL keys, values beyond 2**53."""
     monkeypatch.setattr(stateful, "SPANS", 2)
-    monkeypatch.setattr(stateful, "KEYS_TOGETHER", 3)
+    monkeypatch.setattr(stateful, "RECORDS_TOGETHER", 3)
     rng, calls = random.Random(5), "country STRING, city BIGINT, stock BIGINT"
     names = [(c, i) for c in ("a", "b", None) for i in (None, *range(9))]
     batches = [[(*rng.choice(names[: 6 * (step + 1)]), rng.choice([None, 1, -2, 2**60])) for _ in range(25)] for step in range(5)]
@@ -258,7 +258,7 @@ def test_a_micro_batch_hands_over_few_rows(spark):
     """Rows and state entries follow the spans, not the keys: what each costs is the query's time."""
     df = spark.range(0, 60_000, 1, 1).select((F.col("id") % 30_000).alias("k"), F.col("id").alias("v"))
     df = df.withColumn("__hash", F.xxhash64("k")).withColumn("__span", F.pmod("__hash", F.lit(stateful.SPANS)))
-    dealt = stateful.deal_in_tasks(df, "__span", ["__hash", "k"], {"v": "sum"}, combine=True)
+    dealt = stateful.deal_in_tasks(df, ["__span"], ["__hash", "k"], {"v": "sum"}, combine=True)
     assert dealt.count() <= stateful.SPANS
     flat = dealt.select(F.explode(F.arrays_zip("k", "v")).alias("r")).select("r.*")
     assert flat.count() == 30_000 and flat.filter("v != 2 * k + 30000").count() == 0
@@ -579,6 +579,11 @@ def test_top_of_a_change_log(spark, folder, held):
     assert _net(log.collect()) == want
 
 
+def test_top_of_a_change_log_in_many_parts(spark, folder, monkeypatch):
+    monkeypatch.setattr(stateful, "RECORDS_TOGETHER", 2)
+    test_top_of_a_change_log(spark, folder, 3)
+
+
 def test_clocks_of_partitions(spark, folder):
     """The slowest partition counts; an idle one not until it has rows again; one may come later; a batch run twice is one."""
     schema = "part INT, ms BIGINT"
