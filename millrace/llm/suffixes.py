@@ -42,7 +42,7 @@ LENGTH, GRAM = 50, 16
 #: Bytes that the suffix array's rounds have compared when what is still tied can only be told apart further on.
 PROVED = 32
 IN_WINDOW = LENGTH - GRAM + 1
-SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 20
+SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 16
 #: Text for which one more part is made.
 PART_BYTES = 8 << 20
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 1_000_000
@@ -51,7 +51,7 @@ PIECES_LEVEL, BODY_LEVEL = 9, 4
 #: Occurrences, added up over shards, from which an anchor is hot.
 HOT = 4096
 #: Stretches of so many bytes together get one suffix array.
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 19
 #: Stands for a null id: larger than any, so that it never counts as smaller.
 NO_ID = np.iinfo("int64").max
 #: Bits of an anchor's hash that tell it from others in its part, besides those that choose the part. An anchor taken
@@ -254,17 +254,29 @@ def distinct_strings(pieces: list[bytes], ids: np.ndarray) -> tuple[np.ndarray,
     return np.ascontiguousarray(spans).view(f"S{LENGTH}").ravel(), least, by_place[left >= LENGTH]
 
 
-def merged(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted lists of strings with ids as one, with the smallest id of each string, by binary search."""
-    strings, ids = blocks[0]
-    for more, their in blocks[1:]:
-        at = np.searchsorted(strings, more)
-        held = at < len(strings)
-        held[held] = strings[at[held]] == more[held]
-        ids[at[held]] = np.minimum(ids[at[held]], their[held])
-        strings = np.insert(strings, at[~held], more[~held])
-        ids = np.insert(ids, at[~held], their[~held])
-    return strings, ids
+def merged(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Sorted lists of strings with ids as one, with the smallest id of each string, by binary search.
+
+    Halves first, so that a string is copied once for each doubling. Also where each list's strings have come to be.
+    """
+    if len(blocks) == 1:
+        return *blocks[0], [np.arange(len(blocks[0][0]))]
+    half = len(blocks) // 2
+    (strings, ids, places), (more, their, others) = merged(blocks[:half]), merged(blocks[half:])
+    at = np.searchsorted(strings, more)
+    held = at < len(strings)
+    held[held] = strings[at[held]] == more[held]
+    old = np.ones(len(strings) + np.count_nonzero(~held), bool)
+    fresh = at[~held] + np.arange(len(old) - len(strings))
+    old[fresh] = False
+    old = np.flatnonzero(old)
+    new = np.empty(len(more), "int64")
+    new[held], new[~held] = old[at[held]], fresh
+    out, best = np.empty(len(old) + len(fresh), strings.dtype), np.full(len(old) + len(fresh), NO_ID)
+    out[old], out[fresh] = strings, more[~held]
+    best[old] = ids
+    best[new] = np.minimum(best[new], their)
+    return out, best, [old[p] for p in places] + [new[p] for p in others]
 
 
 def pack(parts: int) -> object:
@@ -425,8 +437,8 @@ def answered(sample: bytes) -> object:
         bounds = [0, *cuts.tolist(), len(pieces)]
         ids = np.array(least, "int64")
         blocks = [distinct_strings(pieces[a:b], ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-        strings, best = merged([(s, i.copy()) for s, i, _ in blocks])
-        by_start = np.concatenate([best[np.searchsorted(strings, s)][number] for s, _, number in blocks])
+        _, best, places = merged([(s, i) for s, i, _ in blocks])
+        by_start = np.concatenate([best[at][number] for at, (*_, number) in zip(places, blocks)])
         count = sizes - LENGTH + 1
         first = np.cumsum(count) - count
         low, high = np.minimum.reduceat(by_start, first), np.maximum.reduceat(by_start, first)

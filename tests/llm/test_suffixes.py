@@ -83,3 +83,22 @@ def test_occurrences_come_back():
         got = s.occurrences(s.noted(piece[mine], low[mine], size[mine]))
         for a, b in zip(got, (piece, low, size)):
             assert a.tolist() == b[mine].tolist()
+
+
+def test_lists_merge_in_halves(monkeypatch):
+    """Where each list's strings have come to be; and a string takes part in one search for each doubling, not for each list."""
+    rng = np.random.default_rng(4)
+    blocks = [(np.unique(rng.integers(1000, 5000, 300).astype(f"S{s.LENGTH}")), None) for _ in range(16)]
+    blocks = [(strings, rng.integers(0, 99, len(strings))) for strings, _ in blocks]
+    searched, plain_search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: searched.append(len(a) + len(v)) or plain_search(a, v, *more))
+    strings, best, places = s.merged(blocks)
+    want = {}
+    for theirs, ids in blocks:
+        for t, i in zip(theirs.tolist(), ids.tolist()):
+            want[t] = min(i, want.get(t, i))
+    assert dict(zip(strings.tolist(), best.tolist())) == want and strings.tolist() == sorted(want)
+    assert all((strings[at] == theirs).all() for at, (theirs, _) in zip(places, blocks))
+    assert sum(searched) <= 4 * sum(len(theirs) for theirs, _ in blocks)
+    alone = s.merged(blocks[:1])
+    assert alone[0].tolist() == blocks[0][0].tolist() and alone[2][0].tolist() == list(range(len(blocks[0][0])))
