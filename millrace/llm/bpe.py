@@ -4,9 +4,9 @@ Text is split by the tokenizer's pattern and each piece is encoded by itself.
 The DICTIONARY most frequent distinct pieces of the corpus are encoded by Spark: a
 higher-order function folds merges over the piece's bytes, each time of the
 neighbouring pair of lowest rank, leftmost first, found in a literal rank map. The
-dictionary is bounded, so it can be sent to all tasks, which put a text's ids together from it.
-A piece outside it is merged in the task that meets it, by the same rule, and kept in a
-bounded cache; the result does not depend on what the dictionary holds.
+dictionary is bounded, so it can be sent to all tasks, which put the ids of a batch of texts together from it.
+Pieces outside it are merged in the task that meets them, all those of a batch at once, by the
+same rule; the result does not depend on what the dictionary holds.
 Decoding looks ids up and concatenates their bytes.
 """
 
@@ -17,7 +17,8 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +27,13 @@ from millrace.llm.common import let, literal, stash, text_of
 #: Fixed by the tokenizer: the pattern that cuts text into pieces. White space is Unicode's.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+"
            r"|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+")
-DICTIONARY, CACHED = 100_000, 50_000
+DICTIONARY = 100_000
+#: Most bytes of the pieces that are merged together; longer ones are merged one by one. No wider than PLACE bits tell apart.
+WIDTHS, PLACE = (4, 6, 8, 10, 12, 16, 24, 32, 64), 6
 #: Classes of counts for each power of two, and tasks that fold the merges of the dictionary.
 STEPS, FOLDING = 16, 48
 SLOTS = 1 << 16
-NO_RANK = 2**31 - 1
+NO_RANK, NO_TOKEN = 2**31 - 1, 1 << 16
 Pairs = dict[tuple[int, int], int]
 
 
@@ -79,6 +82,93 @@ def merged(piece: bytes, first: list[int], pairs: Pairs) -> list[int]:
     return ids
 
 
+class Merges:
+    """Merges pieces, many at a time, by the rule of ``merged``."""
+
+    def __init__(self, first: list[int], pairs: Pairs):
+        keys = np.array([a << 16 | b for a, b in pairs], "uint32")
+        by = np.argsort(keys)
+        # One that no pair has, so that there always is a last one.
+        self.keys = np.append(keys[by], np.uint32(2**32 - 1))
+        self.ranks = np.append(np.array(list(pairs.values()), "int32")[by], np.int32(NO_TOKEN))
+        self.first = np.array(first, "int32")
+        self.of_bytes = self.rank(np.repeat(self.first, 256), np.tile(self.first, 256))
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of tokens, NO_TOKEN where they do not merge or there is no second."""
+        key = a.astype("uint32") << np.uint32(16) | b.astype("uint32")
+        at = np.searchsorted(self.keys, key)
+        return np.where((self.keys[at] == key) & (b >= 0), self.ranks[at], np.int32(NO_TOKEN))
+
+    def short(self, body: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of at most ``width`` bytes, one after the other, and how many each has.
+
+        A column for each piece; in each round every piece left merges its
+        leftmost pair of the lowest rank, so all are one shorter after it.
+        """
+        place = np.arange(width, dtype="int32")[:, None]
+        inside = place < size
+        raw = np.where(inside, body[np.minimum(start + place, len(body) - 1)], 0)
+        ids = np.where(inside, self.first[raw], np.int32(-1))
+        ranks = np.where(inside[1:], self.of_bytes[raw[:-1].astype("int32") * 256 + raw[1:]], np.int32(NO_TOKEN))
+        out, left = np.full((width, len(size)), -1, "int32"), np.arange(len(size))
+        while len(left):
+            lowest = np.full(len(left), NO_TOKEN << PLACE, "int32")
+            if len(ranks):
+                lowest = (ranks << PLACE | place[: len(ranks)]).min(axis=0)
+            done = lowest >= NO_TOKEN << PLACE
+            if done.any():
+                out[: len(ids), left[done]] = ids[:, done]
+                left, ids, ranks, lowest = left[~done], ids[:, ~done], ranks[:, ~done], lowest[~done]
+            if not len(left):
+                break
+            at, token, here = lowest & ((1 << PLACE) - 1), lowest >> PLACE, np.arange(len(left))
+            ids = np.where(place[: len(ids) - 1] > at, ids[1:], ids[:-1])
+            ids[at, here] = token
+            ranks = np.where(place[: len(ranks) - 1] >= at, ranks[1:], ranks[:-1])
+            some = at > 0
+            ranks[at[some] - 1, here[some]] = self.rank(ids[at[some] - 1, here[some]], token[some])
+            some = at < len(ranks)
+            ranks[at[some], here[some]] = self.rank(token[some], ids[at[some] + 1, here[some]])
+        return out.T[out.T >= 0], np.count_nonzero(out >= 0, axis=0)
+
+    def all(self, pieces: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Ids of pieces in another order, and that order."""
+        ends, body = content(pieces)
+        body, size = np.frombuffer(body, "uint8"), np.diff(ends)
+        order = np.argsort(size, kind="stable")
+        start, size = ends[:-1][order], size[order]
+        flat, counts, a = [np.zeros(0, "int32")], [np.zeros(0, "int64")], 0
+        for width in WIDTHS:
+            b = int(np.searchsorted(size, width, side="right"))
+            if a < b:
+                ids, count = self.short(body, start[a:b], size[a:b], width)
+                flat.append(ids)
+                counts.append(count)
+                a = b
+        if a < len(size):
+            first = self.first.tolist()
+            pairs = {(k >> 16, k & 65535): r for k, r in zip(self.keys[:-1].tolist(), self.ranks.tolist())}
+            for k in range(a, len(size)):
+                ids = merged(body[start[k]: start[k] + size[k]].tobytes(), first, pairs)
+                flat.append(np.array(ids, "int32"))
+                counts.append(np.array([len(ids)]))
+        return order, lists(np.append(0, np.cumsum(np.concatenate(counts))), pa.array(np.concatenate(flat)))
+
+
+def content(texts: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """Where the first text begins and each one ends, and the bytes that these places are in."""
+    _, ends, body = texts.buffers()
+    kind = "int64" if texts.type in (pa.large_string(), pa.large_binary()) else "int32"
+    ends = np.frombuffer(ends or bytes(8), kind)[texts.offset: texts.offset + len(texts) + 1]
+    return ends.astype("int64"), memoryview(body or b"")
+
+
+def lists(ends: np.ndarray, values: pa.Array) -> pa.Array:
+    """Lists of values that follow each other, from 0 and the ends of the lists."""
+    return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), values)
+
+
 def pieces_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
@@ -160,36 +250,61 @@ def dictionary(pieces: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY
     return known | {p.decode(): ids for p, ids in vocabulary.unreached.items() if p.decode(errors="ignore").encode() == p}
 
 
+class Coded:
+    """Ids of a batch of texts: of each distinct piece, and which pieces the texts have."""
+
+    def __init__(self, ids: pa.Array, entry: np.ndarray, ends: np.ndarray):
+        self.ids, self.entry, self.ends = ids, pa.array(entry), ends
+        count = np.diff(ids.offsets.to_numpy())
+        #: 0 and where the ids of each text end.
+        self.token_ends = np.append(0, np.cumsum(count[entry]))[ends]
+
+    def of_texts(self) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(self.token_ends, pa.int32()), self.ids.take(self.entry).flatten())
+
+    def joined(self, names: pa.Array, between: bytes) -> pa.Array:
+        """Names of each text's ids, put together by piece first."""
+        between = pa.scalar(between, names.type)
+        by_piece = pc.binary_join(lists(self.ids.offsets.to_numpy(), names.take(self.ids.flatten())), between)
+        return pc.binary_join(lists(self.ends, by_piece.take(self.entry)), between)
+
+
 class Encoder:
-    """Gives each task's function from pieces to ids."""
+    """Gives each task's function from texts' pieces to ids."""
 
     def __init__(self, documents: DataFrame, vocabulary: Vocabulary, text: str, size: int):
         pieces = documents.select(F.explode(pieces_of(text_of(text))).alias("piece"))
-        context = documents.sparkSession.sparkContext
-        self.sent = context.broadcast((dictionary(pieces, vocabulary, size), vocabulary.first, vocabulary.pairs,
-                                       vocabulary.tokens))
+        known = dictionary(pieces, vocabulary, size)
+        merges = Merges(vocabulary.first, vocabulary.pairs)
+        # Plain arrays, as they need not be built again in each task.
+        self.sent = documents.sparkSession.sparkContext.broadcast((
+            pa.array(list(known), pa.string()), pa.array(list(known.values()), pa.large_list(pa.int32())),
+            vars(merges), pa.array(vocabulary.tokens, pa.large_binary())))
 
     def function(self):
         sent = self.sent
 
         def start():
-            known, first, pairs, tokens = sent.value
-            others: dict[str, list[int]] = {}
-
-            def ids_of(pieces: list[str]) -> list[int]:
-                out: list[int] = []
-                for p in pieces:
-                    ids = known.get(p)
-                    if ids is None:
-                        ids = others.get(p)
-                        if ids is None:
-                            if len(others) >= CACHED:
-                                others.clear()
-                            ids = others[p] = merged(p.encode(), first, pairs)
-                    out += ids
-                return out
-
-            return ids_of, tokens
+            known, known_ids, arrays, tokens = sent.value
+            merges = Merges.__new__(Merges)
+            vars(merges).update(arrays)
+
+            def coded(pieces: pa.Array) -> Coded:
+                ends = pieces.offsets.to_numpy().astype("int64")
+                distinct = pieces.flatten().dictionary_encode()
+                at = pc.fill_null(pc.index_in(distinct.dictionary, value_set=known), -1).to_numpy()
+                rare = np.flatnonzero(at < 0)
+                order, ids = merges.all(distinct.dictionary.take(pa.array(rare)))
+                entry = at.astype("int64")
+                entry[rare[order]] = len(known) + np.arange(len(rare))
+                # Only entries that this batch has.
+                mine = np.concatenate([at[at >= 0], entry[rare]])
+                place = np.empty(len(entry), "int64")
+                place[np.append(np.flatnonzero(at >= 0), rare)] = np.arange(len(entry))
+                held = pa.concat_arrays([known_ids, ids]).take(pa.array(mine))
+                return Coded(held, place[distinct.indices.to_numpy()], ends - ends[0])
+
+            return coded, tokens
         return start
 
 
@@ -197,11 +312,11 @@ def encoded(documents: DataFrame, vocabulary: Vocabulary, text: str, size: int)
     """Column of token ids."""
     function = Encoder(documents, vocabulary, text, size).function()
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids_of, _ = function()
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coded, _ = function()
         for pieces in batches:
-            yield pd.Series([np.array(ids_of(p), "int32") for p in pieces])
+            yield coded(pieces).of_texts()
 
     return run(pieces_of(text_of(text)))
 
@@ -226,18 +341,19 @@ def digest(documents: DataFrame, vocabulary: Vocabulary, size: int = DICTIONARY)
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, the last of the decoded ids."""
     function = Encoder(documents, vocabulary, "text", size).function()
 
-    @F.pandas_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        ids_of, tokens = function()
-        names = list(map(str, range(len(tokens))))
-        for batch in batches:
-            rows = []
-            for pieces in batch:
-                ids = ids_of(pieces)
-                back = b"".join(map(tokens.__getitem__, ids))
-                rows.append((len(ids), sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
-                             sha256(back).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+    def hashes(texts: pa.Array) -> list[str]:
+        ends, body = content(texts)
+        return [sha256(body[a:b]).hexdigest() for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+    @F.arrow_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coded, tokens = function()
+        names = pa.array([str(i).encode() for i in range(len(tokens))], pa.large_binary())
+        for pieces in batches:
+            ids = coded(pieces)
+            yield pa.StructArray.from_arrays(
+                [pa.array(np.diff(ids.token_ends)), pa.array(hashes(ids.joined(names, b",")), pa.string()),
+                 pa.array(hashes(ids.joined(tokens, b"")), pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return documents.select("doc_id", run(pieces_of(text_of())).alias("d")).select("doc_id", "d.*")
 
@@ -246,15 +362,14 @@ def round_trip(documents: DataFrame, vocabulary: Vocabulary, text: str = "text",
     """All columns plus ``n_tokens``, ``ids`` and ``same``: whether the ids decode to the text's bytes (null as empty)."""
     function = Encoder(documents, vocabulary, text, size).function()
 
-    @F.pandas_udf("struct<n_tokens:long,ids:array<int>,same:boolean>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        ids_of, tokens = function()
-        for texts, batch in batches:
-            rows = []
-            for whole, pieces in zip(texts, batch):
-                ids = ids_of(pieces)
-                rows.append((len(ids), np.array(ids, "int32"), b"".join([tokens[i] for i in ids]) == whole.encode()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids", "same"])
+    @F.arrow_udf("struct<n_tokens:long,ids:array<int>,same:boolean>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        coded, tokens = function()
+        for texts, pieces in batches:
+            ids = coded(pieces)
+            same = pc.equal(ids.joined(tokens, b""), texts.cast(pa.large_binary()))
+            yield pa.StructArray.from_arrays([pa.array(np.diff(ids.token_ends)), ids.of_texts(), same],
+                                             ["n_tokens", "ids", "same"])
 
     kept = [c for c in documents.columns if c not in ("n_tokens", "ids", "same")]
     out = documents.select(*kept, run(text_of(text), pieces_of(text_of(text))).alias("__out"))

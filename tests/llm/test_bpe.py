@@ -2,6 +2,7 @@ import random
 from hashlib import sha256
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -68,3 +69,31 @@ def test_frequent_pieces_in_whole_classes(spark):
         got = {r["piece"] for r in bpe.frequent(df, size).collect()}
         assert len(got) == want and got == set(sorted(counts, key=lambda p: -counts[p])[:want])
     assert bpe.frequent(df.limit(0), 5).collect() == []
+
+
+def test_pieces_merge_together(monkeypatch):
+    """Pieces of all lengths, merged many at a time, are the library's; only those beyond the widest class one by one."""
+    rng = random.Random(11)
+    alphabet = "thionernaéß日\U0001F600 0\0"
+    pieces = ["".join(rng.choices(alphabet, k=rng.randint(1, 30))) for _ in range(400)] + ["a" * n for n in range(1, 70)]
+    pieces += ["", "x", "ab" * 100]
+    alone, plain = [], bpe.merged
+    monkeypatch.setattr(bpe, "merged", lambda piece, *more: alone.append(piece) or plain(piece, *more))
+    merges = bpe.Merges(VOCABULARY.first, VOCABULARY.pairs)
+    for mine in (pieces, pieces[:1], []):
+        for cut in (0, 1):
+            order, ids = merges.all(pa.array(["before"] * cut + mine, pa.string()).slice(cut))
+            got = dict(zip(order.tolist(), ids.to_pylist()))
+            assert got == {k: plain(p.encode(), VOCABULARY.first, VOCABULARY.pairs) for k, p in enumerate(mine)}
+            assert all(got[k] == PEER._encode_single_piece(p) for k, p in enumerate(mine) if p)
+    assert sorted(set(alone)) == sorted({p.encode() for p in pieces if len(p.encode()) > bpe.WIDTHS[-1]})
+
+
+def test_round_trip_whatever_the_dictionary_holds(documents):
+    """Null and repeated texts too."""
+    rows = [(i, t) for i, t in enumerate(texts() * 3)] + [(None, None)]
+    for size in (0, 5):
+        got = bpe.round_trip(documents(rows), VOCABULARY, size=size).collect()
+        assert all(r["same"] for r in got) and {r["doc_id"]: tuple(r["ids"]) for r in got} == {
+            i: tuple(PEER.encode_ordinary(t or "")) for i, t in rows}
+        assert all(r["n_tokens"] == len(r["ids"]) for r in got)
