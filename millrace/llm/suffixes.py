@@ -13,10 +13,12 @@ hash first. For the others four steps, each over whole shards of text:
 3. A shard sends the stretches of text around its shared anchors, equal ones
    once, to the part of the anchor. An anchor with very many occurrences would fill
    its part with stretches that differ around it; its strings are dealt one by one.
-4. A part builds a suffix array for the stretches of each few shards (Larsson and
-   Sadakane's refinement, common prefixes by Kasai's rule), takes from it the
-   distinct strings in order, and merges these lists by binary search. So it
-   knows the smallest id with each string, and answers the shards.
+4. A part takes equal stretches together. Different ones can only have a string in
+   common if their anchor is the same. For those it builds a suffix array for the
+   stretches of each few shards (Larsson and Sadakane's refinement, common prefixes
+   by Kasai's rule), takes from it the distinct strings in order, and merges these
+   lists by binary search. So it knows the smallest id with each string, and
+   answers the shards.
 
 Hashes only route; strings meet as bytes. Work is linear in the text, parts and
 shards have bounded size, and whatever a hot passage or copied document repeats
@@ -28,6 +30,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import small_or_not, stash, stash_by
 
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 24  # GRAM in whole words of 8 bytes; shorter ones are shared by chance ever more as the text grows
 #: Bytes that the suffix array's rounds have compared when what is still tied can only be told apart further on.
 PROVED = 32
 IN_WINDOW = LENGTH - GRAM + 1
@@ -47,17 +50,21 @@ SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 16
 PART_BYTES = 8 << 20
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 1_000_000
 #: Compression of stretches, and of the shards' own text.
-PIECES_LEVEL, BODY_LEVEL = 9, 4
-#: Occurrences, added up over shards, from which an anchor is hot.
-HOT = 4096
+PIECES_LEVEL, BODY_LEVEL = 5, 4
+#: Occurrences, added up over shards, from which an anchor is hot: so many stretches, if they all differ, are a small
+#: part of a part.
+HOT = 32768
 #: Stretches of so many bytes together get one suffix array.
 BLOCK_BYTES = 1 << 19
 #: Stands for a null id: larger than any, so that it never counts as smaller.
 NO_ID = np.iinfo("int64").max
 #: Bits of an anchor's hash that tell it from others in its part, besides those that choose the part. An anchor taken
 #: for another costs a stretch sent in vain.
-KEY_BITS = 32
-M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+KEY_BITS = 28
+M1, *GRAM_M = (np.uint64(x) for x in (
+    0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+#: Goes in which a shard takes its replies: of many parts each has little.
+GOES = 16
 
 
 def packed(*arrays: np.ndarray, level: int = 3) -> bytes:
@@ -117,17 +124,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def stretches(body: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of strings with the same anchor: first start, how many starts, hash of the anchor.
+def hashed(words: list[np.ndarray]) -> np.ndarray:
+    """Hashes of GRAM bytes, from their words."""
+    return mixed(sum(w * m for w, m in zip(words, GRAM_M, strict=True)))
+
+
+def stretches(body: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of strings with the same anchor: first start, how many starts, hash of the anchor, bytes of the run before it.
 
     ``ends`` are the document ends in ``body``; no string crosses one.
     """
-    lows, sizes, hashes = [], [], []
+    lows, sizes, hashes, leads = [], [], [], []
     for a in range(0, max(len(body) - LENGTH + 1, 0), CHUNK_BYTES):
         piece = body[a: a + CHUNK_BYTES + LENGTH - 1]
         grams = len(piece) - GRAM + 1
         w = words_at(piece)
-        gram = mixed(mixed(w[:grams] * M2) + mixed(w[8: 8 + grams] * M3))
+        gram = hashed([w[k: k + grams] for k in range(0, GRAM, 8)])
         mask = np.uint64((1 << 22) - 1)
         least = (gram & ~mask) | (mask - np.arange(grams, dtype="uint64"))  # of equal grams the last one
         span = 1
@@ -149,9 +161,10 @@ def stretches(body: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
         lows.append(at[good] + a)
         sizes.append(count[good])
         hashes.append(gram[anchor[at[good]]])
+        leads.append(anchor[at[good]] - at[good])
     if not lows:
-        return np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, "uint64")
-    return np.concatenate(lows), np.concatenate(sizes), np.concatenate(hashes)
+        return np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, "uint64"), np.zeros(0, "int64")
+    return np.concatenate(lows), np.concatenate(sizes), np.concatenate(hashes), np.concatenate(leads)
 
 
 def suffix_array(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -288,7 +301,7 @@ def pack(parts: int) -> object:
         body = np.frombuffer(b"".join(texts), "uint8")
         shard = uuid.uuid4().int >> 65
         out = [(shard, None, packed(body, ids, ends, level=BODY_LEVEL), None)]
-        low, _, gram = stretches(body, ends)
+        low, _, gram, _ = stretches(body, ends)
         owner = np.searchsorted(ends, low, side="right")
         code = codes(gram, parts)
         by = np.argsort(code, kind="stable")
@@ -327,26 +340,28 @@ def codes(gram: np.ndarray, parts: int) -> np.ndarray:
 
 def in_common(pdf: pd.DataFrame) -> pd.DataFrame:
     """For each shard its anchors, of one part, that several documents have; and which are hot."""
-    keys, counts, many, owner = [], [], [], []
-    for k, blob in enumerate(pdf["blob"]):
+    keys, counts, many = [], [], []
+    for blob in pdf["blob"]:
         step, n, m = unpacked(blob, "uint32", "uint16", "bool")
         keys.append(np.cumsum(step, dtype="int64"))
-        counts.append(n.astype("int64"))
+        counts.append(n)
         many.append(m)
-        owner.append(np.full(len(step), k))
-    key, count, several, of = map(np.concatenate, (keys, counts, many, owner))
-    by = np.argsort(key, kind="stable")
-    key, count, several, of = key[by], count[by], several[by], of[by]
+    ends = np.cumsum([len(k) for k in keys])
+    of = np.concatenate(keys)
+    by = np.argsort(of)
+    key, count, several = of[by], np.concatenate(counts)[by], np.concatenate(many)[by]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     size = np.diff(np.append(first, len(key)))
-    shared = np.repeat((size > 1) | np.logical_or.reduceat(several, first), size)
-    hot = np.repeat(np.add.reduceat(count, first) >= HOT, size)
+    # Back in the shards' own order, in which each has one run.
+    shared, hot = np.empty(len(by), bool), np.empty(len(by), bool)
+    shared[by] = np.repeat((size > 1) | np.logical_or.reduceat(several, first), size)
+    hot[by] = np.repeat(np.add.reduceat(count, first, dtype="int64") >= HOT, size)
+    start = np.array([int(pdf["part"].iloc[0]) << KEY_BITS], "int64")
     out = []
-    for k, shard in enumerate(pdf["shard"]):
-        mine = shared & (of == k)
+    for shard, a, b in zip(pdf["shard"], np.append(0, ends[:-1]).tolist(), ends.tolist()):
+        mine = shared[a:b]
         if mine.any():
-            start = np.array([int(pdf["part"].iloc[0]) << KEY_BITS], "int64")
-            out.append((shard, packed(start, np.diff(key[mine], prepend=0).astype("uint32"), hot[mine])))
+            out.append((shard, packed(start, np.diff(of[a:b][mine], prepend=0).astype("uint32"), hot[a:b][mine])))
     return pd.DataFrame(out, columns=["shard", "blob"])
 
 
@@ -364,51 +379,78 @@ def cut_out(parts: int, sample: bytes) -> object:
         hot_in = np.concatenate([hot for *_, hot in lists])
         by = np.argsort(codes_in)
         codes_in, hot_in = codes_in[by], hot_in[by]
-        low, size, gram = stretches(body, ends)
+        low, size, gram, lead = stretches(body, ends)
         code = codes(gram, parts)
-        at = np.minimum(np.searchsorted(codes_in, code), len(codes_in) - 1)
-        mine = codes_in[at] == code
-        low, size, part, hot = low[mine], size[mine], code[mine] >> KEY_BITS, hot_in[at[mine]]
+        # Most are told by a few bits of theirs.
+        bits = (1 << 22) - 1
+        may = np.zeros(bits + 1, bool)
+        may[codes_in & bits] = True
+        some = np.flatnonzero(may[code & bits])
+        at = np.minimum(np.searchsorted(codes_in, code[some]), len(codes_in) - 1)
+        mine = codes_in[at] == code[some]
+        some, hot = some[mine], hot_in[at[mine]]
+        low, size, lead, part = low[some], size[some], lead[some], code[some] >> KEY_BITS
+        raw = body.tobytes()
+
+        def numbered(low: np.ndarray, size: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+            """The distinct stretches as they first occur, and which of them each one is."""
+            texts = [raw[a:b] for a, b in zip(low.tolist(), (low + size + LENGTH - 1).tolist())]
+            known = {text: q for q, text in enumerate(dict.fromkeys(texts))}
+            return list(known), np.fromiter(map(known.__getitem__, texts), "int64", len(texts))
+
+        pieces, piece = numbered(low[~hot], size[~hot])
         if hot.any():
-            each = np.repeat(low[hot], size[hot]) + np.arange(size[hot].sum()) - np.repeat(
-                np.cumsum(size[hot]) - size[hot], size[hot])
-            low = np.append(low[~hot], each)
-            part = np.append(part[~hot], np.full(len(each), -1))
+            # The strings of each distinct stretch, once; then those of all occurrences by number.
+            wide, of = numbered(low[hot], size[hot])
+            count = np.empty(len(wide), "int64")
+            count[of] = size[hot]
+            strings = [text[k: k + LENGTH] for text in wide for k in range(len(text) - LENGTH + 1)]
+            known = {text: q for q, text in enumerate(dict.fromkeys(strings), len(pieces))}
+            number = np.fromiter(map(known.__getitem__, strings), "int64", len(strings))
+            dealt = np.array([crc32(text) % parts for text in known], "int64")
+            step = np.arange(size[hot].sum()) - np.repeat(np.cumsum(size[hot]) - size[hot], size[hot])
+            each = number[np.repeat((np.cumsum(count) - count)[of], size[hot]) + step]
+            low = np.append(low[~hot], np.repeat(low[hot], size[hot]) + step)
+            lead = np.append(lead[~hot], np.repeat(lead[hot], size[hot]) - step)
+            part = np.append(part[~hot], dealt[each - len(pieces)])
             size = np.append(size[~hot], np.ones(len(each), "int64"))
-        raw = body.tobytes()
-        owner = ids[np.searchsorted(ends, low, side="right")]
-        # Only of the parts that this shard has something for.
-        places: dict[int, dict[bytes, int]] = {}
-        least: dict[int, list[int]] = {}
-        piece = np.empty(len(low), "int64")
-        part = part.tolist()
-        for k, (a, n, p, i) in enumerate(zip(low.tolist(), size.tolist(), part, owner.tolist())):
-            text = raw[a: a + n + LENGTH - 1]
-            if p < 0:
-                part[k] = p = crc32(text) % parts
-            known = places.get(p)
-            if known is None:
-                known, least[p] = places.setdefault(p, {}), []
-            q = piece[k] = known.setdefault(text, len(known))
-            if q == len(least[p]):
-                least[p].append(i)
-            elif i < least[p][q]:
-                least[p][q] = i
-        by = np.argsort(np.array(part, "int64"), kind="stable")
-        part, piece, low, size = np.array(part, "int64")[by], piece[by], low[by], size[by]
+            pieces, piece = pieces + list(known), np.append(piece, each)
+        by = np.argsort(part, kind="stable")
+        part, piece, low, size, lead = part[by], piece[by], low[by], size[by], lead[by]
+        # Numbers by first occurrence, so that those of a part follow each other.
+        first = np.empty(len(pieces), "int64")
+        first[piece[::-1]] = np.arange(len(piece))[::-1]
+        in_order = np.argsort(first)
+        number = np.empty(len(pieces), "int64")
+        number[in_order] = np.arange(len(pieces))
+        piece, first = number[piece], first[in_order]
+        least = np.full(len(pieces), NO_ID)
+        np.minimum.at(least, piece, ids[np.searchsorted(ends, low, side="right")])
+        sizes, leads = size[first] + LENGTH - 1, lead[first]
         cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
         out = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(part))):
-            p = int(part[a])
-            known = places.pop(p)
-            text = np.frombuffer(squeeze.press.compress(b"".join(known)), "uint8")
-            sizes = np.array([len(t) for t in known], "uint8")
-            out.append((shard, p, packed(sizes, np.array(least.pop(p), "int64"), text),
-                        noted(piece[a:b], low[a:b], size[a:b])))
+        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(part)).tolist()):
+            c, d = np.searchsorted(first, (a, b)).tolist()
+            text = np.frombuffer(squeeze.press.compress(b"".join([pieces[q] for q in in_order[c:d].tolist()])), "uint8")
+            out.append((shard, int(part[a]), packed(
+                sizes[c:d].astype("uint8"), leads[c:d].astype("uint8"), np.diff(least[c:d], prepend=0), text),
+                noted(piece[a:b] - c, low[a:b], size[a:b])))
         return pd.DataFrame(out, columns=columns)
     return run
 
 
+def may_meet(body: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Of distinct stretches, with where their anchors are and how many strings they have: which may have one in common.
+
+    Those whose anchor another has; but not if all these are single strings.
+    """
+    grams = body[at[:, None] + np.arange(GRAM)].view("uint64")
+    _, of, size = np.unique(hashed(list(grams.T)), return_inverse=True, return_counts=True)
+    longer = np.zeros(len(size), bool)
+    longer[of[count > 1]] = True
+    return ((size > 1) & longer)[of]
+
+
 def answered(sample: bytes) -> object:
     """For each shard's stretches in a part: how far below the shard's own smallest id the smallest of all is.
 
@@ -416,55 +458,79 @@ def answered(sample: bytes) -> object:
     """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         squeeze = Squeeze(sample)
-        known: dict[bytes, int] = {}
-        least: list[int] = []
-        asked, held = [], []
+        texts, ids, leads = [], [], []
         for blob in pdf["blob"]:
-            sizes, ids, text = unpacked(blob, "uint8", "int64", "uint8")
+            sizes, lead, step, text = unpacked(blob, "uint8", "uint8", "int64", "uint8")
             text, end = squeeze.back.decompress(text.tobytes()), np.cumsum(sizes, dtype="int64")
-            mine = np.empty(len(sizes), "int64")
-            for k, (a, b, i) in enumerate(zip((end - sizes).tolist(), end.tolist(), ids.tolist())):
-                q = mine[k] = known.setdefault(text[a:b], len(known))
-                if q == len(least):
-                    least.append(i)
-                elif i < least[q]:
-                    least[q] = i
-            asked.append(mine)
-            held.append(ids)
+            texts.append([text[a:b] for a, b in zip((end - sizes).tolist(), end.tolist())])
+            leads.append(lead)
+            ids.append(np.cumsum(step))
+        ends = np.cumsum([len(i) for i in ids]).tolist()
+        held, leads = np.concatenate(ids), np.concatenate(leads)
+        known = {text: q for q, text in enumerate(dict.fromkeys(chain.from_iterable(texts)))}
+        mine = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), "int64", len(held))
         pieces = list(known)
+        del known, texts
+        least = np.full(len(pieces), NO_ID)
+        np.minimum.at(least, mine, held)
+        lead = np.empty(len(pieces), "int64")
+        lead[mine] = leads
         sizes = np.array([len(p) for p in pieces])
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES)) + 1
-        bounds = [0, *cuts.tolist(), len(pieces)]
-        ids = np.array(least, "int64")
-        blocks = [distinct_strings(pieces[a:b], ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-        _, best, places = merged([(s, i) for s, i, _ in blocks])
-        by_start = np.concatenate([best[at][number] for at, (*_, number) in zip(places, blocks)])
         count = sizes - LENGTH + 1
-        first = np.cumsum(count) - count
-        low, high = np.minimum.reduceat(by_start, first), np.maximum.reduceat(by_start, first)
+        body = np.frombuffer(b"".join(pieces), "uint8")
+        meet = np.flatnonzero(may_meet(body, np.cumsum(sizes) - sizes + lead, count))
+        # Of the others all strings are where the stretch is.
+        low, high, first = least.copy(), least.copy(), np.zeros(len(pieces), "int64")
+        by_start = np.zeros(0, "int64")
+        if len(meet):
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes[meet]) // BLOCK_BYTES)) + 1
+            blocks = [distinct_strings([pieces[q] for q in at.tolist()], least[at]) for at in np.split(meet, cuts)]
+            _, best, places = merged([(s, i) for s, i, _ in blocks])
+            by_start = np.concatenate([best[at][number] for at, (*_, number) in zip(places, blocks)])
+            start = np.cumsum(count[meet]) - count[meet]
+            first[meet] = start
+            low[meet], high[meet] = np.minimum.reduceat(by_start, start), np.maximum.reduceat(by_start, start)
+        even, below = (low == high)[mine], held - low[mine]
         out = []
-        for shard, notes, mine, own in zip(pdf["shard"], pdf["notes"], asked, held):
-            even = low[mine] == high[mine]
-            odd = mine[~even]
+        for shard, notes, a, b in zip(pdf["shard"], pdf["notes"], [0, *ends[:-1]], ends):
+            flat = even[a:b]
+            odd = mine[a:b][~flat]
             n = count[odd]
             at = np.repeat(first[odd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((shard, packed(even, (own - low[mine])[even], np.repeat(own[~even], n) - by_start[at]), notes))
+            out.append((shard, packed(flat, below[a:b][flat], np.repeat(held[a:b][~flat], n) - by_start[at]), notes))
         return pd.DataFrame(out, columns=["shard", "blob", "notes"])
     return run
 
 
-def smallest(reply: bytes, piece: np.ndarray, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """From a reply and the occurrences it is for: the smallest id by string, and each stretch's first string."""
-    even, below, each = unpacked(reply, "bool", "int64", "int64")
-    count = np.zeros(len(even), "int64")
-    count[piece] = size
-    own = np.full(len(even), NO_ID)
-    np.minimum.at(own, piece, ids)
-    least = np.repeat(own, count)
-    whole = np.repeat(even, count)
-    least[whole] -= np.repeat(below, count[even])
-    least[~whole] -= each
-    return least, np.cumsum(count) - count
+def repeats(told: list[tuple[bytes, bytes]], ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From replies and the notes on what they are for: from where to where smaller ids have the same."""
+    replies, places, before = [], [], 0
+    for reply, notes in told:
+        replies.append(unpacked(reply, "bool", "int64", "int64"))
+        piece, low, size = occurrences(notes)
+        places.append((piece + before, low, size))
+        before += len(replies[-1][0])
+    even, below, each = map(np.concatenate, zip(*replies))
+    piece, low, size = map(np.concatenate, zip(*places))
+    mine = ids[np.searchsorted(ends, low, side="right")]
+    own = np.full(before, NO_ID)
+    np.minimum.at(own, piece, mine)
+    # One number for all strings of a stretch.
+    least = own.copy()
+    least[even] -= below
+    flat = even[piece]
+    smaller = flat & (least[piece] < mine)
+    starts, stops = low[smaller], low[smaller] + size[smaller] + LENGTH - 1
+    # One for each string.
+    odd = ~flat
+    count = np.zeros(before, "int64")
+    count[piece[odd]] = size[odd]
+    least = np.repeat(own, count) - each
+    n = size[odd]
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    smaller = least[np.repeat((np.cumsum(count) - count)[piece[odd]], n) + step] < np.repeat(mine[odd], n)
+    start = (np.repeat(low[odd], n) + step)[smaller]
+    return np.append(starts, start), np.append(stops, start + LENGTH)
 
 
 def finished(bodies: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
@@ -472,16 +538,12 @@ def finished(bodies: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
     out = []
     for whole in bodies["body"]:
         body, ids, ends = unpacked(whole, "uint8", "int64", "int64")
-        gone = np.zeros(len(body) + 1, "int64")
-        for reply, notes in zip(told["blob"], told["notes"]):
-            piece, low, n = occurrences(notes)
-            least, first = smallest(reply, piece, n, ids[np.searchsorted(ends, low, side="right")])
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            start = np.repeat(low, n) + step
-            smaller = least[np.repeat(first[piece], n) + step] < ids[np.searchsorted(ends, start, side="right")]
-            start = start[smaller]
-            np.add.at(gone, start, 1)
-            np.add.at(gone, start + LENGTH, -1)
+        gone = np.zeros(len(body) + 1, "int32")
+        every = len(told) // GOES + 1
+        for a in range(0, len(told), every):
+            starts, stops = repeats(list(zip(told["blob"][a: a + every], told["notes"][a: a + every])), ids, ends)
+            np.add.at(gone, starts, 1)
+            np.add.at(gone, stops, -1)
         covered = np.cumsum(gone)[:-1] > 0
         for i, a, b in zip(ids.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
             mine = covered[a:b]

@@ -2,6 +2,7 @@ import random
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from millrace.llm import suffixes as s
@@ -102,3 +103,66 @@ def test_lists_merge_in_halves(monkeypatch):
     assert sum(searched) <= 4 * sum(len(theirs) for theirs, _ in blocks)
     alone = s.merged(blocks[:1])
     assert alone[0].tolist() == blocks[0][0].tolist() and alone[2][0].tolist() == list(range(len(blocks[0][0])))
+
+
+def steps(pairs, parts=1, each=None):
+    """The steps without Spark; ``each`` documents make a shard."""
+    each = each or len(pairs)
+    shards = pd.concat(f for k in range(0, len(pairs), each)
+                       for f in s.pack(parts)(iter([pd.DataFrame(pairs[k:k + each], columns=["doc_id", "text"])])))
+    bodies, asks = shards[shards["body"].notna()], shards[shards["part"].notna()]
+    wanted = pd.concat([s.in_common(g) for _, g in asks.groupby("part")])
+    pieces = pd.concat([s.cut_out(parts, b"")(b, wanted[wanted["shard"] == k]) for k, b in bodies.groupby("shard")])
+    told = pd.concat([s.answered(b"")(g) for _, g in pieces.groupby("part")] or [pieces])
+    out = pd.concat([s.finished(b, told[told["shard"] == k]) for k, b in bodies.groupby("shard")])
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, sha256(r.kept).hexdigest()) for r in out.itertuples()), key=str)
+
+
+def letters(rng, n):
+    return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+
+
+def test_what_short_pieces_share_stays(monkeypatch):
+    """Texts that share no more than 20 bytes here and there send no stretches."""
+    rng = random.Random(1)
+    common = [letters(rng, 20) for _ in range(30)]
+    pairs = [(i, "".join(letters(rng, 20) + rng.choice(common) for _ in range(60))) for i in range(40)]
+    sent = []
+    noted = s.noted
+    monkeypatch.setattr(s, "noted", lambda piece, *more: sent.append(len(piece)) or noted(piece, *more))
+    assert steps(pairs, 3, 10) == plain(pairs)
+    assert sum(sent) == 0
+
+
+def test_equal_stretches_need_no_suffix_array(monkeypatch):
+    """Of a long passage that several documents have, only what lies at its ends meets in suffix arrays."""
+    rng = random.Random(2)
+    passage = letters(rng, 3000)
+    pairs = [(i, letters(rng, 400) + passage + letters(rng, 400)) for i in range(12)]
+    seen = []
+    distinct = s.distinct_strings
+    monkeypatch.setattr(s, "distinct_strings", lambda pieces, ids: seen.extend(pieces) or distinct(pieces, ids))
+    assert steps(pairs, 2, 3) == plain(pairs)
+    assert all(text.decode() not in passage or k < 100 or k > 2800 for text in seen for k in [passage.find(text.decode())])
+    assert 0 < sum(map(len, seen)) < len(pairs) * 400
+
+
+def test_hot_strings_are_dealt_once(monkeypatch):
+    """A hot anchor's strings are dealt once for each stretch that differs, not for each occurrence."""
+    monkeypatch.setattr(s, "HOT", 10)
+    rng = random.Random(3)
+    line = letters(rng, 200)
+    pairs = [(i, letters(rng, 60).join([line] * 20)) for i in range(6)]
+    dealt = []
+    crc32 = s.crc32
+    monkeypatch.setattr(s, "crc32", lambda text: dealt.append(text) or crc32(text))
+    assert steps(pairs, 3, 2) == plain(pairs)
+    assert 0 < len(dealt) < 6 * 20 * 150 / 3
+
+
+@pytest.mark.parametrize("hot", [3, 10**6])
+def test_steps_of_many_shards(monkeypatch, hot):
+    for name, value in (("HOT", hot), ("BLOCK_BYTES", 500), ("CHUNK_BYTES", 300)):
+        monkeypatch.setattr(s, name, value)
+    pairs = [(3 * i % 80, t) for i, t in enumerate(texts(5))] + [(9, "x" * 49), (4, "ab" * 60)]
+    assert steps(pairs, 7, 4) == plain(pairs)
