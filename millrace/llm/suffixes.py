@@ -63,6 +63,8 @@ NO_ID = np.iinfo("int64").max
 KEY_BITS = 28
 M1, *GRAM_M = (np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+#: Copies up to which they are broadcast, some 130 bytes each in memory, so that no texts are shuffled.
+COPIES = 1_000_000
 #: Goes in which a shard takes its replies: of many parts each has little.
 GOES = 16
 
@@ -312,9 +314,11 @@ def pack(parts: int) -> object:
         code, count = code[first], np.minimum(count, 65535)
         part = code >> KEY_BITS
         cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        step = np.diff(code, prepend=0)
+        step[cuts] = code[cuts] - (part[cuts] << KEY_BITS)
+        step, count = step.astype("uint32"), count.astype("uint16")
         for a, b in zip(cuts, np.append(cuts[1:], len(part))):
-            step = np.diff(code[a:b], prepend=part[a] << KEY_BITS)
-            out.append((shard, part[a], None, packed(step.astype("uint32"), count[a:b].astype("uint16"), many[a:b])))
+            out.append((shard, part[a], None, packed(step[a:b], count[a:b], many[a:b])))
         return pd.DataFrame(out, columns=["shard", "part", "body", "blob"]).astype({"part": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -426,15 +430,17 @@ def cut_out(parts: int, sample: bytes) -> object:
         piece, first = number[piece], first[in_order]
         least = np.full(len(pieces), NO_ID)
         np.minimum.at(least, piece, ids[np.searchsorted(ends, low, side="right")])
-        sizes, leads = size[first] + LENGTH - 1, lead[first]
+        pieces = [pieces[q] for q in in_order.tolist()]
+        sizes, leads = (size[first] + LENGTH - 1).astype("uint8"), lead[first].astype("uint8")
         cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        begins = np.searchsorted(first, cuts)
+        step = np.diff(least, prepend=0)
+        step[begins] = least[begins]
         out = []
-        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(part)).tolist()):
-            c, d = np.searchsorted(first, (a, b)).tolist()
-            text = np.frombuffer(squeeze.press.compress(b"".join([pieces[q] for q in in_order[c:d].tolist()])), "uint8")
-            out.append((shard, int(part[a]), packed(
-                sizes[c:d].astype("uint8"), leads[c:d].astype("uint8"), np.diff(least[c:d], prepend=0), text),
-                noted(piece[a:b] - c, low[a:b], size[a:b])))
+        for a, b, c, d in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)], begins.tolist(), [*begins[1:].tolist(), len(pieces)]):
+            text = np.frombuffer(squeeze.press.compress(b"".join(pieces[c:d])), "uint8")
+            out.append((shard, int(part[a]), packed(sizes[c:d], leads[c:d], step[c:d], text),
+                        noted(piece[a:b] - c, low[a:b], size[a:b])))
         return pd.DataFrame(out, columns=columns)
     return run
 
@@ -490,15 +496,18 @@ def answered(sample: bytes) -> object:
             start = np.cumsum(count[meet]) - count[meet]
             first[meet] = start
             low[meet], high[meet] = np.minimum.reduceat(by_start, start), np.maximum.reduceat(by_start, start)
-        even, below = (low == high)[mine], held - low[mine]
-        out = []
-        for shard, notes, a, b in zip(pdf["shard"], pdf["notes"], [0, *ends[:-1]], ends):
-            flat = even[a:b]
-            odd = mine[a:b][~flat]
-            n = count[odd]
-            at = np.repeat(first[odd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((shard, packed(flat, below[a:b][flat], np.repeat(held[a:b][~flat], n) - by_start[at]), notes))
-        return pd.DataFrame(out, columns=["shard", "blob", "notes"])
+        even = (low == high)[mine]
+        odd = mine[~even]
+        n = count[odd]
+        at = np.repeat(first[odd] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        below, each = (held - low[mine])[even], np.repeat(held[~even], n) - by_start[at]
+        # Where the blobs end in these.
+        flat_ends = np.append(0, np.cumsum(even))[ends].tolist()
+        each_ends = np.append(0, np.cumsum(np.where(even, 0, count[mine])))[ends].tolist()
+        cuts = [[slice(a, b) for a, b in zip([0, *to], to)] for to in (ends, flat_ends, each_ends)]
+        return pd.DataFrame([
+            (shard, packed(even[a], below[b], each[c]), notes)
+            for shard, notes, a, b, c in zip(pdf["shard"], pdf["notes"], *cuts)], columns=["shard", "blob", "notes"])
     return run
 
 
@@ -538,13 +547,13 @@ def finished(bodies: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
     out = []
     for whole in bodies["body"]:
         body, ids, ends = unpacked(whole, "uint8", "int64", "int64")
-        gone = np.zeros(len(body) + 1, "int32")
+        gone = np.zeros(len(body) + 1, "int8")  # over a byte lie LENGTH strings at most
         every = len(told) // GOES + 1
         for a in range(0, len(told), every):
             starts, stops = repeats(list(zip(told["blob"][a: a + every], told["notes"][a: a + every])), ids, ends)
             np.add.at(gone, starts, 1)
             np.add.at(gone, stops, -1)
-        covered = np.cumsum(gone)[:-1] > 0
+        covered = np.cumsum(gone, dtype="int8", out=gone)[:-1] > 0
         for i, a, b in zip(ids.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
             mine = covered[a:b]
             n = int(mine.sum())
@@ -562,17 +571,17 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     Texts shorter than LENGTH stay whole. An empty table gives no rows. Other
     columns are ignored. Ids must be below the largest long.
     """
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.substring(
-        F.sha2(F.col("text").cast("binary"), 256), 1, 32).alias("same"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.unhex(F.substring(
+        F.sha2(F.col("text").cast("binary"), 256), 1, 32)).alias("same"))
     keys = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select("doc_id", "same")
     firsts = keys.groupBy("same").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     copies = stash(keys.join(firsts, "same").filter("doc_id > first").select("doc_id", "same").distinct(), "copies")
-    copies = small_or_not(copies)
+    copies = small_or_not(copies, COPIES)
 
     rest = texts.join(copies, ["doc_id", "same"], "left_anti").select("doc_id", "text")
-    n = F.octet_length("text").cast("long")
-    whole = texts.join(copies, ["doc_id", "same"], "left_semi").select(
-        "doc_id", n.alias("n_bytes"), n.alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+    n = F.octet_length("text").cast("long").alias("n")
+    whole = texts.select("doc_id", "same", n).join(copies, ["doc_id", "same"], "left_semi").select(
+        "doc_id", F.col("n").alias("n_bytes"), F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
         F.lit("").cast("binary").alias("kept"))
 
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -166,3 +166,12 @@ def test_steps_of_many_shards(monkeypatch, hot):
         monkeypatch.setattr(s, name, value)
     pairs = [(3 * i % 80, t) for i, t in enumerate(texts(5))] + [(9, "x" * 49), (4, "ab" * 60)]
     assert steps(pairs, 7, 4) == plain(pairs)
+
+
+def test_copies_joined_or_broadcast(spark, documents, monkeypatch):
+    """Many copies are joined, few are broadcast: the same rows, also of ids that have several texts."""
+    pairs = list(enumerate(texts(6)[:30] * 2)) + [(40, "q" * 80), (40, texts(6)[3]), (None, texts(6)[4])]
+    for copies in (0, 10**6):
+        monkeypatch.setattr(s, "COPIES", copies)
+        got = [tuple(r) for r in s.digest(documents(pairs)).collect()]
+        assert sorted(got, key=str) == plain(pairs)
