@@ -394,13 +394,15 @@ def cut_out(parts: int, sample: bytes) -> object:
         mine = codes_in[at] == code[some]
         some, hot = some[mine], hot_in[at[mine]]
         low, size, lead, part = low[some], size[some], lead[some], code[some] >> KEY_BITS
+        del gram, code, codes_in, hot_in, may, some, at, mine  # a shard may be shared as a whole
         raw = body.tobytes()
 
         def numbered(low: np.ndarray, size: np.ndarray) -> tuple[list[bytes], np.ndarray]:
             """The distinct stretches as they first occur, and which of them each one is."""
-            texts = [raw[a:b] for a, b in zip(low.tolist(), (low + size + LENGTH - 1).tolist())]
-            known = {text: q for q, text in enumerate(dict.fromkeys(texts))}
-            return list(known), np.fromiter(map(known.__getitem__, texts), "int64", len(texts))
+            known: dict[bytes, int] = {}
+            texts = map(raw.__getitem__, map(slice, low, low + size + (LENGTH - 1)))
+            which = np.fromiter((known.setdefault(text, len(known)) for text in texts), "int64", len(low))
+            return list(known), which
 
         pieces, piece = numbered(low[~hot], size[~hot])
         if hot.any():
